@@ -62,7 +62,7 @@ def json_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the trips as NDJSON files and load them with the declared schema (A1, A4)."""
     path = _scratch(spark, "trips-json")
     trips_as_json_records(spark, sf_dir).drop("_year").write.mode("overwrite").json(path)
-    trips = normalise_trips(good_rows(read_trips_json(spark, path)))
+    trips = normalise_trips(good_rows(read_trips_json(spark, path, with_source=False)))
     return trips.select(
         "trip_id", "user_type", "age_range", "travel_time", "unplug_station", "plug_station",
         "trip_date", "trip_hour",

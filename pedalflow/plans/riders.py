@@ -49,11 +49,12 @@ def above_average_share(data: TripData) -> DataFrame:
     """Per age range: trips longer than the global (floored) mean, all trips, and their share
     (D10, D11).  Trips without a travel time are never above the mean."""
     mean = mean_travel_time_floor(data)
-    above = (F.col("travel_time") - mean) > 0
+    above = F.coalesce((F.col("travel_time") - mean) > 0, F.lit(False))
     return (
-        data.trips.groupBy("age_range")
+        data.trips.select("age_range", above.alias("above"))
+        .groupBy("age_range")
         .agg(
-            F.count_if(F.coalesce(above, F.lit(False))).alias("n_above"),
+            F.count_if("above").alias("n_above"),
             F.count(F.lit(1)).alias("n_trips"),
         )
         .withColumn("share_above", F.col("n_above") / F.col("n_trips"))

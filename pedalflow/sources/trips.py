@@ -23,21 +23,29 @@ def read_trips_json(
     spark: SparkSession,
     paths: str | Sequence[str],
     schema: T.StructType = TRIP_JSON_SCHEMA,
+    with_source: bool = True,
 ) -> DataFrame:
     """Raw trip rows from one or many JSON-lines files (any Hadoop-FS URI).
 
-    Adds ``_corrupt_record`` (text of a malformed line, else NULL) and
-    ``source_file`` for lineage.
+    Lines are read as text and parsed with ``from_json`` in PERMISSIVE mode:
+    a malformed line keeps its text in ``_corrupt_record``.  Parsing from the
+    line text (rather than the JSON file reader) keeps counts and filters on
+    the corrupt-record column valid without caching the input, while Catalyst
+    still prunes unused fields from the parse.  ``source_file`` gives lineage
+    (``with_source``; it is non-deterministic for the analyser, so plans that
+    feed scalar subqueries leave it out).
     """
     if isinstance(paths, str):
         paths = [paths]
-    read_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-    return (
-        spark.read.schema(read_schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-        .json(list(paths))
-        .withColumn("source_file", F.input_file_name())
+    parse_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+    lines = spark.read.text(list(paths)).filter(F.trim("value") != "")
+    parsed = F.from_json(
+        "value", parse_schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    )
+    if not with_source:
+        return lines.select(parsed.alias("r")).select("r.*")
+    return lines.select(parsed.alias("r"), F.input_file_name().alias("source_file")).select(
+        "r.*", "source_file"
     )
 
 
@@ -84,7 +92,7 @@ def load_trips(
     an aggregate with a map-side partial step, so a large group of copies
     collapses before the shuffle.
     """
-    raw = good_rows(read_trips_json(spark, paths)).drop("source_file")
+    raw = good_rows(read_trips_json(spark, paths, with_source=False))
     if dedupe:
         raw = raw.dropDuplicates()
     return normalise_trips(raw)
