@@ -34,26 +34,29 @@ def zone_centroids(stations: DataFrame) -> DataFrame:
     )
 
 
-def zone_trips(trips: DataFrame, stations: DataFrame, how: str = "inner") -> DataFrame:
+def zone_trips(trips: DataFrame, stations: DataFrame, how: str = "inner", prepared: bool = False) -> DataFrame:
     """Trips with origin and destination zone.
 
     ``how='inner'`` keeps trips whose both ends match a station, as the studies
     do; ``how='left'`` keeps every trip with NULL for unmatched ends.
+    ``prepared=True`` means ``stations`` already is a (size-checked) station map.
     """
-    smap = bounded_broadcast(station_map(stations))
+    smap = stations if prepared else bounded_broadcast(station_map(stations))
     origin = smap.select(F.col("station").alias("unplug_station"), F.col("zone").alias("origin_zone"))
     dest = smap.select(F.col("station").alias("plug_station"), F.col("zone").alias("dest_zone"))
     return trips.join(origin, "unplug_station", how).join(dest, "plug_station", how)
 
 
 def locate(df: DataFrame, centroids: DataFrame, zone_col: str = "zone", prefix: str = "") -> DataFrame:
-    """Left-join zone coordinates onto a (small, aggregated) result."""
-    geo = bounded_broadcast(
-        centroids.select(
-            F.col("zone").alias(zone_col),
-            F.col("lat").alias(f"{prefix}lat"),
-            F.col("lon").alias(f"{prefix}lon"),
-        )
+    """Left-join zone coordinates onto a (small, aggregated) result.
+
+    ``centroids`` should come from ``TripData.centroids()``, which carries the
+    size-checked broadcast hint.
+    """
+    geo = centroids.select(
+        F.col("zone").alias(zone_col),
+        F.col("lat").alias(f"{prefix}lat"),
+        F.col("lon").alias(f"{prefix}lon"),
     )
     return df.join(geo, zone_col, "left")
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.calendar import with_calendar
-from ..operators.zoning import zone_centroids, zone_trips
+from ..operators.broadcast import bounded_broadcast
+from ..operators.zoning import station_map, zone_centroids, zone_trips
 from ..sources.proxy import proxy_stations, proxy_trips
 from ..sources.stations import read_stations_csv, station_rows
 from ..sources.trips import load_trips
@@ -18,6 +19,7 @@ from ..sources.trips import load_trips
 class TripData:
     trips: DataFrame  # canonical trip columns (schema.TRIP_COLUMNS)
     stations: DataFrame  # station rows (sources.stations)
+    _memo: dict = field(default_factory=dict, repr=False, compare=False)
 
     @classmethod
     def from_proxy(cls, spark: SparkSession, sf_dir: str) -> "TripData":
@@ -39,9 +41,18 @@ class TripData:
         """Trips with calendar columns (L1)."""
         return with_calendar(self.trips, extended=extended)
 
+    def station_lookup(self) -> DataFrame:
+        """Station number -> zone, broadcast-hinted when its size is proven small (checked once)."""
+        if "lookup" not in self._memo:
+            self._memo["lookup"] = bounded_broadcast(station_map(self.stations))
+        return self._memo["lookup"]
+
     def zoned(self, how: str = "inner") -> DataFrame:
         """Dated trips with ``origin_zone`` / ``dest_zone`` (L2/L3 without the coordinate fan-out)."""
-        return zone_trips(self.dated(), self.stations, how=how)
+        return zone_trips(self.dated(), self.station_lookup(), how=how, prepared=True)
 
     def centroids(self) -> DataFrame:
-        return zone_centroids(self.stations)
+        """One row per zone (mean coordinate, station rows), size-checked once."""
+        if "centroids" not in self._memo:
+            self._memo["centroids"] = bounded_broadcast(zone_centroids(self.stations))
+        return self._memo["centroids"]

@@ -12,10 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.broadcast import bounded_broadcast
 from ..operators.ranking import top_n
 from ..operators.stats import minmax_scale
-from ..operators.zoning import locate, station_map
+from ..operators.zoning import locate
 from .data import TripData
 
 
@@ -94,7 +93,7 @@ def zone_in_out_demand(data: TripData) -> DataFrame:
     counts for the other).  Zones are those with arrivals; departures are NULL
     for a zone nobody leaves from, as the arrivals-left-join-departures did.
     """
-    smap = bounded_broadcast(station_map(data.stations))
+    smap = data.station_lookup()
     ends = _both_directions(data.trips, "unplug_station", "plug_station", [])
     counts = (
         ends.join(smap, ends.place == smap.station, "inner")

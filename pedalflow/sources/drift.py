@@ -9,14 +9,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# Marker counted once per line so the same aggregate also yields lines per file.
+_LINE = "\u0000line"
+
 
 def schema_drift(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Rows ``(source_file, column, n_lines, n_file_lines, in_every_file)``.
 
     Malformed lines are reported under the column name ``_corrupt_record``.
+    One scan of the text feeds one aggregate (files x keys rows); the per-file
+    totals and the every-file flag are windows over that small result.
     """
     if isinstance(paths, str):
         paths = [paths]
@@ -25,25 +30,25 @@ def schema_drift(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         .withColumn("source_file", F.input_file_name())
         .filter(F.trim("value") != "")
     )
-    keys = F.json_object_keys("value")
-    per_line = lines.select(
+    keys = F.coalesce(F.json_object_keys("value"), F.array(F.lit("_corrupt_record")))
+    per_line = lines.select("source_file", F.explode(F.concat(keys, F.array(F.lit(_LINE)))).alias("column"))
+    counts = per_line.groupBy("source_file", "column").agg(F.count(F.lit(1)).alias("n_lines"))
+    by_file = Window.partitionBy("source_file")
+    by_column = Window.partitionBy("column")
+    everything = Window.partitionBy()
+    marker = F.col("column") == _LINE
+    report = counts.select(
         "source_file",
-        F.explode(F.coalesce(keys, F.array(F.lit("_corrupt_record")))).alias("column"),
+        "column",
+        "n_lines",
+        F.max(F.when(marker, F.col("n_lines"))).over(by_file).alias("n_file_lines"),
+        F.count(F.lit(1)).over(by_column).alias("n_files_with_column"),
+        F.size(F.collect_set(F.when(marker, F.col("source_file"))).over(everything)).alias("n_files"),
     )
-    per_file = lines.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_file_lines"))
-    counts = per_line.groupBy("source_file", "column").agg(F.count(F.lit(1)).alias("n_lines"))
-    n_files = lines.select(F.count_distinct("source_file")).scalar()
-    files_per_column = counts.groupBy("column").agg(F.count_distinct("source_file").alias("n_files"))
-    # Both right-hand sides hold one row per file / per column name: bounded by the
-    # number of files and distinct keys, not by the number of trips.
-    return (
-        counts.join(per_file, "source_file")
-        .join(files_per_column, "column")
-        .select(
-            "source_file",
-            "column",
-            "n_lines",
-            "n_file_lines",
-            (F.col("n_files") == n_files).alias("in_every_file"),
-        )
+    return report.filter(~marker).select(
+        "source_file",
+        "column",
+        "n_lines",
+        "n_file_lines",
+        (F.col("n_files_with_column") == F.col("n_files")).alias("in_every_file"),
     )
