@@ -6,9 +6,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.calendar import with_calendar
-from ..operators.broadcast import bounded_broadcast
+from ..operators.broadcast import is_bounded
 from ..operators.zoning import station_map, zone_centroids, zone_trips
 from ..sources.proxy import proxy_stations, proxy_trips
 from ..sources.stations import read_stations_csv, station_rows
@@ -41,10 +42,23 @@ class TripData:
         """Trips with calendar columns (L1)."""
         return with_calendar(self.trips, extended=extended)
 
+    def dims_bounded(self) -> bool:
+        """Whether the station rows are proven small enough to broadcast.
+
+        The station map and the zone centroids are aggregates of the station
+        rows, so they never have more rows: one check covers both.
+        """
+        if "bounded" not in self._memo:
+            self._memo["bounded"] = is_bounded(self.stations)
+        return self._memo["bounded"]
+
+    def _dim(self, df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if self.dims_bounded() else df
+
     def station_lookup(self) -> DataFrame:
-        """Station number -> zone, broadcast-hinted when its size is proven small (checked once)."""
+        """Station number -> zone, broadcast-hinted when the station rows are proven small."""
         if "lookup" not in self._memo:
-            self._memo["lookup"] = bounded_broadcast(station_map(self.stations))
+            self._memo["lookup"] = self._dim(station_map(self.stations))
         return self._memo["lookup"]
 
     def zoned(self, how: str = "inner") -> DataFrame:
@@ -54,5 +68,5 @@ class TripData:
     def centroids(self) -> DataFrame:
         """One row per zone (mean coordinate, station rows), size-checked once."""
         if "centroids" not in self._memo:
-            self._memo["centroids"] = bounded_broadcast(zone_centroids(self.stations))
+            self._memo["centroids"] = self._dim(zone_centroids(self.stations))
         return self._memo["centroids"]

@@ -37,7 +37,8 @@ def proxy_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").alias("age_range"),
         F.col("l_quantity").cast("long").alias("travel_time"),
         F.col("l_suppkey").alias("unplug_station"),
-        (F.col("l_partkey") % (s + F.floor(s / 10))).alias("plug_station"),
+        # S + S div 10 == floor(11 * S / 10): one reference to the subquery, planned once.
+        (F.col("l_partkey") % F.floor(s * 11 / 10)).alias("plug_station"),
         F.col("l_linestatus").alias("unplug_base"),
         F.col("l_linestatus").alias("plug_base"),
         F.to_date(ts).alias("trip_date"),
