@@ -39,23 +39,28 @@ def trips_by_weekday_year(
     by_zone: bool = False,
     years: Sequence[int] | None = None,
     how: str = "inner",
+    seed: int = 0,
 ) -> DataFrame:
-    """Trips per weekday with one column per year.
+    """Trips per weekday with one column per year, ordered by weekday.
 
-    ``zone`` restricts to one origin zone; ``by_zone`` answers every zone in
-    the same job (zone becomes a key instead of one job per zone).
+    ``zone`` restricts to one origin zone (``zone="random"``: a seeded pick,
+    applied as a semi-join so nothing is collected); ``by_zone`` answers every
+    zone in the same job (zone becomes a key instead of one job per zone).
     """
     z = data.zoned()
-    if zone is not None:
+    if zone == "random":
+        chosen = pick_one(z, "origin_zone", seed)
+        z = z.join(F.broadcast(chosen), "origin_zone", "left_semi")  # one row
+    elif zone is not None:
         z = z.filter(F.col("origin_zone") == zone)
     z = z.withColumnRenamed("origin_zone", "zone")
     keys = ["zone", "dayofweek"] if by_zone else ["dayofweek"]
-    return pivot_years(z, keys, years, how)
+    return pivot_years(z, keys, years, how).orderBy(*keys)
 
 
 def trips_by_week_year(data: TripData, years: Sequence[int] | None = None, how: str = "inner") -> DataFrame:
-    """Trips per ISO week with one column per year."""
-    return pivot_years(data.zoned(), ["weekofyear"], years, how)
+    """Trips per ISO week with one column per year, ordered by week."""
+    return pivot_years(data.zoned(), ["weekofyear"], years, how).orderBy("weekofyear")
 
 
 def growth_by_year(data: TripData) -> DataFrame:

@@ -100,8 +100,10 @@ def zone_in_out_demand(data: TripData) -> DataFrame:
         .groupBy("zone")
         .agg(F.sum("is_in").cast("long").alias("arrivals"), F.sum("is_out").cast("long").alias("departures"))
     )
-    return counts.filter(F.col("arrivals") > 0).select(
-        "zone", "arrivals", F.when(F.col("departures") > 0, F.col("departures")).alias("departures")
+    return (
+        counts.filter(F.col("arrivals") > 0)
+        .select("zone", "arrivals", F.when(F.col("departures") > 0, F.col("departures")).alias("departures"))
+        .orderBy("arrivals", "zone")
     )
 
 

@@ -12,7 +12,7 @@ from .data import TripData
 
 def count_by(data: TripData, column: str) -> DataFrame:
     """Trips per value of one attribute (D1), e.g. ``user_type``, ``age_range``, ``plug_base``."""
-    return data.trips.groupBy(column).agg(F.count(F.lit(1)).alias("n_trips"))
+    return data.trips.groupBy(column).agg(F.count(F.lit(1)).alias("n_trips")).orderBy(column)
 
 
 def usage_by_age(data: TripData, known_only: bool = False) -> DataFrame:
@@ -32,7 +32,7 @@ def usage_by_age(data: TripData, known_only: bool = False) -> DataFrame:
     )
     return per_age.withColumn(
         "share_of_total", F.col("total_travel_time") / F.sum("total_travel_time").over(Window.partitionBy())
-    )
+    ).orderBy("age_range")
 
 
 def mean_travel_time_floor(data: TripData):

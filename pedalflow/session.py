@@ -41,16 +41,20 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "ped
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a scratch one only when unset.
+    """Return the shared checkpoint folder, creating a scratch one only when unset locally.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; that is
-    always used as is.  A private scratch folder is only made for local runs.
+    always used as is.  A private scratch folder is only made when the master
+    is ``local[...]`` (tests, single-machine runs); on a cluster a missing
+    setting is an error rather than a machine-local folder executors cannot share.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at a folder shared by all executors")
     path = tempfile.mkdtemp(prefix="pedalflow-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

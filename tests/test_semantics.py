@@ -144,3 +144,20 @@ def test_od_selected_uses_busiest_destinations(data):
     od = flows.od_selected_stations(data, n=1)
     # Busiest end station: 20 (t01 t03 u01 u03) and 2 (t02 t05 u05 u07) tie at 4 -> station 2 wins the tie.
     assert {r["plug_station"] for r in od.collect()} == {2}
+
+
+def test_random_zone_is_seeded_and_filters(data):
+    a = cal.trips_by_weekday_year(data, zone="random", years=[2017, 2018], how="outer", seed=3).collect()
+    b = cal.trips_by_weekday_year(data, zone="random", years=[2017, 2018], how="outer", seed=3).collect()
+    assert a == b and len(a) >= 1
+    assert [r["dayofweek"] for r in a] == sorted(r["dayofweek"] for r in a)
+
+
+def test_write_table_partitioned_by_year(spark, data, tmp_path):
+    from pedalflow.sources import write_table
+
+    out = str(tmp_path / "stats")
+    write_table(zone_stats.zone_stats(data, "all"), out, partition_by=["year"])
+    back = spark.read.parquet(out)
+    assert sorted({r["year"] for r in back.collect()}) == [2017, 2018]
+    assert back.count() == zone_stats.zone_stats(data, "all").count()
