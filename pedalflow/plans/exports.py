@@ -114,11 +114,16 @@ def stations_as_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(*[values[c].alias(c) for c in STATION_CSV_COLUMNS])
 
 
-def csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the station list as header CSV and load it into station rows."""
+def write_station_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Write the proxy station list as a header CSV under the checkpoint folder; return its path."""
     path = _scratch(spark, "stations-csv")
     stations_as_csv_rows(spark, sf_dir).write.mode("overwrite").option("header", True).csv(path)
-    return station_rows(read_stations_csv(spark, path))
+    return path
+
+
+def csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the station list as header CSV and load it into station rows."""
+    return station_rows(read_stations_csv(spark, write_station_csv(spark, sf_dir)))
 
 
 def xml_load(spark: SparkSession, sf_dir: str) -> DataFrame:

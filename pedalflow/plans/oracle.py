@@ -37,10 +37,11 @@ zoned AS (
 YEARS = list(range(1995, 2002))
 
 
-def _pivot(keys: str) -> str:
+def _pivot(keys: str, inner: bool = True) -> str:
     cols = ", ".join(f'nullif(count(*) FILTER (WHERE year = {y}), 0) AS "{y}"' for y in YEARS)
     having = " AND ".join(f"count(*) FILTER (WHERE year = {y}) > 0" for y in YEARS)
-    return f"SELECT {keys}, {cols} FROM zoned_k GROUP BY {keys} HAVING {having}"
+    sql = f"SELECT {keys}, {cols} FROM zoned_k GROUP BY {keys}"
+    return f"{sql} HAVING {having}" if inner else sql
 
 
 def _stats(bucket_expr: str | None, unit: str) -> str:
@@ -125,7 +126,8 @@ def oracle_sql() -> dict[str, str]:
     q["dated_trips"] = BASE + """
 SELECT trip_id, age_range, unplug_station, plug_station, strftime(trip_date, '%Y-%m-%d') AS trip_date, dayofweek,
        CAST(dayofyear(trip_date) AS INTEGER) AS dayofyear, CAST(dayofmonth(trip_date) AS INTEGER) AS dayofmonth,
-       month, weekofyear, year
+       month, weekofyear, year, dayname(trip_date) AS weekday_name, CAST(isodow(trip_date) AS INTEGER) AS iso_weekday,
+       CAST(isoyear(trip_date) AS INTEGER) AS week_year
 FROM dated"""
     q["zoned_trips_counts"] = BASE + "SELECT origin_zone, dest_zone, count(*) AS n_trips FROM zoned GROUP BY ALL"
     q["located_zones"] = BASE + """
@@ -143,12 +145,16 @@ FROM zoned"""
     q["trips_by_weekday_year_zone"] = (
         BASE + ", zoned_k AS (SELECT *, origin_zone AS zone FROM zoned)\n" + _pivot("zone, dayofweek")
     )
+    q["trips_by_weekday_year_outer"] = (
+        BASE + ", zoned_k AS (SELECT * FROM zoned)\n" + _pivot("dayofweek", inner=False)
+    )
     q["trips_by_week_year"] = BASE + ", zoned_k AS (SELECT * FROM zoned)\n" + _pivot("weekofyear")
     q["zone_stats"] = BASE + _stats(None, "dayofweek") + _stats_select(False)
     q["zone_stats_weekend"] = BASE + _stats(WEEKEND, "dayofweek") + _stats_select(True)
     q["zone_stats_weekend_as_coded"] = BASE + _stats(WEEKEND_AS_CODED, "dayofweek") + _stats_select(True)
     q["zone_stats_season"] = BASE + _stats(SEASON, "month") + _stats_select(True)
     q["zone_extremes"] = BASE + _stats(None, "dayofweek") + _extremes(False)
+    q["zone_extremes_weekend"] = BASE + _stats(WEEKEND, "dayofweek") + _extremes(True)
     q["zone_extremes_season"] = BASE + _stats(SEASON, "month") + _extremes(True)
     q["zone_balance"] = BASE + BALANCE + f"SELECT {BALANCE_COLS} FROM b LEFT JOIN centroids ce USING (zone)"
     q["zone_balance_full"] = BASE + BALANCE_FULL + f"SELECT {BALANCE_COLS} FROM b LEFT JOIN centroids ce USING (zone)"
@@ -176,6 +182,10 @@ SELECT n AS max_daily_trips, strftime(trip_date, '%Y-%m-%d') AS peak_date FROM c
 , c AS (SELECT m.zone, trip_date, count(*) AS n FROM trips t JOIN smap m ON t.unplug_station = m.station GROUP BY ALL)
 SELECT zone, n AS max_daily_trips, strftime(trip_date, '%Y-%m-%d') AS peak_date FROM c
 QUALIFY row_number() OVER (PARTITION BY zone ORDER BY n DESC, trip_date) = 1"""
+    q["station_balance"] = BASE + """
+, u AS (SELECT unplug_station AS station, count(*) AS n_unplugs FROM trips GROUP BY 1)
+, p AS (SELECT plug_station AS station, count(*) AS n_plugs FROM trips GROUP BY 1)
+SELECT station, n_unplugs, n_plugs, n_unplugs - n_plugs AS difference FROM u JOIN p USING (station)"""
     q["station_balance_top10"] = BASE + """
 , u AS (SELECT unplug_station AS station, count(*) AS n_unplugs FROM trips GROUP BY 1)
 , p AS (SELECT plug_station AS station, count(*) AS n_plugs FROM trips GROUP BY 1)
@@ -191,6 +201,8 @@ FROM trips {where} GROUP BY age_range"""
     q["count_by_user_type"] = BASE + "SELECT user_type, count(*) AS n_trips FROM trips GROUP BY 1"
     q["count_by_age"] = BASE + "SELECT age_range, count(*) AS n_trips FROM trips GROUP BY 1"
     q["count_by_base"] = BASE + "SELECT plug_base, count(*) AS n_trips FROM trips GROUP BY 1"
+    q["od_weekday_counts"] = BASE + """
+SELECT unplug_station, dayofweek, plug_station, count(*) AS n_trips FROM dated GROUP BY ALL"""
     q["od_weekday_top"] = BASE + """
 SELECT unplug_station, dayofweek, plug_station, count(*) AS n_trips FROM dated GROUP BY ALL
 ORDER BY n_trips DESC, unplug_station, dayofweek, plug_station LIMIT 10"""
@@ -217,6 +229,13 @@ SELECT CASE WHEN o.station IS NULL AND p.station IS NULL THEN 'no_origin_no_dest
             WHEN o.station IS NULL THEN 'no_origin' WHEN p.station IS NULL THEN 'no_destination'
             ELSE 'kept' END AS reason, count(*) AS n_trips
 FROM trips t LEFT JOIN smap o ON t.unplug_station = o.station LEFT JOIN smap p ON t.plug_station = p.station
+GROUP BY 1"""
+    q["lost_rows_exact_keys"] = BASE + """
+, exact AS (SELECT s_suppkey AS station FROM supplier WHERE s_suppkey % 7 <> 0)
+SELECT CASE WHEN o.station IS NULL AND p.station IS NULL THEN 'no_origin_no_destination'
+            WHEN o.station IS NULL THEN 'no_origin' WHEN p.station IS NULL THEN 'no_destination'
+            ELSE 'kept' END AS reason, count(*) AS n_trips
+FROM trips t LEFT JOIN exact o ON t.unplug_station = o.station LEFT JOIN exact p ON t.plug_station = p.station
 GROUP BY 1"""
     q["union_dedupe"] = BASE + """
 SELECT DISTINCT trip_id, user_type, age_range, travel_time, unplug_station, plug_station,

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.calendar import day_text, hour_of_text, time_text
+from ..functions.calendar import day_text, hour_of_text, iso_weekday, time_text, weekday_name, year_of_week
 from ..operators.zoning import lost_rows, station_pair_weighted_counts, zone_pair_counts
 from ..sources.proxy import event_hours, part_points
 from . import calendar_studies as cal
@@ -53,9 +53,24 @@ def _dated_trips(d: TripData) -> DataFrame:
     return d.dated(extended=True).select(
         "trip_id", "age_range", "unplug_station", "plug_station", "trip_date",
         "dayofweek", "dayofyear", "dayofmonth", "month", "weekofyear", "year",
+        weekday_name(F.col("dayofweek")).alias("weekday_name"),
+        iso_weekday(F.col("trip_date")).alias("iso_weekday"),
+        year_of_week(F.col("trip_date")).alias("week_year"),
     )
 
 
+def _lost_rows_exact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips lost when the station list (written with suffixed keys) is matched on the
+    whole key, as coded (S1 ``match='exact'``)."""
+    from ..sources.proxy import proxy_trips
+    from ..sources.stations import read_stations_csv, station_rows
+    from .exports import write_station_csv
+
+    path = write_station_csv(spark, sf_dir)
+    stations = station_rows(read_stations_csv(spark, path), match="exact")
+    return lost_rows(proxy_trips(spark, sf_dir), stations)
+
+
 def _hour_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = event_hours(spark, sf_dir)
     t = F.col("ts_text")
@@ -108,12 +123,14 @@ def queries() -> dict[str, Query]:
         "distinct_zone_count": _q(cal.distinct_zone_count),
         "trips_by_weekday_year_total": _q(lambda d: cal.trips_by_weekday_year(d)),
         "trips_by_weekday_year_zone": _q(lambda d: cal.trips_by_weekday_year(d, by_zone=True)),
+        "trips_by_weekday_year_outer": _q(lambda d: cal.trips_by_weekday_year(d, how="outer")),
         "trips_by_week_year": _q(cal.trips_by_week_year),
         "zone_stats": _q(lambda d: zone_stats.zone_stats(d, "all")),
         "zone_stats_weekend": _q(lambda d: zone_stats.zone_stats(d, "weekend")),
         "zone_stats_weekend_as_coded": _q(lambda d: zone_stats.zone_stats(d, "weekend", weekend_rule="as_coded")),
         "zone_stats_season": _q(lambda d: zone_stats.zone_stats(d, "season")),
         "zone_extremes": _q(lambda d: zone_stats.zone_extremes(d, "all")),
+        "zone_extremes_weekend": _q(lambda d: zone_stats.zone_extremes(d, "weekend")),
         "zone_extremes_season": _q(lambda d: zone_stats.zone_extremes(d, "season")),
         "zone_balance": _q(lambda d: flows.zone_balance(d)),
         "zone_balance_full": _q(lambda d: flows.zone_balance(d, how="full_outer")),
@@ -123,18 +140,21 @@ def queries() -> dict[str, Query]:
         "growth_by_year": _q(cal.growth_by_year),
         "daily_peak": _q(cal.daily_peak),
         "daily_peak_by_zone": _q(cal.daily_peak_by_zone),
+        "station_balance": _q(flows.station_balance),
         "station_balance_top10": _q(lambda d: flows.station_balance_top(d, 10)),
         "usage_by_age": _q(lambda d: riders.usage_by_age(d)),
         "known_age_usage": _q(lambda d: riders.usage_by_age(d, known_only=True)),
         "count_by_user_type": _q(lambda d: riders.count_by(d, "user_type")),
         "count_by_age": _q(lambda d: riders.count_by(d, "age_range")),
         "count_by_base": _q(lambda d: riders.count_by(d, "plug_base")),
+        "od_weekday_counts": _q(flows.od_weekday_counts),
         "od_weekday_top": _q(lambda d: flows.od_weekday_top(d, 10)),
         "od_selected_stations": _q(lambda d: flows.od_selected_stations(d, n=5)),
         "above_average_by_age": _q(riders.above_average_by_age),
         "above_average_share": _q(riders.above_average_share),
         "travel_time_by_age_summary": _q(riders.travel_time_by_age_summary),
         "lost_rows": _q(lambda d: lost_rows(d.trips, d.stations)),
+        "lost_rows_exact_keys": lambda spark, sf_dir: finish(_lost_rows_exact_keys(spark, sf_dir)),
         "union_dedupe": _q(_union_dedupe),
         "hour_text": lambda spark, sf_dir: finish(_hour_text(spark, sf_dir)),
         "year_text": _q(_year_text),
