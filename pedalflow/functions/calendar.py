@@ -41,6 +41,9 @@ def with_calendar(df: DataFrame, date_col: str = "trip_date", extended: bool = F
     the ISO week while ``year`` is the calendar year (S8), so 1 January 2017 is
     week 52 of year 2017.  ``extended`` also adds ``dayofyear`` and
     ``dayofmonth`` (H2, H3).
+
+    Columns already present are kept: trips stored partitioned by ``year`` and
+    ``month`` keep those partition columns, so filters on them prune folders.
     """
     d = F.col(date_col)
     cols = {
@@ -52,7 +55,7 @@ def with_calendar(df: DataFrame, date_col: str = "trip_date", extended: bool = F
     if extended:
         cols["dayofyear"] = F.dayofyear(d)
         cols["dayofmonth"] = F.dayofmonth(d)
-    return df.withColumns(cols)
+    return df.withColumns({k: v for k, v in cols.items() if k not in df.columns})
 
 
 def weekday_name(dayofweek: Column) -> Column:

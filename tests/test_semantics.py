@@ -161,3 +161,13 @@ def test_write_table_partitioned_by_year(spark, data, tmp_path):
     back = spark.read.parquet(out)
     assert sorted({r["year"] for r in back.collect()}) == [2017, 2018]
     assert back.count() == zone_stats.zone_stats(data, "all").count()
+
+
+def test_materialised_trips_give_same_answers_and_prune(spark, data, tmp_path):
+    m = data.materialise(str(tmp_path / "trips"))
+    assert sorted(m.trips.columns) == sorted(data.trips.columns + ["year", "month"])
+    assert rows(zone_stats.zone_stats(m, "season")) == rows(zone_stats.zone_stats(data, "season"))
+    one_year = m.zoned().filter(F.col("year") == 2018)
+    plan = one_year._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "(year#" in plan
+    assert one_year.count() == data.zoned().filter(F.col("year") == 2018).count()
