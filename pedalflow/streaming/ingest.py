@@ -27,8 +27,12 @@ from ..session import ensure_checkpoint_dir
 
 
 def trip_stream(spark: SparkSession, folder: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Streaming raw trips from NDJSON files; ``local_ts`` is the wall-clock start time
-    written in the text (its UTC offset dropped), so one-day windows are local days."""
+    """Streaming raw trips from NDJSON files.
+
+    ``local_ts`` is the wall-clock start time written in the text read as if it
+    were UTC (the real offset is dropped), so one-day event-time windows are
+    exactly local calendar days whatever the session time zone.
+    """
     parse_schema = T.StructType(list(TRIP_JSON_SCHEMA.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
     lines = (
         spark.readStream.format("text")
@@ -44,7 +48,7 @@ def trip_stream(spark: SparkSession, folder: str, max_files_per_trigger: int = 1
         F.col("idunplug_station").alias("unplug_station"),
         F.col("idplug_station").alias("plug_station"),
         date_of_text(text).alias("trip_date"),
-        F.to_timestamp(F.substring(text, 1, 19), "yyyy-MM-dd'T'HH:mm:ss").alias("local_ts"),
+        F.to_timestamp(F.concat(F.substring(text, 1, 19), F.lit("+0000")), "yyyy-MM-dd'T'HH:mm:ssZ").alias("local_ts"),
         F.col(CORRUPT_COLUMN),
     )
 
@@ -62,7 +66,12 @@ def daily_zone_counts_stream(trips: DataFrame, station_lookup: DataFrame, waterm
     return (
         zoned.groupBy(F.window("local_ts", "1 day"), "zone")
         .agg(F.count(F.lit(1)).alias("n_trips"))
-        .select(F.to_date(F.col("window.start")).alias("trip_date"), "zone", "n_trips")
+        .select(
+            # Day number of the window start, independent of the session time zone.
+            F.date_from_unix_date(F.floor(F.unix_seconds(F.col("window.start")) / 86400).cast("int")).alias("trip_date"),
+            "zone",
+            "n_trips",
+        )
     )
 
 

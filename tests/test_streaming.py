@@ -26,3 +26,22 @@ def test_stream_daily_counts_match_batch(spark, data):
     assert got == want
     # Feeds the daily peak study the same way the batch path does.
     assert max(n for _, _, n in got) == cal.daily_peak(data).first()["max_daily_trips"]
+
+
+def test_stream_days_do_not_depend_on_session_time_zone(spark, data):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        work = tempfile.mkdtemp(prefix="pf-stream-tz-")
+        src = os.path.join(work, "in")
+        os.makedirs(src)
+        for p in TRIP_FILES:
+            shutil.copy(p, src)
+        out = os.path.join(work, "out")
+        q = start_daily_counts(spark, src, data.station_lookup(), out,
+                               checkpoint=os.path.join(work, "ckpt"), available_now=True)
+        q.awaitTermination(120)
+        days = {r["trip_date"].isoformat() for r in latest_daily_counts(spark, out).collect()}
+        assert "2017-06-01" in days and "2017-01-01" in days  # 00:30+0200 and a January trip
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
