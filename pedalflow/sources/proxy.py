@@ -20,9 +20,24 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Declared schemas of the driver columns we read: no footer-based inference on
+# every load, and the scan never exposes columns no study uses.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "part": "p_partkey BIGINT, p_size INT, p_retailprice DOUBLE",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def proxy_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
