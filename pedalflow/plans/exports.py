@@ -105,7 +105,7 @@ def stations_as_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Barrio": F.col("n_name"),
         "Calle": F.col("s_name"),
         "Nº Finca": F.lit("1"),
-        "Tipo de Reserva": F.lit("BiciMAD"),
+        "Tipo de Reserva": F.lit("Publica"),
         "Número de Plazas": (F.col("s_nationkey") + 10).cast("string"),
         "Longitud": F.col("s_nationkey").cast("double").cast("string"),
         "Latitud": F.col("s_acctbal").cast("string"),
