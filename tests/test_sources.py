@@ -69,3 +69,24 @@ def test_station_xml_and_kml(spark):
     assert rows(xml) == [("Huertas", 40.414, -3.699), ("Opera", 40.418, -3.71), ("Puerta del Sol", 40.4168, -3.7035)]
     kml = read_station_points_kml(spark, f"{FIXTURES}/stations.kml")
     assert rows(kml) == [("Opera", 40.418, -3.71), ("Puerta del Sol", 40.4168, -3.7035)]
+
+
+def test_literal_station_rows(spark):
+    from pedalflow.sources import stations_from_rows
+
+    raw = stations_from_rows(spark, [{"Número": "001 b", "Barrio": "Palacio", "Latitud": "40.4"},
+                                     {"Número": "7", "Barrio": "Justicia", "Número de Plazas": "24"}])
+    got = rows(station_rows(raw), "station", "zone", "lat", "docks")
+    assert got == [(1, "Palacio", 40.4, None), (7, "Justicia", None, 24)]
+
+
+def test_batch_job_writes_every_study(spark, tmp_path):
+    from pedalflow.plans.job import STUDIES, run_studies
+
+    out = str(tmp_path / "out")
+    written = run_studies(spark, TRIP_FILES, STATION_CSV, out)
+    assert set(written) == set(STUDIES)
+    assert spark.read.json(f"{out}/quarantine").count() == 1
+    stats = spark.read.parquet(written["zone_stats"])
+    assert sorted({r["year"] for r in stats.collect()}) == [2017, 2018]
+    assert spark.read.parquet(f"{out}/trips").count() == 18
