@@ -37,8 +37,16 @@ def finish(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+_DATA: dict[tuple[int, str], TripData] = {}
+
+
 def _data(spark: SparkSession, sf_dir: str) -> TripData:
-    return TripData.from_proxy(spark, sf_dir)
+    """One lazy dataset handle per session and folder: the frames are plans (every
+    query still scans its tables), only the station size check is shared."""
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _DATA:
+        _DATA[key] = TripData.from_proxy(spark, sf_dir)
+    return _DATA[key]
 
 
 def _q(fn) -> Query:
