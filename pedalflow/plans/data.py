@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import with_calendar
-from ..operators.broadcast import is_bounded
+from ..operators.broadcast import MAX_BROADCAST_ROWS, is_bounded
 from ..operators.zoning import station_map, zone_centroids, zone_trips
 from ..sources.proxy import proxy_stations, proxy_trips
 from ..sources.stations import read_stations_csv, station_rows
@@ -20,6 +20,7 @@ from ..sources.trips import load_trips
 class TripData:
     trips: DataFrame  # canonical trip columns (schema.TRIP_COLUMNS)
     stations: DataFrame  # station rows (sources.stations)
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS  # beyond this the lookups are shuffle joins
     _memo: dict = field(default_factory=dict, repr=False, compare=False)
 
     @classmethod
@@ -70,7 +71,7 @@ class TripData:
         rows, so they never have more rows: one check covers both.
         """
         if "bounded" not in self._memo:
-            self._memo["bounded"] = is_bounded(self.stations)
+            self._memo["bounded"] = is_bounded(self.stations, self.max_broadcast_rows)
         return self._memo["bounded"]
 
     def _dim(self, df: DataFrame) -> DataFrame:
