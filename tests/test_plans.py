@@ -66,3 +66,15 @@ def test_unbounded_dimension_takes_shuffle_join_with_same_answers(spark, proxy):
         assert sorted(flows.zone_in_out_demand(big).collect()) == sorted(flows.zone_in_out_demand(proxy).collect())
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_hot_keys_are_combined_before_the_shuffle(spark, proxy):
+    # One station holding a third of all trips: every trip-level aggregate combines map-side.
+    t = proxy.trips
+    hot = t.withColumn("unplug_station", F.when(F.col("trip_id") % 3 == 0, F.lit(0)).otherwise(F.col("unplug_station")))
+    skewed = TripData(hot, proxy.stations)
+    for df in (zone_stats.zone_stats(skewed, "all"), flows.zone_balance(skewed), flows.station_balance(skewed)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "partial_count" in plan or "partial_sum" in plan
+    sb = {r["station"]: r["n_unplugs"] for r in flows.station_balance(skewed).collect()}
+    assert sb[0] >= hot.count() // 3
