@@ -15,23 +15,31 @@ from ..schema import WEEKDAY_NAMES
 
 
 def date_of_text(text: Column) -> Column:
-    """Local calendar date of an ISO text such as ``2017-06-01T00:30:00.000+0200``."""
-    return F.to_date(F.substring(text, 1, 10), "yyyy-MM-dd")
+    """Local calendar date of an ISO text such as ``2017-06-01T00:30:00.000+0200``.
+
+    NULL (not a job failure under ANSI mode) when the text holds no valid date.
+    """
+    return F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")
+
+
+def _part(text: Column, n: int) -> Column:
+    # n-th part (1-based) of the text split on ``T``; NULL when absent, even under ANSI mode.
+    return F.try_element_at(F.split(text, "T"), F.lit(n))
 
 
 def hour_of_text(text: Column) -> Column:
     """Local hour (0-23) of the same text; the part after ``T``."""
-    return F.substring(F.split(text, "T").getItem(1), 1, 2).try_cast("int")
+    return F.substring(_part(text, 2), 1, 2).try_cast("int")
 
 
 def day_text(text: Column) -> Column:
     """Text before ``T`` (H6)."""
-    return F.split(text, "T").getItem(0)
+    return _part(text, 1)
 
 
 def time_text(text: Column) -> Column:
     """Text after ``T`` (H6)."""
-    return F.split(text, "T").getItem(1)
+    return _part(text, 2)
 
 
 def with_calendar(df: DataFrame, date_col: str = "trip_date", extended: bool = False) -> DataFrame:
@@ -61,7 +69,7 @@ def with_calendar(df: DataFrame, date_col: str = "trip_date", extended: bool = F
 def weekday_name(dayofweek: Column) -> Column:
     """English weekday name for Spark's 1 = Sunday numbering."""
     names = F.array(*[F.lit(n) for n in WEEKDAY_NAMES])
-    return F.element_at(names, dayofweek)
+    return F.try_element_at(names, dayofweek)
 
 
 def iso_weekday(date: Column) -> Column:

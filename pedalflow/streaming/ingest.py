@@ -48,7 +48,9 @@ def trip_stream(spark: SparkSession, folder: str, max_files_per_trigger: int = 1
         F.col("idunplug_station").alias("unplug_station"),
         F.col("idplug_station").alias("plug_station"),
         date_of_text(text).alias("trip_date"),
-        F.to_timestamp(F.concat(F.substring(text, 1, 19), F.lit("+0000")), "yyyy-MM-dd'T'HH:mm:ssZ").alias("local_ts"),
+        F.try_to_timestamp(
+            F.concat(F.substring(text, 1, 19), F.lit("+0000")), F.lit("yyyy-MM-dd'T'HH:mm:ssZ")
+        ).alias("local_ts"),
         F.col(CORRUPT_COLUMN),
     )
 

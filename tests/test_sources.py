@@ -90,3 +90,13 @@ def test_batch_job_writes_every_study(spark, tmp_path):
     stats = spark.read.parquet(written["zone_stats"])
     assert sorted({r["year"] for r in stats.collect()}) == [2017, 2018]
     assert spark.read.parquet(f"{out}/trips").count() == 18
+
+
+def test_bad_date_text_gives_null_not_failure(spark, tmp_path):
+    p = tmp_path / "bad_dates.json"
+    p.write_text('{"_id": {"$oid": "x1"}, "idplug_station": 2, "idunplug_station": 20, '
+                 '"unplug_hourTime": {"$date": "not a date"}}\n'
+                 '{"_id": {"$oid": "x2"}, "idplug_station": 2, "idunplug_station": 20, '
+                 '"unplug_hourTime": {"$date": "2018-02-30T10:00:00.000+0100"}}\n')
+    got = rows(load_trips(spark, str(p)), "trip_id", "trip_date", "trip_hour")
+    assert got == [("x1", None, None), ("x2", None, 10)]
