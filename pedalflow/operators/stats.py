@@ -33,7 +33,7 @@ def summarise_counts(counts: DataFrame, group_cols: Sequence[str], zone_col: str
 def minmax_scale(x: Column, w) -> Column:
     """(x - min) / (max - min) over the window; 0 when all values are equal."""
     lo, hi = F.min(x).over(w), F.max(x).over(w)
-    return F.when(hi == lo, F.lit(0.0)).otherwise((x - lo) / (hi - lo))
+    return F.when(hi == lo, F.lit(0.0)).otherwise(F.try_divide(x - lo, hi - lo))
 
 
 def add_relative_spread(stats: DataFrame, group_cols: Sequence[str]) -> DataFrame:

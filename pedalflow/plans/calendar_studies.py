@@ -71,7 +71,7 @@ def growth_by_year(data: TripData) -> DataFrame:
     per_year = (
         data.trips.groupBy(F.year("trip_date").alias("year")).agg(F.count(F.lit(1)).alias("n_trips"))
     )
-    return per_year.withColumn("share", F.col("n_trips") / F.sum("n_trips").over(Window.partitionBy()))
+    return per_year.withColumn("share", F.try_divide(F.col("n_trips"), F.sum("n_trips").over(Window.partitionBy())))
 
 
 def _peak(counts: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -80,9 +80,9 @@ def zone_balance_share(data: TripData, how: str = "inner") -> DataFrame:
         "n_out",
         "n_in",
         "difference",
-        (100.0 * F.col("n_out") / F.sum("n_out").over(w)).alias("out_pct"),
-        (100.0 * F.col("n_in") / F.sum("n_in").over(w)).alias("in_pct"),
-        (100.0 * ends / F.sum(ends).over(w)).alias("usage_pct"),
+        F.try_divide(100.0 * F.col("n_out"), F.sum("n_out").over(w)).alias("out_pct"),
+        F.try_divide(100.0 * F.col("n_in"), F.sum("n_in").over(w)).alias("in_pct"),
+        F.try_divide(100.0 * ends, F.sum(ends).over(w)).alias("usage_pct"),
     )
 
 

@@ -31,7 +31,7 @@ def usage_by_age(data: TripData, known_only: bool = False) -> DataFrame:
         F.avg("travel_time").alias("mean_travel_time"),
     )
     return per_age.withColumn(
-        "share_of_total", F.col("total_travel_time") / F.sum("total_travel_time").over(Window.partitionBy())
+        "share_of_total", F.try_divide(F.col("total_travel_time"), F.sum("total_travel_time").over(Window.partitionBy()))
     ).orderBy("age_range")
 
 
@@ -41,7 +41,7 @@ def mean_travel_time_floor(data: TripData):
     Returned as a scalar-subquery column so it stays inside the plan.
     """
     return data.trips.select(
-        F.floor(F.sum("travel_time") / F.count("travel_time")).alias("mean_floor")
+        F.floor(F.try_divide(F.sum("travel_time"), F.count("travel_time"))).alias("mean_floor")
     ).scalar()
 
 
@@ -57,7 +57,7 @@ def above_average_share(data: TripData) -> DataFrame:
             F.count_if("above").alias("n_above"),
             F.count(F.lit(1)).alias("n_trips"),
         )
-        .withColumn("share_above", F.col("n_above") / F.col("n_trips"))
+        .withColumn("share_above", F.try_divide(F.col("n_above"), F.col("n_trips")))
     )
 
 
