@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.calendar import weekday_name
 from ..operators.ranking import pick_one
 from ..operators.wide import pivot_years
 from .data import TripData
@@ -55,7 +56,8 @@ def trips_by_weekday_year(
         z = z.filter(F.col("origin_zone") == zone)
     z = z.withColumnRenamed("origin_zone", "zone")
     keys = ["zone", "dayofweek"] if by_zone else ["dayofweek"]
-    return pivot_years(z, keys, years, how).orderBy(*keys)
+    wide = pivot_years(z, keys, years, how)
+    return wide.withColumn("weekday_name", weekday_name(F.col("dayofweek"))).orderBy(*keys)
 
 
 def trips_by_week_year(data: TripData, years: Sequence[int] | None = None, how: str = "inner") -> DataFrame:

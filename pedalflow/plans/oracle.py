@@ -37,10 +37,14 @@ zoned AS (
 YEARS = list(range(1995, 2002))
 
 
-def _pivot(keys: str, inner: bool = True) -> str:
+WEEKDAY_LIST = "['Sunday', 'Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday']"
+
+
+def _pivot(keys: str, inner: bool = True, names: bool = False) -> str:
     cols = ", ".join(f'nullif(count(*) FILTER (WHERE year = {y}), 0) AS "{y}"' for y in YEARS)
     having = " AND ".join(f"count(*) FILTER (WHERE year = {y}) > 0" for y in YEARS)
-    sql = f"SELECT {keys}, {cols} FROM zoned_k GROUP BY {keys}"
+    extra = f", {WEEKDAY_LIST}[dayofweek] AS weekday_name" if names else ""
+    sql = f"SELECT {keys}, {cols}{extra} FROM zoned_k GROUP BY {keys}"
     return f"{sql} HAVING {having}" if inner else sql
 
 
@@ -141,12 +145,12 @@ GROUP BY z.origin_zone, z.dest_zone, co.n_stations, cd.n_stations"""
 SELECT count(DISTINCT origin_zone) AS n_origin_zones, count(DISTINCT dest_zone) AS n_dest_zones,
        count(DISTINCT unplug_station) AS n_origin_stations, count(DISTINCT plug_station) AS n_dest_stations
 FROM zoned"""
-    q["trips_by_weekday_year_total"] = BASE + ", zoned_k AS (SELECT * FROM zoned)\n" + _pivot("dayofweek")
+    q["trips_by_weekday_year_total"] = BASE + ", zoned_k AS (SELECT * FROM zoned)\n" + _pivot("dayofweek", names=True)
     q["trips_by_weekday_year_zone"] = (
-        BASE + ", zoned_k AS (SELECT *, origin_zone AS zone FROM zoned)\n" + _pivot("zone, dayofweek")
+        BASE + ", zoned_k AS (SELECT *, origin_zone AS zone FROM zoned)\n" + _pivot("zone, dayofweek", names=True)
     )
     q["trips_by_weekday_year_outer"] = (
-        BASE + ", zoned_k AS (SELECT * FROM zoned)\n" + _pivot("dayofweek", inner=False)
+        BASE + ", zoned_k AS (SELECT * FROM zoned)\n" + _pivot("dayofweek", inner=False, names=True)
     )
     q["trips_by_week_year"] = BASE + ", zoned_k AS (SELECT * FROM zoned)\n" + _pivot("weekofyear")
     q["zone_stats"] = BASE + _stats(None, "dayofweek") + _stats_select(False)
