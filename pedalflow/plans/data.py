@@ -75,7 +75,10 @@ class TripData:
         return self._memo["bounded"]
 
     def _dim(self, df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if self.dims_bounded() else df
+        # A proven-small dimension is also kept in memory: every study joins it, and
+        # rebuilding it (an aggregate over the station rows) per study is pure overhead.
+        # Lost cache blocks are recomputed from the station rows.
+        return F.broadcast(df.cache()) if self.dims_bounded() else df
 
     def station_lookup(self) -> DataFrame:
         """Station number -> zone, broadcast-hinted when the station rows are proven small."""
