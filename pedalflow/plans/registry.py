@@ -37,16 +37,18 @@ def finish(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-_DATA: dict[tuple[int, str], TripData] = {}
+_DATA: dict[str, tuple[SparkSession, TripData]] = {}
 
 
 def _data(spark: SparkSession, sf_dir: str) -> TripData:
     """One lazy dataset handle per session and folder: the frames are plans (every
-    query still scans its tables), only the station size check is shared."""
-    key = (id(spark._jsparkSession), sf_dir)
-    if key not in _DATA:
-        _DATA[key] = TripData.from_proxy(spark, sf_dir)
-    return _DATA[key]
+    query still scans its tables); the station size check and the small cached
+    dimensions are shared.  A new session (e.g. after ``stop()``) gets a new handle."""
+    held = _DATA.get(sf_dir)
+    if held is None or held[0] is not spark:
+        held = (spark, TripData.from_proxy(spark, sf_dir))
+        _DATA[sf_dir] = held
+    return held[1]
 
 
 def _q(fn) -> Query:
