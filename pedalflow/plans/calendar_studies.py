@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.calendar import weekday_name
+from ..functions.calendar import weekday_name, year_of_week
 from ..operators.ranking import pick_one
 from ..operators.wide import pivot_years
 from .data import TripData
@@ -60,9 +60,21 @@ def trips_by_weekday_year(
     return wide.withColumn("weekday_name", weekday_name(F.col("dayofweek"))).orderBy(*keys)
 
 
-def trips_by_week_year(data: TripData, years: Sequence[int] | None = None, how: str = "inner") -> DataFrame:
-    """Trips per ISO week with one column per year, ordered by week."""
-    return pivot_years(data.zoned(), ["weekofyear"], years, how).orderBy("weekofyear")
+def trips_by_week_year(
+    data: TripData, years: Sequence[int] | None = None, how: str = "inner", year_basis: str = "calendar"
+) -> DataFrame:
+    """Trips per ISO week with one column per year, ordered by week.
+
+    ``year_basis='calendar'`` pairs the ISO week with the calendar year, as the
+    study did (1 January 2017 is week 52 of 2017, S8); ``'iso'`` uses the ISO
+    week-numbering year instead (the same day is week 52 of 2016).
+    """
+    z = data.zoned()
+    if year_basis == "iso":
+        z = z.withColumn("year", year_of_week(F.col("trip_date")))
+    elif year_basis != "calendar":
+        raise ValueError(f"unknown year basis {year_basis!r}")
+    return pivot_years(z, ["weekofyear"], years, how).orderBy("weekofyear")
 
 
 def growth_by_year(data: TripData) -> DataFrame:

@@ -171,3 +171,12 @@ def test_materialised_trips_give_same_answers_and_prune(spark, data, tmp_path):
     plan = one_year._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan and "(year#" in plan
     assert one_year.count() == data.zoned().filter(F.col("year") == 2018).count()
+
+
+def test_s8_week_table_on_iso_year_basis(data):
+    cal_basis = {r["weekofyear"]: r["2017"] for r in cal.trips_by_week_year(data, [2016, 2017], how="outer").collect()}
+    iso_basis = {r["weekofyear"]: (r["2016"], r["2017"])
+                 for r in cal.trips_by_week_year(data, [2016, 2017], how="outer", year_basis="iso").collect()}
+    # 1 January 2017 (t01) is ISO week 52: of calendar year 2017, of ISO year 2016
+    assert cal_basis[52] == 1
+    assert iso_basis[52] == (1, None)
