@@ -219,6 +219,10 @@ WHERE plug_station IN (SELECT plug_station FROM top) GROUP BY ALL"""
 , a AS (SELECT age_range, count(*) FILTER (WHERE travel_time - m.mean_floor > 0) AS n_above, count(*) AS n_trips
         FROM trips CROSS JOIN m GROUP BY age_range)
 """
+    q["travel_time_totals"] = BASE + """
+SELECT count(*) AS n_trips, count(travel_time) AS n_known, CAST(sum(travel_time) AS BIGINT) AS total_travel_time,
+       CAST(floor(sum(travel_time) / count(travel_time)) AS BIGINT) AS mean_floor
+FROM trips"""
     q["above_average_by_age"] = BASE + above + "SELECT age_range, n_above FROM a WHERE n_above > 0"
     q["above_average_share"] = BASE + above + """
 SELECT age_range, n_above, n_trips, round(n_above / n_trips, 6) AS share_above FROM a"""

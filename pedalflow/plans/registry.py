@@ -160,6 +160,7 @@ def queries() -> dict[str, Query]:
         "od_weekday_counts": _q(flows.od_weekday_counts),
         "od_weekday_top": _q(lambda d: flows.od_weekday_top(d, 10)),
         "od_selected_stations": _q(lambda d: flows.od_selected_stations(d, n=5)),
+        "travel_time_totals": _q(riders.travel_time_totals),
         "above_average_by_age": _q(riders.above_average_by_age),
         "above_average_share": _q(riders.above_average_share),
         "travel_time_by_age_summary": _q(riders.travel_time_by_age_summary),

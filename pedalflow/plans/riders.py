@@ -45,6 +45,16 @@ def mean_travel_time_floor(data: TripData):
     ).scalar()
 
 
+def travel_time_totals(data: TripData) -> DataFrame:
+    """One row: trips, trips with a known travel time, total and floored mean travel time."""
+    return data.trips.agg(
+        F.count(F.lit(1)).alias("n_trips"),
+        F.count("travel_time").alias("n_known"),
+        F.sum("travel_time").alias("total_travel_time"),
+        F.floor(F.try_divide(F.sum("travel_time"), F.count("travel_time"))).alias("mean_floor"),
+    )
+
+
 def above_average_share(data: TripData) -> DataFrame:
     """Per age range: trips longer than the global (floored) mean, all trips, and their share
     (D10, D11).  Trips without a travel time are never above the mean."""

@@ -1,6 +1,6 @@
 from .drift import schema_drift
 from .proxy import event_hours, part_points, proxy_stations, proxy_trips, table
-from .sinks import write_quarantine, write_table
+from .sinks import to_pandas_bounded, write_quarantine, write_table
 from .stations import (
     read_station_points_kml,
     read_station_points_xml,
@@ -35,6 +35,7 @@ __all__ = [
     "station_rows",
     "stations_from_rows",
     "table",
+    "to_pandas_bounded",
     "union_by_name",
     "union_dedupe",
     "write_quarantine",

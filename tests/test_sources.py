@@ -100,3 +100,15 @@ def test_bad_date_text_gives_null_not_failure(spark, tmp_path):
                  '"unplug_hourTime": {"$date": "2018-02-30T10:00:00.000+0100"}}\n')
     got = rows(load_trips(spark, str(p)), "trip_id", "trip_date", "trip_hour")
     assert got == [("x1", None, None), ("x2", None, 10)]
+
+
+def test_to_pandas_only_for_bounded_results(spark, data):
+    import pytest
+
+    from pedalflow.plans import flows
+    from pedalflow.sources import to_pandas_bounded
+
+    pdf = to_pandas_bounded(flows.zone_balance(data), max_rows=100)
+    assert len(pdf) == flows.zone_balance(data).count()
+    with pytest.raises(ValueError):
+        to_pandas_bounded(data.trips, max_rows=5)
