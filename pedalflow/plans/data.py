@@ -44,7 +44,7 @@ class TripData:
         """Trips written by ``materialise`` (partition columns ``year``, ``month`` included)."""
         return cls(spark.read.parquet(trips_path), stations)
 
-    def materialise(self, path: str) -> "TripData":
+    def materialise(self, path: str, shuffle_partitions: int | None = None) -> "TripData":
         """Write the canonical trips once as Parquet partitioned by year and month and
         continue from the written table.
 
@@ -53,12 +53,23 @@ class TripData:
         of every study, cuts the lineage (the files live in a shared folder,
         so a lost executor does not force a reload), and lets year filters
         prune folders.
+
+        ``shuffle_partitions`` sizes the de-duplication shuffle, the only one in the
+        package whose volume grows with the raw input (about input bytes / 256 MB);
+        the study aggregates are small and rely on AQE coalescing instead.
         """
+        spark = self.trips.sparkSession
         t = self.trips.withColumns({"year": F.year("trip_date"), "month": F.month("trip_date")})
-        # No repartition by (year, month): a hot month would land in one task.  Each task
-        # sorts its own rows by partition value and writes one file per month it holds.
-        t.write.mode("overwrite").partitionBy("year", "month").parquet(path)
-        return TripData.from_parquet(self.trips.sparkSession, path, self.stations)
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        if shuffle_partitions:
+            spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        try:
+            # No repartition by (year, month): a hot month would land in one task.  Each
+            # task sorts its own rows by partition value and writes one file per month it holds.
+            t.write.mode("overwrite").partitionBy("year", "month").parquet(path)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        return TripData.from_parquet(spark, path, self.stations)
 
     def dated(self, extended: bool = False) -> DataFrame:
         """Trips with calendar columns (L1)."""
