@@ -2,8 +2,9 @@
 
     python -m pedalflow.plans.job --stations stations.csv --out results/ trips/2017-*.json trips/2018-*.json
 
-The trips are parsed, de-duplicated and written once as year/month-partitioned
-Parquet under ``<out>/trips``; every study then reads that table (one scan
+The exports are parsed once (kept on executor disk while the quarantine and
+the trip table are written, so the costly JSON parse is not repeated), then
+de-duplicated and written as year/month-partitioned Parquet under ``<out>/trips``; every study then reads that table (one scan
 each, partition-pruned when ``--years`` is given) and writes its chart-ready
 table under ``<out>/<study>``, partitioned by year where it has one.  The
 malformed input lines go to ``<out>/quarantine``.
@@ -15,11 +16,12 @@ import argparse
 import os
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.sinks import write_quarantine, write_table
 from ..sources.stations import read_stations_csv, station_rows
-from ..sources.trips import load_trips, quarantine, read_trips_json
+from ..sources.trips import quarantine, read_trips_json, trips_from_raw
 from . import calendar_studies as cal
 from . import flows, riders, zone_stats
 from .data import TripData
@@ -56,11 +58,16 @@ def run_studies(
     years: Sequence[int] | None = None,
     match: str = "normalised",
     fmt: str = "parquet",
+    dedupe_partitions: int | None = None,
 ) -> dict[str, str]:
     """Run the studies; returns ``{study: output path}``."""
-    write_quarantine(quarantine(read_trips_json(spark, trip_paths)), os.path.join(out, "quarantine"))
-    loaded = TripData(load_trips(spark, trip_paths), station_rows(read_stations_csv(spark, station_csv), match=match))
-    data = loaded.materialise(os.path.join(out, "trips"))
+    raw = read_trips_json(spark, trip_paths).persist(StorageLevel.DISK_ONLY)
+    try:
+        write_quarantine(quarantine(raw), os.path.join(out, "quarantine"))
+        loaded = TripData(trips_from_raw(raw), station_rows(read_stations_csv(spark, station_csv), match=match))
+        data = loaded.materialise(os.path.join(out, "trips"), shuffle_partitions=dedupe_partitions)
+    finally:
+        raw.unpersist()
     written = {}
     for name in studies or STUDIES:
         df = STUDIES[name](data, years)
@@ -79,9 +86,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--years", type=int, nargs="*")
     p.add_argument("--match", choices=["normalised", "exact"], default="normalised")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv", "json"])
+    p.add_argument("--dedupe-partitions", type=int, help="shuffle partitions of the one-off de-duplication")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("pedalflow-studies").getOrCreate()
-    for name, path in run_studies(spark, a.trips, a.stations, a.out, a.study, a.years, a.match, a.format).items():
+    for name, path in run_studies(
+        spark, a.trips, a.stations, a.out, a.study, a.years, a.match, a.format, a.dedupe_partitions
+    ).items():
         print(f"{name}\t{path}")
 
 

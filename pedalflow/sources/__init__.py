@@ -14,6 +14,7 @@ from .trips import (
     normalise_trips,
     quarantine,
     read_trips_json,
+    trips_from_raw,
     union_by_name,
     union_dedupe,
 )
@@ -35,6 +36,7 @@ __all__ = [
     "station_rows",
     "stations_from_rows",
     "table",
+    "trips_from_raw",
     "to_pandas_bounded",
     "union_by_name",
     "union_dedupe",

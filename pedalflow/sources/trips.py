@@ -92,10 +92,17 @@ def load_trips(
     an aggregate with a map-side partial step, so a large group of copies
     collapses before the shuffle.
     """
-    raw = good_rows(read_trips_json(spark, paths, with_source=False))
+    return trips_from_raw(read_trips_json(spark, paths, with_source=False), dedupe)
+
+
+def trips_from_raw(raw: DataFrame, dedupe: bool = True) -> DataFrame:
+    """Canonical trips from already parsed raw rows (good rows only, set union when ``dedupe``)."""
+    good = good_rows(raw)
+    if "source_file" in good.columns:
+        good = good.drop("source_file")
     if dedupe:
-        raw = raw.dropDuplicates()
-    return normalise_trips(raw)
+        good = good.dropDuplicates()
+    return normalise_trips(good)
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
