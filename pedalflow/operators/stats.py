@@ -15,8 +15,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def trip_count(df: DataFrame) -> Column:
+    """Trips in a group: ``count(*)``, or the sum of the per-trip weight ``w`` when the
+    frame carries one (``TripData(weighting="station_pairs")``, S2)."""
+    return F.sum("w").cast("long") if "w" in df.columns else F.count(F.lit(1))
+
+
 def unit_counts(df: DataFrame, group_cols: Sequence[str], zone_col: str, unit_col: str) -> DataFrame:
-    return df.groupBy(*group_cols, zone_col, unit_col).agg(F.count(F.lit(1)).alias("n_trips"))
+    return df.groupBy(*group_cols, zone_col, unit_col).agg(trip_count(df).alias("n_trips"))
 
 
 def summarise_counts(counts: DataFrame, group_cols: Sequence[str], zone_col: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .stats import trip_count
 
 
 def distinct_years(df: DataFrame, year_col: str = "year") -> list[int]:
@@ -32,7 +33,7 @@ def year_counts(df: DataFrame, keys: Sequence[str], year_col: str = "year") -> D
     return (
         df.where(F.col(year_col).isNotNull())
         .groupBy(*keys, year_col)
-        .agg(F.count(F.lit(1)).alias("n_trips"))
+        .agg(trip_count(df).alias("n_trips"))
     )
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .broadcast import bounded_broadcast
+from .stats import trip_count
 
 
 def station_map(stations: DataFrame) -> DataFrame:
@@ -76,7 +77,7 @@ def lost_rows(trips: DataFrame, stations: DataFrame) -> DataFrame:
 
 def zone_pair_counts(zoned: DataFrame) -> DataFrame:
     """Trips per (origin zone, destination zone)."""
-    return zoned.groupBy("origin_zone", "dest_zone").agg(F.count(F.lit(1)).alias("n_trips"))
+    return zoned.groupBy("origin_zone", "dest_zone").agg(trip_count(zoned).alias("n_trips"))
 
 
 def station_pair_weighted_counts(zoned: DataFrame, stations: DataFrame) -> DataFrame:

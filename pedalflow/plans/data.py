@@ -21,6 +21,10 @@ class TripData:
     trips: DataFrame  # canonical trip columns (schema.TRIP_COLUMNS)
     stations: DataFrame  # station rows (sources.stations)
     max_broadcast_rows: int = MAX_BROADCAST_ROWS  # beyond this the lookups are shuffle joins
+    # "trips": every trip counts once.  "station_pairs": every trip counts
+    # n(origin zone rows) x n(destination zone rows), the number the studied code got by
+    # joining coordinates per station row (S2), computed without the fan-out.
+    weighting: str = "trips"
     _memo: dict = field(default_factory=dict, repr=False, compare=False)
 
     @classmethod
@@ -98,8 +102,23 @@ class TripData:
         return self._memo["lookup"]
 
     def zoned(self, how: str = "inner") -> DataFrame:
-        """Dated trips with ``origin_zone`` / ``dest_zone`` (L2/L3 without the coordinate fan-out)."""
-        return zone_trips(self.dated(), self.station_lookup(), how=how, prepared=True)
+        """Dated trips with ``origin_zone`` / ``dest_zone`` (L2/L3 without the coordinate fan-out).
+
+        With ``weighting='station_pairs'`` (inner only) a weight column ``w`` is added,
+        which the study aggregates sum instead of counting rows.
+        """
+        z = zone_trips(self.dated(), self.station_lookup(), how=how, prepared=True)
+        if self.weighting == "trips" or how != "inner":
+            return z
+        if self.weighting != "station_pairs":
+            raise ValueError(f"unknown weighting {self.weighting!r}")
+        n = self.centroids().select("zone", "n_stations")
+        return (
+            z.join(n.select(F.col("zone").alias("origin_zone"), F.col("n_stations").alias("n_o")), "origin_zone")
+            .join(n.select(F.col("zone").alias("dest_zone"), F.col("n_stations").alias("n_d")), "dest_zone")
+            .withColumn("w", F.col("n_o") * F.col("n_d"))
+            .drop("n_o", "n_d")
+        )
 
     def centroids(self) -> DataFrame:
         """One row per zone (mean coordinate, station rows), size-checked once."""

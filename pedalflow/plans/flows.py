@@ -19,10 +19,11 @@ from .data import TripData
 
 
 def _both_directions(df: DataFrame, out_col: str, in_col: str, keys: Sequence[str]) -> DataFrame:
-    """Rows ``(*keys, place, is_out, is_in)``: one per trip end."""
+    """Rows ``(*keys, place, is_out, is_in)``: one per trip end (weighted by ``w`` if present)."""
+    one = F.col("w") if "w" in df.columns else F.lit(1)
     ends = F.array(
-        F.struct(F.col(out_col).alias("place"), F.lit(1).alias("is_out"), F.lit(0).alias("is_in")),
-        F.struct(F.col(in_col).alias("place"), F.lit(0).alias("is_out"), F.lit(1).alias("is_in")),
+        F.struct(F.col(out_col).alias("place"), one.alias("is_out"), F.lit(0).alias("is_in")),
+        F.struct(F.col(in_col).alias("place"), F.lit(0).alias("is_out"), one.alias("is_in")),
     )
     return df.select(*keys, F.inline(ends))
 

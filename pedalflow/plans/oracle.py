@@ -48,12 +48,12 @@ def _pivot(keys: str, inner: bool = True, names: bool = False) -> str:
     return f"{sql} HAVING {having}" if inner else sql
 
 
-def _stats(bucket_expr: str | None, unit: str) -> str:
+def _stats(bucket_expr: str | None, unit: str, src: str = "zoned") -> str:
     """Two-level stats; ``bucket_expr`` None for the plain study."""
     b = f"{bucket_expr} AS bucket, " if bucket_expr else ""
     g = "year, bucket" if bucket_expr else "year"
     return f"""
-, c AS (SELECT year, {b}origin_zone AS zone, {unit}, count(*) AS n_trips FROM zoned GROUP BY ALL)
+, c AS (SELECT year, {b}origin_zone AS zone, {unit}, count(*) AS n_trips FROM {src} GROUP BY ALL)
 , s AS (SELECT {g}, zone, avg(n_trips) AS mean_trips, stddev_samp(n_trips) AS std_trips,
                min(n_trips) AS min_trips, max(n_trips) AS max_trips, count(*) AS n_units
         FROM c GROUP BY ALL)
@@ -94,6 +94,12 @@ SEASON = ("CASE WHEN month BETWEEN 3 AND 6 THEN 'spring' WHEN month BETWEEN 7 AN
 WEEKEND = "CASE WHEN dayofweek IN (6, 7, 1) THEN 'weekend' ELSE 'weekday' END"
 WEEKEND_AS_CODED = "CASE WHEN dayofweek >= 4 THEN 'weekend' ELSE 'weekday' END"
 
+# The coordinate join per station row, as the studied code ran it (S2): every trip
+# repeated n(origin zone rows) x n(destination zone rows) times.
+FAN = """
+, fan AS (SELECT z.* FROM zoned z JOIN stations so ON so.zone = z.origin_zone JOIN stations sd ON sd.zone = z.dest_zone)
+"""
+
 BALANCE = """
 , o AS (SELECT year, origin_zone AS zone, count(*) AS n_out FROM zoned GROUP BY ALL)
 , i AS (SELECT year, dest_zone AS zone, count(*) AS n_in FROM zoned GROUP BY ALL)
@@ -161,6 +167,15 @@ FROM zoned"""
     q["zone_extremes_weekend"] = BASE + _stats(WEEKEND, "dayofweek") + _extremes(True)
     q["zone_extremes_season"] = BASE + _stats(SEASON, "month") + _extremes(True)
     q["zone_balance"] = BASE + BALANCE + f"SELECT {BALANCE_COLS} FROM b LEFT JOIN centroids ce USING (zone)"
+    q["trips_by_weekday_year_as_coded"] = (
+        BASE + FAN + ", zoned_k AS (SELECT * FROM fan)\n" + _pivot("dayofweek", names=True)
+    )
+    q["trips_by_week_year_as_coded"] = BASE + FAN + ", zoned_k AS (SELECT * FROM fan)\n" + _pivot("weekofyear")
+    q["zone_stats_as_coded"] = BASE + FAN + _stats(None, "dayofweek", src="fan") + _stats_select(False)
+    q["zone_balance_as_coded"] = (
+        BASE + FAN + BALANCE.replace("FROM zoned", "FROM fan")
+        + f"SELECT {BALANCE_COLS} FROM b LEFT JOIN centroids ce USING (zone)"
+    )
     q["zone_balance_full"] = BASE + BALANCE_FULL + f"SELECT {BALANCE_COLS} FROM b LEFT JOIN centroids ce USING (zone)"
     q["zone_balance_scaled"] = BASE + BALANCE + f"""
 SELECT {BALANCE_COLS}, {_minmax('more_out')} AS more_out_scaled, {_minmax('more_in')} AS more_in_scaled

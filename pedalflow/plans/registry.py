@@ -37,23 +37,25 @@ def finish(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-_DATA: dict[str, tuple[SparkSession, TripData]] = {}
+_DATA: dict[tuple[str, str], tuple[SparkSession, TripData]] = {}
 
 
-def _data(spark: SparkSession, sf_dir: str) -> TripData:
+def _data(spark: SparkSession, sf_dir: str, weighting: str = "trips") -> TripData:
     """One lazy dataset handle per session and folder: the frames are plans (every
     query still scans its tables); the station size check and the small cached
     dimensions are shared.  A new session (e.g. after ``stop()``) gets a new handle."""
-    held = _DATA.get(sf_dir)
+    held = _DATA.get((sf_dir, weighting))
     if held is None or held[0] is not spark:
-        held = (spark, TripData.from_proxy(spark, sf_dir))
-        _DATA[sf_dir] = held
+        data = TripData.from_proxy(spark, sf_dir)
+        data.weighting = weighting
+        held = (spark, data)
+        _DATA[(sf_dir, weighting)] = held
     return held[1]
 
 
-def _q(fn) -> Query:
+def _q(fn, weighting: str = "trips") -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return finish(fn(_data(spark, sf_dir)))
+        return finish(fn(_data(spark, sf_dir, weighting)))
 
     run.__name__ = getattr(fn, "__name__", "query")
     return run
@@ -143,6 +145,11 @@ def queries() -> dict[str, Query]:
         "zone_extremes_weekend": _q(lambda d: zone_stats.zone_extremes(d, "weekend")),
         "zone_extremes_season": _q(lambda d: zone_stats.zone_extremes(d, "season")),
         "zone_balance": _q(lambda d: flows.zone_balance(d)),
+        # As coded (S2): counts over the per-station-row coordinate join, computed by weights.
+        "trips_by_weekday_year_as_coded": _q(lambda d: cal.trips_by_weekday_year(d), "station_pairs"),
+        "trips_by_week_year_as_coded": _q(cal.trips_by_week_year, "station_pairs"),
+        "zone_stats_as_coded": _q(lambda d: zone_stats.zone_stats(d, "all"), "station_pairs"),
+        "zone_balance_as_coded": _q(lambda d: flows.zone_balance(d), "station_pairs"),
         "zone_balance_full": _q(lambda d: flows.zone_balance(d, how="full_outer")),
         "zone_balance_scaled": _q(lambda d: flows.zone_balance_scaled(d)),
         "zone_balance_share": _q(lambda d: flows.zone_balance_share(d)),

@@ -180,3 +180,24 @@ def test_s8_week_table_on_iso_year_basis(data):
     # 1 January 2017 (t01) is ISO week 52: of calendar year 2017, of ISO year 2016
     assert cal_basis[52] == 1
     assert iso_basis[52] == (1, None)
+
+
+def test_s2_station_pairs_weighting_equals_fan_out_studies(spark, data):
+    from pedalflow.plans.data import TripData
+    from pedalflow.plans.registry import finish
+
+    as_coded = TripData(data.trips, data.stations, weighting="station_pairs")
+    # the studied code's frame: zoned trips joined to the station rows of both zones
+    st = data.stations
+    fan = data.zoned().join(st.select(F.col("zone").alias("origin_zone")), "origin_zone").join(
+        st.select(F.col("zone").alias("dest_zone")), "dest_zone")
+    fan_counts = {(r["year"], r["origin_zone"], r["dayofweek"]): r["count"]
+                  for r in fan.groupBy("year", "origin_zone", "dayofweek").count().collect()}
+    got = {(r["year"], r["zone"]): r for r in finish(zone_stats.zone_stats(as_coded, "all")).collect()}
+    for (y, z, _), n in fan_counts.items():
+        assert got[(y, z)]["max_trips"] >= n
+    assert {k: r["max_trips"] for k, r in got.items()} == {
+        (y, z): max(n for (yy, zz, _), n in fan_counts.items() if (yy, zz) == (y, z)) for (y, z, _) in fan_counts}
+    bal = {(r["year"], r["zone"]): r["n_out"] for r in flows.zone_balance(as_coded, "full_outer").collect()}
+    fan_out = {(r["year"], r["origin_zone"]): r["count"] for r in fan.groupBy("year", "origin_zone").count().collect()}
+    assert bal == {k: fan_out.get(k, 0) for k in bal} and set(fan_out) <= set(bal)
