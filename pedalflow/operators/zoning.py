@@ -62,9 +62,9 @@ def locate(df: DataFrame, centroids: DataFrame, zone_col: str = "zone", prefix:
     return df.join(geo, zone_col, "left")
 
 
-def lost_rows(trips: DataFrame, stations: DataFrame) -> DataFrame:
+def lost_rows(trips: DataFrame, stations: DataFrame, prepared: bool = False) -> DataFrame:
     """Trips kept / lost by the zone join, by reason (C11, L19): ``(reason, n_trips)``."""
-    z = zone_trips(trips, stations, how="left")
+    z = zone_trips(trips, stations, how="left", prepared=prepared)
     o, d = F.col("origin_zone").isNull(), F.col("dest_zone").isNull()
     reason = (
         F.when(o & d, "no_origin_no_destination")
@@ -80,14 +80,18 @@ def zone_pair_counts(zoned: DataFrame) -> DataFrame:
     return zoned.groupBy("origin_zone", "dest_zone").agg(trip_count(zoned).alias("n_trips"))
 
 
-def station_pair_weighted_counts(zoned: DataFrame, stations: DataFrame) -> DataFrame:
+def station_pair_weighted_counts(
+    zoned: DataFrame, stations: DataFrame, centroids: DataFrame | None = None
+) -> DataFrame:
     """Zone-pair counts plus the number the as-coded per-station-row join would give.
 
     Joining coordinates per station row repeats each trip ``n(origin) * n(dest)``
     times; that number is computed here algebraically from the aggregated
     counts, never by materialising the fan-out.
     """
-    n = bounded_broadcast(zone_centroids(stations).select("zone", "n_stations"))
+    if centroids is None:
+        centroids = bounded_broadcast(zone_centroids(stations))
+    n = centroids.select("zone", "n_stations")
     counts = zone_pair_counts(zoned)
     return (
         counts.join(n.select(F.col("zone").alias("origin_zone"), F.col("n_stations").alias("n_o")), "origin_zone")

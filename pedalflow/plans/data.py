@@ -28,8 +28,8 @@ class TripData:
     _memo: dict = field(default_factory=dict, repr=False, compare=False)
 
     @classmethod
-    def from_proxy(cls, spark: SparkSession, sf_dir: str) -> "TripData":
-        return cls(proxy_trips(spark, sf_dir), proxy_stations(spark, sf_dir))
+    def from_proxy(cls, spark: SparkSession, sf_dir: str, **options) -> "TripData":
+        return cls(proxy_trips(spark, sf_dir), proxy_stations(spark, sf_dir), **options)
 
     @classmethod
     def from_files(
@@ -39,9 +39,10 @@ class TripData:
         station_csv: str,
         match: str = "normalised",
         dedupe: bool = True,
+        **options,
     ) -> "TripData":
         trips = load_trips(spark, trip_paths, dedupe=dedupe)
-        return cls(trips, station_rows(read_stations_csv(spark, station_csv), match=match))
+        return cls(trips, station_rows(read_stations_csv(spark, station_csv), match=match), **options)
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, trips_path: str, stations: DataFrame) -> "TripData":

@@ -46,9 +46,7 @@ def _data(spark: SparkSession, sf_dir: str, weighting: str = "trips") -> TripDat
     dimensions are shared.  A new session (e.g. after ``stop()``) gets a new handle."""
     held = _DATA.get((sf_dir, weighting))
     if held is None or held[0] is not spark:
-        data = TripData.from_proxy(spark, sf_dir)
-        data.weighting = weighting
-        held = (spark, data)
+        held = (spark, TripData.from_proxy(spark, sf_dir, weighting=weighting))
         _DATA[(sf_dir, weighting)] = held
     return held[1]
 
@@ -130,7 +128,9 @@ def queries() -> dict[str, Query]:
         "dated_trips": _q(_dated_trips),
         "zoned_trips_counts": _q(lambda d: zone_pair_counts(d.zoned())),
         "located_zones": _q(lambda d: d.centroids()),
-        "station_pair_weighted_counts": _q(lambda d: station_pair_weighted_counts(d.zoned(), d.stations)),
+        "station_pair_weighted_counts": _q(
+            lambda d: station_pair_weighted_counts(d.zoned(), d.stations, centroids=d.centroids())
+        ),
         "years": _q(cal.years),
         "distinct_zone_count": _q(cal.distinct_zone_count),
         "trips_by_weekday_year_total": _q(lambda d: cal.trips_by_weekday_year(d)),
@@ -171,7 +171,7 @@ def queries() -> dict[str, Query]:
         "above_average_by_age": _q(riders.above_average_by_age),
         "above_average_share": _q(riders.above_average_share),
         "travel_time_by_age_summary": _q(riders.travel_time_by_age_summary),
-        "lost_rows": _q(lambda d: lost_rows(d.trips, d.stations)),
+        "lost_rows": _q(lambda d: lost_rows(d.trips, d.station_lookup(), prepared=True)),
         "lost_rows_exact_keys": lambda spark, sf_dir: finish(_lost_rows_exact_keys(spark, sf_dir)),
         "union_dedupe": _q(_union_dedupe),
         "hour_text": lambda spark, sf_dir: finish(_hour_text(spark, sf_dir)),
