@@ -12,6 +12,7 @@ from .trips import (
     good_rows,
     load_trips,
     normalise_trips,
+    parse_trip_lines,
     quarantine,
     read_trips_json,
     trips_from_raw,
@@ -24,6 +25,7 @@ __all__ = [
     "good_rows",
     "load_trips",
     "normalise_trips",
+    "parse_trip_lines",
     "part_points",
     "proxy_stations",
     "proxy_trips",

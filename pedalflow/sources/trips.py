@@ -37,16 +37,19 @@ def read_trips_json(
     """
     if isinstance(paths, str):
         paths = [paths]
+    lines = spark.read.text(list(paths))
+    if with_source:
+        lines = lines.withColumn("source_file", F.input_file_name())
+    return parse_trip_lines(lines, schema)
+
+
+def parse_trip_lines(lines: DataFrame, schema: T.StructType = TRIP_JSON_SCHEMA) -> DataFrame:
+    """Parse a frame of text lines (``value`` column, batch or streaming) into raw trip
+    columns plus ``_corrupt_record``; blank lines are skipped, other columns kept."""
     parse_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-    lines = spark.read.text(list(paths)).filter(F.trim("value") != "")
-    parsed = F.from_json(
-        "value", parse_schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
-    )
-    if not with_source:
-        return lines.select(parsed.alias("r")).select("r.*")
-    return lines.select(parsed.alias("r"), F.input_file_name().alias("source_file")).select(
-        "r.*", "source_file"
-    )
+    parsed = F.from_json("value", parse_schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
+    others = [c for c in lines.columns if c != "value"]
+    return lines.filter(F.trim("value") != "").select(parsed.alias("r"), *others).select("r.*", *others)
 
 
 def good_rows(raw: DataFrame) -> DataFrame:

@@ -18,12 +18,12 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.calendar import date_of_text
-from ..schema import CORRUPT_COLUMN, TRIP_JSON_SCHEMA
+from ..schema import CORRUPT_COLUMN
 from ..session import ensure_checkpoint_dir
+from ..sources.trips import parse_trip_lines
 
 
 def trip_stream(spark: SparkSession, folder: str, max_files_per_trigger: int = 1) -> DataFrame:
@@ -33,15 +33,8 @@ def trip_stream(spark: SparkSession, folder: str, max_files_per_trigger: int = 1
     were UTC (the real offset is dropped), so one-day event-time windows are
     exactly local calendar days whatever the session time zone.
     """
-    parse_schema = T.StructType(list(TRIP_JSON_SCHEMA.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-    lines = (
-        spark.readStream.format("text")
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .load(folder)
-        .filter(F.trim("value") != "")
-    )
-    parsed = F.from_json("value", parse_schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
-    rec = lines.select(parsed.alias("r")).select("r.*")
+    lines = spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger).load(folder)
+    rec = parse_trip_lines(lines)
     text = F.col("unplug_hourTime").getField("$date")
     return rec.select(
         F.col("_id").getField("$oid").alias("trip_id"),
