@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import weekday_name, year_of_week
 from ..operators.ranking import pick_one
+from ..operators.stats import trip_count
 from ..operators.wide import pivot_years
 from .data import TripData
 
@@ -107,12 +108,12 @@ def daily_peak(data: TripData) -> DataFrame:
     """Largest number of trips on one day over trips with a known origin zone, and the
     earliest day reaching it (L14, D12)."""
     z = data.zoned(how="left").filter(F.col("origin_zone").isNotNull())
-    counts = z.groupBy("trip_date").agg(F.count(F.lit(1)).alias("n_trips"))
+    counts = z.groupBy("trip_date").agg(trip_count(z).alias("n_trips"))
     return _peak(counts, [])
 
 
 def daily_peak_by_zone(data: TripData) -> DataFrame:
     """Per origin zone: the busiest day's trips and the earliest such day."""
     z = data.zoned(how="left").filter(F.col("origin_zone").isNotNull())
-    counts = z.groupBy(F.col("origin_zone").alias("zone"), "trip_date").agg(F.count(F.lit(1)).alias("n_trips"))
+    counts = z.groupBy(F.col("origin_zone").alias("zone"), "trip_date").agg(trip_count(z).alias("n_trips"))
     return _peak(counts, ["zone"])

@@ -105,19 +105,35 @@ class TripData:
     def zoned(self, how: str = "inner") -> DataFrame:
         """Dated trips with ``origin_zone`` / ``dest_zone`` (L2/L3 without the coordinate fan-out).
 
-        With ``weighting='station_pairs'`` (inner only) a weight column ``w`` is added,
-        which the study aggregates sum instead of counting rows.
+        Count-based studies sum the weight column ``w`` when it is present
+        (``operators.stats.trip_count``); it appears in two cases:
+
+        * ``weighting='station_pairs'`` (inner only): ``w`` = n(origin zone rows) x
+          n(destination zone rows), the as-coded count of each trip (S2);
+        * station rows beyond the broadcast bound: the lookups become shuffle
+          joins, so trips are first collapsed to one row per (start station, end
+          station, day) with ``w`` = trips, combined map-side.  The joins then move
+          those rows instead of every trip, and a hot station is one row per day
+          before it reaches a join.  Such a frame only carries the station,
+          calendar and zone columns, which is all the zone studies read.
         """
-        z = zone_trips(self.dated(), self.station_lookup(), how=how, prepared=True)
+        dated = self.dated()
+        if not self.dims_bounded():
+            keys = ["unplug_station", "plug_station", "trip_date", "dayofweek", "month", "weekofyear", "year"]
+            dated = dated.groupBy(*keys).agg(F.count(F.lit(1)).alias("w"))
+        z = zone_trips(dated, self.station_lookup(), how=how, prepared=True)
         if self.weighting == "trips" or how != "inner":
             return z
         if self.weighting != "station_pairs":
             raise ValueError(f"unknown weighting {self.weighting!r}")
         n = self.centroids().select("zone", "n_stations")
+        weight = F.col("n_o") * F.col("n_d")
+        if "w" in z.columns:
+            weight = weight * F.col("w")
         return (
             z.join(n.select(F.col("zone").alias("origin_zone"), F.col("n_stations").alias("n_o")), "origin_zone")
             .join(n.select(F.col("zone").alias("dest_zone"), F.col("n_stations").alias("n_d")), "dest_zone")
-            .withColumn("w", F.col("n_o") * F.col("n_d"))
+            .withColumn("w", weight)
             .drop("n_o", "n_d")
         )
 

@@ -94,12 +94,16 @@ def zone_in_out_demand(data: TripData) -> DataFrame:
     counts for the other).  Zones are those with arrivals; departures are NULL
     for a zone nobody leaves from, as the arrivals-left-join-departures did.
     """
-    smap = data.station_lookup()
+    # Ends are counted per station first (map-side combined, one row per station), so
+    # the zone lookup joins station totals, not trips, whatever the dimension size.
     ends = _both_directions(data.trips, "unplug_station", "plug_station", [])
+    per_station = ends.groupBy(F.col("place").alias("station")).agg(
+        F.sum("is_in").alias("arrivals"), F.sum("is_out").alias("departures")
+    )
     counts = (
-        ends.join(smap, ends.place == smap.station, "inner")
+        per_station.join(data.station_lookup(), "station")
         .groupBy("zone")
-        .agg(F.sum("is_in").cast("long").alias("arrivals"), F.sum("is_out").cast("long").alias("departures"))
+        .agg(F.sum("arrivals").cast("long").alias("arrivals"), F.sum("departures").cast("long").alias("departures"))
     )
     return (
         counts.filter(F.col("arrivals") > 0)

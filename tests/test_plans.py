@@ -64,6 +64,16 @@ def test_unbounded_dimension_takes_shuffle_join_with_same_answers(spark, proxy):
             assert sorted(finish(zone_stats.zone_stats(big, study)).collect()) == sorted(
                 finish(zone_stats.zone_stats(proxy, study)).collect())
         assert sorted(flows.zone_in_out_demand(big).collect()) == sorted(flows.zone_in_out_demand(proxy).collect())
+        from pedalflow.plans import calendar_studies as cal
+
+        for fn in (flows.zone_balance, cal.trips_by_week_year, cal.daily_peak_by_zone, cal.distinct_zone_count,
+                   lambda d: flows.zone_balance(d, "full_outer")):
+            assert sorted(fn(big).collect()) == sorted(fn(proxy).collect())
+        # trips collapse to (start, end, day) rows before the shuffle joins
+        assert "w" in big.zoned().columns and "trip_id" not in big.zoned().columns
+        coded_big = TripData(proxy.trips, proxy.stations, max_broadcast_rows=3, weighting="station_pairs")
+        coded = TripData(proxy.trips, proxy.stations, weighting="station_pairs")
+        assert sorted(flows.zone_balance(coded_big).collect()) == sorted(flows.zone_balance(coded).collect())
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
