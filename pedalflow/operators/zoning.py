@@ -62,8 +62,16 @@ def locate(df: DataFrame, centroids: DataFrame, zone_col: str = "zone", prefix:
     return df.join(geo, zone_col, "left")
 
 
-def lost_rows(trips: DataFrame, stations: DataFrame, prepared: bool = False) -> DataFrame:
-    """Trips kept / lost by the zone join, by reason (C11, L19): ``(reason, n_trips)``."""
+def lost_rows(
+    trips: DataFrame, stations: DataFrame, prepared: bool = False, preaggregate: bool = False
+) -> DataFrame:
+    """Trips kept / lost by the zone join, by reason (C11, L19): ``(reason, n_trips)``.
+
+    ``preaggregate`` counts trips per (start, end) station pair before the lookups,
+    for station maps too large to broadcast (the joins then move pairs, not trips).
+    """
+    if preaggregate:
+        trips = trips.groupBy("unplug_station", "plug_station").agg(F.count(F.lit(1)).alias("w"))
     z = zone_trips(trips, stations, how="left", prepared=prepared)
     o, d = F.col("origin_zone").isNull(), F.col("dest_zone").isNull()
     reason = (
@@ -72,7 +80,7 @@ def lost_rows(trips: DataFrame, stations: DataFrame, prepared: bool = False) ->
         .when(d, "no_destination")
         .otherwise("kept")
     )
-    return z.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n_trips"))
+    return z.groupBy(reason.alias("reason")).agg(trip_count(z).alias("n_trips"))
 
 
 def zone_pair_counts(zoned: DataFrame) -> DataFrame:

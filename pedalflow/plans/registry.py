@@ -171,7 +171,9 @@ def queries() -> dict[str, Query]:
         "above_average_by_age": _q(riders.above_average_by_age),
         "above_average_share": _q(riders.above_average_share),
         "travel_time_by_age_summary": _q(riders.travel_time_by_age_summary),
-        "lost_rows": _q(lambda d: lost_rows(d.trips, d.station_lookup(), prepared=True)),
+        "lost_rows": _q(
+            lambda d: lost_rows(d.trips, d.station_lookup(), prepared=True, preaggregate=not d.dims_bounded())
+        ),
         "lost_rows_exact_keys": lambda spark, sf_dir: finish(_lost_rows_exact_keys(spark, sf_dir)),
         "union_dedupe": _q(_union_dedupe),
         "hour_text": lambda spark, sf_dir: finish(_hour_text(spark, sf_dir)),

@@ -33,3 +33,9 @@ def test_lost_plus_kept_is_input(data):
 def test_station_balance_sums(data):
     sb = flows.station_balance(data)
     assert _sum(sb, "n_unplugs") - _sum(sb, "n_plugs") == _sum(sb, "difference")
+
+
+def test_lost_rows_preaggregated_same(data):
+    from conftest import rows
+
+    assert rows(lost_rows(data.trips, data.stations, preaggregate=True)) == rows(lost_rows(data.trips, data.stations))
