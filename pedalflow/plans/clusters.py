@@ -8,6 +8,7 @@ model fits are distributed; only the k scores come back to the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
@@ -47,19 +48,31 @@ def station_clusters(
 
 
 def silhouette_by_k(
-    points: DataFrame, ks: Sequence[int] = range(2, 10), seed: int = 1, features: Sequence[str] = ("x", "y")
+    points: DataFrame,
+    ks: Sequence[int] = range(2, 10),
+    seed: int = 1,
+    features: Sequence[str] = ("x", "y"),
+    parallelism: int = 8,
 ) -> DataFrame:
-    """``(k, silhouette)`` for each k (K2)."""
+    """``(k, silhouette)`` for each k (K2).
+
+    The fits are independent, so up to ``parallelism`` of them are submitted at
+    once from driver threads (as ``CrossValidator(parallelism=...)`` does); each
+    fit is itself a distributed job over the cached, standardised points.
+    """
     scaled = _standardised(points, features).persist(StorageLevel.MEMORY_AND_DISK)
     evaluator = ClusteringEvaluator(
         predictionCol="prediction", featuresCol="standardized", metricName="silhouette",
         distanceMeasure="squaredEuclidean",
     )
-    scores = []
+
+    def score(k: int) -> tuple[int, float]:
+        model = KMeans(featuresCol="standardized", k=int(k), seed=seed).fit(scaled)
+        return int(k), float(evaluator.evaluate(model.transform(scaled)))
+
     try:
-        for k in ks:
-            model = KMeans(featuresCol="standardized", k=int(k), seed=seed).fit(scaled)
-            scores.append((int(k), float(evaluator.evaluate(model.transform(scaled)))))
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(ks)))) as pool:
+            scores = list(pool.map(score, ks))
     finally:
         scaled.unpersist()
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("silhouette", T.DoubleType())])
