@@ -98,3 +98,30 @@ def latest_daily_counts(spark: SparkSession, out: str) -> DataFrame:
     return batches.groupBy("trip_date", "zone").agg(
         F.max_by("n_trips", "batch_id").alias("n_trips")
     )
+
+
+def main(argv=None) -> None:
+    """``python -m pedalflow.streaming.ingest --folder in/ --stations stations.csv --out counts/``"""
+    import argparse
+
+    from ..operators.broadcast import bounded_broadcast
+    from ..operators.zoning import station_map
+    from ..sources.stations import read_stations_csv, station_rows
+
+    p = argparse.ArgumentParser(description="Keep trips per local day and origin zone up to date from NDJSON drops")
+    p.add_argument("--folder", required=True, help="folder that receives NDJSON trip exports")
+    p.add_argument("--stations", required=True, help="station list CSV")
+    p.add_argument("--out", required=True, help="output folder (one sub-folder per micro-batch)")
+    p.add_argument("--checkpoint", help="stream checkpoint folder (default: under spark.checkpoint.dir)")
+    p.add_argument("--watermark", default="62 days")
+    p.add_argument("--once", action="store_true", help="process what is there and stop")
+    a = p.parse_args(argv)
+    spark = SparkSession.builder.appName("pedalflow-stream").getOrCreate()
+    stations = station_rows(read_stations_csv(spark, a.stations))
+    lookup = bounded_broadcast(station_map(stations))
+    q = start_daily_counts(spark, a.folder, lookup, a.out, a.checkpoint, available_now=a.once, watermark=a.watermark)
+    q.awaitTermination()
+
+
+if __name__ == "__main__":
+    main()
