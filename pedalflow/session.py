@@ -47,17 +47,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     always used as is.  A private scratch folder is only made when the master
     is ``local[...]`` (tests, single-machine runs); on a cluster a missing
     setting is an error rather than a machine-local folder executors cannot share.
+    Under Spark Connect (no SparkContext on the client) the server's setting is used.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: checkpointing is configured on the server
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a folder shared by all executors")
     path = tempfile.mkdtemp(prefix="pedalflow-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 
