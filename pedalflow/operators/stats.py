@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 
 def trip_count(df: DataFrame) -> Column:
-    """Trips in a group: ``count(*)``, or the sum of the per-trip weight ``w`` when the
-    frame carries one (``TripData(weighting="station_pairs")``, S2)."""
+    """Trips in a group: ``count(*)``, or the sum of the weight ``w`` when the frame
+    carries one (as-coded station-pair weights, S2, or trips pre-collapsed per
+    station pair and day before shuffle joins; see ``TripData.zoned``)."""
     return F.sum("w").cast("long") if "w" in df.columns else F.count(F.lit(1))
 
 
