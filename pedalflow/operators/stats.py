@@ -64,7 +64,8 @@ def extremes(
     metrics: Sequence[str] = ("std_scaled", "spread"),
 ) -> DataFrame:
     """Zone(s) with the largest value of each metric per group (E3); ties are all kept,
-    NULL values never win.  Rows ``(*group_cols, metric, zone, value)``."""
+    NULL values never win.  Rows ``(*group_cols, metric, zone, value, is_label)``;
+    ``is_label`` marks the one tied zone a chart labels (first by zone name)."""
     long = stats.select(
         *group_cols,
         zone_col,
@@ -73,9 +74,11 @@ def extremes(
         ).alias("m"),
     ).select(*group_cols, zone_col, "m.metric", "m.value")
     w = Window.partitionBy(*group_cols, "metric").orderBy(F.desc_nulls_last("value"))
+    label = Window.partitionBy(*group_cols, "metric").orderBy(zone_col)
     return (
         long.filter(F.col("value").isNotNull())
         .withColumn("rk", F.rank().over(w))
         .filter(F.col("rk") == 1)
+        .withColumn("is_label", F.row_number().over(label) == 1)
         .drop("rk")
     )

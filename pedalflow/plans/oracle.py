@@ -83,7 +83,8 @@ def _extremes(bucket: bool) -> str:
     return f"""
 , m AS (SELECT {g}, zone, 'std_scaled' AS metric, std_scaled AS value FROM r
         UNION ALL SELECT {g}, zone, 'spread' AS metric, spread AS value FROM r)
-SELECT year, {b}zone, metric, round(value, 6) AS value FROM (
+SELECT year, {b}zone, metric, round(value, 6) AS value,
+       row_number() OVER (PARTITION BY {g}, metric ORDER BY zone) = 1 AS is_label FROM (
   SELECT *, rank() OVER (PARTITION BY {g}, metric ORDER BY value DESC) AS rk FROM m WHERE value IS NOT NULL)
 WHERE rk = 1
 """
