@@ -112,3 +112,15 @@ def test_to_pandas_only_for_bounded_results(spark, data):
     assert len(pdf) == flows.zone_balance(data).count()
     with pytest.raises(ValueError):
         to_pandas_bounded(data.trips, max_rows=5)
+
+
+def test_batch_job_cli(spark, tmp_path, capsys):
+    from pedalflow.plans.job import main
+
+    out = str(tmp_path / "cli")
+    main(["--stations", STATION_CSV, "--out", out, "--study", "zone_balance", "--study", "daily_peak_by_zone",
+          "--years", "2018", "--format", "csv", *TRIP_FILES])
+    printed = capsys.readouterr().out.split()
+    assert "zone_balance" in printed and "daily_peak_by_zone" in printed
+    bal = spark.read.option("header", True).csv(f"{out}/zone_balance")
+    assert {r["year"] for r in bal.collect()} == {2018}
