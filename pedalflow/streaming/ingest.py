@@ -79,7 +79,16 @@ def start_daily_counts(
     available_now: bool = False,
     watermark: str = "62 days",
 ) -> StreamingQuery:
-    """Run the ingest; every micro-batch writes its updated counts idempotently."""
+    """Run the ingest; every micro-batch writes its updated counts idempotently.
+
+    The de-duplication state holds every trip id inside the watermark (billions
+    at full scale), so unless the session already chose a state store, the
+    RocksDB provider is used: state lives on executor disk, not in the JVM heap,
+    and is checkpointed incrementally to the shared folder.
+    """
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    if not spark.conf.get(provider, None):
+        spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     if checkpoint is None:
         checkpoint = os.path.join(ensure_checkpoint_dir(spark), "streams", "daily_zone_counts")
     counts = daily_zone_counts_stream(trip_stream(spark, folder), station_lookup, watermark)
