@@ -69,6 +69,29 @@ def json_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quarantine_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two export folders -- the trips as written, and the same lines cut in half
+    (every line malformed) -- read in one pass; good and quarantined lines per
+    folder (A7).  ``(part, n_good, n_quarantined)``."""
+    from ..sources.trips import quarantine
+
+    root = _scratch(spark, "trips-quarantine")
+    clean, damaged = os.path.join(root, "clean"), os.path.join(root, "damaged")
+    rec = trips_as_json_records(spark, sf_dir).drop("_year")
+    rec.write.mode("overwrite").json(clean)
+    lines = spark.read.text(clean)
+    lines.select(F.expr("substring(value, 1, length(value) div 2)").alias("value")).write.mode("overwrite").text(damaged)
+    raw = read_trips_json(spark, [clean, damaged])
+    part = F.regexp_extract("source_file", r"/(clean|damaged)/[^/]*$", 1)
+    good = good_rows(raw).groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n_good"))
+    bad = quarantine(raw).groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n_quarantined"))
+    return good.join(bad, "part", "full_outer").select(
+        "part",
+        F.coalesce("n_good", F.lit(0)).alias("n_good"),
+        F.coalesce("n_quarantined", F.lit(0)).alias("n_quarantined"),
+    )
+
+
 def schema_drift_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two export folders whose columns drift -- trips before 1998 without ``track``, later
     ones with it -- and the per-folder column report (A6, L22)."""

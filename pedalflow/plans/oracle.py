@@ -275,6 +275,10 @@ SELECT strftime(trip_date, '%Y') AS year_text, count(*) AS n_trips FROM trips GR
 SELECT CAST(trip_id AS VARCHAR) || '-' || CAST(age_range AS VARCHAR) AS trip_id, CAST(ascii(user_type) AS INTEGER) AS user_type,
        age_range, travel_time, unplug_station, plug_station, strftime(trip_date, '%Y-%m-%d') AS trip_date, trip_hour
 FROM trips"""
+    q["quarantine_load"] = """
+SELECT 'clean' AS part, count(*) AS n_good, CAST(0 AS BIGINT) AS n_quarantined FROM lineitem
+UNION ALL
+SELECT 'damaged' AS part, CAST(0 AS BIGINT) AS n_good, count(*) AS n_quarantined FROM lineitem"""
     early = " UNION ALL ".join(f"SELECT '{c}' AS col" for c in DRIFT_COLUMNS)
     q["schema_drift"] = BASE + f"""
 , cols AS ({early})

@@ -19,7 +19,7 @@ from ..sources.proxy import event_hours, part_points
 from . import calendar_studies as cal
 from . import clusters, flows, riders, zone_stats
 from .data import TripData
-from .exports import csv_load, json_load, kml_load, schema_drift_export, xml_load
+from .exports import csv_load, json_load, kml_load, quarantine_load, schema_drift_export, xml_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -179,6 +179,7 @@ def queries() -> dict[str, Query]:
         "hour_text": lambda spark, sf_dir: finish(_hour_text(spark, sf_dir)),
         "year_text": _q(_year_text),
         "json_load": lambda spark, sf_dir: finish(json_load(spark, sf_dir)),
+        "quarantine_load": lambda spark, sf_dir: finish(quarantine_load(spark, sf_dir)),
         "csv_load": lambda spark, sf_dir: finish(csv_load(spark, sf_dir)),
         "xml_load": lambda spark, sf_dir: finish(xml_load(spark, sf_dir)),
         "kml_load": lambda spark, sf_dir: finish(kml_load(spark, sf_dir)),
