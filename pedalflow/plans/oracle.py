@@ -173,6 +173,10 @@ FROM zoned"""
     )
     q["trips_by_week_year_as_coded"] = BASE + FAN + ", zoned_k AS (SELECT * FROM fan)\n" + _pivot("weekofyear")
     q["zone_stats_as_coded"] = BASE + FAN + _stats(None, "dayofweek", src="fan") + _stats_select(False)
+    q["zone_stats_season_as_coded"] = BASE + FAN + _stats(SEASON, "month", src="fan") + _stats_select(True)
+    q["zone_stats_weekend_all_as_coded"] = (
+        BASE + FAN + _stats(WEEKEND_AS_CODED, "dayofweek", src="fan") + _stats_select(True)
+    )
     q["zone_balance_as_coded"] = (
         BASE + FAN + BALANCE.replace("FROM zoned", "FROM fan")
         + f"SELECT {BALANCE_COLS} FROM b LEFT JOIN centroids ce USING (zone)"

@@ -150,6 +150,10 @@ def queries() -> dict[str, Query]:
         "trips_by_week_year_as_coded": _q(cal.trips_by_week_year, "station_pairs"),
         "zone_stats_as_coded": _q(lambda d: zone_stats.zone_stats(d, "all"), "station_pairs"),
         "zone_balance_as_coded": _q(lambda d: flows.zone_balance(d), "station_pairs"),
+        "zone_stats_season_as_coded": _q(lambda d: zone_stats.zone_stats(d, "season"), "station_pairs"),
+        "zone_stats_weekend_all_as_coded": _q(
+            lambda d: zone_stats.zone_stats(d, "weekend", weekend_rule="as_coded"), "station_pairs"
+        ),
         "zone_balance_full": _q(lambda d: flows.zone_balance(d, how="full_outer")),
         "zone_balance_scaled": _q(lambda d: flows.zone_balance_scaled(d)),
         "zone_balance_share": _q(lambda d: flows.zone_balance_share(d)),
