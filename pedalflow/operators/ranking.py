@@ -18,11 +18,7 @@ def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
 
 
 def pick_one(df: DataFrame, col: str, seed: int = 0) -> DataFrame:
-    """One value of ``col`` chosen by a seeded hash: same answer on every run and layout."""
-    return (
-        df.select(col)
-        .where(F.col(col).isNotNull())
-        .distinct()
-        .orderBy(F.xxhash64(F.col(col), F.lit(seed)), col)
-        .limit(1)
-    )
+    """One value of ``col`` chosen by a seeded hash -- the smallest MD5 of value and
+    seed -- so the answer is the same on every run and partition layout (F4)."""
+    key = F.md5(F.concat(F.col(col).cast("string"), F.lit(str(seed))))
+    return df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(key, col).limit(1)

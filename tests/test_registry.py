@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 
-ROWS_ONLY = {"station_clusters", "silhouette_by_k", "cluster_od_counts", "random_zone"}
+ROWS_ONLY = {"station_clusters", "silhouette_by_k", "cluster_od_counts"}
 SF_DIR = "/root/testdata/sf0.001"
 
 
