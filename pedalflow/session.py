@@ -7,7 +7,6 @@ runs), and never overrides what the cluster names.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -64,16 +63,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return path
-
-
-def checkpoint_table(df, name: str):
-    """Cut lineage by writing ``df`` as parquet under the shared checkpoint folder.
-
-    Used instead of ``localCheckpoint`` so a lost executor does not lose the
-    materialised data: the files live in the shared folder.
-    """
-    spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
-    path = os.path.join(root, "tables", name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
