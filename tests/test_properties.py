@@ -67,3 +67,31 @@ def test_full_balance_matches_brute_force(spark, trips):
     got = {(r["year"], r["zone"]): (r["n_out"], r["n_in"])
            for r in flows.zone_balance(_data(spark, trips), "full_outer").collect()}
     assert got == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(trip, min_size=1, max_size=40))
+def test_weekday_year_table_matches_brute_force(spark, trips):
+    from pedalflow.plans import calendar_studies as cal
+
+    counts = Counter((_dow(d), d.year) for d, _, _ in _kept(trips))
+    years = [2016, 2017, 2018]
+    want = {dw: tuple(counts.get((dw, y)) for y in years) for dw in {k[0] for k in counts}}
+    got = {r["dayofweek"]: tuple(r[str(y)] for y in years)
+           for r in cal.trips_by_weekday_year(_data(spark, trips), years=years, how="outer").collect()}
+    assert got == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(trip, min_size=1, max_size=40))
+def test_daily_peak_by_zone_matches_brute_force(spark, trips):
+    from pedalflow.plans import calendar_studies as cal
+
+    per = Counter((STATIONS[o], d) for d, o, _ in trips if o in STATIONS)  # origin known is enough
+    want = {}
+    for (z, d), n in per.items():
+        best = want.get(z)
+        if best is None or n > best[0] or (n == best[0] and d < best[1]):
+            want[z] = (n, d)
+    got = {r["zone"]: (r["max_daily_trips"], r["peak_date"]) for r in cal.daily_peak_by_zone(_data(spark, trips)).collect()}
+    assert got == want
