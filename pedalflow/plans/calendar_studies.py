@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import weekday_name, year_of_week
 from ..operators.ranking import pick_one
 from ..operators.stats import trip_count
+from ..operators.zoning import zone_trips
 from ..operators.wide import pivot_years
 from .data import TripData
 
@@ -26,7 +27,8 @@ def random_zone(data: TripData, seed: int = 0) -> DataFrame:
 
 def distinct_zone_count(data: TripData) -> DataFrame:
     """Distinct origin zones, destination zones and stations used by zoned trips."""
-    z = data.zoned()
+    # station ids are trip-level: always from the trips, never from a zone cube
+    z = zone_trips(data.dated(), data.station_lookup(), prepared=True)
     return z.agg(
         F.count_distinct("origin_zone").alias("n_origin_zones"),
         F.count_distinct("dest_zone").alias("n_dest_zones"),

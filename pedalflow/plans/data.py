@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +25,9 @@ class TripData:
     # n(origin zone rows) x n(destination zone rows), the number the studied code got by
     # joining coordinates per station row (S2), computed without the fan-out.
     weighting: str = "trips"
+    # Optional daily zone-pair cube (see ``with_zone_cube``): when set, ``zoned()``
+    # serves the zone studies from it instead of scanning the trips.
+    cube: DataFrame | None = field(default=None, repr=False, compare=False)
     _memo: dict = field(default_factory=dict, repr=False, compare=False)
 
     @classmethod
@@ -105,8 +108,9 @@ class TripData:
     def zoned(self, how: str = "inner") -> DataFrame:
         """Dated trips with ``origin_zone`` / ``dest_zone`` (L2/L3 without the coordinate fan-out).
 
-        Count-based studies sum the weight column ``w`` when it is present
-        (``operators.stats.trip_count``); it appears in two cases:
+        With a zone cube (``with_zone_cube``) the rows come from the cube.  Otherwise
+        they are trips.  Count-based studies sum the weight column ``w`` when it is
+        present (``operators.stats.trip_count``); besides the cube it appears in two cases:
 
         * ``weighting='station_pairs'`` (inner only): ``w`` = n(origin zone rows) x
           n(destination zone rows), the as-coded count of each trip (S2);
@@ -117,11 +121,18 @@ class TripData:
           before it reaches a join.  Such a frame only carries the station,
           calendar and zone columns, which is all the zone studies read.
         """
+        if self.cube is not None:
+            z = self.cube if how == "left" else self.cube.filter(
+                F.col("origin_zone").isNotNull() & F.col("dest_zone").isNotNull()
+            )
+            return self._weigh(z, how)
         dated = self.dated()
         if not self.dims_bounded():
             keys = ["unplug_station", "plug_station", "trip_date", "dayofweek", "month", "weekofyear", "year"]
             dated = dated.groupBy(*keys).agg(F.count(F.lit(1)).alias("w"))
-        z = zone_trips(dated, self.station_lookup(), how=how, prepared=True)
+        return self._weigh(zone_trips(dated, self.station_lookup(), how=how, prepared=True), how)
+
+    def _weigh(self, z: DataFrame, how: str) -> DataFrame:
         if self.weighting == "trips" or how != "inner":
             return z
         if self.weighting != "station_pairs":
@@ -137,6 +148,32 @@ class TripData:
             .drop("n_o", "n_d")
         )
 
+    def with_zone_cube(self) -> "TripData":
+        """Aggregate the zoned trips once into a daily zone-pair cube and serve every
+        zone study from it.
+
+        The cube has one row per (day, origin zone, destination zone) with the
+        number of trips ``w`` (zones may be NULL: trips with an unknown end are kept,
+        as the daily peaks need them).  It is built by one scan, a broadcast (or,
+        beyond the bound, pre-collapsed) zone lookup and a map-side combined
+        aggregate, and checkpointed to the shared folder, so the weekday, week,
+        statistics, balance and peak studies each read days x zones^2 rows instead
+        of scanning the trips again.
+        """
+        from ..session import ensure_checkpoint_dir
+
+        dated = self.dated()
+        if not self.dims_bounded():
+            keys = ["unplug_station", "plug_station", "trip_date", "dayofweek", "month", "weekofyear", "year"]
+            dated = dated.groupBy(*keys).agg(F.count(F.lit(1)).alias("w"))
+        z = zone_trips(dated, self.station_lookup(), how="left", prepared=True)
+        count = F.sum("w") if "w" in z.columns else F.count(F.lit(1))
+        cube = z.groupBy("trip_date", "dayofweek", "month", "weekofyear", "year", "origin_zone", "dest_zone").agg(
+            count.cast("long").alias("w")
+        )
+        ensure_checkpoint_dir(self.trips.sparkSession)
+        return replace(self, cube=cube.checkpoint(eager=True), _memo=dict(self._memo))
+
     def centroids(self) -> DataFrame:
         """One row per zone (mean coordinate, station rows), size-checked once."""
         if "centroids" not in self._memo:

@@ -4,9 +4,11 @@
 
 The exports are parsed once (kept on executor disk while the quarantine and
 the trip table are written, so the costly JSON parse is not repeated), then
-de-duplicated and written as year/month-partitioned Parquet under ``<out>/trips``; every study then reads that table (one scan
-each, partition-pruned when ``--years`` is given) and writes its chart-ready
-table under ``<out>/<study>``, partitioned by year where it has one.  The
+de-duplicated and written as year/month-partitioned Parquet under ``<out>/trips``.
+One scan of that table builds the daily zone-pair cube (``TripData.with_zone_cube``)
+from which all zone studies are answered; the station and rider studies scan
+the trip table.  Each study writes its chart-ready table under ``<out>/<study>``,
+partitioned by year where it has one.  The
 malformed input lines go to ``<out>/quarantine``.
 """
 
@@ -68,6 +70,8 @@ def run_studies(
         data = loaded.materialise(os.path.join(out, "trips"), shuffle_partitions=dedupe_partitions)
     finally:
         raw.unpersist()
+    # One more scan builds the daily zone-pair cube; every zone study then reads the cube.
+    data = data.with_zone_cube()
     written = {}
     for name in studies or STUDIES:
         df = STUDIES[name](data, years)
