@@ -61,9 +61,10 @@ def run_studies(
     match: str = "normalised",
     fmt: str = "parquet",
     dedupe_partitions: int | None = None,
+    parse_partitions: int | None = None,
 ) -> dict[str, str]:
     """Run the studies; returns ``{study: output path}``."""
-    raw = read_trips_json(spark, trip_paths).persist(StorageLevel.DISK_ONLY)
+    raw = read_trips_json(spark, trip_paths, parse_partitions=parse_partitions).persist(StorageLevel.DISK_ONLY)
     try:
         write_quarantine(quarantine(raw), os.path.join(out, "quarantine"))
         loaded = TripData(trips_from_raw(raw), station_rows(read_stations_csv(spark, station_csv), match=match))
@@ -91,10 +92,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--match", choices=["normalised", "exact"], default="normalised")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv", "json"])
     p.add_argument("--dedupe-partitions", type=int, help="shuffle partitions of the one-off de-duplication")
+    p.add_argument("--parse-partitions", type=int,
+                   help="spread lines over this many tasks before parsing (large non-splittable exports)")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("pedalflow-studies").getOrCreate()
     for name, path in run_studies(
-        spark, a.trips, a.stations, a.out, a.study, a.years, a.match, a.format, a.dedupe_partitions
+        spark, a.trips, a.stations, a.out, a.study, a.years, a.match, a.format, a.dedupe_partitions,
+        a.parse_partitions,
     ).items():
         print(f"{name}\t{path}")
 

@@ -24,6 +24,7 @@ def read_trips_json(
     paths: str | Sequence[str],
     schema: T.StructType = TRIP_JSON_SCHEMA,
     with_source: bool = True,
+    parse_partitions: int | None = None,
 ) -> DataFrame:
     """Raw trip rows from one or many JSON-lines files (any Hadoop-FS URI).
 
@@ -34,12 +35,20 @@ def read_trips_json(
     still prunes unused fields from the parse.  ``source_file`` gives lineage
     (``with_source``; it is non-deterministic for the analyser, so plans that
     feed scalar subqueries leave it out).
+
+    Plain NDJSON splits by block, so a large file is read by many tasks.  A
+    compressed export that cannot be split is read by one task; when such a file
+    holds a large share of the trips, ``parse_partitions`` spreads its lines
+    round-robin over that many tasks before the JSON parse (one shuffle of the
+    raw text, paid only when asked for).
     """
     if isinstance(paths, str):
         paths = [paths]
     lines = spark.read.text(list(paths))
     if with_source:
         lines = lines.withColumn("source_file", F.input_file_name())
+    if parse_partitions:
+        lines = lines.repartition(parse_partitions)
     return parse_trip_lines(lines, schema)
 
 
@@ -88,6 +97,7 @@ def load_trips(
     spark: SparkSession,
     paths: str | Sequence[str],
     dedupe: bool = True,
+    parse_partitions: int | None = None,
 ) -> DataFrame:
     """All files as one set of canonical trips (set union when ``dedupe``, S11).
 
@@ -95,7 +105,8 @@ def load_trips(
     an aggregate with a map-side partial step, so a large group of copies
     collapses before the shuffle.
     """
-    return trips_from_raw(read_trips_json(spark, paths, with_source=False), dedupe)
+    raw = read_trips_json(spark, paths, with_source=False, parse_partitions=parse_partitions)
+    return trips_from_raw(raw, dedupe)
 
 
 def trips_from_raw(raw: DataFrame, dedupe: bool = True) -> DataFrame:

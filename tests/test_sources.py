@@ -124,3 +124,16 @@ def test_batch_job_cli(spark, tmp_path, capsys):
     assert "zone_balance" in printed and "daily_peak_by_zone" in printed
     bal = spark.read.option("header", True).csv(f"{out}/zone_balance")
     assert {r["year"] for r in bal.collect()} == {2018}
+
+
+def test_gzip_export_spread_before_parsing(spark, tmp_path):
+    import gzip
+
+    gz = tmp_path / "trips_2017.json.gz"
+    with open(TRIP_FILES[0], "rb") as src, gzip.open(gz, "wb") as dst:
+        dst.write(src.read())
+    raw = read_trips_json(spark, str(gz), parse_partitions=4)
+    assert raw.rdd.getNumPartitions() == 4
+    assert "RoundRobinPartitioning(4)" in raw._jdf.queryExecution().executedPlan().toString()
+    assert rows(load_trips(spark, str(gz), parse_partitions=4), "trip_id") == rows(
+        load_trips(spark, TRIP_FILES[0]), "trip_id")
