@@ -88,3 +88,18 @@ def test_hot_keys_are_combined_before_the_shuffle(spark, proxy):
         assert "partial_count" in plan or "partial_sum" in plan
     sb = {r["station"]: r["n_unplugs"] for r in flows.station_balance(skewed).collect()}
     assert sb[0] >= hot.count() // 3
+
+
+def test_copies_of_one_record_collapse_before_the_shuffle(spark, proxy):
+    from pedalflow.sources.trips import union_dedupe
+
+    t = proxy.trips.select("trip_id", "age_range", "unplug_station", "plug_station")
+    n = t.count()
+    one = t.limit(1)
+    copies = one.select("*", F.explode(F.array_repeat(F.lit(1), n // 2)).alias("k")).drop("k")  # a third of all rows
+    merged = union_dedupe([t, copies])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    # the aggregate that removes duplicates runs a map-side step before its exchange
+    agg_lines = [line for line in plan.splitlines() if "HashAggregate" in line]
+    assert len(agg_lines) >= 2
+    assert merged.count() == t.distinct().count()
