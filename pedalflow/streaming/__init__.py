@@ -1,3 +1,19 @@
-from .ingest import daily_zone_counts_stream, latest_daily_counts, start_daily_counts, trip_stream
+from .ingest import (
+    daily_zone_counts_stream,
+    latest_daily_counts,
+    latest_zone_cube,
+    start_daily_counts,
+    start_zone_cube,
+    trip_stream,
+    zone_cube_stream,
+)
 
-__all__ = ["daily_zone_counts_stream", "latest_daily_counts", "start_daily_counts", "trip_stream"]
+__all__ = [
+    "daily_zone_counts_stream",
+    "latest_daily_counts",
+    "latest_zone_cube",
+    "start_daily_counts",
+    "start_zone_cube",
+    "trip_stream",
+    "zone_cube_stream",
+]

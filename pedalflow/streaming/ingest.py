@@ -70,6 +70,72 @@ def daily_zone_counts_stream(trips: DataFrame, station_lookup: DataFrame, waterm
     )
 
 
+def zone_cube_stream(trips: DataFrame, station_lookup: DataFrame, watermark: str = "62 days") -> DataFrame:
+    """Trips per (local day, origin zone, destination zone) over a trip stream: the
+    streaming form of ``TripData.with_zone_cube`` (unknown ends kept as NULL zones)."""
+    good = trips.filter(F.col(CORRUPT_COLUMN).isNull() & F.col("local_ts").isNotNull()).drop(CORRUPT_COLUMN)
+    unique = good.withWatermark("local_ts", watermark).dropDuplicatesWithinWatermark(["trip_id"])
+    origin = station_lookup.select(F.col("station").alias("unplug_station"), F.col("zone").alias("origin_zone"))
+    dest = station_lookup.select(F.col("station").alias("plug_station"), F.col("zone").alias("dest_zone"))
+    zoned = unique.join(origin, "unplug_station", "left").join(dest, "plug_station", "left")
+    return (
+        zoned.groupBy(F.window("local_ts", "1 day"), "origin_zone", "dest_zone")
+        .agg(F.count(F.lit(1)).alias("w"))
+        .select(
+            F.date_from_unix_date(F.floor(F.unix_seconds(F.col("window.start")) / 86400).cast("int")).alias("trip_date"),
+            "origin_zone",
+            "dest_zone",
+            "w",
+        )
+    )
+
+
+def _start(spark: SparkSession, counts: DataFrame, out: str, checkpoint: str, available_now: bool) -> StreamingQuery:
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    if not spark.conf.get(provider, None):
+        spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+
+    writer = counts.writeStream.outputMode("update").foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
+
+
+def start_zone_cube(
+    spark: SparkSession,
+    folder: str,
+    station_lookup: DataFrame,
+    out: str,
+    checkpoint: str | None = None,
+    available_now: bool = False,
+    watermark: str = "62 days",
+) -> StreamingQuery:
+    """Keep the daily zone-pair cube up to date from NDJSON drops (idempotent batches)."""
+    if checkpoint is None:
+        checkpoint = os.path.join(ensure_checkpoint_dir(spark), "streams", "zone_cube")
+    cube = zone_cube_stream(trip_stream(spark, folder), station_lookup, watermark)
+    return _start(spark, cube, out, checkpoint, available_now)
+
+
+def latest_zone_cube(spark: SparkSession, out: str) -> DataFrame:
+    """The streamed cube in ``TripData.cube`` form: newest count per key plus calendar columns."""
+    batches = spark.read.parquet(out)
+    latest = batches.groupBy("trip_date", "origin_zone", "dest_zone").agg(F.max_by("w", "batch_id").alias("w"))
+    d = F.col("trip_date")
+    return latest.select(
+        "trip_date",
+        F.dayofweek(d).alias("dayofweek"),
+        F.month(d).alias("month"),
+        F.weekofyear(d).alias("weekofyear"),
+        F.year(d).alias("year"),
+        "origin_zone",
+        "dest_zone",
+        F.col("w").cast("long").alias("w"),
+    )
+
+
 def start_daily_counts(
     spark: SparkSession,
     folder: str,
@@ -86,19 +152,10 @@ def start_daily_counts(
     RocksDB provider is used: state lives on executor disk, not in the JVM heap,
     and is checkpointed incrementally to the shared folder.
     """
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    if not spark.conf.get(provider, None):
-        spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     if checkpoint is None:
         checkpoint = os.path.join(ensure_checkpoint_dir(spark), "streams", "daily_zone_counts")
     counts = daily_zone_counts_stream(trip_stream(spark, folder), station_lookup, watermark)
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
-
-    writer = counts.writeStream.outputMode("update").foreachBatch(write_batch).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    return _start(spark, counts, out, checkpoint, available_now)
 
 
 def latest_daily_counts(spark: SparkSession, out: str) -> DataFrame:

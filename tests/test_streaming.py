@@ -45,3 +45,23 @@ def test_stream_days_do_not_depend_on_session_time_zone(spark, data):
         assert "2017-06-01" in days and "2017-01-01" in days  # 00:30+0200 and a January trip
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_streamed_zone_cube_answers_zone_studies(spark, data):
+    from dataclasses import replace
+
+    from pedalflow.plans import flows, zone_stats
+    from pedalflow.plans.registry import finish
+    from pedalflow.streaming import latest_zone_cube, start_zone_cube
+
+    work = tempfile.mkdtemp(prefix="pf-stream-cube-")
+    src = os.path.join(work, "in")
+    os.makedirs(src)
+    for p in TRIP_FILES:
+        shutil.copy(p, src)
+    out = os.path.join(work, "out")
+    q = start_zone_cube(spark, src, data.station_lookup(), out, checkpoint=os.path.join(work, "ckpt"), available_now=True)
+    q.awaitTermination(120)
+    streamed = replace(data, cube=latest_zone_cube(spark, out), _memo=dict(data._memo))
+    for fn in (lambda d: zone_stats.zone_stats(d, "season"), flows.zone_balance, cal.daily_peak_by_zone):
+        assert sorted(finish(fn(streamed)).collect()) == sorted(finish(fn(data)).collect())
