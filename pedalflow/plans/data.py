@@ -77,7 +77,8 @@ class TripData:
             t.write.mode("overwrite").partitionBy("year", "month").parquet(path)
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", before)
-        return TripData.from_parquet(spark, path, self.stations)
+        # Same stations and options (weighting, broadcast bound, checked dimensions); no cube yet.
+        return replace(self, trips=spark.read.parquet(path), cube=None, _memo=dict(self._memo))
 
     def dated(self, extended: bool = False) -> DataFrame:
         """Trips with calendar columns (L1)."""

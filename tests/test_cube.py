@@ -45,3 +45,10 @@ def test_cube_on_driver_tables_with_both_weightings(spark):
     for weighting in ("trips", "station_pairs"):
         d = TripData.from_proxy(spark, path, weighting=weighting)
         _same(d.with_zone_cube(), d)
+
+
+def test_materialise_keeps_options(data, tmp_path):
+    d = TripData(data.trips, data.stations, weighting="station_pairs", max_broadcast_rows=5)
+    m = d.materialise(str(tmp_path / "t"))
+    assert (m.weighting, m.max_broadcast_rows, m.cube) == ("station_pairs", 5, None)
+    assert sorted(finish(flows.zone_balance(m)).collect()) == sorted(finish(flows.zone_balance(d)).collect())
