@@ -279,6 +279,8 @@ SELECT strftime(trip_date, '%Y') AS year_text, count(*) AS n_trips FROM trips GR
 SELECT CAST(trip_id AS VARCHAR) || '-' || CAST(age_range AS VARCHAR) AS trip_id, CAST(ascii(user_type) AS INTEGER) AS user_type,
        age_range, travel_time, unplug_station, plug_station, strftime(trip_date, '%Y-%m-%d') AS trip_date, trip_hour
 FROM trips"""
+    q["zone_stats_season_from_cube"] = q["zone_stats_season"]
+    q["zone_balance_from_cube"] = q["zone_balance"]
     q["random_zone"] = BASE + """
 SELECT origin_zone AS zone FROM zoned GROUP BY origin_zone ORDER BY md5(origin_zone || '7'), origin_zone LIMIT 1"""
     q["quarantine_load"] = """

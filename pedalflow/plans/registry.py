@@ -154,6 +154,9 @@ def queries() -> dict[str, Query]:
         "zone_stats_weekend_all_as_coded": _q(
             lambda d: zone_stats.zone_stats(d, "weekend", weekend_rule="as_coded"), "station_pairs"
         ),
+        # The batch job's path: one cube built from the whole tables, the study read from it.
+        "zone_stats_season_from_cube": _q(lambda d: zone_stats.zone_stats(d.with_zone_cube(), "season")),
+        "zone_balance_from_cube": _q(lambda d: flows.zone_balance(d.with_zone_cube())),
         "zone_balance_full": _q(lambda d: flows.zone_balance(d, how="full_outer")),
         "zone_balance_scaled": _q(lambda d: flows.zone_balance_scaled(d)),
         "zone_balance_share": _q(lambda d: flows.zone_balance_share(d)),
