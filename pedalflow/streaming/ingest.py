@@ -181,11 +181,14 @@ def main(argv=None) -> None:
     p.add_argument("--checkpoint", help="stream checkpoint folder (default: under spark.checkpoint.dir)")
     p.add_argument("--watermark", default="62 days")
     p.add_argument("--once", action="store_true", help="process what is there and stop")
+    p.add_argument("--cube", action="store_true",
+                   help="keep the daily zone-pair cube (all zone studies) instead of origin-zone daily counts")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("pedalflow-stream").getOrCreate()
     stations = station_rows(read_stations_csv(spark, a.stations))
     lookup = bounded_broadcast(station_map(stations))
-    q = start_daily_counts(spark, a.folder, lookup, a.out, a.checkpoint, available_now=a.once, watermark=a.watermark)
+    start = start_zone_cube if a.cube else start_daily_counts
+    q = start(spark, a.folder, lookup, a.out, a.checkpoint, available_now=a.once, watermark=a.watermark)
     q.awaitTermination()
 
 
