@@ -95,3 +95,24 @@ def test_daily_peak_by_zone_matches_brute_force(spark, trips):
             want[z] = (n, d)
     got = {r["zone"]: (r["max_daily_trips"], r["peak_date"]) for r in cal.daily_peak_by_zone(_data(spark, trips)).collect()}
     assert got == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(trip, min_size=1, max_size=40))
+def test_in_out_demand_matches_brute_force(spark, trips):
+    arr = Counter(STATIONS[p] for _, _, p in trips if p in STATIONS)
+    dep = Counter(STATIONS[o] for _, o, _ in trips if o in STATIONS)
+    want = {z: (n, dep.get(z)) for z, n in arr.items()}  # zones with arrivals; no departures -> NULL
+    got = {r["zone"]: (r["arrivals"], r["departures"]) for r in flows.zone_in_out_demand(_data(spark, trips)).collect()}
+    assert got == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(trip, min_size=1, max_size=40))
+def test_station_balance_matches_brute_force(spark, trips):
+    out = Counter(o for _, o, _ in trips)
+    inn = Counter(p for _, _, p in trips)
+    want = {s: (out[s], inn[s], out[s] - inn[s]) for s in set(out) & set(inn)}
+    got = {r["station"]: (r["n_unplugs"], r["n_plugs"], r["difference"])
+           for r in flows.station_balance(_data(spark, trips)).collect()}
+    assert got == want
