@@ -116,3 +116,26 @@ def test_station_balance_matches_brute_force(spark, trips):
     got = {r["station"]: (r["n_unplugs"], r["n_plugs"], r["difference"])
            for r in flows.station_balance(_data(spark, trips)).collect()}
     assert got == want
+
+
+def _bucket(study, d):
+    if study == "weekend":
+        return "weekend" if _dow(d) in (6, 7, 1) else "weekday"
+    m = d.month
+    return "spring" if 3 <= m <= 6 else "summer" if 7 <= m <= 9 else "autumn" if m >= 10 else "winter"
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(trip, min_size=1, max_size=40), st.sampled_from(["weekend", "season"]))
+def test_bucketed_zone_stats_match_brute_force(spark, trips, study):
+    unit = (lambda d: _dow(d)) if study == "weekend" else (lambda d: d.month)
+    counts = Counter((d.year, _bucket(study, d), zo, unit(d)) for d, zo, _ in _kept(trips))
+    per = defaultdict(list)
+    for (y, b, z, _), n in counts.items():
+        per[(y, b, z)].append(n)
+    got = {(r["year"], r["bucket"], r["zone"]): r for r in zone_stats.zone_stats(_data(spark, trips), study).collect()}
+    assert set(got) == set(per)
+    for key, ns in per.items():
+        r = got[key]
+        assert math.isclose(r["mean_trips"], statistics.mean(ns))
+        assert (r["min_trips"], r["max_trips"], r["n_units"]) == (min(ns), max(ns), len(ns))
