@@ -42,9 +42,10 @@ class TripData:
         station_csv: str,
         match: str = "normalised",
         dedupe: bool = True,
+        parse_partitions: int | None = None,
         **options,
     ) -> "TripData":
-        trips = load_trips(spark, trip_paths, dedupe=dedupe)
+        trips = load_trips(spark, trip_paths, dedupe=dedupe, parse_partitions=parse_partitions)
         return cls(trips, station_rows(read_stations_csv(spark, station_csv), match=match), **options)
 
     @classmethod
