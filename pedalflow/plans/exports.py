@@ -72,17 +72,33 @@ def json_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quarantine_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two export folders -- the trips as written, and the same lines cut in half
     (every line malformed) -- read in one pass; good and quarantined lines per
-    folder (A7).  ``(part, n_good, n_quarantined)``."""
+    folder (A7).  ``(part, n_good, n_quarantined)``.
+
+    Both folders come from one partitioned text write: each trip's JSON line is
+    built once and emitted intact and cut.
+    """
     from ..sources.trips import quarantine
 
     root = _scratch(spark, "trips-quarantine")
-    clean, damaged = os.path.join(root, "clean"), os.path.join(root, "damaged")
     rec = trips_as_json_records(spark, sf_dir).drop("_year")
-    rec.write.mode("overwrite").json(clean)
-    lines = spark.read.text(clean)
-    lines.select(F.expr("substring(value, 1, length(value) div 2)").alias("value")).write.mode("overwrite").text(damaged)
-    raw = read_trips_json(spark, [clean, damaged])
-    part = F.regexp_extract("source_file", r"/(clean|damaged)/[^/]*$", 1)
+    line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rec.columns]))
+    halves = F.expr("substring(line, 1, length(line) div 2)")
+    (
+        rec.select(line.alias("line"))
+        .select(
+            F.inline(
+                F.array(
+                    F.struct(F.lit("clean").alias("part"), F.col("line").alias("value")),
+                    F.struct(F.lit("damaged").alias("part"), halves.alias("value")),
+                )
+            )
+        )
+        .write.mode("overwrite")
+        .partitionBy("part")
+        .text(root)
+    )
+    raw = read_trips_json(spark, root)
+    part = F.regexp_extract("source_file", r"/part=(clean|damaged)/[^/]*$", 1)
     good = good_rows(raw).groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n_good"))
     bad = quarantine(raw).groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n_quarantined"))
     return good.join(bad, "part", "full_outer").select(
