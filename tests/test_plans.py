@@ -103,3 +103,11 @@ def test_copies_of_one_record_collapse_before_the_shuffle(spark, proxy):
     agg_lines = [line for line in plan.splitlines() if "HashAggregate" in line]
     assert len(agg_lines) >= 2
     assert merged.count() == t.distinct().count()
+
+
+def test_studies_on_the_cube_do_not_scan_trips(proxy):
+    cubed = proxy.with_zone_cube()
+    for df in (zone_stats.zone_stats(cubed, "season"), flows.zone_balance(cubed)):
+        plan = _plan(df)
+        assert "lineitem.parquet" not in plan
+        assert "ExistingRDD" in plan  # the checkpointed cube
