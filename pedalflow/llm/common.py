@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,3 +53,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def reachable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it, besides any installed copy."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    """``df.mapInArrow`` by a function of this package."""
+    reachable(df.sparkSession)
+    return df.mapInArrow(run, schema)
