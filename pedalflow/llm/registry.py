@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_text, jaccard, language, packing, quality, secret_scan, urls
+from . import chat, decontaminate, html_text, jaccard, language, lines, packing, quality, secret_scan, urls
 from .common import pick, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.digest(table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op2_language_id": op2_language_id,
         "op3_decontamination": op3_decontamination,
         "op4_html_text": op4_html_text,
