@@ -130,18 +130,14 @@ def reputations(pages: DataFrame, outcomes: DataFrame, z: float = 1.645) -> Data
 
     def shrunk(nodes: DataFrame, level: str) -> DataFrame:
         """Posterior mean and weight of ``nodes`` given the prior mean in ``prior``."""
-        s = F.coalesce(F.col("strength"), F.lit(1.0))
-        own = strengths.filter(F.col("level") == level).select(F.col("level").alias("of"), "strength")
-        n = nodes.withColumn("of", F.lit(level)).join(F.broadcast(own), "of", "left").drop("of")  # one row
-        return n.withColumn("mean", (F.col("prior") * s + F.col("k")) / (s + F.col("n"))).withColumn(
-            "weight", s + F.col("n")
-        ).drop("strength", "prior")
-
-    overall = suffixes.groupBy(F.lit("suffix").alias("of")).agg(
-        ((F.sum("k") + 1) / (F.sum("n") + 2)).alias("prior")
-    )
-    top = suffixes.withColumn("of", F.lit("suffix")).join(F.broadcast(overall), "of").drop("of")  # one row
-    top = shrunk(top, "suffix").select("suffix", F.col("mean").alias("prior"))
+        own = strengths.filter(F.col("level") == level).select("strength").scalar()
+        s = F.coalesce(own, F.lit(1.0))
+        n = nodes.withColumn("s", s)
+        mean = (F.col("prior") * F.col("s") + F.col("k")) / (F.col("s") + F.col("n"))
+        return n.withColumn("mean", mean).withColumn("weight", F.col("s") + F.col("n")).drop("s", "prior")
+
+    overall = suffixes.select(((F.sum("k") + 1) / (F.sum("n") + 2))).scalar()
+    top = shrunk(suffixes.withColumn("prior", overall), "suffix").select("suffix", F.col("mean").alias("prior"))
     mid = shrunk(domains.join(top, "suffix"), "domain").select("domain", "suffix", F.col("mean").alias("prior"))
     low = shrunk(hosts.join(mid, ["domain", "suffix"]), "host")
     sd = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("weight") + 1))
