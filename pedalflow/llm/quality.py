@@ -33,7 +33,8 @@ MAX_LOST_PCT = 50
 HAS_WORD = rf"[^{SPACE}]"
 SENTENCE_MARK = r"[.!?…。！？؟।]"
 PUNCTUATION = r"\p{Punct}"
-SEPARATOR = r"(?<=\s)[|»›>•·](?=\s|$)"
+#: A word that is one separator.
+SEPARATOR = rf"(?<![^{SPACE}])[|»›>•·](?![^{SPACE}])"
 BOILERPLATE = (
     r"(?i)(lorem ipsum|enable javascript|uses? cookies|cookie policy|privacy policy|terms of (use|service)"
     r"|all rights reserved|sign up for our|subscribe to our|click here|skip to (main )?content|back to top"

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_text, jaccard, language, lines, packing, quality, secret_scan, urls
+from . import chat, decontaminate, html_text, jaccard, language, lines, oracle, packing, quality, secret_scan, urls
 from .common import pick, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,7 +70,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = pick(table(spark, sf_dir, "labels"), "doc_id", "quality", "toxic")
     good = ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good")
     outcomes = pick(pages, "page_id", "url").join(labels, F.col("page_id") == F.col("doc_id")).select("url", good)
-    return urls.judge(pages, outcomes)
+    return urls.judge(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
 
 
 def queries() -> dict[str, Query]:
@@ -89,4 +89,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
