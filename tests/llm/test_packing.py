@@ -1,0 +1,118 @@
+"""Best-fit packing: token ids, pieces, places, and the pattern runs against one bin at a time."""
+
+import os
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from awkward import ODD_ROWS, clashing, docs
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from pedalflow.llm import packing as P
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def ids(text):
+    return [*P._tokenizer(PATH)[0].encode(text or "", add_special_tokens=False).ids, P.END_ID]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([" ", "\n", "\t", "a", "é", "1", ".", "'", "s", " ", " ", "　", " ", "🙂", "\x1c", "\x85", "\r", "word", "<|endoftext|>"]), max_size=14).map("".join))
+def test_parts_give_the_ids_of_the_whole(text):
+    assert P.token_bytes(PATH, [text])[0] == np.asarray(P._tokenizer(PATH)[0].encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def one_bin_at_a_time(counts, capacity):
+    left, bins = Counter(counts), []
+    while +left:
+        bin_, gap = [], capacity
+        while fit := [n for n in left if left[n] > 0 and n <= gap]:
+            bin_.append(max(fit))
+            left[bin_[-1]] -= 1
+            gap -= bin_[-1]
+        if gap and len(bin_) > 1:
+            small = bin_[-1]
+            left[small] += 1  # not counted as unpacked below
+            free = Counter(left)
+            free[small] -= 1
+            room, best = gap + small, (small, None)
+            own = sorted(n for n in free if free[n] > 0)
+            for i, a in enumerate(own):
+                for b in own[i:]:
+                    if a + b <= room and (free[a] >= 2 if a == b else True) and a + b > best[0]:
+                        best = (a + b, (a, b))
+            left[small] -= 1
+            if best[1]:
+                left[small] += 1
+                bin_.pop()
+                bin_ += best[1]
+                for n in best[1]:
+                    left[n] -= 1
+        bins.append(sum(bin_))
+    return bins
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 40), st.integers(1, 30), max_size=12))
+def test_runs_pack_everything_as_well_as_single_bins(counts):
+    runs = P.best_two_fit(counts, 40)
+    packed = Counter()
+    for bin_, times in runs:
+        assert sum(bin_) <= 40 and times > 0
+        for n in bin_:
+            packed[n] += times
+    assert packed == Counter(counts)
+    assert sum(t for _, t in runs) == len(one_bin_at_a_time(counts, 40))
+
+
+def test_nearly_no_waste():
+    rnd = random.Random(5)
+    counts = Counter(rnd.randint(1, 1024) for _ in range(200_000))
+    bins = sum(t for _, t in P.best_two_fit(counts))
+    assert bins <= 1.01 * sum(n * c for n, c in counts.items()) / 1024
+
+
+@pytest.mark.parametrize("n, want", [(1, [(0, 1)]), (1024, [(0, 1024)]), (1025, [(0, 1), (1, 1024)]), (2048, [(0, 1024), (1024, 1024)])])
+def test_cut(n, want):
+    assert P.cut(n) == want
+
+
+def check(spark, df, rows):
+    got = P.pack(df, PATH, with_ids=True).collect()
+    # every sequence is filled from 0 without a gap
+    by_seq = {}
+    for r in got:
+        by_seq.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in by_seq.values():
+        at = 0
+        for o, n in sorted(places):
+            assert o == at
+            at += n
+        assert at <= 1024
+    want = Counter()
+    for i, t in rows:
+        own = ids(t)
+        for k, (s, n) in enumerate(P.cut(len(own))):
+            raw = np.asarray(own[s : s + n], "<u4").tobytes()
+            want[(i, k, s, n, zlib.crc32(raw), raw)] += 1
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"], bytes(r["ids"])) for r in got) == want
+    assert len(by_seq) <= 1.05 * sum(n * c for (_, _, _, n, _, _), c in want.items()) / 1024 + 1
+
+
+def test_odd_rows(spark):
+    d = docs(spark, ODD_ROWS)
+    check(spark, d, ODD_ROWS)
+    check(spark, clashing(d).repartition(3), ODD_ROWS)
+    assert P.pack(d.limit(0), PATH).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
+def test_driver_tables(spark):
+    d = spark.read.parquet(f"{SF_DIR}/documents.parquet").repartition(5)
+    check(spark, d, [tuple(r) for r in d.select("doc_id", "text").collect()])
