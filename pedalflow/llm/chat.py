@@ -60,7 +60,7 @@ def fold(events: DataFrame) -> DataFrame:
                 )
                 edits = F.filter(own, lambda x: x.getField("kind") == 2)
                 return F.struct(
-                    F.coalesce(F.filter(own, lambda x: x.getField("role").isNotNull())[0].getField("role"), F.lit("")).alias("role"),
+                    F.coalesce(F.get(F.filter(own, lambda x: x.getField("role").isNotNull()), F.lit(0)).getField("role"), F.lit("")).alias("role"),
                     F.array_join(parts, "").alias("text"),
                     F.get(own, last).getField("seq").alias("written"),
                     F.array_max(F.transform(edits, lambda x: x.getField("seq"))).alias("edited"),

@@ -51,6 +51,23 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """The working tables of one computation: one folder in the shared folder, removed as a whole."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.dir, self.tables = spark, table_dir(spark, name), 0
+
+    def saved(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables += 1
+        path = f"{self.dir}/{self.tables:03d}-{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.dir)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

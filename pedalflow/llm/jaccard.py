@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, pick, saved
-from .linking import BROADCAST_ROWS, components, link, only
+from .common import Scratch, map_arrow, pick, saved
+from .linking import BROADCAST_ROWS, linked, only
 
 #: Lower-cases A-Z and turns the six white space characters into spaces.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 32 or 9 <= b <= 13 else b for b in range(256))
@@ -230,11 +230,11 @@ def join(docs: DataFrame, n: int = 5, pct: int = 80) -> DataFrame:
     ids = inc.filter("s1 IS NOT NULL").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
     classes = saved(ids.groupBy("s1").agg(F.min("rep").alias("rep"), F.sum("n").alias("n")), "classes")
 
-    def prepare(members: DataFrame):
+    def prepare(members: DataFrame, work: Scratch):
         wanted = classes.join(
             F.broadcast(members) if members.count() <= BROADCAST_ROWS else members, classes["s1"] == members["id"], "left_semi"
         )
-        of = saved(wanted.select(F.col("rep").alias("doc_id")).distinct(), "wanted")
+        of = work.saved(wanted.select(F.col("rep").alias("doc_id")).distinct(), "wanted")
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             import xxhash
@@ -249,7 +249,7 @@ def join(docs: DataFrame, n: int = 5, pct: int = 80) -> DataFrame:
                     )
 
         grams = map_arrow(only(d, of, "doc_id").select("text"), sets, "id long, grams array<long>")
-        grams = saved(grams.dropDuplicates(["id"]), "grams")
+        grams = work.saved(grams.dropDuplicates(["id"]), "grams")
 
         def verify(pairs: DataFrame) -> DataFrame:
             x = grams.select(F.col("id").alias("a"), F.col("grams").alias("x"))
@@ -260,11 +260,10 @@ def join(docs: DataFrame, n: int = 5, pct: int = 80) -> DataFrame:
         return verify
 
     rows = inc.select(F.explode("keys").alias("key"), F.col("s1").alias("id"))
-    links = link(rows, prepare, 1 - pct / 100)
+    comps = linked(rows, prepare, 1 - pct / 100)
     known = classes.select("s1", "rep", "n")
-    if links is not None:
-        comps = saved(components(links), "components").select(F.col("id").alias("s1"), "comp")
-        known = known.join(comps, "s1", "left")
+    if comps is not None:
+        known = known.join(comps.withColumnRenamed("id", "s1"), "s1", "left")
         first = known.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("rep").alias("first"))
         known = known.join(first, "comp", "left").withColumn("rep", F.coalesce("first", "rep"))
         known = known.filter("n > 1 OR comp IS NOT NULL")

@@ -25,13 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import saved
+from .common import Scratch, saved
 
 #: A key table of at most so many rows (16 bytes each) may be broadcast; larger ones are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 
-#: Given the saved ids (column id) that can occur in pairs, returns what adds the distance ``d`` to saved pairs (a, b).
-Prepare = Callable[[DataFrame], Callable[[DataFrame], DataFrame]]
+#: Given the saved ids (column id) that can occur in pairs and the place for working tables, returns what adds the distance ``d`` to pairs (a, b).
+Prepare = Callable[[DataFrame, Scratch], Callable[[DataFrame], DataFrame]]
 
 
 def only(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
@@ -40,15 +40,22 @@ def only(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     return df.join(F.broadcast(k) if keys.count() <= BROADCAST_ROWS else k, on, "left_semi")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _is_star(e: DataFrame) -> bool:
+    """Whether every b has one edge and no b is an a: then each a is its component's smallest id."""
+    ends = e.select(F.col("a").alias("id"), F.lit(0).alias("n")).union(e.select("b", F.lit(1)))
+    per = ends.groupBy("id").agg(F.sum("n").alias("ins"), F.count("*").alias("all"))
+    return per.filter("ins > 1 OR (ins = 1 AND all > 1)").isEmpty()
+
+
+def components(edges: DataFrame, work: Scratch) -> DataFrame:
     """(id, comp): smallest id reachable over ``edges`` (a, b), for every id in an edge.
 
-    Alternates large-star and small-star steps (Kiveris et al. 2014) until the
-    edges stay the same; each step only takes minima per node.
+    Alternates large-star and small-star steps (Kiveris et al. 2014) until all edges
+    point from a component's smallest id; each step only takes minima per node.
     """
-    e = saved(edges.select("a", "b").filter("a != b").distinct(), "edges")
-    before = None
-    while True:
+    ends = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    e = work.saved(ends.filter("a != b").distinct(), "edges")
+    while not _is_star(e):
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select("b", "a"))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         star = both.join(low, "u").filter("v > u").select(F.col("m").alias("a"), F.col("v").alias("b"))
@@ -57,87 +64,92 @@ def components(edges: DataFrame) -> DataFrame:
         low = down.groupBy("u").agg(F.min("v").alias("m"))
         joined = down.join(low, "u")
         small = joined.select(F.col("m").alias("a"), F.col("v").alias("b")).union(joined.select(F.col("m"), F.col("u")))
-        e = saved(small.filter("a != b").distinct(), "edges")
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()  # one row
-        if now == before:
-            break
-        before = now
-    return e.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("comp")).union(
-        e.select(F.col("a").alias("id"), F.col("a").alias("comp")).distinct()
-    )
+        e = work.saved(small.filter("a != b").distinct(), "edges")
+    found = e.select(F.col("b").alias("id"), F.col("a").alias("comp"))
+    return work.saved(found.union(e.select(F.col("a").alias("id"), F.col("a").alias("comp")).distinct()), "comps")
 
 
-def _with_comp(df: DataFrame, comps: DataFrame | None, name: str = "id") -> DataFrame:
-    if comps is None:
-        return df.withColumn("comp", F.col(name))
+def _with_comp(df: DataFrame, comps: DataFrame, name: str = "id") -> DataFrame:
+    """``df`` with the component of each id, the id itself where it has no link yet."""
     c = comps.select(F.col("id").alias(name), "comp")
     return df.join(c, name, "left").withColumn("comp", F.coalesce("comp", name))
 
 
-def _open(members: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """The members of keys that span more than one component, saved."""
-    m = saved(_with_comp(members, comps), "members")
+def _apart(keys: DataFrame) -> DataFrame:
+    """``keys`` grouped by key, dealt out once more in a join: then Spark sees both sides' sizes and can split a hot key."""
+    return keys.withColumn("key", F.col("key") + 0)
+
+
+def _open(members: DataFrame, comps: DataFrame, work: Scratch) -> DataFrame:
+    """The members of keys that span more than one component."""
+    m = _with_comp(members, comps)
     keys = m.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("key")
-    keys = saved(keys, "keys")
-    return saved(only(m, keys, "key").select("key", "id"), "open")
+    return work.saved(members.join(_apart(keys), "key", "left_semi").select("key", "id"), "open")
 
 
 def _pivots(members: DataFrame) -> DataFrame:
-    """members with their key's pivot, the smallest id."""
-    # the sum keeps the join's keys apart from the grouping's, so that Spark deals out both sides and can split a hot key
-    p = members.groupBy("key").agg(F.min("id").alias("p")).select((F.col("key") + 0).alias("key"), "p")
-    return members.join(p, "key")
+    """members with their key's pivot ``p``, the smallest id."""
+    return members.join(_apart(members.groupBy("key").agg(F.min("id").alias("p"))), "key")
 
 
-def link(rows: DataFrame, prepare: Prepare, t: float, rounds: int = 6) -> DataFrame | None:
-    """(a, b) links with the same components as all links of distance <= ``t`` within a key; None if no key is shared.
+def linked(rows: DataFrame, prepare: Prepare, t: float, rounds: int = 6) -> DataFrame | None:
+    """(id, comp) of all ids that are linked: the components of all links of distance <= ``t`` within a key; saved.
 
-    ``rows`` has (key, id) as longs and may repeat; distances need only be exact up to 2t.
+    ``rows`` has (key, id) as longs and may repeat; distances need only be exact up to
+    2t.  None if nothing is linked.  All working tables are removed again.
     """
+    work = Scratch(rows.sparkSession, "link")
+    links = _links(rows, prepare, t, rounds, work)
+    found = None if links is None else saved(components(links, work), "components")
+    work.remove()
+    return found
+
+
+def _links(rows: DataFrame, prepare: Prepare, t: float, rounds: int, work: Scratch) -> DataFrame | None:
+    """(a, b) links that join what all links join; None if no key is shared."""
     eps = 1e-9
     shared = rows.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).filter("x != y").select("key")
-    shared = saved(shared, "keys")
-    members = saved(only(rows.select("key", "id"), shared, "key").distinct(), "members")
-    verify = prepare(saved(members.select("id").distinct(), "ids"))
+    shared = work.saved(shared, "keys")
+    members = work.saved(only(rows.select("key", "id"), shared, "key").distinct(), "members")
+    verify = prepare(work.saved(members.select("id").distinct(), "ids"), work)
 
     def judged(pairs: DataFrame) -> DataFrame:
-        return saved(verify(saved(pairs.select("a", "b"), "pairs")).select("a", "b", "d"), "judged")
+        return work.saved(verify(pairs.select("a", "b")).select("a", "b", "d"), "judged")
 
+    close, middle = F.col("d") <= t + eps, (F.col("d") > t + eps) & (F.col("d") <= 2 * t + eps)
     # first the pivot that each id meets in most keys
     met = _pivots(members).filter("id != p").groupBy("id", "p").agg(F.count("*").alias("n"))
     best = met.withColumn("k", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("n"), "p"))).filter("k = 1")
-    first = judged(best.select(F.col("p").alias("a"), F.col("id").alias("b")))
-    links = first.filter(F.col("d") <= t + eps).select("a", "b")
-    if first.isEmpty():
+    known = judged(best.select(F.col("p").alias("a"), F.col("id").alias("b")))
+    if known.isEmpty():
         return None
-    comps = saved(components(links), "comps")
-    active = _open(members, comps)
+    links = known.filter(close).select("a", "b")
+    comps = components(links, work)
+    active = _open(members, comps, work)
     for _ in range(rounds):
         if active.isEmpty():
             return links
-        star = saved(_pivots(active), "star")
-        d = judged(star.filter("id != p").select(F.col("p").alias("a"), F.col("id").alias("b")).distinct())
-        links = links.union(d.filter(F.col("d") <= t + eps).select("a", "b"))
-        comps = saved(components(links), "comps")
-        at = star.filter("id != p").join(d.select(F.col("a").alias("p"), F.col("b").alias("id"), "d"), ["p", "id"])
-        at = saved(_with_comp(at, comps), "distances")
-        grey = at.filter((F.col("d") > t + eps) & (F.col("d") <= 2 * t + eps))
-        near = at.filter(F.col("d") <= t + eps)
-        extra = (
-            grey.select("key", F.col("id").alias("z"), F.col("d").alias("dz"), F.col("comp").alias("cz"))
-            .join(near.select("key", F.col("id").alias("x"), F.col("d").alias("dx"), F.col("comp").alias("cx")), "key")
-            .filter((F.col("cz") != F.col("cx")) & (F.col("dx") >= F.col("dz") - t - eps))
-            .select(F.least("x", "z").alias("a"), F.greatest("x", "z").alias("b")).distinct()
-        )
-        more = judged(extra).filter(F.col("d") <= t + eps).select("a", "b")
-        if not more.isEmpty():
-            links = links.union(more)
-            comps = saved(components(links), "comps")
-        active = _open(at.filter(F.col("d") > t + eps).select("key", "id"), comps)
+        star = _pivots(active).filter("id != p")
+        pairs = star.select(F.col("p").alias("a"), F.col("id").alias("b")).distinct()
+        new = judged(pairs.join(known, ["a", "b"], "left_anti"))
+        known = known.union(new)
+        at = star.join(known.select(F.col("a").alias("p"), F.col("b").alias("id"), "d"), ["p", "id"])
+        at = work.saved(_with_comp(at, comps), "distances")
+        grey = at.filter(middle).select("key", F.col("id").alias("z"), F.col("d").alias("dz"), F.col("comp").alias("cz"))
+        if not grey.isEmpty():
+            near = at.filter(close).select("key", F.col("id").alias("x"), F.col("d").alias("dx"), F.col("comp").alias("cx"))
+            fits = (F.col("cz") != F.col("cx")) & (F.col("dx") >= F.col("dz") - t - eps)
+            extra = grey.join(near, "key").filter(fits).select(F.least("x", "z").alias("a"), F.greatest("x", "z").alias("b"))
+            more = judged(extra.distinct().join(known, ["a", "b"], "left_anti"))
+            known, new = known.union(more), new.union(more)
+        if not new.filter(close).isEmpty():
+            links = known.filter(close).select("a", "b")
+            comps = components(links, work)
+        active = _open(at.filter(~close).select("key", "id"), comps, work)
     rest = _with_comp(active, comps)
     pairs = (
         rest.select("key", F.col("id").alias("a"), F.col("comp").alias("ca"))
         .join(rest.select("key", F.col("id").alias("b"), F.col("comp").alias("cb")), "key")
         .filter("a < b AND ca != cb").select("a", "b").distinct()
     )
-    return links.union(judged(pairs).filter(F.col("d") <= t + eps).select("a", "b"))
+    return links.union(judged(pairs.join(known, ["a", "b"], "left_anti")).filter(close).select("a", "b"))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pedalflow.llm import linking
+from pedalflow.llm.common import Scratch
 
 
 def roots(pairs):
@@ -28,15 +29,15 @@ def test_components(spark, seed):
     chain = [(i, i + 1) for i in range(0, 40)]
     pairs = chain + [(rnd.randint(100, 160), rnd.randint(100, 160)) for _ in range(40)] + [(200, 200)]
     rnd.shuffle(pairs)
-    got = {r["id"]: r["comp"] for r in linking.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    got = {r["id"]: r["comp"] for r in linking.components(spark.createDataFrame(pairs, "a long, b long"), Scratch(spark, "t")).collect()}
     assert got == {x: c for x, c in roots([p for p in pairs if p[0] != p[1]]).items()}
 
 
 def test_no_edges(spark):
-    assert linking.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert linking.components(spark.createDataFrame([], "a long, b long"), Scratch(spark, "t")).count() == 0
 
 
-def numbers(ids):
+def numbers(ids, work):
     """Ids are points on a line a tenth apart; their distance is that of the points."""
     return lambda pairs: pairs.withColumn("d", F.abs(F.col("a") - F.col("b")) / 10.0)
 
@@ -47,15 +48,13 @@ def test_links_join_what_all_pairs_join(spark, seed, rounds):
     rows = [(k, rnd.randint(0, 400)) for k in range(6) for _ in range(rnd.choice([1, 2, 30, 60]))]
     rows += [(50, i * 100) for i in range(12)]  # far apart
     rows += [(51, i * 3) for i in range(40)]  # a chain
-    links = linking.link(spark.createDataFrame(rows + rows[:20], "key long, id long"), numbers, 0.5, rounds)
+    found = linking.linked(spark.createDataFrame(rows + rows[:20], "key long, id long"), numbers, 0.5, rounds)
     want = [(a, b) for k, a in set(rows) for q, b in set(rows) if k == q and a < b and b - a <= 5]
-    got = [(r["a"], r["b"]) for r in links.distinct().collect()]
-    assert all(abs(a - b) <= 5 for a, b in got)
-    assert roots(got) == roots(want)
+    assert {r["id"]: r["comp"] for r in found.collect()} == roots(want)
 
 
 def test_no_shared_key(spark):
-    assert linking.link(spark.createDataFrame([(1, 1), (2, 2), (2, 2)], "key long, id long"), numbers, 0.5) is None
+    assert linking.linked(spark.createDataFrame([(1, 1), (2, 2), (2, 2)], "key long, id long"), numbers, 0.5) is None
 
 
 def test_only_without_broadcast(spark, monkeypatch):
