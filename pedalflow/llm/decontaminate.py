@@ -84,7 +84,7 @@ def _scan(automaton, text: str | None, spans: list[tuple[int, int]], items: set[
         norm = f" {b' '.join(w).decode('latin-1')} "
         new = []
         for end, (length, n, found) in automaton.iter(norm):
-            first = norm.count(" ", 0, end - length)  # the window's first word
+            first = norm.count(" ", 0, end - length - 1)  # words before the window
             new.append((first, first + n))
             items.update(found)
         spans = _merge([*spans, *new])
