@@ -1,25 +1,34 @@
 """Broadcast only what is proven small.
 
-``bounded_broadcast`` counts at most ``max_rows + 1`` rows of a dimension (the
-scan stops early) and adds the broadcast hint only when the dimension is
-within the bound.  Beyond it the frame is returned unchanged, so the join
-falls back to a shuffle join; AQE may still demote it to a broadcast from
-runtime sizes and splits skewed partitions of the large side.
+One aggregate measures a dimension: its rows and the bytes of its text columns
+(every task sends one row of sums, whatever the size).  Within the bounds the
+dimension gets the broadcast hint; beyond them the frame is returned as it is,
+and the join is a shuffle join that AQE re-plans from runtime sizes.  Columns,
+rows and answers are the same either way.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A station/zone dimension row is a handful of narrow columns (< 100 bytes),
-# so two million rows stay far below a executor's broadcast budget.
-MAX_BROADCAST_ROWS = 2_000_000
+# A station/zone dimension row is a handful of narrow columns.
+MAX_BROADCAST_ROWS = 500_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+_FIXED_BYTES = 16  # a number with its overhead in the broadcast relation
 
 
-def is_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    size = F.lit(_FIXED_BYTES * len(df.columns))
+    for c in texts:
+        size = size + F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0))
+    n, b = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return n <= max_rows and b <= max_bytes
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
+def bounded_broadcast(
+    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
+    return F.broadcast(df) if is_bounded(df, max_rows, max_bytes) else df

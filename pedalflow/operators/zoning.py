@@ -20,15 +20,17 @@ from .stats import trip_count
 
 
 def station_map(stations: DataFrame) -> DataFrame:
+    """Station number -> zone.  A station without a zone is as good as unknown: its trips
+    are lost rows on every path (the zone joins never matched them)."""
     return (
-        stations.filter(F.col("station").isNotNull())
+        stations.filter(F.col("station").isNotNull() & F.col("zone").isNotNull())
         .groupBy("station")
         .agg(F.min("zone").alias("zone"))
     )
 
 
 def zone_centroids(stations: DataFrame) -> DataFrame:
-    return stations.groupBy("zone").agg(
+    return stations.filter(F.col("zone").isNotNull()).groupBy("zone").agg(
         F.avg("lat").alias("lat"),
         F.avg("lon").alias("lon"),
         F.count(F.lit(1)).alias("n_stations"),
@@ -65,17 +67,22 @@ def locate(df: DataFrame, centroids: DataFrame, zone_col: str = "zone", prefix:
 def lost_rows(
     trips: DataFrame, stations: DataFrame, prepared: bool = False, preaggregate: bool = False
 ) -> DataFrame:
-    """Trips kept / lost by the zone join, by reason (C11, L19): ``(reason, n_trips)``.
+    """Trips kept / lost on the way into the studies, by reason (C11, L19): ``(reason, n_trips)``.
 
-    ``preaggregate`` counts trips per (start, end) station pair before the lookups,
-    for station maps too large to broadcast (the joins then move pairs, not trips).
+    The reasons add up to the input: a trip without a valid date, or with a start or
+    end station that is unknown or has no zone.  ``preaggregate`` counts trips per
+    (start, end) station pair before the lookups, so the joins move pairs, not trips.
     """
+    undated = F.col("trip_date").isNull().alias("undated")
     if preaggregate:
-        trips = trips.groupBy("unplug_station", "plug_station").agg(F.count(F.lit(1)).alias("w"))
+        trips = trips.groupBy("unplug_station", "plug_station", undated).agg(F.count(F.lit(1)).alias("w"))
+    else:
+        trips = trips.select("unplug_station", "plug_station", undated)
     z = zone_trips(trips, stations, how="left", prepared=prepared)
     o, d = F.col("origin_zone").isNull(), F.col("dest_zone").isNull()
     reason = (
-        F.when(o & d, "no_origin_no_destination")
+        F.when(F.col("undated"), "no_date")
+        .when(o & d, "no_origin_no_destination")
         .when(o, "no_origin")
         .when(d, "no_destination")
         .otherwise("kept")

@@ -17,18 +17,20 @@ from .data import TripData
 
 def years(data: TripData) -> DataFrame:
     """Distinct years of the zoned trips (L4)."""
-    return data.zoned().select("year").distinct()
+    return data.departures().select("year").distinct()
 
 
 def random_zone(data: TripData, seed: int = 0) -> DataFrame:
     """A deterministic, seeded choice of origin zone."""
-    return pick_one(data.zoned(), "origin_zone", seed).withColumnRenamed("origin_zone", "zone")
+    return pick_one(data.departures(), "zone", seed)
 
 
 def distinct_zone_count(data: TripData) -> DataFrame:
     """Distinct origin zones, destination zones and stations used by zoned trips."""
-    # station ids are trip-level: always from the trips, never from a zone cube
-    z = zone_trips(data.dated(), data.station_lookup(), prepared=True)
+    # station ids are trip-level: always from the trips, never from a zone cube.  Trips
+    # collapse to distinct (start, end) pairs, map-side, before the lookups and the counts.
+    pairs = data.dated().select("unplug_station", "plug_station").distinct()
+    z = zone_trips(pairs, data.station_lookup(), prepared=True)
     return z.agg(
         F.count_distinct("origin_zone").alias("n_origin_zones"),
         F.count_distinct("dest_zone").alias("n_dest_zones"),
@@ -51,13 +53,12 @@ def trips_by_weekday_year(
     applied as a semi-join so nothing is collected); ``by_zone`` answers every
     zone in the same job (zone becomes a key instead of one job per zone).
     """
-    z = data.zoned()
+    z = data.departures()
     if zone == "random":
-        chosen = pick_one(z, "origin_zone", seed)
-        z = z.join(F.broadcast(chosen), "origin_zone", "left_semi")  # one row
+        chosen = pick_one(z, "zone", seed)
+        z = z.join(F.broadcast(chosen), "zone", "left_semi")  # one row
     elif zone is not None:
-        z = z.filter(F.col("origin_zone") == zone)
-    z = z.withColumnRenamed("origin_zone", "zone")
+        z = z.filter(F.col("zone") == zone)
     keys = ["zone", "dayofweek"] if by_zone else ["dayofweek"]
     wide = pivot_years(z, keys, years, how)
     return wide.withColumn("weekday_name", weekday_name(F.col("dayofweek"))).orderBy(*keys)
@@ -72,7 +73,7 @@ def trips_by_week_year(
     study did (1 January 2017 is week 52 of 2017, S8); ``'iso'`` uses the ISO
     week-numbering year instead (the same day is week 52 of 2016).
     """
-    z = data.zoned()
+    z = data.departures()
     if year_basis == "iso":
         z = z.withColumn("year", year_of_week(F.col("trip_date")))
     elif year_basis != "calendar":
@@ -85,9 +86,7 @@ def growth_by_year(data: TripData) -> DataFrame:
 
     The share window runs over the per-year rows only (one row per year).
     """
-    per_year = (
-        data.trips.groupBy(F.year("trip_date").alias("year")).agg(F.count(F.lit(1)).alias("n_trips"))
-    )
+    per_year = data.dated().groupBy("year").agg(F.count(F.lit(1)).alias("n_trips"))
     return per_year.withColumn("share", F.try_divide(F.col("n_trips"), F.sum("n_trips").over(Window.partitionBy())))
 
 
@@ -109,13 +108,13 @@ def _peak(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
 def daily_peak(data: TripData) -> DataFrame:
     """Largest number of trips on one day over trips with a known origin zone, and the
     earliest day reaching it (L14, D12)."""
-    z = data.zoned(how="left").filter(F.col("origin_zone").isNotNull())
+    z = data.departures(known_dest=False)
     counts = z.groupBy("trip_date").agg(trip_count(z).alias("n_trips"))
     return _peak(counts, [])
 
 
 def daily_peak_by_zone(data: TripData) -> DataFrame:
     """Per origin zone: the busiest day's trips and the earliest such day."""
-    z = data.zoned(how="left").filter(F.col("origin_zone").isNotNull())
-    counts = z.groupBy(F.col("origin_zone").alias("zone"), "trip_date").agg(trip_count(z).alias("n_trips"))
+    z = data.departures(known_dest=False)
+    counts = z.groupBy("zone", "trip_date").agg(trip_count(z).alias("n_trips"))
     return _peak(counts, ["zone"])

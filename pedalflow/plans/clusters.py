@@ -10,16 +10,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.broadcast import bounded_broadcast
 from .data import TripData
+from .flows import od_weekday_counts
 
 
 def station_points(data: TripData) -> DataFrame:
@@ -32,19 +33,44 @@ def station_points(data: TripData) -> DataFrame:
 
 
 def _standardised(points: DataFrame, features: Sequence[str]) -> DataFrame:
-    clean = points.dropna(subset=list(features))
+    clean = points.dropna(subset=list(features))  # the others are a group of their own
     vec = VectorAssembler(inputCols=list(features), outputCol="features").transform(clean)
     scaler = StandardScaler(inputCol="features", outputCol="standardized", withMean=True, withStd=True)
     return scaler.fit(vec).transform(vec)
 
 
+#: Group of the stations that cannot be placed: a coordinate is unknown.
+NO_COORDINATES = -1
+
+
+def standardised_points(points: DataFrame, features: Sequence[str] = ("x", "y")) -> DataFrame:
+    """The features that the clustering sees: ``(x - mean) / sample stddev`` per column."""
+    scaled = _standardised(points, features)
+    z = vector_to_array("standardized")
+    return scaled.select("station", *[z[i].alias(f"{f}_std") for i, f in enumerate(features)])
+
+
 def station_clusters(
     points: DataFrame, k: int = 4, seed: int = 1, features: Sequence[str] = ("x", "y")
 ) -> DataFrame:
-    """``(station, cluster)`` from k-means on standardised features (K1)."""
+    """``(station, cluster)`` from k-means on standardised features (K1).  Stations without
+    coordinates are kept as a group of their own, ``NO_COORDINATES``."""
     scaled = _standardised(points, features)
     model = KMeans(featuresCol="standardized", predictionCol="cluster", k=k, seed=seed).fit(scaled)
-    return model.transform(scaled).select("station", F.col("cluster").cast("int").alias("cluster"))
+    placed = model.transform(scaled).select("station", F.col("cluster").cast("int").alias("cluster"))
+    unplaced = F.lit(False)
+    for f in features:
+        unplaced = unplaced | F.col(f).isNull() | F.isnan(f)
+    return placed.union(points.filter(unplaced).select("station", F.lit(NO_COORDINATES).alias("cluster")))
+
+
+def silhouette_of(points: DataFrame, group: str, features: Sequence[str] = ("x", "y")) -> DataFrame:
+    """``(silhouette)`` of a given grouping (an int column of ``points``) over the standardised features."""
+    evaluator = ClusteringEvaluator(
+        predictionCol=group, featuresCol="standardized", metricName="silhouette", distanceMeasure="squaredEuclidean"
+    )
+    scaled = _standardised(points.filter(F.col(group).isNotNull()), features)
+    return points.sparkSession.createDataFrame([(float(evaluator.evaluate(scaled)),)], "silhouette double")
 
 
 def silhouette_by_k(
@@ -72,7 +98,7 @@ def silhouette_by_k(
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(ks)))) as pool:
-            scores = list(pool.map(score, ks))
+            scores = list(pool.map(inheritable_thread_target(points.sparkSession)(score), ks))
     finally:
         scaled.unpersist()
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("silhouette", T.DoubleType())])
@@ -80,14 +106,18 @@ def silhouette_by_k(
 
 
 def cluster_od_counts(data: TripData, clusters: DataFrame) -> DataFrame:
-    """Trips per (start station group, end station group, weekday) (K3)."""
-    groups = bounded_broadcast(clusters.select("station", "cluster"))
+    """Trips per (start station group, end station group, weekday) (K3).
+
+    Trips are counted per station pair and weekday first (D5, combined map-side), so the
+    group lookups join those counts, not trips.
+    """
+    groups = clusters.select("station", "cluster")
     o = groups.select(F.col("station").alias("unplug_station"), F.col("cluster").alias("origin_group"))
     d = groups.select(F.col("station").alias("plug_station"), F.col("cluster").alias("dest_group"))
     return (
-        data.dated()
+        od_weekday_counts(data)
         .join(o, "unplug_station")
         .join(d, "plug_station")
         .groupBy("origin_group", "dest_group", "dayofweek")
-        .agg(F.count(F.lit(1)).alias("n_trips"))
+        .agg(F.sum("n_trips").alias("n_trips"))
     )

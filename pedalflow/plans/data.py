@@ -25,8 +25,8 @@ class TripData:
     # n(origin zone rows) x n(destination zone rows), the number the studied code got by
     # joining coordinates per station row (S2), computed without the fan-out.
     weighting: str = "trips"
-    # Optional daily zone-pair cube (see ``with_zone_cube``): when set, ``zoned()``
-    # serves the zone studies from it instead of scanning the trips.
+    # Optional daily zone cube (see ``with_zone_cube``): when set, the zone studies
+    # are served from it instead of scanning the trips.
     cube: DataFrame | None = field(default=None, repr=False, compare=False)
     _memo: dict = field(default_factory=dict, repr=False, compare=False)
 
@@ -73,17 +73,23 @@ class TripData:
         if shuffle_partitions:
             spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
         try:
-            # No repartition by (year, month): a hot month would land in one task.  Each
-            # task sorts its own rows by partition value and writes one file per month it holds.
-            t.write.mode("overwrite").partitionBy("year", "month").parquet(path)
+            # Rebalancing by month lets AQE give a hot month to several tasks and pack small
+            # months together: about one file per 64 MB instead of one per task and month.
+            t.hint("rebalance", "year", "month").write.mode("overwrite").partitionBy("year", "month").parquet(path)
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", before)
         # Same stations and options (weighting, broadcast bound, checked dimensions); no cube yet.
-        return replace(self, trips=spark.read.parquet(path), cube=None, _memo=dict(self._memo))
+        kept = {k: v for k, v in self._memo.items() if k != "counted"}
+        return replace(self, trips=spark.read.parquet(path), cube=None, _memo=kept)
 
     def dated(self, extended: bool = False) -> DataFrame:
-        """Trips with calendar columns (L1)."""
-        return with_calendar(self.trips, extended=extended)
+        """Trips with calendar columns (L1).  Trips without a valid date take part in no
+        study; ``undated`` has them and ``lost_rows`` counts them."""
+        return with_calendar(self.trips.filter(F.col("trip_date").isNotNull()), extended=extended)
+
+    def undated(self) -> DataFrame:
+        """Trips set aside because they have no valid date."""
+        return self.trips.filter(F.col("trip_date").isNull()).withColumn("reason", F.lit("no_date"))
 
     def dims_bounded(self) -> bool:
         """Whether the station rows are proven small enough to broadcast.
@@ -92,92 +98,99 @@ class TripData:
         rows, so they never have more rows: one check covers both.
         """
         if "bounded" not in self._memo:
-            self._memo["bounded"] = is_bounded(self.stations, self.max_broadcast_rows)
+            self._memo["bounded"] = is_bounded(self.stations.select("station", "zone"), self.max_broadcast_rows)
         return self._memo["bounded"]
 
     def _dim(self, df: DataFrame) -> DataFrame:
-        # A proven-small dimension is also kept in memory: every study joins it, and
-        # rebuilding it (an aggregate over the station rows) per study is pure overhead.
-        # Lost cache blocks are recomputed from the station rows.
-        return F.broadcast(df.cache()) if self.dims_bounded() else df
+        return F.broadcast(df) if self.dims_bounded() else df
 
     def station_lookup(self) -> DataFrame:
         """Station number -> zone, broadcast-hinted when the station rows are proven small."""
-        if "lookup" not in self._memo:
-            self._memo["lookup"] = self._dim(station_map(self.stations))
-        return self._memo["lookup"]
+        return self._dim(station_map(self.stations))
+
+    def centroids(self) -> DataFrame:
+        """One row per zone (mean coordinate, station rows)."""
+        return self._dim(zone_centroids(self.stations))
 
     def zoned(self, how: str = "inner") -> DataFrame:
-        """Dated trips with ``origin_zone`` / ``dest_zone`` (L2/L3 without the coordinate fan-out).
-
-        With a zone cube (``with_zone_cube``) the rows come from the cube.  Otherwise
-        they are trips.  Count-based studies sum the weight column ``w`` when it is
-        present (``operators.stats.trip_count``); besides the cube it appears in two cases:
-
-        * ``weighting='station_pairs'`` (inner only): ``w`` = n(origin zone rows) x
-          n(destination zone rows), the as-coded count of each trip (S2);
-        * station rows beyond the broadcast bound: the lookups become shuffle
-          joins, so trips are first collapsed to one row per (start station, end
-          station, day) with ``w`` = trips, combined map-side.  The joins then move
-          those rows instead of every trip, and a hot station is one row per day
-          before it reaches a join.  Such a frame only carries the station,
-          calendar and zone columns, which is all the zone studies read.
+        """Dated trips with ``origin_zone`` / ``dest_zone``: one row per trip with every trip
+        column, however many stations there are (L2/L3 without the coordinate fan-out)."""
+        return zone_trips(self.dated(), self.station_lookup(), how=how, prepared=True)
+
+    def counted(self, how: str = "inner") -> DataFrame:
+        """What the count-based studies read: calendar columns, ``origin_zone``, ``dest_zone``
+        and the number of trips ``w`` of a row (or their as-coded weight, S2).
+
+        With a broadcast station lookup a row is a trip.  With a shuffle join, trips are
+        first collapsed per (start station, end station, day), combined map-side, so the
+        joins move those rows and a hot station is one row per day and partner before it
+        reaches a join.  The columns are the same.
         """
-        if self.cube is not None:
-            z = self.cube if how == "left" else self.cube.filter(
-                F.col("origin_zone").isNotNull() & F.col("dest_zone").isNotNull()
-            )
-            return self._weigh(z, how)
-        dated = self.dated()
-        if not self.dims_bounded():
-            keys = ["unplug_station", "plug_station", "trip_date", "dayofweek", "month", "weekofyear", "year"]
+        keys = ["unplug_station", "plug_station", "trip_date", "dayofweek", "month", "weekofyear", "year"]
+        dated = self.dated().select(*keys)
+        if self.dims_bounded():
+            dated = dated.withColumn("w", F.lit(1).cast("long"))
+        else:
             dated = dated.groupBy(*keys).agg(F.count(F.lit(1)).alias("w"))
-        return self._weigh(zone_trips(dated, self.station_lookup(), how=how, prepared=True), how)
-
-    def _weigh(self, z: DataFrame, how: str) -> DataFrame:
-        if self.weighting == "trips" or how != "inner":
-            return z
-        if self.weighting != "station_pairs":
+        z = zone_trips(dated, self.station_lookup(), how=how, prepared=True)
+        if how == "inner" and self.weighting == "station_pairs":
+            z = self._weigh(z)
+        elif self.weighting not in ("trips", "station_pairs"):
             raise ValueError(f"unknown weighting {self.weighting!r}")
+        return z.select("trip_date", "dayofweek", "month", "weekofyear", "year", "origin_zone", "dest_zone", "w")
+
+    def _weigh(self, z: DataFrame) -> DataFrame:
         n = self.centroids().select("zone", "n_stations")
-        weight = F.col("n_o") * F.col("n_d")
-        if "w" in z.columns:
-            weight = weight * F.col("w")
         return (
             z.join(n.select(F.col("zone").alias("origin_zone"), F.col("n_stations").alias("n_o")), "origin_zone")
             .join(n.select(F.col("zone").alias("dest_zone"), F.col("n_stations").alias("n_d")), "dest_zone")
-            .withColumn("w", weight)
-            .drop("n_o", "n_d")
+            .withColumn("w", F.col("w") * F.col("n_o") * F.col("n_d"))
         )
 
+    def departures(self, known_dest: bool = True) -> DataFrame:
+        """Trips by origin zone and day: calendar columns, ``zone``, ``w``.  ``known_dest``
+        leaves out trips whose end has no zone, as the zone studies do."""
+        calendar = ["trip_date", "dayofweek", "month", "weekofyear", "year"]
+        if self.cube is not None:
+            n = F.col("n_out" if known_dest else "n_out_any")
+            return self.cube.filter(n > 0).select(*calendar, "zone", n.alias("w"))
+        z = self.counted() if known_dest else self.counted(how="left").filter(F.col("origin_zone").isNotNull())
+        return z.select(*calendar, F.col("origin_zone").alias("zone"), "w")
+
     def with_zone_cube(self) -> "TripData":
-        """Aggregate the zoned trips once into a daily zone-pair cube and serve every
-        zone study from it.
-
-        The cube has one row per (day, origin zone, destination zone) with the
-        number of trips ``w`` (zones may be NULL: trips with an unknown end are kept,
-        as the daily peaks need them).  It is built by one scan, a broadcast (or,
-        beyond the bound, pre-collapsed) zone lookup and a map-side combined
-        aggregate, and checkpointed to the shared folder, so the weekday, week,
-        statistics, balance and peak studies each read days x zones^2 rows instead
-        of scanning the trips again.
+        """Aggregate the zoned trips once into a daily zone cube and serve every zone
+        study from it.
+
+        One row per (day, zone), so days x zones rows: departures and arrivals of trips
+        with both ends known (``n_out``, ``n_in``) and departures whatever the end
+        (``n_out_any``, for the daily peaks).  Trips are first summed per (day, origin,
+        destination) map-side, then both ends are counted; the cube is checkpointed to
+        the shared folder.
         """
         from ..session import ensure_checkpoint_dir
 
-        dated = self.dated()
-        if not self.dims_bounded():
-            keys = ["unplug_station", "plug_station", "trip_date", "dayofweek", "month", "weekofyear", "year"]
-            dated = dated.groupBy(*keys).agg(F.count(F.lit(1)).alias("w"))
-        z = zone_trips(dated, self.station_lookup(), how="left", prepared=True)
-        count = F.sum("w") if "w" in z.columns else F.count(F.lit(1))
-        cube = z.groupBy("trip_date", "dayofweek", "month", "weekofyear", "year", "origin_zone", "dest_zone").agg(
-            count.cast("long").alias("w")
-        )
         ensure_checkpoint_dir(self.trips.sparkSession)
+        calendar = ["trip_date", "dayofweek", "month", "weekofyear", "year"]
+        zones = ["origin_zone", "dest_zone"]
+        plain = self.counted(how="left").groupBy(*calendar, *zones).agg(F.sum("w").alias("n"))
+        both = F.col("origin_zone").isNotNull() & F.col("dest_zone").isNotNull()
+        if self.weighting == "station_pairs":
+            size = self.centroids().select("zone", "n_stations")
+            weigh = {c: size.select(F.col("zone").alias(c), F.col("n_stations").alias(f"n_{c}")) for c in zones}
+            plain = plain.join(weigh["origin_zone"], "origin_zone", "left").join(weigh["dest_zone"], "dest_zone", "left")
+            known = F.when(both, F.col("n") * F.col("n_origin_zone") * F.col("n_dest_zone")).otherwise(0)
+        else:
+            known = F.when(both, F.col("n")).otherwise(0)
+        zero = F.lit(0).cast("long")
+        known = known.cast("long")
+        ends = F.array(
+            F.struct(F.col("origin_zone").alias("zone"), known.alias("n_out"), zero.alias("n_in"), F.col("n").alias("n_out_any")),
+            F.struct(F.col("dest_zone").alias("zone"), zero.alias("n_out"), known.alias("n_in"), zero.alias("n_out_any")),
+        )
+        cube = (
+            plain.select(*calendar, F.inline(ends))
+            .filter(F.col("zone").isNotNull())
+            .groupBy(*calendar, "zone")
+            .agg(*[F.sum(c).alias(c) for c in ("n_out", "n_in", "n_out_any")])
+        )
         return replace(self, cube=cube.checkpoint(eager=True), _memo=dict(self._memo))
-
-    def centroids(self) -> DataFrame:
-        """One row per zone (mean coordinate, station rows), size-checked once."""
-        if "centroids" not in self._memo:
-            self._memo["centroids"] = self._dim(zone_centroids(self.stations))
-        return self._memo["centroids"]

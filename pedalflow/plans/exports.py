@@ -9,13 +9,13 @@ a Spark job over the whole table, so the work grows with the data.
 from __future__ import annotations
 
 import os
-import uuid
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from ..sources.drift import schema_drift
+from ..sources.drift import drift_of_lines
 from ..sources.proxy import proxy_trips, table
 from ..sources.stations import (
     read_station_points_kml,
@@ -23,12 +23,13 @@ from ..sources.stations import (
     read_stations_csv,
     station_rows,
 )
-from ..sources.trips import good_rows, normalise_trips, read_trips_json
-from ..schema import STATION_CSV_COLUMNS
+from ..sources.trips import good_rows, normalise_trips, parse_trip_lines, read_trips_json
+from ..schema import CORRUPT_COLUMN, STATION_CSV_COLUMNS
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    return os.path.join(ensure_checkpoint_dir(spark), "exports", f"{name}-{uuid.uuid4().hex}")
+def _export(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Where an export of these tables is written: one place per source folder, overwritten by the next call."""
+    return os.path.join(ensure_checkpoint_dir(spark), "exports", f"{name}-{zlib.crc32(sf_dir.encode()):08x}")
 
 
 def trips_as_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +61,7 @@ def trips_as_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the trips as NDJSON files and load them with the declared schema (A1, A4)."""
-    path = _scratch(spark, "trips-json")
+    path = _export(spark, sf_dir, "trips-json")
     trips_as_json_records(spark, sf_dir).drop("_year").write.mode("overwrite").json(path)
     trips = normalise_trips(good_rows(read_trips_json(spark, path, with_source=False)))
     return trips.select(
@@ -69,69 +70,52 @@ def json_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _as_lines(rec: DataFrame, *others: str):
+    """The records as JSON lines (``value``); ``others`` are columns that are kept beside the line."""
+    fields = [F.col(f"`{c}`") for c in rec.columns if c not in others]
+    return rec.select(*others, F.to_json(F.struct(*fields)).alias("value"))
+
+
 def quarantine_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two export folders -- the trips as written, and the same lines cut in half
-    (every line malformed) -- read in one pass; good and quarantined lines per
-    folder (A7).  ``(part, n_good, n_quarantined)``.
+    """The trips as export lines, and the same lines cut in half (every line malformed); good
+    and quarantined lines per part (A7).  ``(part, n_good, n_quarantined)``.
 
-    Both folders come from one partitioned text write: each trip's JSON line is
-    built once and emitted intact and cut.
+    Each line is built once, goes intact and cut through the reader's parser, and is
+    counted in one aggregate.
     """
-    from ..sources.trips import quarantine
-
-    root = _scratch(spark, "trips-quarantine")
-    rec = trips_as_json_records(spark, sf_dir).drop("_year")
-    line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rec.columns]))
-    halves = F.expr("substring(line, 1, length(line) div 2)")
-    (
-        rec.select(line.alias("line"))
-        .select(
-            F.inline(
-                F.array(
-                    F.struct(F.lit("clean").alias("part"), F.col("line").alias("value")),
-                    F.struct(F.lit("damaged").alias("part"), halves.alias("value")),
-                )
+    lines = _as_lines(trips_as_json_records(spark, sf_dir).drop("_year"))
+    halves = F.expr("substring(value, 1, length(value) div 2)")
+    both = lines.select(
+        F.inline(
+            F.array(
+                F.struct(F.lit("clean").alias("part"), F.col("value")),
+                F.struct(F.lit("damaged").alias("part"), halves.alias("value")),
             )
         )
-        .write.mode("overwrite")
-        .partitionBy("part")
-        .text(root)
     )
-    raw = read_trips_json(spark, root)
-    part = F.regexp_extract("source_file", r"/part=(clean|damaged)/[^/]*$", 1)
-    good = good_rows(raw).groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n_good"))
-    bad = quarantine(raw).groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n_quarantined"))
-    return good.join(bad, "part", "full_outer").select(
-        "part",
-        F.coalesce("n_good", F.lit(0)).alias("n_good"),
-        F.coalesce("n_quarantined", F.lit(0)).alias("n_quarantined"),
+    bad = F.col(CORRUPT_COLUMN).isNotNull()
+    return parse_trip_lines(both).groupBy("part").agg(
+        F.count_if(~bad).alias("n_good"), F.count_if(bad).alias("n_quarantined")
     )
 
 
 def schema_drift_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two export folders whose columns drift -- trips before 1998 without ``track``, later
-    ones with it -- and the per-folder column report (A6, L22).
+    """Export lines whose columns drift -- trips before 1998 without ``track``, later ones with
+    it, and one file of cut lines -- and the column report per file (A6, L22).
 
-    Both folders come from one partitioned write: ``track`` is NULL for the early
-    trips, and NULL fields are left out of the JSON lines.
+    NULL fields are left out of JSON lines.
     """
-    root = _scratch(spark, "trips-drift")
     rec = trips_as_json_records(spark, sf_dir)
     late = F.col("_year") >= 1998
-    (
-        rec.withColumn("part", F.when(late, "late").otherwise("early"))
-        .withColumn(
-            "track",
-            F.when(late, F.struct(F.col("idunplug_station").alias("from"), F.col("idplug_station").alias("to"))),
-        )
-        .drop("_year")
-        .write.mode("overwrite")
-        .partitionBy("part")
-        .json(root)
+    rec = rec.withColumn("source_file", F.when(late, "late").otherwise("early")).withColumn(
+        "track", F.when(late, F.struct(F.col("idunplug_station").alias("from"), F.col("idplug_station").alias("to")))
+    )
+    lines = _as_lines(rec.drop("_year"), "source_file")
+    cut = lines.filter("source_file = 'late'").select(
+        F.lit("cut").alias("source_file"), F.expr("substring(value, 1, length(value) div 2)").alias("value")
     )
-    report = schema_drift(spark, root)  # both folders; works on any Hadoop-FS path
-    part = F.regexp_extract("source_file", r"/part=(early|late)/[^/]*$", 1)
-    return report.groupBy(part.alias("part"), "column").agg(F.sum("n_lines").alias("n_lines"))
+    report = drift_of_lines(lines.union(cut))
+    return report.withColumnRenamed("source_file", "part")
 
 
 def stations_as_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +147,7 @@ def stations_as_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_station_csv(spark: SparkSession, sf_dir: str) -> str:
     """Write the proxy station list as a header CSV under the checkpoint folder; return its path."""
-    path = _scratch(spark, "stations-csv")
+    path = _export(spark, sf_dir, "stations-csv")
     stations_as_csv_rows(spark, sf_dir).write.mode("overwrite").option("header", True).csv(path)
     return path
 
@@ -175,7 +159,7 @@ def csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def xml_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write station points as georss ``<item>`` XML and read them back."""
-    path = _scratch(spark, "stations-xml")
+    path = _export(spark, sf_dir, "stations-xml")
     sup = table(spark, sf_dir, "supplier")
     items = sup.select(
         F.col("s_name").alias("title"),
@@ -187,7 +171,7 @@ def xml_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kml_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write station points as KML ``<Placemark>`` rows and read them back."""
-    path = _scratch(spark, "stations-kml")
+    path = _export(spark, sf_dir, "stations-kml")
     sup = table(spark, sf_dir, "supplier")
     marks = sup.select(
         F.col("s_name").alias("name"),

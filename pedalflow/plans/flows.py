@@ -22,8 +22,8 @@ def _both_directions(df: DataFrame, out_col: str, in_col: str, keys: Sequence[st
     """Rows ``(*keys, place, is_out, is_in)``: one per trip end (weighted by ``w`` if present)."""
     one = F.col("w") if "w" in df.columns else F.lit(1)
     ends = F.array(
-        F.struct(F.col(out_col).alias("place"), one.alias("is_out"), F.lit(0).alias("is_in")),
-        F.struct(F.col(in_col).alias("place"), F.lit(0).alias("is_out"), one.alias("is_in")),
+        F.struct(F.col(out_col).alias("place"), one.cast("long").alias("is_out"), F.lit(0).cast("long").alias("is_in")),
+        F.struct(F.col(in_col).alias("place"), F.lit(0).cast("long").alias("is_out"), one.cast("long").alias("is_in")),
     )
     return df.select(*keys, F.inline(ends))
 
@@ -35,14 +35,18 @@ def zone_balance(data: TripData, how: str = "inner", years: Sequence[int] | None
     ``how='inner'`` keeps zones with both departures and arrivals in that year
     (S10); ``how='full_outer'`` keeps every zone with 0 for a missing side.
     """
-    z = data.zoned()
+    z = data.cube if data.cube is not None else data.counted()
     if years is not None:
         z = z.filter(F.col("year").isin([int(y) for y in years]))
-    ends = _both_directions(z, "origin_zone", "dest_zone", ["year"])
-    counts = ends.groupBy("year", F.col("place").alias("zone")).agg(
-        F.sum("is_out").cast("long").alias("n_out"),
-        F.sum("is_in").cast("long").alias("n_in"),
-    )
+    if data.cube is None:
+        # trips are summed per zone pair first; only those sums are turned into two ends
+        pairs = z.groupBy("year", "origin_zone", "dest_zone").agg(F.sum("w").alias("w"))
+        z = _both_directions(pairs, "origin_zone", "dest_zone", ["year"]).select(
+            "year", F.col("place").alias("zone"), F.col("is_out").alias("n_out"), F.col("is_in").alias("n_in")
+        )
+    counts = z.groupBy("year", "zone").agg(
+        F.sum("n_out").cast("long").alias("n_out"), F.sum("n_in").cast("long").alias("n_in")
+    ).filter((F.col("n_out") > 0) | (F.col("n_in") > 0))
     if how == "inner":
         counts = counts.filter((F.col("n_out") > 0) & (F.col("n_in") > 0))
     elif how != "full_outer":

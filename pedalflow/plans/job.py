@@ -2,14 +2,14 @@
 
     python -m pedalflow.plans.job --stations stations.csv --out results/ trips/2017-*.json trips/2018-*.json
 
-The exports are parsed once (kept on executor disk while the quarantine and
-the trip table are written, so the costly JSON parse is not repeated), then
-de-duplicated and written as year/month-partitioned Parquet under ``<out>/trips``.
-One scan of that table builds the daily zone-pair cube (``TripData.with_zone_cube``)
-from which all zone studies are answered; the station and rider studies scan
-the trip table.  Each study writes its chart-ready table under ``<out>/<study>``,
-partitioned by year where it has one.  The
-malformed input lines go to ``<out>/quarantine``.
+The exports are parsed once, in one write to ``<out>/parsed`` with a folder each for
+good, malformed and undated records.  The good ones are de-duplicated and written as
+year/month-partitioned Parquet under ``<out>/trips``; the others go to
+``<out>/quarantine`` with the reason.  If a zone study is asked for, one scan of the
+trip table builds the daily zone cube (``TripData.with_zone_cube``) from which all
+zone studies are answered; the station and rider studies scan the trip table.  Each
+study writes its chart-ready table under ``<out>/<study>``, partitioned by year where
+it has one.
 """
 
 from __future__ import annotations
@@ -18,12 +18,13 @@ import argparse
 import os
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..session import RUNTIME_CONF, ensure_checkpoint_dir
 from ..sources.sinks import write_quarantine, write_table
 from ..sources.stations import read_stations_csv, station_rows
-from ..sources.trips import quarantine, read_trips_json, trips_from_raw
+from ..sources.trips import QUARANTINE_REASON, read_trips_json, trips_from_raw, with_reason
 from . import calendar_studies as cal
 from . import flows, riders, zone_stats
 from .data import TripData
@@ -51,6 +52,13 @@ STUDIES: dict[str, Study] = {
 }
 
 
+# Studies that read the daily zone cube.
+ZONE_STUDIES = frozenset(
+    "trips_by_weekday_year trips_by_weekday_year_by_zone trips_by_week_year zone_stats zone_stats_weekend "
+    "zone_stats_season zone_extremes zone_balance daily_peak_by_zone".split()
+)
+
+
 def run_studies(
     spark: SparkSession,
     trip_paths: Sequence[str],
@@ -64,17 +72,23 @@ def run_studies(
     parse_partitions: int | None = None,
 ) -> dict[str, str]:
     """Run the studies; returns ``{study: output path}``."""
-    raw = read_trips_json(spark, trip_paths, parse_partitions=parse_partitions).persist(StorageLevel.DISK_ONLY)
-    try:
-        write_quarantine(quarantine(raw), os.path.join(out, "quarantine"))
-        loaded = TripData(trips_from_raw(raw), station_rows(read_stations_csv(spark, station_csv), match=match))
-        data = loaded.materialise(os.path.join(out, "trips"), shuffle_partitions=dedupe_partitions)
-    finally:
-        raw.unpersist()
-    # One more scan builds the daily zone-pair cube; every zone study then reads the cube.
-    data = data.with_zone_cube()
+    for key, value in RUNTIME_CONF.items():
+        spark.conf.set(key, value)
+    names = list(studies or STUDIES)
+    ensure_checkpoint_dir(spark)  # a missing setting fails here, not after the load
+    raw = with_reason(read_trips_json(spark, trip_paths, parse_partitions=parse_partitions))
+    parsed = os.path.join(out, "parsed")
+    raw.write.mode("overwrite").partitionBy(QUARANTINE_REASON).parquet(parsed)
+    raw = spark.read.schema(raw.schema).parquet(parsed)
+    bad = F.col(QUARANTINE_REASON) != "good"
+    write_quarantine(raw.filter(bad), os.path.join(out, "quarantine"))
+    good = raw.filter(~bad).drop(QUARANTINE_REASON)
+    loaded = TripData(trips_from_raw(good), station_rows(read_stations_csv(spark, station_csv), match=match))
+    data = loaded.materialise(os.path.join(out, "trips"), shuffle_partitions=dedupe_partitions)
+    if ZONE_STUDIES.intersection(names):
+        data = data.with_zone_cube()  # one more scan; every zone study then reads the cube
     written = {}
-    for name in studies or STUDIES:
+    for name in names:
         df = STUDIES[name](data, years)
         path = os.path.join(out, name)
         write_table(df, path, partition_by=["year"] if "year" in df.columns else [], fmt=fmt)

@@ -11,15 +11,23 @@ from __future__ import annotations
 
 BASE = """
 WITH nsup AS (SELECT count(*) AS s FROM supplier),
+ends AS (
+  SELECT *, CASE WHEN l_suppkey % 10 = 5 THEN l_suppkey + 1 ELSE l_suppkey END AS u,
+         l_partkey % (nsup.s + nsup.s // 10) AS p, CAST(l_shipdate AS DATE) AS d0
+  FROM lineitem CROSS JOIN nsup),
+days AS (SELECT *, CASE WHEN u % 10 = 7 AND month(d0) <= 2 THEN d0 + 60 ELSE d0 END AS d1 FROM ends),
 trips AS (
-  SELECT l_orderkey AS trip_id, l_returnflag AS user_type, l_linenumber AS age_range,
-         CAST(l_quantity AS BIGINT) AS travel_time, l_suppkey AS unplug_station,
-         l_partkey % (nsup.s + nsup.s // 10) AS plug_station,
+  SELECT l_orderkey AS trip_id, l_returnflag AS user_type, l_linenumber - 1 AS age_range,
+         CASE WHEN l_quantity <> 13 THEN CAST(l_quantity AS BIGINT) END AS travel_time, u AS unplug_station,
+         CASE WHEN p % 10 = 0 THEN p + 1 ELSE p END AS plug_station,
          l_linestatus AS unplug_base, l_linestatus AS plug_base,
-         CAST(l_shipdate AS DATE) AS trip_date, CAST(hour(l_shipdate) AS INTEGER) AS trip_hour
-  FROM lineitem CROSS JOIN nsup),
+         CASE WHEN year(d1) = 1995 AND dayofweek(d1) = 0 THEN d1 + 1 ELSE d1 END AS trip_date,
+         CAST(hour(l_shipdate) AS INTEGER) AS trip_hour
+  FROM days),
 stations AS (
-  SELECT CAST(s_suppkey AS VARCHAR) AS station_key, s_suppkey AS station, n_name AS zone, r_name AS district,
+  SELECT CAST(s_suppkey AS VARCHAR) AS station_key, s_suppkey AS station,
+         CASE s_suppkey % 10 WHEN 0 THEN 'DEPARTURES ONLY' WHEN 5 THEN 'ARRIVALS ONLY' WHEN 7 THEN 'NO WINTER'
+              ELSE n_name END AS zone, r_name AS district,
          CAST(s_acctbal AS DOUBLE) AS lat, CAST(s_nationkey AS DOUBLE) AS lon
   FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey),
 smap AS (SELECT station, min(zone) AS zone FROM stations WHERE station IS NOT NULL GROUP BY station),
@@ -128,8 +136,13 @@ def _minmax(c: str) -> str:
             f"ELSE ({c} - min({c}) {w}) / (max({c}) {w} - min({c}) {w}) END, 6)")
 
 
-DRIFT_COLUMNS = ["_id", "user_day_code", "idplug_base", "idplug_station", "idunplug_base", "idunplug_station",
-                 "travel_time", "ageRange", "user_type", "unplug_hourTime", "zip_code"]
+# Columns of an export and the JSON types they are written with.
+DRIFT_COLUMNS = {
+    "_id": "OBJECT<`$oid`: STRING>", "user_day_code": "STRING", "idplug_base": "BIGINT", "idplug_station": "BIGINT",
+    "idunplug_base": "BIGINT", "idunplug_station": "BIGINT", "travel_time": "BIGINT", "ageRange": "BIGINT",
+    "user_type": "BIGINT", "unplug_hourTime": "OBJECT<`$date`: STRING>", "zip_code": "STRING",
+    "track": "OBJECT<from: BIGINT, to: BIGINT>",
+}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -258,6 +271,76 @@ SELECT CASE WHEN o.station IS NULL AND p.station IS NULL THEN 'no_origin_no_dest
             ELSE 'kept' END AS reason, count(*) AS n_trips
 FROM trips t LEFT JOIN smap o ON t.unplug_station = o.station LEFT JOIN smap p ON t.plug_station = p.station
 GROUP BY 1"""
+    holes = BASE + """
+, htrips AS (SELECT * REPLACE (CASE WHEN travel_time = 7 THEN NULL ELSE trip_date END AS trip_date) FROM trips)
+, hmap AS (SELECT station, zone FROM smap WHERE station % 10 <> 3)
+, hzoned AS (SELECT d.*, o.zone AS origin_zone, p.zone AS dest_zone FROM dated d JOIN hmap o ON d.unplug_station = o.station
+             JOIN hmap p ON d.plug_station = p.station WHERE d.travel_time IS DISTINCT FROM 7)
+, hcentroids AS (SELECT zone, avg(lat) AS lat, avg(lon) AS lon FROM stations WHERE station % 10 <> 3 GROUP BY zone)
+"""
+    q["lost_rows_null_zone"] = holes + """
+SELECT CASE WHEN t.trip_date IS NULL THEN 'no_date' WHEN o.station IS NULL AND p.station IS NULL THEN 'no_origin_no_destination'
+            WHEN o.station IS NULL THEN 'no_origin' WHEN p.station IS NULL THEN 'no_destination'
+            ELSE 'kept' END AS reason, count(*) AS n_trips
+FROM htrips t LEFT JOIN hmap o ON t.unplug_station = o.station LEFT JOIN hmap p ON t.plug_station = p.station
+GROUP BY 1"""
+    q["undated_trips"] = holes + """
+SELECT trip_id, age_range, unplug_station, plug_station, 'no_date' AS reason FROM htrips WHERE trip_date IS NULL"""
+    q["zone_balance_null_zone"] = (
+        holes + BALANCE.replace("FROM zoned", "FROM hzoned")
+        + f"SELECT {BALANCE_COLS} FROM b LEFT JOIN hcentroids ce USING (zone)"
+    )
+    q["zone_stats_null_zone_from_cube"] = (
+        holes + _stats(None, "dayofweek", src="hzoned") + _stats_select(False).replace("JOIN centroids", "JOIN hcentroids")
+    )
+    q["trips_by_weekday_one_zone"] = BASE + f"""
+SELECT dayofweek, count(*) FILTER (WHERE year = 1996) AS "1996", count(*) FILTER (WHERE year = 1998) AS "1998",
+       {WEEKDAY_LIST}[dayofweek] AS weekday_name
+FROM zoned WHERE origin_zone = 'NO WINTER' GROUP BY dayofweek
+HAVING count(*) FILTER (WHERE year = 1996) > 0 AND count(*) FILTER (WHERE year = 1998) > 0"""
+    chosen = "SELECT origin_zone FROM zoned GROUP BY origin_zone ORDER BY md5(origin_zone || '7'), origin_zone LIMIT 1"
+    q["trips_by_weekday_random_zone"] = (
+        BASE + f", zoned_k AS (SELECT * FROM zoned WHERE origin_zone IN ({chosen}))\n"
+        + _pivot("dayofweek", inner=False, names=True)
+    )
+    q["zone_stats_two_years"] = (
+        BASE + ", two_years AS (SELECT * FROM zoned WHERE year IN (1997, 1999))" + _stats(None, "dayofweek", src="two_years")
+        + _stats_select(False)
+    )
+    q["zone_balance_one_year"] = (
+        BASE + BALANCE + f"SELECT {BALANCE_COLS} FROM b LEFT JOIN centroids ce USING (zone) WHERE year = 2000"
+    )
+    q["od_listed_stations"] = BASE + """
+SELECT unplug_station, dayofweek, plug_station, count(*) AS n_trips FROM dated
+WHERE plug_station IN (1, 2, 3, 6, 8) GROUP BY ALL"""
+    q["zone_trips_normalised_keys"] = BASE + """
+, listed AS (SELECT s_suppkey AS station, n_name AS zone FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+SELECT o.zone AS origin_zone, p.zone AS dest_zone, count(*) AS n_trips
+FROM trips t JOIN listed o ON t.unplug_station = o.station JOIN listed p ON t.plug_station = p.station GROUP BY 1, 2"""
+    q["union_by_name"] = BASE + """
+SELECT trip_id, age_range, strftime(trip_date, '%Y-%m-%d') AS trip_date,
+       CASE WHEN year(trip_date) >= 1998 THEN trip_id * 2 END AS track
+FROM trips"""
+    q["result_sink"] = q["zone_balance"]
+    points = """
+WITH m AS (SELECT avg(p_size) AS mx, stddev_samp(p_size) AS sx, avg(p_retailprice) AS my, stddev_samp(p_retailprice) AS sy
+           FROM part),
+pts AS (SELECT p_partkey AS station, CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS INTEGER) AS g,
+               (p_size - mx) / sx AS x, (p_retailprice - my) / sy AS y
+        FROM part CROSS JOIN m)
+"""
+    q["standardised_points"] = points + "SELECT station, round(x, 6) AS x_std, round(y, 6) AS y_std FROM pts"
+    # squared Euclidean silhouette: the mean squared distance of a point to a group from the group's sums
+    q["silhouette_of_brands"] = points + """
+, s AS (SELECT g, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x + y * y) AS q FROM pts GROUP BY g),
+dist AS (SELECT p.station, p.g AS own, s.g, s.n,
+                x * x + y * y + s.q / s.n - 2 * (x * s.sx + y * s.sy) / s.n AS d
+         FROM pts p CROSS JOIN s),
+ab AS (SELECT station, max(CASE WHEN own = g THEN n END) AS n,
+              max(CASE WHEN own = g AND n > 1 THEN d * n / (n - 1) END) AS a, min(CASE WHEN own <> g THEN d END) AS b
+       FROM dist GROUP BY station)
+SELECT round(avg(CASE WHEN n = 1 THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0.0 END), 6) AS silhouette
+FROM ab"""
     q["lost_rows_exact_keys"] = BASE + """
 , exact AS (SELECT s_suppkey AS station FROM supplier WHERE s_suppkey % 7 <> 0)
 SELECT CASE WHEN o.station IS NULL AND p.station IS NULL THEN 'no_origin_no_destination'
@@ -287,15 +370,16 @@ SELECT origin_zone AS zone FROM zoned GROUP BY origin_zone ORDER BY md5(origin_z
 SELECT 'clean' AS part, count(*) AS n_good, CAST(0 AS BIGINT) AS n_quarantined FROM lineitem
 UNION ALL
 SELECT 'damaged' AS part, CAST(0 AS BIGINT) AS n_good, count(*) AS n_quarantined FROM lineitem"""
-    early = " UNION ALL ".join(f"SELECT '{c}' AS col" for c in DRIFT_COLUMNS)
+    cols = ", ".join(f"('{c}', '{t}')" for c, t in DRIFT_COLUMNS.items())
     q["schema_drift"] = BASE + f"""
-, cols AS ({early})
-, late_cols AS (SELECT col FROM cols UNION ALL SELECT 'track')
-SELECT 'early' AS part, col AS "column", count(*) AS n_lines FROM trips CROSS JOIN cols
-WHERE year(trip_date) < 1998 GROUP BY col HAVING count(*) > 0
+, cols(col, types) AS (VALUES {cols})
+, lines AS (SELECT *, CASE WHEN year(trip_date) < 1998 THEN 'early' ELSE 'late' END AS part FROM trips)
+, files AS (SELECT part, count(*) AS n_file_lines, count(travel_time) AS n_timed FROM lines GROUP BY part)
+SELECT part, col AS "column", types, CASE WHEN col = 'travel_time' THEN n_timed ELSE n_file_lines END AS n_lines,
+       n_file_lines, false AS in_every_file
+FROM files CROSS JOIN cols WHERE col <> 'track' OR part = 'late'
 UNION ALL
-SELECT 'late' AS part, col AS "column", count(*) AS n_lines FROM trips CROSS JOIN late_cols
-WHERE year(trip_date) >= 1998 GROUP BY col HAVING count(*) > 0"""
+SELECT 'cut', '_corrupt_record', 'STRING', n_file_lines, n_file_lines, false FROM files WHERE part = 'late'"""
     q["csv_load"] = """
 SELECT CASE WHEN s_suppkey % 7 = 0 THEN printf('%03d a', s_suppkey) ELSE CAST(s_suppkey AS VARCHAR) END AS station_key,
        s_suppkey AS station, n_name AS zone, r_name AS district, round(s_acctbal, 6) AS lat,

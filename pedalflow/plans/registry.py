@@ -15,11 +15,12 @@ from pyspark.sql import types as T
 
 from ..functions.calendar import day_text, hour_of_text, iso_weekday, time_text, weekday_name, year_of_week
 from ..operators.zoning import lost_rows, station_pair_weighted_counts, zone_pair_counts
-from ..sources.proxy import event_hours, part_points
+from ..sources.proxy import event_hours, part_points, with_holes
+from ..sources.sinks import write_table
 from . import calendar_studies as cal
 from . import clusters, flows, riders, zone_stats
 from .data import TripData
-from .exports import csv_load, json_load, kml_load, quarantine_load, schema_drift_export, xml_load
+from .exports import _export, csv_load, json_load, kml_load, quarantine_load, schema_drift_export, xml_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,18 +38,15 @@ def finish(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-_DATA: dict[tuple[str, str], tuple[SparkSession, TripData]] = {}
+def _data(spark: SparkSession, sf_dir: str, weighting: str = "trips") -> TripData:
+    """The data set of a folder; every query measures and reads the tables as they are now."""
+    return TripData.from_proxy(spark, sf_dir, weighting=weighting)
 
 
-def _data(spark: SparkSession, sf_dir: str, weighting: str = "trips") -> TripData:
-    """One lazy dataset handle per session and folder: the frames are plans (every
-    query still scans its tables); the station size check and the small cached
-    dimensions are shared.  A new session (e.g. after ``stop()``) gets a new handle."""
-    held = _DATA.get((sf_dir, weighting))
-    if held is None or held[0] is not spark:
-        held = (spark, TripData.from_proxy(spark, sf_dir, weighting=weighting))
-        _DATA[(sf_dir, weighting)] = held
-    return held[1]
+def _holed(spark: SparkSession, sf_dir: str) -> TripData:
+    """The same with some dates and some zones unknown."""
+    d = _data(spark, sf_dir)
+    return TripData(*with_holes(d.trips, d.stations))
 
 
 def _q(fn, weighting: str = "trips") -> Query:
@@ -78,7 +76,31 @@ def _lost_rows_exact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = write_station_csv(spark, sf_dir)
     stations = station_rows(read_stations_csv(spark, path), match="exact")
-    return lost_rows(proxy_trips(spark, sf_dir), stations)
+    return lost_rows(proxy_trips(spark, sf_dir), stations, preaggregate=True)
+
+
+def _zone_trips_normalised_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips per zone pair when the suffixed station list is matched by its leading number
+    (S1 ``match='normalised'``, C10)."""
+    stations = csv_load(spark, sf_dir)
+    return zone_pair_counts(TripData(_data(spark, sf_dir).trips, stations).zoned())
+
+
+def _result_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone balance written as a result table, one folder per year, and read back."""
+    path = _export(spark, sf_dir, "zone-balance")
+    write_table(flows.zone_balance(_data(spark, sf_dir)), path, partition_by=["year"])
+    return spark.read.parquet(path)
+
+
+def _union_by_name(d: TripData) -> DataFrame:
+    """Two slices of which only the later one has ``track``: matched by name, NULL where missing."""
+    from ..sources.trips import union_by_name
+
+    t = d.trips.select("trip_id", "age_range", "trip_date")
+    late = F.year("trip_date") >= 1998
+    with_track = t.filter(late).select("trip_date", (F.col("trip_id") * 2).alias("track"), "age_range", "trip_id")
+    return union_by_name([t.filter(~late), with_track])
 
 
 def _hour_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,14 +117,15 @@ def _year_text(d: TripData) -> DataFrame:
 
 def _union_dedupe(d: TripData) -> DataFrame:
     """Two overlapping slices whose columns drift (the later one carries ``track``),
-    reconciled by name, drift column dropped, duplicates removed (G1, G2, D16, S12)."""
+    reconciled by name, drift column dropped, duplicates removed (G1, G2, D16, S12).
+    Trips without a date are part of the earlier slice."""
     from ..sources.trips import union_dedupe
 
     cols = ["trip_id", "user_type", "age_range", "travel_time", "unplug_station", "plug_station", "trip_date"]
     t = d.trips.select(*cols)
-    early = t.filter(F.year("trip_date") <= 1998)
+    early = t.filter((F.year("trip_date") <= 1998) | F.col("trip_date").isNull())
     late = t.filter(F.year("trip_date") >= 1998).withColumn("track", F.struct(F.col("trip_id").alias("id")))
-    return union_dedupe([early, late.drop("track")])
+    return union_dedupe([early, late]).drop("track").distinct()
 
 
 def _station_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,6 +204,30 @@ def queries() -> dict[str, Query]:
         "lost_rows": _q(
             lambda d: lost_rows(d.trips, d.station_lookup(), prepared=True, preaggregate=not d.dims_bounded())
         ),
+        # What the studies do with unknown dates and zones.
+        "lost_rows_null_zone": lambda spark, sf_dir: finish(
+            lost_rows(*(lambda d: (d.trips, d.stations))(_holed(spark, sf_dir)), preaggregate=True)
+        ),
+        "undated_trips": lambda spark, sf_dir: finish(
+            _holed(spark, sf_dir).undated().select("trip_id", "age_range", "unplug_station", "plug_station", "reason")
+        ),
+        "zone_balance_null_zone": lambda spark, sf_dir: finish(flows.zone_balance(_holed(spark, sf_dir))),
+        "zone_stats_null_zone_from_cube": lambda spark, sf_dir: finish(
+            zone_stats.zone_stats(_holed(spark, sf_dir).with_zone_cube(), "all")
+        ),
+        # Parameters.
+        "trips_by_weekday_one_zone": _q(lambda d: cal.trips_by_weekday_year(d, zone="NO WINTER", years=[1996, 1998])),
+        "trips_by_weekday_random_zone": _q(lambda d: cal.trips_by_weekday_year(d, zone="random", seed=7, how="outer")),
+        "zone_stats_two_years": _q(lambda d: zone_stats.zone_stats(d, "all", years=[1997, 1999])),
+        "zone_balance_one_year": _q(lambda d: flows.zone_balance(d, years=[2000])),
+        "od_listed_stations": _q(lambda d: flows.od_selected_stations(d, stations=[1, 2, 3, 6, 8])),
+        "zone_trips_normalised_keys": lambda spark, sf_dir: finish(_zone_trips_normalised_keys(spark, sf_dir)),
+        "union_by_name": _q(_union_by_name),
+        "result_sink": lambda spark, sf_dir: finish(_result_sink(spark, sf_dir)),
+        "standardised_points": lambda spark, sf_dir: finish(clusters.standardised_points(part_points(spark, sf_dir))),
+        "silhouette_of_brands": lambda spark, sf_dir: finish(
+            clusters.silhouette_of(part_points(spark, sf_dir), "brand")
+        ),
         "lost_rows_exact_keys": lambda spark, sf_dir: finish(_lost_rows_exact_keys(spark, sf_dir)),
         "union_dedupe": _q(_union_dedupe),
         "hour_text": lambda spark, sf_dir: finish(_hour_text(spark, sf_dir)),

@@ -31,7 +31,7 @@ def zone_stats(
 
     A bucket without trips yields no rows (E5).
     """
-    z = data.zoned().withColumnRenamed("origin_zone", "zone")
+    z = data.departures()
     if years is not None:
         z = z.filter(F.col("year").isin([int(y) for y in years]))
     if study == "all":

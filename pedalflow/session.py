@@ -26,12 +26,18 @@ DEFAULT_CONF = {
 }
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "pedalflow") -> SparkSession:
+# Those of them that an existing session takes (the batch job sets them on a cluster's session).
+RUNTIME_CONF = {k: v for k, v in DEFAULT_CONF.items() if k.startswith("spark.sql.adaptive.")}
+
+
+def local_session(
+    cores: str = "*", shuffle_partitions: int = 8, app: str = "pedalflow", driver_memory: str = "8g"
+) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", driver_memory)
     )
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)

@@ -1,6 +1,6 @@
-from .drift import schema_drift
-from .proxy import event_hours, part_points, proxy_stations, proxy_trips, table
-from .sinks import to_pandas_bounded, write_quarantine, write_table
+from .drift import drift_of_lines, schema_drift
+from .proxy import event_hours, part_points, proxy_stations, proxy_trips, table, with_holes
+from .sinks import to_pandas, write_quarantine, write_table
 from .stations import (
     read_station_points_kml,
     read_station_points_xml,
@@ -18,9 +18,11 @@ from .trips import (
     trips_from_raw,
     union_by_name,
     union_dedupe,
+    with_reason,
 )
 
 __all__ = [
+    "drift_of_lines",
     "event_hours",
     "good_rows",
     "load_trips",
@@ -39,9 +41,11 @@ __all__ = [
     "stations_from_rows",
     "table",
     "trips_from_raw",
-    "to_pandas_bounded",
+    "to_pandas",
     "union_by_name",
     "union_dedupe",
+    "with_holes",
+    "with_reason",
     "write_quarantine",
     "write_table",
 ]

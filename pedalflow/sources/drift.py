@@ -1,54 +1,58 @@
 """Schema-drift report over many JSON-lines files.
 
 Instead of one schema-inference job per file on the driver, every line is
-read as text once and its top-level keys are counted per file, so the report
-is a single distributed aggregate whatever the number of files.
+parsed once and its top-level keys and their types are counted per file, so the
+report is distributed whatever the number of files: one aggregate to a row per
+file, key and type, then small aggregates per file and per key joined back.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Marker counted once per line so the same aggregate also yields lines per file.
-_LINE = "\u0000line"
+CORRUPT = "_corrupt_record"
+# Counted once per line, so that the same aggregate also yields the lines of each file; type '' tells it from a key.
+_LINE = "(line)"
 
 
 def schema_drift(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Rows ``(source_file, column, n_lines, n_file_lines, in_every_file)``.
+    """``drift_of_lines`` over one or many JSON-lines files or folders (any Hadoop-FS path)."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    return drift_of_lines(spark.read.text(paths).withColumn("source_file", F.input_file_name()))
 
-    Malformed lines are reported under the column name ``_corrupt_record``.
-    One scan of the text feeds one aggregate (files x keys rows); the per-file
-    totals and the every-file flag are windows over that small result.
+
+def drift_of_lines(lines: DataFrame) -> DataFrame:
+    """``(source_file, column, types, n_lines, n_file_lines, in_every_file)`` from ``(source_file, value)``.
+
+    ``types`` lists the JSON types that the column has in that file.  Malformed lines are
+    reported under the column name ``_corrupt_record``; blank lines are skipped.
     """
-    if isinstance(paths, str):
-        paths = [paths]
-    lines = (
-        spark.read.text(list(paths))
-        .withColumn("source_file", F.input_file_name())
-        .filter(F.trim("value") != "")
+    parsed = lines.filter(F.trim("value") != "").select("source_file", F.try_parse_json("value").alias("doc"))
+    keys = lines.sparkSession.sql(
+        f"""
+        SELECT source_file, key AS column, schema_of_variant(value) AS type
+        FROM {{parsed}}, LATERAL variant_explode(doc)
+        UNION ALL
+        SELECT source_file, inline(array(struct('{_LINE}' AS column, '' AS type),
+                                         struct(if(doc IS NULL, '{CORRUPT}', NULL) AS column, 'STRING' AS type)))
+        FROM {{parsed}}
+        """,
+        parsed=parsed,
     )
-    keys = F.coalesce(F.json_object_keys("value"), F.array(F.lit("_corrupt_record")))
-    per_line = lines.select("source_file", F.explode(F.concat(keys, F.array(F.lit(_LINE)))).alias("column"))
-    counts = per_line.groupBy("source_file", "column").agg(F.count(F.lit(1)).alias("n_lines"))
-    by_file = Window.partitionBy("source_file")
-    by_column = Window.partitionBy("column")
-    everything = Window.partitionBy()
-    marker = F.col("column") == _LINE
-    report = counts.select(
-        "source_file",
-        "column",
-        "n_lines",
-        F.max(F.when(marker, F.col("n_lines"))).over(by_file).alias("n_file_lines"),
-        F.count(F.lit(1)).over(by_column).alias("n_files_with_column"),
-        F.size(F.collect_set(F.when(marker, F.col("source_file"))).over(everything)).alias("n_files"),
+    per_type = keys.filter("column IS NOT NULL").groupBy("source_file", "column", "type").agg(F.count("*").alias("n"))
+    # a key may be called like the marker, so that the type '' is part of the grouping
+    per_column = per_type.groupBy("source_file", "column", (F.col("type") == "").alias("marker")).agg(
+        F.sum("n").alias("n_lines"), F.array_join(F.sort_array(F.collect_set("type")), " | ").alias("types")
     )
-    return report.filter(~marker).select(
-        "source_file",
-        "column",
-        "n_lines",
-        "n_file_lines",
-        (F.col("n_files_with_column") == F.col("n_files")).alias("in_every_file"),
+    files = per_column.filter(F.col("types") == "").select("source_file", F.col("n_lines").alias("n_file_lines"))
+    columns = per_column.filter(F.col("types") != "")
+    n_files = files.select(F.count("*")).scalar()
+    spread = columns.groupBy("column").agg((F.count("*") == n_files).alias("in_every_file"))
+    return (
+        columns.join(files, "source_file")
+        .join(spread, "column")
+        .select("source_file", "column", "types", "n_lines", "n_file_lines", "in_every_file")
     )

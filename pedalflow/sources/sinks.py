@@ -27,19 +27,12 @@ def write_table(
     writer.save(path)
 
 
-def to_pandas_bounded(df: DataFrame, max_rows: int = 100_000):
-    """Bring a study result to the driver (A10) only when it is proven small.
-
-    Study results are aggregates (zones x years, weekdays x years, ...); a result
-    over ``max_rows`` rows means a raw table was passed by mistake, and it is
-    refused instead of being pulled through the driver.
-    """
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"result has more than {max_rows} rows; write it with write_table instead")
+def to_pandas(df: DataFrame):
+    """A study result on the driver (A10).  Results are aggregates (zones x years, weekdays x
+    years); raw tables are written with ``write_table`` instead."""
     return df.toPandas()
 
 
-def write_quarantine(raw_bad: DataFrame, path: str) -> None:
-    """Malformed input lines, kept as JSON for inspection."""
-    raw_bad.write.mode("overwrite").json(path)
+def write_quarantine(bad: DataFrame, path: str) -> None:
+    """Input set aside (malformed lines, trips without a date), kept as JSON for inspection."""
+    bad.write.mode("overwrite").json(path)

@@ -70,6 +70,17 @@ def quarantine(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col(CORRUPT_COLUMN).isNotNull()).select("source_file", CORRUPT_COLUMN)
 
 
+#: Why a raw row is set aside, or "good".
+QUARANTINE_REASON = "part"
+
+
+def with_reason(raw: DataFrame) -> DataFrame:
+    """Raw rows with ``part``: ``malformed`` lines, ``no_date`` records, or ``good``."""
+    dated = date_of_text(F.col("unplug_hourTime").getField("$date")).isNotNull()
+    reason = F.when(F.col(CORRUPT_COLUMN).isNotNull(), "malformed").when(~dated, "no_date").otherwise("good")
+    return raw.withColumn(QUARANTINE_REASON, reason)
+
+
 def normalise_trips(raw: DataFrame) -> DataFrame:
     """Canonical trip columns from the raw JSON layout.
 

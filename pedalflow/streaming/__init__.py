@@ -1,19 +1,3 @@
-from .ingest import (
-    daily_zone_counts_stream,
-    latest_daily_counts,
-    latest_zone_cube,
-    start_daily_counts,
-    start_zone_cube,
-    trip_stream,
-    zone_cube_stream,
-)
+from .ingest import landed, landed_quarantine, landed_trips, start_landing, trip_stream
 
-__all__ = [
-    "daily_zone_counts_stream",
-    "latest_daily_counts",
-    "latest_zone_cube",
-    "start_daily_counts",
-    "start_zone_cube",
-    "trip_stream",
-    "zone_cube_stream",
-]
+__all__ = ["landed", "landed_quarantine", "landed_trips", "start_landing", "trip_stream"]

@@ -1,15 +1,14 @@
-"""Monthly trip exports as a file stream (A4 run incrementally, feeding D12 / L14).
-
-New NDJSON files dropped into a folder are parsed with the declared schema,
-malformed lines are set aside, copies of a trip seen in two exports are
-dropped within an event-time watermark (S11), trips are mapped to their origin
-zone with a stream-static broadcast join, and trips per (local day, origin
-zone) are kept up to date.
-
-Each micro-batch writes its updated counts to ``<out>/batch_id=<n>``,
-overwriting that folder if the batch is replayed after a failure, so the sink
-is idempotent; ``latest_daily_counts`` reads the newest value per key.
-Stream state and progress live under the shared checkpoint folder.
+"""Monthly trip exports as a file stream (A4 run incrementally).
+
+New NDJSON files dropped into a folder are parsed with the declared schema and land
+as Parquet, partitioned by ``part``: ``good``, ``malformed`` or ``no_date`` records.
+The stream keeps no state and no watermark, so nothing is ever too late: a back-fill of
+any age, in any order, lands like every other file.  Each micro-batch overwrites its own
+folder ``batch_id=<n>``, so a batch replayed after a failure lands once.
+
+Duplicates are removed over whole records when the landed table is read
+(``landed_trips``), exactly as the batch load does, so the studies on it give the
+batch's answers whatever the order of arrival.
 """
 
 from __future__ import annotations
@@ -20,176 +19,78 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.calendar import date_of_text
-from ..schema import CORRUPT_COLUMN
+from ..schema import CORRUPT_COLUMN, TRIP_JSON_SCHEMA
 from ..session import ensure_checkpoint_dir
-from ..sources.trips import parse_trip_lines
+from ..sources.trips import QUARANTINE_REASON, parse_trip_lines, trips_from_raw, with_reason
 
 
-def trip_stream(spark: SparkSession, folder: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Streaming raw trips from NDJSON files.
-
-    ``local_ts`` is the wall-clock start time written in the text read as if it
-    were UTC (the real offset is dropped), so one-day event-time windows are
-    exactly local calendar days whatever the session time zone.
-    """
+def trip_stream(spark: SparkSession, folder: str, max_files_per_trigger: int = 100) -> DataFrame:
+    """Streaming raw records of NDJSON files, with the reason where one is set aside."""
     lines = spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger).load(folder)
-    rec = parse_trip_lines(lines)
-    text = F.col("unplug_hourTime").getField("$date")
-    return rec.select(
-        F.col("_id").getField("$oid").alias("trip_id"),
-        F.col("idunplug_station").alias("unplug_station"),
-        F.col("idplug_station").alias("plug_station"),
-        date_of_text(text).alias("trip_date"),
-        F.try_to_timestamp(
-            F.concat(F.substring(text, 1, 19), F.lit("+0000")), F.lit("yyyy-MM-dd'T'HH:mm:ssZ")
-        ).alias("local_ts"),
-        F.col(CORRUPT_COLUMN),
-    )
-
-
-def daily_zone_counts_stream(trips: DataFrame, station_lookup: DataFrame, watermark: str = "62 days") -> DataFrame:
-    """Trips per (local day, origin zone) over a trip stream.
-
-    ``station_lookup`` is the (size-checked, broadcast-hinted) station -> zone
-    map; the watermark bounds both the dedupe state and the window state.
-    """
-    good = trips.filter(F.col(CORRUPT_COLUMN).isNull() & F.col("local_ts").isNotNull()).drop(CORRUPT_COLUMN)
-    unique = good.withWatermark("local_ts", watermark).dropDuplicatesWithinWatermark(["trip_id"])
-    origin = station_lookup.select(F.col("station").alias("unplug_station"), F.col("zone").alias("zone"))
-    zoned = unique.join(origin, "unplug_station")
-    return (
-        zoned.groupBy(F.window("local_ts", "1 day"), "zone")
-        .agg(F.count(F.lit(1)).alias("n_trips"))
-        .select(
-            # Day number of the window start, independent of the session time zone.
-            F.date_from_unix_date(F.floor(F.unix_seconds(F.col("window.start")) / 86400).cast("int")).alias("trip_date"),
-            "zone",
-            "n_trips",
-        )
-    )
-
-
-def zone_cube_stream(trips: DataFrame, station_lookup: DataFrame, watermark: str = "62 days") -> DataFrame:
-    """Trips per (local day, origin zone, destination zone) over a trip stream: the
-    streaming form of ``TripData.with_zone_cube`` (unknown ends kept as NULL zones)."""
-    good = trips.filter(F.col(CORRUPT_COLUMN).isNull() & F.col("local_ts").isNotNull()).drop(CORRUPT_COLUMN)
-    unique = good.withWatermark("local_ts", watermark).dropDuplicatesWithinWatermark(["trip_id"])
-    origin = station_lookup.select(F.col("station").alias("unplug_station"), F.col("zone").alias("origin_zone"))
-    dest = station_lookup.select(F.col("station").alias("plug_station"), F.col("zone").alias("dest_zone"))
-    zoned = unique.join(origin, "unplug_station", "left").join(dest, "plug_station", "left")
-    return (
-        zoned.groupBy(F.window("local_ts", "1 day"), "origin_zone", "dest_zone")
-        .agg(F.count(F.lit(1)).alias("w"))
-        .select(
-            F.date_from_unix_date(F.floor(F.unix_seconds(F.col("window.start")) / 86400).cast("int")).alias("trip_date"),
-            "origin_zone",
-            "dest_zone",
-            "w",
-        )
-    )
-
-
-def _start(spark: SparkSession, counts: DataFrame, out: str, checkpoint: str, available_now: bool) -> StreamingQuery:
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    if not spark.conf.get(provider, None):
-        spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
-
-    writer = counts.writeStream.outputMode("update").foreachBatch(write_batch).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    return with_reason(parse_trip_lines(lines))
 
 
-def start_zone_cube(
+def start_landing(
     spark: SparkSession,
     folder: str,
-    station_lookup: DataFrame,
     out: str,
     checkpoint: str | None = None,
     available_now: bool = False,
-    watermark: str = "62 days",
+    max_files_per_trigger: int = 100,
 ) -> StreamingQuery:
-    """Keep the daily zone-pair cube up to date from NDJSON drops (idempotent batches)."""
+    """Land what arrives in ``folder`` under ``out``; ``available_now`` stops when all of it has landed."""
     if checkpoint is None:
-        checkpoint = os.path.join(ensure_checkpoint_dir(spark), "streams", "zone_cube")
-    cube = zone_cube_stream(trip_stream(spark, folder), station_lookup, watermark)
-    return _start(spark, cube, out, checkpoint, available_now)
-
-
-def latest_zone_cube(spark: SparkSession, out: str) -> DataFrame:
-    """The streamed cube in ``TripData.cube`` form: newest count per key plus calendar columns."""
-    batches = spark.read.parquet(out)
-    latest = batches.groupBy("trip_date", "origin_zone", "dest_zone").agg(F.max_by("w", "batch_id").alias("w"))
-    d = F.col("trip_date")
-    return latest.select(
-        "trip_date",
-        F.dayofweek(d).alias("dayofweek"),
-        F.month(d).alias("month"),
-        F.weekofyear(d).alias("weekofyear"),
-        F.year(d).alias("year"),
-        "origin_zone",
-        "dest_zone",
-        F.col("w").cast("long").alias("w"),
-    )
-
+        checkpoint = os.path.join(ensure_checkpoint_dir(spark), "streams", "landing")
 
-def start_daily_counts(
-    spark: SparkSession,
-    folder: str,
-    station_lookup: DataFrame,
-    out: str,
-    checkpoint: str | None = None,
-    available_now: bool = False,
-    watermark: str = "62 days",
-) -> StreamingQuery:
-    """Run the ingest; every micro-batch writes its updated counts idempotently.
+    def land(batch: DataFrame, batch_id: int) -> None:
+        path = os.path.join(out, f"batch_id={batch_id}")
+        batch.write.mode("overwrite").partitionBy(QUARANTINE_REASON).parquet(path)
 
-    The de-duplication state holds every trip id inside the watermark (billions
-    at full scale), so unless the session already chose a state store, the
-    RocksDB provider is used: state lives on executor disk, not in the JVM heap,
-    and is checkpointed incrementally to the shared folder.
-    """
-    if checkpoint is None:
-        checkpoint = os.path.join(ensure_checkpoint_dir(spark), "streams", "daily_zone_counts")
-    counts = daily_zone_counts_stream(trip_stream(spark, folder), station_lookup, watermark)
-    return _start(spark, counts, out, checkpoint, available_now)
+    stream = trip_stream(spark, folder, max_files_per_trigger)
+    writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
 
 
-def latest_daily_counts(spark: SparkSession, out: str) -> DataFrame:
-    """Newest count per (local day, zone) across the written micro-batches."""
-    batches = spark.read.parquet(out)
-    return batches.groupBy("trip_date", "zone").agg(
-        F.max_by("n_trips", "batch_id").alias("n_trips")
+def landed(spark: SparkSession, out: str) -> DataFrame:
+    """Every landed record with its ``part`` and ``batch_id``."""
+    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in TRIP_JSON_SCHEMA.fields if f.dataType.typeName() != "struct"]
+    schema = ", ".join(
+        [
+            "`_id` struct<`$oid`:string>",
+            "`unplug_hourTime` struct<`$date`:string>",
+            *columns,
+            f"`{CORRUPT_COLUMN}` string",
+            "batch_id long",
+            f"{QUARANTINE_REASON} string",
+        ]
     )
+    return spark.read.schema(schema).parquet(out)
+
+
+def landed_trips(spark: SparkSession, out: str) -> DataFrame:
+    """Canonical trips of the landed good records, as a set."""
+    good = landed(spark, out).filter(F.col(QUARANTINE_REASON) == "good")
+    return trips_from_raw(good.drop("batch_id", QUARANTINE_REASON))
+
+
+def landed_quarantine(spark: SparkSession, out: str) -> DataFrame:
+    """Landed records that were set aside, with the reason."""
+    return landed(spark, out).filter(F.col(QUARANTINE_REASON) != "good")
 
 
 def main(argv=None) -> None:
-    """``python -m pedalflow.streaming.ingest --folder in/ --stations stations.csv --out counts/``"""
+    """``python -m pedalflow.streaming.ingest --folder in/ --out landed/``"""
     import argparse
 
-    from ..operators.broadcast import bounded_broadcast
-    from ..operators.zoning import station_map
-    from ..sources.stations import read_stations_csv, station_rows
-
-    p = argparse.ArgumentParser(description="Keep trips per local day and origin zone up to date from NDJSON drops")
+    p = argparse.ArgumentParser(description="Land NDJSON trip exports as they arrive")
     p.add_argument("--folder", required=True, help="folder that receives NDJSON trip exports")
-    p.add_argument("--stations", required=True, help="station list CSV")
     p.add_argument("--out", required=True, help="output folder (one sub-folder per micro-batch)")
     p.add_argument("--checkpoint", help="stream checkpoint folder (default: under spark.checkpoint.dir)")
-    p.add_argument("--watermark", default="62 days")
-    p.add_argument("--once", action="store_true", help="process what is there and stop")
-    p.add_argument("--cube", action="store_true",
-                   help="keep the daily zone-pair cube (all zone studies) instead of origin-zone daily counts")
+    p.add_argument("--once", action="store_true", help="land what is there and stop")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("pedalflow-stream").getOrCreate()
-    stations = station_rows(read_stations_csv(spark, a.stations))
-    lookup = bounded_broadcast(station_map(stations))
-    start = start_zone_cube if a.cube else start_daily_counts
-    q = start(spark, a.folder, lookup, a.out, a.checkpoint, available_now=a.once, watermark=a.watermark)
-    q.awaitTermination()
+    start_landing(spark, a.folder, a.out, a.checkpoint, available_now=a.once).awaitTermination()
 
 
 if __name__ == "__main__":

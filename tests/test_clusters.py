@@ -1,4 +1,4 @@
-"""Clustering has no SQL oracle; check it on points whose answer is known."""
+"""Clustering on points whose answer is known."""
 
 from pyspark.sql import functions as F
 
@@ -38,3 +38,10 @@ def test_cluster_od_counts_sum_to_zoned_trips(spark, data):
     known = data.trips.join(groups.select(F.col("station").alias("unplug_station")), "unplug_station").join(
         groups.select(F.col("station").alias("plug_station")), "plug_station")
     assert od.agg(F.sum("n_trips")).first()[0] == known.count()
+
+
+def test_stations_without_coordinates_are_a_group_of_their_own(spark, data):
+    pts = _points(spark).union(spark.createDataFrame([(900, None, 1.0), (901, 2.0, float("nan"))], "station long, x double, y double"))
+    got = {r["station"]: r["cluster"] for r in clusters.station_clusters(pts, k=3, seed=1).collect()}
+    assert got[900] == got[901] == clusters.NO_COORDINATES and len(got) == 20
+    assert sorted(set(got.values())) == [-1, 0, 1, 2]

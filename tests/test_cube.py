@@ -1,4 +1,4 @@
-"""Zone studies served from the daily zone-pair cube equal the trip-level answers."""
+"""Zone studies served from the daily zone cube equal the trip-level answers."""
 
 import os
 
@@ -34,7 +34,9 @@ def _same(a, b):
 
 def test_cube_on_fixture(data):
     cubed = data.with_zone_cube()
-    assert cubed.cube is not None and "trip_id" not in cubed.zoned().columns
+    assert cubed.cube is not None and cubed.zoned().columns == data.zoned().columns
+    days, zones = data.dated().select("trip_date").distinct().count(), data.centroids().count()
+    assert cubed.cube.count() <= days * zones  # linear in the zones
     _same(cubed, data)
 
 
@@ -52,3 +54,33 @@ def test_materialise_keeps_options(data, tmp_path):
     m = d.materialise(str(tmp_path / "t"))
     assert (m.weighting, m.max_broadcast_rows, m.cube) == ("station_pairs", 5, None)
     assert sorted(finish(flows.zone_balance(m)).collect()) == sorted(finish(flows.zone_balance(d)).collect())
+
+
+def _holes(spark):
+    """Five stations, one without a zone, and a trip without a date."""
+    from pyspark.sql import functions as F
+
+    zones = [(1, "A"), (2, "A"), (3, "B"), (4, None), (5, "C")]
+    stations = spark.createDataFrame(
+        [(str(n), n, z, "d", float(n), 1.0, 3) for n, z in zones],
+        "station_key string, station long, zone string, district string, lat double, lon double, docks int",
+    )
+    ends = [(1, 3, "2017-01-02"), (2, 4, "2017-01-02"), (4, 1, "2017-01-02"), (3, 5, None), (5, 9, "2017-01-03"), (4, 9, "2017-01-03"), (3, 1, "2017-01-02")]
+    trips = spark.createDataFrame(
+        [(str(i), 1, 1, 60, u, p, d) for i, (u, p, d) in enumerate(ends)],
+        "trip_id string, user_type int, age_range int, travel_time long, unplug_station long, plug_station long, day string",
+    ).withColumn("trip_date", F.to_date("day")).drop("day")
+    return TripData(trips, stations)
+
+
+def test_unknown_zones_and_dates_are_lost_on_every_path(spark):
+    from pedalflow.operators import lost_rows
+
+    d = _holes(spark)
+    _same(d.with_zone_cube(), d)
+    assert sorted(map(tuple, d.zoned().select("unplug_station", "plug_station").collect())) == [(1, 3), (3, 1)]
+    lost = {r["reason"]: r["n_trips"] for r in lost_rows(d.trips, d.stations).collect()}
+    assert lost == {"kept": 2, "no_date": 1, "no_origin": 1, "no_destination": 2, "no_origin_no_destination": 1}
+    assert sum(lost.values()) == d.trips.count() and d.undated().count() == 1
+    assert {r["zone"] for r in flows.zone_balance(d, "full_outer").collect()} == {"A", "B"}
+    assert None not in {r["year"] for r in zone_stats.zone_stats(d, "all").collect()}

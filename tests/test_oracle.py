@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from pedalflow.plans import oracle, registry
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ["region", "nation", "supplier", "part", "lineitem", "events"]
@@ -37,7 +38,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(oracle.oracle_sql()))
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF_DIR)
     srows = [tuple(r) for r in df.collect()]
@@ -55,6 +56,6 @@ def test_entry_smoke(spark):
     assert df.columns[0] == "dayofweek"
 
 
-@pytest.mark.parametrize("key", sorted(set(E.queries()) - set(E.oracle_sql()) - {"silhouette_by_k"}))
+@pytest.mark.parametrize("key", sorted(set(registry.queries()) - set(oracle.oracle_sql()) - {"silhouette_by_k"}))
 def test_rows_only_queries_run(spark, key):
     assert E.queries()[key](spark, SF_DIR).count() > 0

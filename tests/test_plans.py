@@ -40,6 +40,8 @@ def test_bounded_broadcast_falls_back_beyond_bound(proxy):
     stations = proxy.stations
     assert is_bounded(stations, 10_000)
     assert not is_bounded(stations, 3)
+    assert not is_bounded(stations, 10_000, max_bytes=100)
+    assert is_bounded(stations.limit(0), 0)
     hinted = proxy.trips.join(bounded_broadcast(stations.select("station"), 10_000),
                               proxy.trips.unplug_station == F.col("station"))
     plain = proxy.trips.join(bounded_broadcast(stations.select("station"), 3),
@@ -69,8 +71,11 @@ def test_unbounded_dimension_takes_shuffle_join_with_same_answers(spark, proxy):
         for fn in (flows.zone_balance, cal.trips_by_week_year, cal.daily_peak_by_zone, cal.distinct_zone_count,
                    lambda d: flows.zone_balance(d, "full_outer")):
             assert sorted(fn(big).collect()) == sorted(fn(proxy).collect())
+        # the size decides how the lookup joins, never what a row is
+        assert big.zoned().columns == proxy.zoned().columns and big.zoned().count() == proxy.zoned().count()
+        assert big.counted().columns == proxy.counted().columns
         # trips collapse to (start, end, day) rows before the shuffle joins
-        assert "w" in big.zoned().columns and "trip_id" not in big.zoned().columns
+        assert big.counted().count() < proxy.counted().count()
         coded_big = TripData(proxy.trips, proxy.stations, max_broadcast_rows=3, weighting="station_pairs")
         coded = TripData(proxy.trips, proxy.stations, weighting="station_pairs")
         assert sorted(flows.zone_balance(coded_big).collect()) == sorted(flows.zone_balance(coded).collect())
@@ -81,13 +86,13 @@ def test_unbounded_dimension_takes_shuffle_join_with_same_answers(spark, proxy):
 def test_hot_keys_are_combined_before_the_shuffle(spark, proxy):
     # One station holding a third of all trips: every trip-level aggregate combines map-side.
     t = proxy.trips
-    hot = t.withColumn("unplug_station", F.when(F.col("trip_id") % 3 == 0, F.lit(0)).otherwise(F.col("unplug_station")))
+    hot = t.withColumn("unplug_station", F.when(F.col("trip_id") % 3 == 0, F.lit(1)).otherwise(F.col("unplug_station")))
     skewed = TripData(hot, proxy.stations)
     for df in (zone_stats.zone_stats(skewed, "all"), flows.zone_balance(skewed), flows.station_balance(skewed)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "partial_count" in plan or "partial_sum" in plan
     sb = {r["station"]: r["n_unplugs"] for r in flows.station_balance(skewed).collect()}
-    assert sb[0] >= hot.count() // 3
+    assert sb[1] >= hot.count() // 3
 
 
 def test_copies_of_one_record_collapse_before_the_shuffle(spark, proxy):
@@ -111,3 +116,37 @@ def test_studies_on_the_cube_do_not_scan_trips(proxy):
         plan = _plan(df)
         assert "lineitem.parquet" not in plan
         assert "ExistingRDD" in plan  # the checkpointed cube
+
+
+def test_month_folders_get_few_files(spark, proxy, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        out = tmp_path / "trips"
+        many = TripData(proxy.trips.dropDuplicates(), proxy.stations).materialise(str(out))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    months = many.trips.select("year", "month").distinct().count()
+    files = len(list(out.rglob("part-*.parquet")))
+    assert months > 80 and files < 2 * months
+
+
+def test_job_neither_persists_nor_caches():
+    import inspect
+
+    from pedalflow.plans import data, job
+
+    assert "persist" not in inspect.getsource(job) and ".cache()" not in inspect.getsource(data)
+
+
+def test_quarantine_is_one_scan_without_files(spark):
+    from pedalflow.plans.exports import quarantine_load
+
+    plan = _plan(quarantine_load(spark, SF_DIR))
+    assert plan.count("lineitem.parquet") == 1 and "Join" not in plan.replace("BroadcastNestedLoopJoin", "")
+
+
+def test_drift_report_has_no_global_window(spark):
+    from pedalflow.plans.exports import schema_drift_export
+
+    assert "Window" not in _plan(schema_drift_export(spark, SF_DIR))

@@ -102,16 +102,11 @@ def test_bad_date_text_gives_null_not_failure(spark, tmp_path):
     assert got == [("x1", None, None), ("x2", None, 10)]
 
 
-def test_to_pandas_only_for_bounded_results(spark, data):
-    import pytest
-
+def test_to_pandas_brings_the_whole_result(spark, data):
     from pedalflow.plans import flows
-    from pedalflow.sources import to_pandas_bounded
+    from pedalflow.sources import to_pandas
 
-    pdf = to_pandas_bounded(flows.zone_balance(data), max_rows=100)
-    assert len(pdf) == flows.zone_balance(data).count()
-    with pytest.raises(ValueError):
-        to_pandas_bounded(data.trips, max_rows=5)
+    assert len(to_pandas(flows.zone_balance(data))) == flows.zone_balance(data).count()
 
 
 def test_batch_job_cli(spark, tmp_path, capsys):
