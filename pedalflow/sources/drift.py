@@ -3,7 +3,7 @@
 Instead of one schema-inference job per file on the driver, every line is
 parsed once and its top-level keys and their types are counted per file, so the
 report is distributed whatever the number of files: one aggregate to a row per
-file, key and type, then small aggregates per file and per key joined back.
+file, key and type, checkpointed, then small aggregates per file and per key joined back.
 """
 
 from __future__ import annotations
@@ -13,9 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 CORRUPT = "_corrupt_record"
-# Counted once per line, so that the same aggregate also yields the lines of each file; type '' tells it from a key.
-_LINE = "(line)"
 
 
 def schema_drift(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -31,24 +31,24 @@ def drift_of_lines(lines: DataFrame) -> DataFrame:
     reported under the column name ``_corrupt_record``; blank lines are skipped.
     """
     parsed = lines.filter(F.trim("value") != "").select("source_file", F.try_parse_json("value").alias("doc"))
+    # one row per line and key; a malformed line or an empty record is one row without a key
     keys = lines.sparkSession.sql(
-        f"""
-        SELECT source_file, key AS column, schema_of_variant(value) AS type
-        FROM {{parsed}}, LATERAL variant_explode(doc)
-        UNION ALL
-        SELECT source_file, inline(array(struct('{_LINE}' AS column, '' AS type),
-                                         struct(if(doc IS NULL, '{CORRUPT}', NULL) AS column, 'STRING' AS type)))
-        FROM {{parsed}}
+        """
+        SELECT source_file, doc IS NULL AS corrupt, pos, key, schema_of_variant(value) AS type
+        FROM {parsed}, LATERAL variant_explode_outer(doc)
         """,
         parsed=parsed,
     )
-    per_type = keys.filter("column IS NOT NULL").groupBy("source_file", "column", "type").agg(F.count("*").alias("n"))
-    # a key may be called like the marker, so that the type '' is part of the grouping
-    per_column = per_type.groupBy("source_file", "column", (F.col("type") == "").alias("marker")).agg(
+    column = F.when(F.col("corrupt"), CORRUPT).otherwise(F.col("key"))
+    per_type = keys.groupBy("source_file", column.alias("column"), F.when(F.col("corrupt"), "STRING").otherwise(F.col("type")).alias("type")).agg(
+        F.count("*").alias("n"), F.count_if(F.coalesce(F.col("pos"), F.lit(0)) == 0).alias("n_first")
+    )
+    ensure_checkpoint_dir(lines.sparkSession)
+    per_type = per_type.checkpoint()  # files x keys rows; the lines are parsed once
+    files = per_type.groupBy("source_file").agg(F.sum("n_first").alias("n_file_lines"))
+    columns = per_type.filter("column IS NOT NULL").groupBy("source_file", "column").agg(
         F.sum("n").alias("n_lines"), F.array_join(F.sort_array(F.collect_set("type")), " | ").alias("types")
     )
-    files = per_column.filter(F.col("types") == "").select("source_file", F.col("n_lines").alias("n_file_lines"))
-    columns = per_column.filter(F.col("types") != "")
     n_files = files.select(F.count("*")).scalar()
     spread = columns.groupBy("column").agg((F.count("*") == n_files).alias("in_every_file"))
     return (
