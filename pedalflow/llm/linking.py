@@ -2,17 +2,17 @@
 
 Several operators know that two rows can only be close if they share a key (a
 line segment, a block of n-grams).  A key may hold a third of all rows, so its
-members are never paired with each other.  Instead each group gets a pivot, the
-smallest id; every member is compared with the pivot only, and the triangle
-inequality settles the rest.  With threshold t and distances d to the pivot,
+members are never all paired with each other.  Instead each group gets a few
+pivots, its smallest ids; every member is compared with the pivots only, and the
+triangle inequality settles the rest.  With threshold t and distances d to a pivot,
 
 * members with d <= t are linked through the pivot: their component is known;
 * a member with d > 2t is too far from all of those to be linked with them;
 * in between, it is compared with those at d >= its own d - t, unless a path of
   links already joins them.
 
-Members with d > t go on to the next round, while they are in more than one
-component.  What is left after ``rounds`` rounds (groups of members that lie far
+Members that are near no pivot go on to the next round, while they are in more than
+one component.  What is left after ``rounds`` rounds (groups of members that lie far
 apart) is compared pair by pair, which is exact as well.  Tables that a join
 broadcasts are counted first.
 """
@@ -28,7 +28,9 @@ from pyspark.sql import Window
 from .common import Scratch, saved
 
 #: A key table of at most so many rows (16 bytes each) may be broadcast; larger ones are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 300_000
+#: Members of a group that the others are compared with in a round.
+PIVOTS = 4
 
 #: Given the saved ids (column id) that can occur in pairs and the place for working tables, returns what adds the distance ``d`` to pairs (a, b).
 Prepare = Callable[[DataFrame, Scratch], Callable[[DataFrame], DataFrame]]
@@ -87,12 +89,15 @@ def _open(members: DataFrame, comps: DataFrame, work: Scratch) -> DataFrame:
     return work.saved(members.join(_apart(keys), "key", "left_semi").select("key", "id"), "open")
 
 
-def _pivots(members: DataFrame) -> DataFrame:
-    """members with their key's pivot ``p``, the smallest id."""
-    return members.join(_apart(members.groupBy("key").agg(F.min("id").alias("p"))), "key")
+def _pivots(members: DataFrame, n: int) -> DataFrame:
+    """members with each of their key's pivots ``p``, the ``n`` smallest ids, but themselves."""
+    # each task keeps n rows a key before the shuffle
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("id"))
+    p = members.withColumn("rank", rank).filter(F.col("rank") <= n).select("key", F.col("id").alias("p"))
+    return members.join(_apart(p), "key").filter("id != p")
 
 
-def linked(rows: DataFrame, prepare: Prepare, t: float, rounds: int = 6) -> DataFrame | None:
+def linked(rows: DataFrame, prepare: Prepare, t: float, rounds: int = 4) -> DataFrame | None:
     """(id, comp) of all ids that are linked: the components of all links of distance <= ``t`` within a key; saved.
 
     ``rows`` has (key, id) as longs and may repeat; distances need only be exact up to
@@ -118,7 +123,7 @@ def _links(rows: DataFrame, prepare: Prepare, t: float, rounds: int, work: Scrat
 
     close, middle = F.col("d") <= t + eps, (F.col("d") > t + eps) & (F.col("d") <= 2 * t + eps)
     # first the pivot that each id meets in most keys
-    met = _pivots(members).filter("id != p").groupBy("id", "p").agg(F.count("*").alias("n"))
+    met = _pivots(members, 1).groupBy("id", "p").agg(F.count("*").alias("n"))
     best = met.withColumn("k", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("n"), "p"))).filter("k = 1")
     known = judged(best.select(F.col("p").alias("a"), F.col("id").alias("b")))
     if known.isEmpty():
@@ -129,23 +134,24 @@ def _links(rows: DataFrame, prepare: Prepare, t: float, rounds: int, work: Scrat
     for _ in range(rounds):
         if active.isEmpty():
             return links
-        star = _pivots(active).filter("id != p")
-        pairs = star.select(F.col("p").alias("a"), F.col("id").alias("b")).distinct()
-        new = judged(pairs.join(known, ["a", "b"], "left_anti"))
-        known = known.union(new)
-        at = star.join(known.select(F.col("a").alias("p"), F.col("b").alias("id"), "d"), ["p", "id"])
-        at = work.saved(_with_comp(at, comps), "distances")
-        grey = at.filter(middle).select("key", F.col("id").alias("z"), F.col("d").alias("dz"), F.col("comp").alias("cz"))
-        if not grey.isEmpty():
-            near = at.filter(close).select("key", F.col("id").alias("x"), F.col("d").alias("dx"), F.col("comp").alias("cx"))
-            fits = (F.col("cz") != F.col("cx")) & (F.col("dx") >= F.col("dz") - t - eps)
-            extra = grey.join(near, "key").filter(fits).select(F.least("x", "z").alias("a"), F.greatest("x", "z").alias("b"))
-            more = judged(extra.distinct().join(known, ["a", "b"], "left_anti"))
-            known, new = known.union(more), new.union(more)
+        star = _pivots(active, PIVOTS).withColumn("a", F.least("p", "id")).withColumn("b", F.greatest("p", "id"))
+        new = judged(star.select("a", "b").distinct().join(known, ["a", "b"], "left_anti"))
+        known = work.saved(known.union(new), "known")
+        at = work.saved(star.join(known, ["a", "b"]).select("key", "p", "id", "d"), "distances")
+        # by pivot, not by key: a pair that shares many keys is one row
+        of = _with_comp(at.select("p", "id", "d").filter(F.col("d") <= 2 * t + eps).distinct(), comps)
+        grey = of.filter(middle).select("p", F.col("id").alias("z"), F.col("d").alias("dz"), F.col("comp").alias("cz"))
+        near = of.filter(close).select("p", F.col("id").alias("x"), F.col("d").alias("dx"), F.col("comp").alias("cx"))
+        fits = (F.col("cz") != F.col("cx")) & (F.col("dx") >= F.col("dz") - t - eps)
+        extra = grey.join(near, "p").filter(fits).select(F.least("x", "z").alias("a"), F.greatest("x", "z").alias("b"))
+        more = judged(extra.distinct().join(known, ["a", "b"], "left_anti"))
+        known, new = known.union(more), new.union(more)
         if not new.filter(close).isEmpty():
             links = known.filter(close).select("a", "b")
             comps = components(links, work)
-        active = _open(at.filter(~close).select("key", "id"), comps, work)
+        pivots = at.select("key", F.col("p").alias("id"), F.lit(0.0).alias("d"))
+        nearest = at.select("key", "id", "d").union(pivots).groupBy("key", "id").agg(F.min("d").alias("d"))
+        active = _open(nearest.filter(~close).select("key", "id"), comps, work)
     rest = _with_comp(active, comps)
     pairs = (
         rest.select("key", F.col("id").alias("a"), F.col("comp").alias("ca"))
