@@ -12,8 +12,9 @@ triangle inequality settles the rest.  With threshold t and distances d to a piv
   links already joins them.
 
 Members that are near no pivot go on to the next round, while they are in more than
-one component.  What is left after ``rounds`` rounds (groups of members that lie far
-apart) is compared pair by pair, which is exact as well.  Tables that a join
+one component.  Groups of members that lie far apart from each other gain nothing by pivots;
+an operator may refine their keys.  What is left after ``rounds`` rounds is compared
+pair by pair, which is exact as well.  Tables that a join
 broadcasts are counted first.
 """
 
@@ -36,6 +37,10 @@ PIVOTS = 4
 Prepare = Callable[[DataFrame, Scratch], Callable[[DataFrame], DataFrame]]
 
 
+#: Given rows (key, id), returns rows with finer keys: ids within the threshold that share a key share one of those.
+Refine = Callable[[DataFrame], DataFrame]
+
+
 def only(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows of ``df`` whose ``on`` is in ``keys`` (a saved table with that column, distinct)."""
     k = keys.select(on)
@@ -97,20 +102,25 @@ def _pivots(members: DataFrame, n: int) -> DataFrame:
     return members.join(_apart(p), "key").filter("id != p")
 
 
-def linked(rows: DataFrame, prepare: Prepare, t: float, rounds: int = 4) -> DataFrame | None:
+def linked(
+    rows: DataFrame, prepare: Prepare, t: float, rounds: int = 3, refine: Refine | None = None
+) -> DataFrame | None:
     """(id, comp) of all ids that are linked: the components of all links of distance <= ``t`` within a key; saved.
 
     ``rows`` has (key, id) as longs and may repeat; distances need only be exact up to
-    2t.  None if nothing is linked.  All working tables are removed again.
+    2t.  None if nothing is linked.  ``refine`` cuts the groups that are left after the
+    first round into smaller ones.  All working tables are removed again.
     """
     work = Scratch(rows.sparkSession, "link")
-    links = _links(rows, prepare, t, rounds, work)
+    links = _links(rows, prepare, t, rounds, refine, work)
     found = None if links is None else saved(components(links, work), "components")
     work.remove()
     return found
 
 
-def _links(rows: DataFrame, prepare: Prepare, t: float, rounds: int, work: Scratch) -> DataFrame | None:
+def _links(
+    rows: DataFrame, prepare: Prepare, t: float, rounds: int, refine: Refine | None, work: Scratch
+) -> DataFrame | None:
     """(a, b) links that join what all links join; None if no key is shared."""
     eps = 1e-9
     shared = rows.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).filter("x != y").select("key")
@@ -131,9 +141,11 @@ def _links(rows: DataFrame, prepare: Prepare, t: float, rounds: int, work: Scrat
     links = known.filter(close).select("a", "b")
     comps = components(links, work)
     active = _open(members, comps, work)
-    for _ in range(rounds):
+    for turn in range(rounds):
         if active.isEmpty():
             return links
+        if turn == 1 and refine:
+            active = _open(work.saved(refine(active).distinct(), "refined"), comps, work)
         star = _pivots(active, PIVOTS).withColumn("a", F.least("p", "id")).withColumn("b", F.greatest("p", "id"))
         new = judged(star.select("a", "b").distinct().join(known, ["a", "b"], "left_anti"))
         known = work.saved(known.union(new), "known")
