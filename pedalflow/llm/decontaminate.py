@@ -7,9 +7,9 @@ each document's normalised text passes through it once.  A match's place in the
 normalised text gives its words, and those words' places in the original text
 give the hit spans.
 
-The automaton is sent to the executors and so must be bounded: at most
-``max_windows`` windows each.  A larger benchmark is cut into that many
-automata; each takes one more pass, whose hits are added to the earlier ones.
+The automaton is sent to the executors and so must be bounded: about ``max_windows``
+windows each.  A larger benchmark is cut by hash into that many automata; each takes
+one more pass, whose hits are added to the earlier ones.
 
 Defined cases: null and empty texts have no words and no hits; an item without
 words has no window; items that share a window are all found by it, repeated
@@ -115,24 +115,33 @@ def _pass(docs: DataFrame, patterns: list[tuple[bytes, tuple[str, ...]]]) -> Dat
     return map_arrow(docs, run, HITS.format(id=kind))
 
 
-def benchmark_windows(benchmark: DataFrame, width: int = WINDOW) -> list[tuple[bytes, tuple[str, ...]]]:
-    """The items' distinct windows in order, each with its items' ids as text."""
-    found: dict[bytes, set[str]] = {}
-    for r in pick(benchmark, "item_id", "text").toLocalIterator():
-        for w in windows(r["text"], width):
-            found.setdefault(w, set()).add(str(r["item_id"]))
-    return [(w, tuple(sorted(i))) for w, i in sorted(found.items())]
+def benchmark_windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
+    """The items' distinct windows, each with its items' ids as text; saved."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [(w, i) for t, i in zip(b["text"].to_pylist(), b["item"].to_pylist(), strict=True) for w in windows(t, width)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([w for w, _ in found], pa.binary()), pa.array([i for _, i in found], pa.string())], names=["window", "item"]
+            )
+
+    items = pick(benchmark, "item_id", "text").select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
+    each = map_arrow(items, run, "window binary, item string")
+    return saved(each.groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items")), "windows")
 
 
 def find(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """doc_id, text, n_words, ``hit`` (merged spans of word numbers) and ``items`` of every document."""
-    patterns = benchmark_windows(benchmark, width)
+    all_windows = benchmark_windows(benchmark, width)
+    shards = max(1, -(-all_windows.count() // max_windows))
     none = F.array().cast("array<struct<start:int,stop:int>>")
     out = pick(docs, "doc_id", "text").select(
         "doc_id", "text", F.lit(0).cast("long").alias("n_words"), none.alias("hit"), F.array().cast("array<string>").alias("items")
     )
-    for at in range(0, max(1, len(patterns)), max_windows):
-        out = _pass(saved(out, "hits") if at else out, patterns[at : at + max_windows])
+    for shard in range(shards):  # the driver holds one automaton's windows at a time
+        some = all_windows.filter(F.pmod(F.xxhash64("window"), F.lit(shards)) == shard)
+        patterns = sorted((bytes(r["window"]), tuple(r["items"])) for r in some.toLocalIterator())
+        out = _pass(saved(out, "hits") if shard else out, patterns)
     return out
 
 
