@@ -31,7 +31,7 @@ from .common import Scratch, saved
 #: A key table of at most so many rows (16 bytes each) may be broadcast; larger ones are joined by shuffle.
 BROADCAST_ROWS = 300_000
 #: Members of a group that the others are compared with in a round.
-PIVOTS = 4
+PIVOTS = 2
 
 #: Given the saved ids (column id) that can occur in pairs and the place for working tables, returns what adds the distance ``d`` to pairs (a, b).
 Prepare = Callable[[DataFrame, Scratch], Callable[[DataFrame], DataFrame]]
@@ -146,12 +146,14 @@ def _links(
             return links
         if turn == 1 and refine:
             active = _open(work.saved(refine(active).distinct(), "refined"), comps, work)
-        star = _pivots(active, PIVOTS).withColumn("a", F.least("p", "id")).withColumn("b", F.greatest("p", "id"))
-        new = judged(star.select("a", "b").distinct().join(known, ["a", "b"], "left_anti"))
-        known = work.saved(known.union(new), "known")
-        at = work.saved(star.join(known, ["a", "b"]).select("key", "p", "id", "d"), "distances")
+        star = _pivots(active, PIVOTS)
         # by pivot, not by key: a pair that shares many keys is one row
-        of = _with_comp(at.select("p", "id", "d").filter(F.col("d") <= 2 * t + eps).distinct(), comps)
+        met = star.select("p", "id").distinct().withColumn("a", F.least("p", "id")).withColumn("b", F.greatest("p", "id"))
+        met = work.saved(met, "met")
+        new = judged(met.select("a", "b").distinct().join(known, ["a", "b"], "left_anti"))
+        known = work.saved(known.union(new), "known")
+        of = met.join(known.filter(F.col("d") <= 2 * t + eps), ["a", "b"]).select("p", "id", "d")
+        of = work.saved(_with_comp(of, comps), "distances")
         grey = of.filter(middle).select("p", F.col("id").alias("z"), F.col("d").alias("dz"), F.col("comp").alias("cz"))
         near = of.filter(close).select("p", F.col("id").alias("x"), F.col("d").alias("dx"), F.col("comp").alias("cx"))
         fits = (F.col("cz") != F.col("cx")) & (F.col("dx") >= F.col("dz") - t - eps)
@@ -161,9 +163,9 @@ def _links(
         if not new.filter(close).isEmpty():
             links = known.filter(close).select("a", "b")
             comps = components(links, work)
-        pivots = at.select("key", F.col("p").alias("id"), F.lit(0.0).alias("d"))
-        nearest = at.select("key", "id", "d").union(pivots).groupBy("key", "id").agg(F.min("d").alias("d"))
-        active = _open(nearest.filter(~close).select("key", "id"), comps, work)
+        settled = star.join(of.filter(close).select("p", "id"), ["p", "id"], "left_semi").select("key", "id")
+        settled = settled.union(star.select("key", F.col("p").alias("id")))
+        active = _open(active.join(settled.distinct(), ["key", "id"], "left_anti"), comps, work)
     rest = _with_comp(active, comps)
     pairs = (
         rest.select("key", F.col("id").alias("a"), F.col("comp").alias("ca"))
