@@ -8,8 +8,8 @@ triangle inequality settles the rest.  With threshold t and distances d to a piv
 
 * members with d <= t are linked through the pivot: their component is known;
 * a member with d > 2t is too far from all of those to be linked with them;
-* in between, it is compared with those at d >= its own d - t, unless a path of
-  links already joins them.
+* in between, it is compared with those at d >= its own d - t, unless by the end a
+  path of links joins them anyway.
 
 Members that are near no pivot go on to the next round, while they are in more than
 one component.  Groups of members that lie far apart from each other gain nothing by pivots;
@@ -21,6 +21,7 @@ broadcasts are counted first.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -108,7 +109,7 @@ def linked(
     """(id, comp) of all ids that are linked: the components of all links of distance <= ``t`` within a key; saved.
 
     ``rows`` has (key, id) as longs and may repeat; distances need only be exact up to
-    2t.  None if nothing is linked.  ``refine`` cuts the groups that are left after the
+    2t.  Close ids that share no key may be linked as well.  None if nothing is linked.  ``refine`` cuts the groups that are left after the
     first round into smaller ones.  All working tables are removed again.
     """
     work = Scratch(rows.sparkSession, "link")
@@ -141,9 +142,10 @@ def _links(
     links = known.filter(close).select("a", "b")
     comps = components(links, work)
     active = _open(members, comps, work)
+    judged_of: list[DataFrame] = []
     for turn in range(rounds):
         if active.isEmpty():
-            return links
+            break
         if turn == 1 and refine:
             active = _open(work.saved(refine(active).distinct(), "refined"), comps, work)
         star = _pivots(active, PIVOTS)
@@ -153,23 +155,30 @@ def _links(
         new = judged(met.select("a", "b").distinct().join(known, ["a", "b"], "left_anti"))
         known = work.saved(known.union(new), "known")
         of = met.join(known.filter(F.col("d") <= 2 * t + eps), ["a", "b"]).select("p", "id", "d")
-        of = work.saved(_with_comp(of, comps), "distances")
-        grey = of.filter(middle).select("p", F.col("id").alias("z"), F.col("d").alias("dz"), F.col("comp").alias("cz"))
-        near = of.filter(close).select("p", F.col("id").alias("x"), F.col("d").alias("dx"), F.col("comp").alias("cx"))
-        fits = (F.col("cz") != F.col("cx")) & (F.col("dx") >= F.col("dz") - t - eps)
-        extra = grey.join(near, "p").filter(fits).select(F.least("x", "z").alias("a"), F.greatest("x", "z").alias("b"))
-        more = judged(extra.distinct().join(known, ["a", "b"], "left_anti"))
-        known, new = known.union(more), new.union(more)
+        of = work.saved(of, "distances")
+        judged_of.append(of)
         if not new.filter(close).isEmpty():
             links = known.filter(close).select("a", "b")
             comps = components(links, work)
         settled = star.join(of.filter(close).select("p", "id"), ["p", "id"], "left_semi").select("key", "id")
         settled = settled.union(star.select("key", F.col("p").alias("id")))
         active = _open(active.join(settled.distinct(), ["key", "id"], "left_anti"), comps, work)
+    if not judged_of and active.isEmpty():
+        return links
+    # what neither pivots nor paths of links have settled: between, and among, those not near a pivot
     rest = _with_comp(active, comps)
-    pairs = (
+    among = (
         rest.select("key", F.col("id").alias("a"), F.col("comp").alias("ca"))
         .join(rest.select("key", F.col("id").alias("b"), F.col("comp").alias("cb")), "key")
-        .filter("a < b AND ca != cb").select("a", "b").distinct()
+        .filter("a < b AND ca != cb").select("a", "b")
     )
-    return links.union(judged(pairs.join(known, ["a", "b"], "left_anti")).filter(close).select("a", "b"))
+    pairs = among
+    if judged_of:
+        of = _with_comp(reduce(DataFrame.union, judged_of).distinct(), comps)
+        grey = of.filter(middle).select("p", F.col("id").alias("z"), F.col("d").alias("dz"), F.col("comp").alias("cz"))
+        near = of.filter(close).select("p", F.col("id").alias("x"), F.col("d").alias("dx"), F.col("comp").alias("cx"))
+        fits = (F.col("cz") != F.col("cx")) & (F.col("dx") >= F.col("dz") - t - eps)
+        between = grey.join(near, "p").filter(fits).select(F.least("x", "z").alias("a"), F.greatest("x", "z").alias("b"))
+        pairs = among.union(between)
+    last = judged(pairs.distinct().join(known, ["a", "b"], "left_anti"))
+    return links.union(last.filter(close).select("a", "b"))
