@@ -16,8 +16,8 @@ pivots (see ``linking``), never pair by pair.
 
 Defined cases: a text of fewer words than n is one n-gram; null texts and texts
 without words have the empty set and are linked with nothing; a row without
-doc_id can link others but has no component unless they give it one; rows that
-repeat a doc_id are linked each for itself.  N-grams are told apart by 64-bit
+doc_id has no component and links nothing in ``join``, but is a document like others
+in ``keep_one``; rows that repeat a doc_id are linked each for itself.  N-grams are told apart by 64-bit
 hashes, classes in links by the first 64 bits of their digest.
 """
 
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, map_arrow, pick, saved
@@ -147,8 +147,11 @@ def block_keys(grams: np.ndarray, cuts: Cuts) -> np.ndarray:
     return np.concatenate(keys).view(np.int64)
 
 
-def incidence(docs: DataFrame, n: int, pct: int) -> DataFrame:
-    """doc_id, n_shingles, s1 and s2 (digest of the set, null if empty or without id), keys (once a task for each set)."""
+def incidence(docs: DataFrame, n: int, pct: int, without_id: bool = False) -> DataFrame:
+    """doc_id, tx, n_shingles, s1 and s2 (digest of the set, null if empty), keys (once a task for each set).
+
+    Rows without doc_id have no digest either, unless ``without_id``.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
     none = np.empty(0, np.int64)
 
@@ -163,7 +166,7 @@ def incidence(docs: DataFrame, n: int, pct: int) -> DataFrame:
                 for i, t in zip(b["doc_id"], b["text"], strict=True):
                     g = shingles(t.as_py(), n)
                     sizes.append(len(g))
-                    digest = xxhash.xxh3_128_digest(g.tobytes()) if len(g) and i.is_valid else None
+                    digest = xxhash.xxh3_128_digest(g.tobytes()) if len(g) and (without_id or i.is_valid) else None
                     halves = np.frombuffer(digest, np.int64).tolist() if digest else [None, None]
                     s1.append(halves[0])
                     s2.append(halves[1])
@@ -176,15 +179,16 @@ def incidence(docs: DataFrame, n: int, pct: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         b["doc_id"],
+                        b["tx"],
                         pa.array(sizes, pa.int64()),
                         pa.array(s1, pa.int64()),
                         pa.array(s2, pa.int64()),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([none, *keys]))),
                     ],
-                    names=["doc_id", "n_shingles", "s1", "s2", "keys"],
+                    names=["doc_id", "tx", "n_shingles", "s1", "s2", "keys"],
                 )
 
-    return map_arrow(docs, run, f"doc_id {kind}, n_shingles long, s1 long, s2 long, keys array<long>")
+    return map_arrow(docs, run, f"doc_id {kind}, tx long, n_shingles long, s1 long, s2 long, keys array<long>")
 
 
 def overlap(x: np.ndarray, y: np.ndarray, least: int, blocks: int = 16) -> int | None:
@@ -223,18 +227,24 @@ def _distances(batches: Iterator[pa.RecordBatch], pct: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(d, pa.float64())], names=["a", "b", "d"])
 
 
-def join(docs: DataFrame, n: int = 5, pct: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document: linked at ``pct`` per cent of word ``n``-grams."""
-    d = pick(docs, "doc_id", "text")
-    inc = saved(incidence(d, n, pct), "incidence")
-    ids = inc.filter("s1 IS NOT NULL").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
+
+def _place() -> Column:
+    """Where a row stands: rows without doc_id come last, rows that repeat a doc_id by text."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tx")
+
+
+def _groups(docs: DataFrame, n: int, pct: int, without_id: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The incidence of ``docs``, and (s1, first): the first place of each set's group, for sets that are not alone; saved."""
+    d = pick(docs, "doc_id", "text").withColumn("tx", F.xxhash64("text"))
+    inc = saved(incidence(d, n, pct, without_id), "incidence")
+    ids = inc.filter("s1 IS NOT NULL").groupBy("s1", "s2").agg(F.min(_place()).alias("rep"), F.count("*").alias("n"))
     classes = saved(ids.groupBy("s1").agg(F.min("rep").alias("rep"), F.sum("n").alias("n")), "classes")
 
     def prepare(members: DataFrame, work: Scratch):
         wanted = classes.join(
             F.broadcast(members) if members.count() <= BROADCAST_ROWS else members, classes["s1"] == members["id"], "left_semi"
         )
-        of = work.saved(wanted.select(F.col("rep").alias("doc_id")).distinct(), "wanted")
+        of = work.saved(wanted.select(F.col("rep.tx").alias("tx")).distinct(), "wanted")
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             import xxhash
@@ -248,7 +258,7 @@ def join(docs: DataFrame, n: int = 5, pct: int = 80) -> DataFrame:
                         names=["id", "grams"],
                     )
 
-        grams = map_arrow(only(d, of, "doc_id").select("text"), sets, "id long, grams array<long>")
+        grams = map_arrow(only(d, of, "tx").select("text"), sets, "id long, grams array<long>")
         grams = work.saved(grams.dropDuplicates(["id"]), "grams")
 
         def verify(pairs: DataFrame) -> DataFrame:
@@ -269,18 +279,37 @@ def join(docs: DataFrame, n: int = 5, pct: int = 80) -> DataFrame:
         known = known.filter("n > 1 OR comp IS NOT NULL")
     else:
         known = known.filter("n > 1")
-    known = saved(known.select("s1", F.col("rep").alias("first")), "first")
-    out = inc.select("doc_id", "n_shingles", "s1").join(known, "s1", "left")
+    return inc, saved(known.select("s1", F.col("rep").alias("first")), "first")
+
+
+def join(docs: DataFrame, n: int = 5, pct: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document: linked at ``pct`` per cent of word ``n``-grams."""
+    inc, known = _groups(docs, n, pct)
+    first = known.select("s1", F.col("first.doc_id").alias("first"))
+    out = inc.select("doc_id", "n_shingles", "s1").join(first, "s1", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, n: int = 5, pct: int = 80) -> DataFrame:
-    """One document of each group, the one with the smallest doc_id; the columns of ``documents``.
+    """One row of each group, the first by doc_id and hash of the text; the columns of ``documents``.
 
-    Rows that share that doc_id all stay, as do rows that are linked with nothing.
+    Rows are judged each for itself, so one that is linked with nothing stays whatever
+    doc_id it has.  Rows without doc_id are linked too and come last in their group.
     """
     cols = ("doc_id", "text", "lang", "source", "n_chars")
-    d = pick(docs, *cols)
-    gone = saved(join(d, n, pct).filter("component_id != doc_id").select("doc_id").distinct(), "copies")
-    few = gone.count() <= BROADCAST_ROWS
-    return d.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*cols)
+    d = pick(docs, *cols).withColumn("tx", F.xxhash64("text"))
+    inc, known = _groups(d, n, pct, without_id=True)
+    # rows of one doc_id and text share their set and so their verdict
+    rows = inc.select("doc_id", "tx", "s1").join(known, "s1").groupBy("doc_id", "tx")
+    marks = rows.agg(F.min("first").alias("first"), F.count("*").alias("n")).withColumn("gone", _place() != F.col("first"))
+    marks = marks.filter("gone OR n > 1").select(F.col("doc_id").alias("of"), F.col("tx").alias("of_tx"), "gone")
+    marks = saved(marks, "copies")
+    few = marks.count() <= BROADCAST_ROWS
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("tx") == F.col("of_tx"))
+    judged = d.join(F.broadcast(marks) if few else marks, same, "left")
+    kept = judged.filter("gone IS NULL").select(*cols)
+    if marks.filter("NOT gone").isEmpty():
+        return kept
+    # the first row of a group repeats as a whole
+    again = judged.filter("NOT gone").groupBy("doc_id", "tx").agg(F.min(F.struct(*cols)).alias("row"))
+    return kept.union(again.select("row.*"))

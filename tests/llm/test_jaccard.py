@@ -118,6 +118,24 @@ def test_one_document_of_each_group_stays(spark):
     assert {r["doc_id"] for r in kept.collect()} == first
 
 
+def test_one_row_of_each_group_stays_when_ids_repeat_or_are_missing(spark):
+    text = lambda name: " ".join(f"{name}{i}" for i in range(40))
+    rows = [
+        (1, text("a")),
+        (2, text("a") + " end"),  # a near copy of 1 ...
+        (2, text("clean")),  # ... whose doc_id a row of its own has too
+        (3, text("b")), (3, text("b") + " end"), (3, text("b")),  # copies that share the smallest doc_id
+        (None, text("c")), (None, text("c")), (None, text("c") + " end"),  # copies without doc_id
+        (None, text("d")),
+        (9, text("e")), (None, text("e")),
+        (None, None), (None, None), (2, None),
+    ]
+    kept = [(r["doc_id"], r["text"]) for r in J.keep_one(docs(spark, rows)).collect()]
+    assert {(1, text("a")), (2, text("clean")), (None, text("d")), (9, text("e"))} <= set(kept)
+    assert len(kept) == 9 and kept.count((None, None)) == 2 and kept.count((2, None)) == 1
+    assert sum(i == 3 for i, _ in kept) == 1 and sum(i is None and t is not None and t.startswith("c0") for i, t in kept) == 1
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
 def test_driver_tables(spark):
     d = spark.read.parquet(f"{SF_DIR}/documents.parquet")
