@@ -12,7 +12,8 @@ reaches the lowest density on that path (headings among them are kept).
 The tree is one page's; pages are read independently, one at a time.
 
 Defined cases: null and empty html give an empty text; unclosed, misnested and
-truncated markup is closed as browsers do; text outside any block is a block;
+truncated markup is closed as browsers do, but an object, noscript or template without an end
+tag holds text of the page, and any block ends an svg; formulas are text; text outside any block is a block;
 a page without text gives ''.  Extra columns are left behind.
 """
 
@@ -35,19 +36,27 @@ TAG = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+#: A slash at the end of an unquoted value is part of it.
+UNQUOTED_END = re.compile(r"""=\s*[^\s"']+/\Z""")
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math object".split())
+RAW = frozenset("script style textarea title iframe".split())
+#: Cut out as a whole if they are closed; one that is left open holds text of the page.
+HELD = frozenset("object noscript template annotation annotation-xml".split())
+#: Elements of svg whose content is HTML or text.
+INSIDE_SVG = frozenset("foreignobject desc title".split())
 BLOCK = frozenset(
     "html body head article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th "
     "caption blockquote pre figure figcaption header footer nav aside form fieldset details summary address center "
     "dialog menu hgroup search hr button select option label legend".split()
 )
+#: Inline elements of HTML; like block elements, they end an svg that is left open.
+ENDS_SVG = BLOCK | frozenset("b big br code em embed i img nobr ruby s small span strong strike sub sup tt u var".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 DROPPED = frozenset(
     "head nav footer aside form fieldset button select option label legend menu dialog search script style textarea "
-    "title noscript template iframe svg math object".split()
+    "title noscript template iframe svg object annotation annotation-xml foreignobject desc".split()
 )
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 NOISE = frozenset(
@@ -70,12 +79,13 @@ CLOSES = {
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "noise", "chars", "tags", "link_chars", "link_tags", "density", "total", "links")
+    __slots__ = ("tag", "parent", "items", "noise", "chars", "tags", "link_chars", "link_tags", "density", "total", "links", "in_link")
 
     def __init__(self, tag: str, parent: Node | None, noise: bool = False):
         self.tag, self.parent, self.noise = tag, parent, noise
         self.items: list = []  # texts, (text in a link,) and block nodes in order
         self.links = 0  # <a> elements opened directly inside
+        self.in_link = 0  # whether it stands in a link itself
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
@@ -109,12 +119,18 @@ def parse(page: str) -> Node:
     """The page's tree of block elements."""
     root = Node("#root", None)
     node, links, at = root, 0, 0
-    stack: list[str] = []  # open inline elements of the current block are forgotten with it
 
     def text(s: str) -> None:
         if s:
             node.items.append((s, links > 0))
 
+    def left_open(low: Node, high: Node) -> None:
+        """The nodes from ``low`` up to ``high``, without it, end without a tag of their own."""
+        while low is not high:
+            if low.tag in HELD:
+                low.noise = False
+            low = low.parent
+
     while m := TAG.search(page, at):
         text(page[at : m.start()])
         at = m.end()
@@ -125,16 +141,28 @@ def parse(page: str) -> Node:
         if closing:
             if name == "a":
                 links = max(0, links - 1)
-            elif name in BLOCK:
+            elif name in BLOCK or name in HELD or name == "svg" or name in INSIDE_SVG:
                 up = node
                 while up is not root and up.tag != name:
                     up = up.parent
                 if up is not root:
-                    node, links = up.parent, 0
+                    left_open(node, up)
+                    node, links = up.parent, up.in_link
                 elif name == "p":
                     text("\n")
             continue
-        if name in RAW:
+        attributes = m[3] or m[6] or ""
+        while node.tag == "svg" and name in ENDS_SVG:
+            node, links = node.parent, node.in_link
+        if name in HELD or name == "svg" or node.tag == "svg" and name in INSIDE_SVG:
+            child = Node(name, node, True)
+            child.in_link = links
+            node.items.append(child)
+            foreign = name == "svg" or node.tag == "svg"
+            if not (foreign and attributes.endswith("/") and not UNQUOTED_END.search(attributes)):
+                node, links = child, 0
+            continue
+        if name in RAW and node.tag != "svg":
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
@@ -149,16 +177,17 @@ def parse(page: str) -> Node:
                 up = node
                 while up is not root and up.tag not in limits:
                     if up.tag in shut:
+                        left_open(node, up)
                         node = up.parent
                     up = up.parent
             elif node.tag == "p" or node.tag in HEADING and name in HEADING:
                 node = node.parent
-            child = Node(name, node, _is_noise(name, m[3] or m[6] or "", node))
+            child = Node(name, node, _is_noise(name, attributes, node))
             node.items.append(child)
             if name not in VOID:
                 node, links = child, 0
     text(page[at:])
-    del stack
+    left_open(node, root)
     return root
 
 
@@ -221,7 +250,7 @@ def _blocks(n: Node, out: list[list[str]]) -> None:
             todo += x.items[::-1]
         elif not x.noise:  # an article's own header: its headings
             todo.append(None)
-            todo += [c for c in _postorder(x) if c.tag in HEADING]
+            todo += [c for c in _postorder(x) if c.tag in HEADING][::-1]
             out.append([])
 
 

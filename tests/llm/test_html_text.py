@@ -61,6 +61,27 @@ def test_article_header_keeps_its_heading():
     assert extract(f"<article><header><nav>x</nav><h1>Title</h1><p>by me</p></header><p>{P}</p></article>") == f"Title\n{P}"
 
 
+@pytest.mark.parametrize("inset", ['<svg viewBox="0 0 1 1"/>', "<svg><title/><path d=''/></svg>", "<math/>", "<object>a<object>b</object>c</object>", "<template><p>a<template>b</template>c</template>", "<svg><foreignObject><p>x</p></foreignObject></svg>", "<svg><path>", "<svg><style>a<b</style></svg>"])
+def test_insets_end_where_they_end(inset):
+    assert extract(f"<body><article><p>{P}</p>{inset}<p>{P}</p><p>end</p></article><p>{inset}") == f"{P}\n{P}\nend"
+    assert extract(f"<article><p>{P} a{inset}<b>b</b> c</p><p>{P}</p></article>").endswith(f"c\n{P}")
+
+
+@pytest.mark.parametrize("tag", ["object", "noscript", "template", "svg"])
+def test_left_open_insets_do_not_take_the_rest_of_the_page(tag):
+    assert extract(f"<body><article><p>{P}</p><{tag}><p>{P}</p><p>end</p></article></body>") == f"{P}\n{P}\nend"
+    assert extract(f"<body><article><div><p>{P}</p><{tag}></div><p>{P}</p><p>end</p>") == f"{P}\n{P}\nend"
+
+
+def test_formulas_are_text():
+    page = f"<article><p>{P} <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x = 2</annotation></math> so</p><p>{P}</p></article>"
+    assert extract(page) == f"{P} x=2 so\n{P}"
+
+
+def test_headings_of_an_article_header_are_in_page_order():
+    assert extract(f"<article><header><h1>One</h1><div><h2>Two</h2></div><h3>Three</h3></header><p>{P}</p></article>") == f"One\nTwo\nThree\n{P}"
+
+
 def test_very_long_and_deep_pages():
     page = "<body><article>" + f"<p>{P}</p>" * 20_000 + "</article></body>"
     assert extract(page).count("\n") == 19_999
