@@ -5,9 +5,10 @@ block's text).  Navigation, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles and reader comments are cut out by tag, role and class.  Every
 remaining node gets its composite text density: characters per tag, lowered by
 the share of characters and tags that are links.  The node whose children's
-densities sum highest leads to the article: its nearest enclosing <article> or
-<main>, else it and the subtrees beside its path from <body> whose density
-reaches the lowest density on that path (headings among them are kept).
+densities sum highest leads to the article: it, or the outermost <article> around
+it, and the subtrees beside its path from <body> (or <main>) whose density reaches
+the lowest density on that path (headings among them are kept).  Groups of links
+below that density are cut out of them.
 
 The tree is one page's; pages are read independently, one at a time.
 
@@ -254,22 +255,44 @@ def _blocks(n: Node, out: list[list[str]]) -> None:
             out.append([])
 
 
+def _cut_menus(top: Node, least: float) -> None:
+    """Marks groups of links under ``top`` as noise: mostly link text, and less dense than ``least``."""
+    todo = [top]
+    while todo:
+        for c in _children(todo.pop()):
+            if c.density < least and c.link_tags > 1 and 2 * c.link_chars > c.chars and c.tag != "p" and c.tag not in HEADING:
+                c.noise = True
+            else:
+                todo.append(c)
+
+
 def article_nodes(root: Node) -> list[Node]:
-    """The subtrees that hold the article."""
+    """The subtrees that hold the article.
+
+    The node of the highest density sum grows to the outermost <article> around it.
+    Subtrees beside the path from there up to <main> or <body> are kept by the path's
+    lowest density.
+    """
     order = measure(root)
     best = max(order, key=lambda n: n.total)
     path = [best]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
-    for n in path:
-        if n.tag in ("article", "main"):
-            return [n]
+    tags = [n.tag for n in path]
+    if "article" in tags:
+        path = path[len(tags) - 1 - tags[::-1].index("article") :]
+    tags = [n.tag for n in path]
+    if "main" in tags:
+        path = path[: tags.index("main") + 1]
     body = [n for n in path if n.tag not in ("#root", "html")] or path[:1]
     least = min(n.density for n in body)
-    keep = {id(best)}
-    for n in [*body[1:], *path[-1:]]:
-        keep |= {id(c) for c in _children(n) if c not in path and c.chars and (c.density >= least or c.tag in HEADING)}
-    return [n for n in _postorder(root)[::1] if id(n) in keep][::-1] if len(keep) > 1 else [best]
+    on_path = {id(n) for n in path}
+    keep = [path[0]]
+    for n in path[1:]:
+        keep += [c for c in _children(n) if id(c) not in on_path and c.chars and (c.density >= least or c.tag in HEADING)]
+    for n in keep:
+        _cut_menus(n, least)
+    return keep
 
 
 def extract(page: str | None) -> str:

@@ -61,6 +61,25 @@ def test_article_header_keeps_its_heading():
     assert extract(f"<article><header><nav>x</nav><h1>Title</h1><p>by me</p></header><p>{P}</p></article>") == f"Title\n{P}"
 
 
+@pytest.mark.parametrize("outer", ["main", "div", "body"])
+def test_text_in_several_articles(outer):
+    parts = "".join(f"<article><h2>Part {i}</h2><p>{P}</p><p>{P} {'And more. ' * i}</p></article>" for i in range(1, 4))
+    got = extract(f"<body><{outer}><h1>Title</h1>{parts}<div><a href=/a>One</a> <a href=/b>Two</a></div></{outer}></body>")
+    want = "\n".join(f"Part {i}\n{P}\n{P} {'And more. ' * i}".strip() for i in range(1, 4))
+    assert got == f"Title\n{want}"
+
+
+def test_an_article_nested_in_the_article():
+    page = f"<body><article><h1>Title</h1><p>{P}</p><article><p>{P * 9}</p><p>{P * 9}</p></article><p>{P}</p><p>Short.</p></article></body>"
+    assert extract(page) == f"Title\n{P}\n{P * 9}\n{P * 9}\n{P}\nShort."
+
+
+def test_a_menu_of_any_name_inside_the_article_goes():
+    links = "".join(f"<li><a href=/{i}>Link number {i}</a></li>" for i in range(30))
+    page = f'<body><article><h1>Title</h1><p>{P}</p><ul class="xyz">{links}</ul><p>{P}</p><p>Short.</p><ul><li>one</ul></article></body>'
+    assert extract(page) == f"Title\n{P}\n{P}\nShort.\none"
+
+
 @pytest.mark.parametrize("inset", ['<svg viewBox="0 0 1 1"/>', "<svg><title/><path d=''/></svg>", "<math/>", "<object>a<object>b</object>c</object>", "<template><p>a<template>b</template>c</template>", "<svg><foreignObject><p>x</p></foreignObject></svg>", "<svg><path>", "<svg><style>a<b</style></svg>"])
 def test_insets_end_where_they_end(inset):
     assert extract(f"<body><article><p>{P}</p>{inset}<p>{P}</p><p>end</p></article><p>{inset}") == f"{P}\n{P}\nend"
