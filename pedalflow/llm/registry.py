@@ -21,7 +21,7 @@ def tokenizer_path() -> str:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.report(table(spark, sf_dir, "documents"), least=lines.LEAST)
+    return lines.report(table(spark, sf_dir, "documents"), least=lines.LEAST, bands=lines.BANDS)
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
