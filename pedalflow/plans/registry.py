@@ -94,11 +94,12 @@ def _result_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _union_by_name(d: TripData) -> DataFrame:
-    """Two slices of which only the later one has ``track``: matched by name, NULL where missing."""
+    """Two slices of which only the later one has ``track``: matched by name, NULL where missing.
+    Trips without a date are part of the earlier slice."""
     from ..sources.trips import union_by_name
 
     t = d.trips.select("trip_id", "age_range", "trip_date")
-    late = F.year("trip_date") >= 1998
+    late = F.coalesce(F.year("trip_date") >= 1998, F.lit(False))
     with_track = t.filter(late).select("trip_date", (F.col("trip_id") * 2).alias("track"), "age_range", "trip_id")
     return union_by_name([t.filter(~late), with_track])
 

@@ -201,3 +201,14 @@ def test_s2_station_pairs_weighting_equals_fan_out_studies(spark, data):
     bal = {(r["year"], r["zone"]): r["n_out"] for r in flows.zone_balance(as_coded, "full_outer").collect()}
     fan_out = {(r["year"], r["origin_zone"]): r["count"] for r in fan.groupBy("year", "origin_zone").count().collect()}
     assert bal == {k: fan_out.get(k, 0) for k in bal} and set(fan_out) <= set(bal)
+
+
+def test_union_by_name_keeps_undated_trips(data):
+    from pedalflow.plans.registry import _union_by_name
+
+    first = data.trips.first()["trip_id"]
+    undated = data.trips.withColumn("trip_date", F.when(F.col("trip_id") != first, F.col("trip_date")))
+    undated = undated.withColumn("trip_id", F.crc32("trip_id"))
+    got = _union_by_name(type(data)(undated, data.stations)).collect()
+    assert len(got) == data.trips.count()
+    assert [r["track"] for r in got if r["trip_date"] is None] == [None]
