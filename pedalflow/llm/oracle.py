@@ -1,8 +1,8 @@
 """SQL (DuckDB dialect) for the corpus queries that SQL can express, written from the contracts.
 
 There is none for op1 (edit distances of all pairs of lines), op2 (profiles), op4
-(markup), op5 (tokenizer) and op8 (places of matches); their tests compare them with
-brute force.
+(markup), op5 and op12 (tokenizers), op8 (places of matches) and op13 (checksums of words); their
+tests compare them with brute force.
 """
 
 from __future__ import annotations
@@ -154,6 +154,31 @@ SELECT page_id, host, path, rule,
 FROM p LEFT JOIN fits USING (page_id) LEFT JOIN low USING (host)
 """
 
+#: Assignment i (the nearest of centroids i for each vector) and centroids i + 1.
+_ROUND = """
+a{i} AS MATERIALIZED (
+  SELECT r, arg_min(c, c) AS c, any_value(dist) AS dist
+  FROM (SELECT r, c, dist, min(dist) OVER (PARTITION BY r) AS least
+        FROM (SELECT r, c, sum((v.x - m.x) * (v.x - m.x)) AS dist FROM v JOIN c{i} m USING (d) GROUP BY r, c))
+  WHERE dist = least GROUP BY r),
+s{i} AS (SELECT c, d, sum(x) AS s, count(*) AS n FROM v JOIN a{i} USING (r) GROUP BY c, d),
+c{j} AS MATERIALIZED (
+  SELECT c, d, coalesce((s - ((s % n) + n) % n) // n, x) AS x FROM c{i} LEFT JOIN s{i} USING (c, d)),"""
+
+OP11 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: abs(CAST(e AS DOUBLE)) < 131072)) = 64),
+v AS MATERIALIZED (
+  SELECT r, d, CAST(floor(1024 * CAST(embedding[d + 1] AS DOUBLE)) AS BIGINT) AS x FROM kept, unnest(range(64)) AS t(d)),
+seeds AS (SELECT r, row_number() OVER (ORDER BY sha256('3:' || CAST(vec_id AS VARCHAR)), r) - 1 AS c FROM kept QUALIFY c < 8),
+c0 AS MATERIALIZED (SELECT c, d, x FROM seeds JOIN v USING (r)),{"".join(_ROUND.format(i=i, j=i + 1) for i in range(11))}
+names AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c10 GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(dist AS BIGINT) AS distance,
+       CAST(sum(dist) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(dist) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM kept JOIN a10 USING (r) JOIN names USING (c)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -162,4 +187,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_quality_rules": OP7,
         "op9_ngram_jaccard": OP9,
         "op10_url_filter": OP10,
+        "op11_centroid_clustering": OP11,
     }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_text, jaccard, language, lines, oracle, packing, quality, secret_scan, urls
+from . import bpe, centroids, chat, decontaminate, html_text, jaccard, language, lines, oracle, packing, quality
+from . import secret_scan, spelling, urls
 from .common import pick, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +74,21 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digest(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -85,6 +101,9 @@ def queries() -> dict[str, Query]:
         "op8_secret_scan": op8_secret_scan,
         "op9_ngram_jaccard": op9_ngram_jaccard,
         "op10_url_filter": op10_url_filter,
+        "op11_centroid_clustering": op11_centroid_clustering,
+        "op12_bpe": op12_bpe,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 

@@ -1,0 +1,152 @@
+"""Byte-level BPE by prefixes against tiktoken, and its tables under changes."""
+
+import base64
+import hashlib
+import os
+import random
+import time
+from itertools import chain
+
+import numpy as np
+import pytest
+from awkward import ODD_ROWS, clashing, docs
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from pedalflow.llm import bpe, registry
+
+P = pytest.importorskip("public_tokenizers")
+tiktoken = pytest.importorskip("tiktoken")
+PATH = P.path("byte_bpe_multi_50k.tiktoken")
+SF_DIR = "/root/testdata/sf0.001"
+PARTS = [" ", "  ", "\n", "\t", "\r", "\x1c", "\x85", "\xa0", "　", "a", "é", "1", "²", ".", "'", "s", "re", "'ll", "ing", "the", " of", "🙂", "字", "ก",
+         "́", "‍", "\x00", "A", "ſ", "١", "Ⅷ", "👩‍👩‍👧"]
+text = st.lists(st.sampled_from(PARTS), max_size=16).map("".join)
+
+
+@pytest.fixture(scope="module")
+def library():
+    with open(PATH, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@settings(max_examples=500, deadline=None)
+@given(text)
+def test_ids_are_those_of_the_library(library, x):
+    ids = bpe.token_ids(x, PATH, P.PATTERN).tolist()
+    assert ids == library.encode_ordinary(x)
+    assert bpe.vocabulary(PATH)[0].decode(ids) == x.encode()
+
+
+def test_tokens_follow_each_other_as_merging_says():
+    words, r = bpe.vocabulary(PATH)[0], random.Random(4)
+    few = sorted(words.ranks, key=words.ranks.get)[:3000]
+    alike = [t for t in few if len(set(t)) <= 2]
+    pairs = [(r.choice(few), r.choice(few)) for _ in range(10_000)] + [(r.choice(alike), r.choice(alike)) for _ in range(10_000)]
+    for a, b in pairs:
+        assert words._apart(a, b) == (words.merged(a + b) == [a, b]), (a, b)
+
+
+def test_a_vocabulary_whose_ranks_are_out_of_order():
+    """abc can only be made of ab, which ranks after it; xy's bytes do not merge into longer xyz."""
+    words = bpe.Vocabulary({b"a": 0, b"b": 1, b"c": 2, b"abc": 3, b"ab": 4, b"x": 5, b"y": 6, b"z": 7, b"xyz": 8})
+    assert words.grown(b"ab") and not words.grown(b"abc") and not words.sound(b"xyz")
+    for n in range(1, 7):
+        for k in range(3**n):
+            piece = bytes(b"abc"[k // 3**i % 3] for i in range(n))
+            assert words.tokens[words.encode(piece)[0]] and words.decode(words.encode(piece)) == piece
+            if piece not in words.ranks:
+                assert words.encode(piece) == [words.ranks[t] for t in words.merged(piece)]
+    assert words.encode(b"xyz") == [8] and words.encode(b"xyzx") == [5, 6, 7, 5]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.binary(max_size=40), st.integers(0, 40), st.integers(0, 8), st.binary(max_size=6))
+def test_a_table_after_a_change_is_that_of_the_new_piece(piece, start, size, by):
+    words = bpe.vocabulary(PATH)[0]
+    start = min(start, len(piece))
+    new, table = words.changed(piece, words.prefixes(piece), start, min(len(piece), start + size), by)
+    assert table == words.prefixes(new)
+
+
+def test_a_change_touches_few_entries(monkeypatch):
+    words = bpe.vocabulary(PATH)[0]
+    piece = b"abcdefghij" * 2000
+    table, made = words.prefixes(piece), []
+    extend = words.extend
+    monkeypatch.setattr(words, "extend", lambda p, last, end: (made.append(end), extend(p, last, end)))
+    new, found = words.changed(piece, table, 10_000, 10_003, b"zz")
+    assert len(made) < 500 and len(found) == len(new) + 1
+    made.clear()
+    words.changed(new, found, len(new), len(new), b"more")
+    assert len(made) <= 5
+
+
+@settings(max_examples=150, deadline=None)
+@given(text, st.lists(st.tuples(st.integers(0, 30), st.integers(0, 4), text), max_size=4))
+def test_a_changed_text_has_the_ids_of_the_new_text(library, x, changes):
+    own = bpe.Encoded(x, bpe.vocabulary(PATH)[0], P.PATTERN)
+    for start, size, by in changes:
+        start = min(start, len(own.text))
+        own.replace(start, min(len(own.text), start + size), by)
+        assert own.ids == library.encode_ordinary(own.text)
+    own.append("'l")
+    own.append("l ")
+    assert own.ids == library.encode_ordinary(own.text)
+
+
+def test_a_change_encodes_only_pieces_near_it(library):
+    own = bpe.Encoded("some words of a text " * 500, bpe.vocabulary(PATH)[0], P.PATTERN)
+    assert own.replace(5000, 5003, "changed") < 8 and own.append("end") < 6
+    assert own.ids == library.encode_ordinary(own.text)
+
+
+@pytest.mark.parametrize("step", [4, 9, 50])
+def test_pieces_of_stretches_are_those_of_the_whole(step):
+    r = random.Random(step)
+    for _ in range(200):
+        x = "".join(r.choice(PARTS) for _ in range(60))
+        assert list(chain.from_iterable(bpe.pieces(x, P.PATTERN, step))) == bpe._compiled(P.PATTERN).findall(x)
+
+
+def test_very_long_pieces_take_linear_time(library):
+    for x in ("a" * 300_000, " " * 300_000, "ab" * 150_000):
+        t = time.perf_counter()
+        ids = bpe.token_ids(x, PATH, P.PATTERN)
+        assert time.perf_counter() - t < 30
+        assert bpe.vocabulary(PATH)[0].decode(ids.tolist()) == x.encode()
+    x = "ab" * 2000
+    assert bpe.token_ids(x, PATH, P.PATTERN).tolist() == library.encode_ordinary(x)
+
+
+def test_odd_rows(spark, library):
+    d = clashing(docs(spark, ODD_ROWS))
+    found = {(r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in bpe.digest(d, PATH, P.PATTERN).collect()}
+    want = set()
+    for i, x, *_ in ODD_ROWS:
+        ids = library.encode_ordinary(x or "")
+        raw = np.array(ids, "<u4").tobytes()
+        want.add((i, len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256((x or "").encode()).hexdigest()))
+    assert found == want and bpe.digest(d, PATH, P.PATTERN).count() == len(ODD_ROWS)
+    assert bpe.digest(d.limit(0), PATH, P.PATTERN).count() == 0
+
+
+def test_round_trip_through_tables(spark):
+    d = docs(spark, ODD_ROWS)
+    ids = bpe.encode(d, PATH, P.PATTERN)
+    back = bpe.decode(clashing(ids), PATH).collect()
+    key = lambda r: (repr(r[0]), r[1])
+    assert sorted(((r["doc_id"], bytes(r["text"])) for r in back), key=key) == sorted(((i, (x or "").encode()) for i, x, *_ in ODD_ROWS), key=key)
+    assert bpe.decode(ids.selectExpr("doc_id", "CAST(NULL AS array<int>) AS ids"), PATH).first()["text"] == b""
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
+def test_query_equals_the_library(spark, library):
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    rows = registry.queries()["op12_bpe"](spark, SF_DIR).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = library.encode_ordinary(texts[r["doc_id"]])
+        assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()

@@ -24,7 +24,7 @@ def test_registered():
     import __spark_entry__ as E
 
     ops = {k.split("_")[0] for k in E.queries() if k.startswith("op")}
-    assert ops == {f"op{n}" for n in range(1, 11)} and "pipeline" in E.queries()
+    assert ops == {f"op{n}" for n in range(1, 14)} and "pipeline" in E.queries()
     assert set(E.oracle_sql()) <= set(E.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "ngram_jaccard", "decontamination", "best_fit_packing"]
     assert set(registry.queries()) <= set(E.queries())
