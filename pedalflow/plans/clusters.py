@@ -1,27 +1,40 @@
-"""Station clustering (L21, K1-K3) with Spark ML.
+"""Station clustering (L21, K1-K3): k-means and silhouettes that can be proved.
 
-Features are standardised (zero mean, unit variance) and grouped with
-k-means; the silhouette (squared Euclidean) is reported for every k.  The
-model fits are distributed; only the k scores come back to the driver.
+Features are standardised (zero mean, unit variance) and put on a grid of whole
+numbers, so every sum is exact and the groups depend on neither partitions nor order:
+
+* the first centre is the station whose hash with ``seed`` is smallest, each further one the
+  station farthest from all centres so far (ties by station), so the seeds of k centres are
+  the first k of any larger k;
+* a step assigns every station to its nearest centre (ties: the smaller number) and moves
+  the centres to their members' means, rounded down; centres without members stay.
+
+All values of k are stepped together: one pass and one aggregate a step, of a row per (k,
+group).  The silhouette (squared Euclidean) needs only the same sums per group, so the
+scores of all k take one more aggregate for the sums and one for the means.  What comes
+to the driver are centres and sums, at most the sum of all k rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
 from .data import TripData
 from .flows import od_weekday_counts
 
+#: Raw coordinates are read in steps of 1 / UNIT, standardised ones in steps of 1 / GRID.
+UNIT, GRID = 1_000_000, 1_000_000
+STEPS = 20
+Centre = tuple[int, ...]
+
 
 def station_points(data: TripData) -> DataFrame:
     """One point per station number: mean coordinate of its station rows."""
@@ -50,18 +63,92 @@ def standardised_points(points: DataFrame, features: Sequence[str] = ("x", "y"))
     return scaled.select("station", *[z[i].alias(f"{f}_std") for i, f in enumerate(features)])
 
 
+def grid_points(points: DataFrame, features: Sequence[str] = ("x", "y"), unit: int = UNIT) -> DataFrame:
+    """``(station, z0, z1, ...)``: standardised features as whole numbers, checkpointed."""
+    ensure_checkpoint_dir(points.sparkSession)
+    names = [f"z{i}" for i in range(len(features))]
+    raw = points.dropna(subset=list(features)).select(
+        "station", *[F.round(F.col(f) * unit).cast("long").alias(z) for f, z in zip(features, names, strict=True)]
+    )
+    exact = [F.col(z).cast("decimal(38,0)") for z in names]
+    sums = raw.agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"s{i}") for i, c in enumerate(exact)],
+                   *[F.sum((F.col(z) * F.col(z)).cast("decimal(38,0)")).alias(f"q{i}") for i, z in enumerate(names)]).first()
+    n, cols = sums["n"], []
+    for i, z in enumerate(names):
+        s, q = float(sums[f"s{i}"] or 0), float(sums[f"q{i}"] or 0)
+        spread = math.sqrt((q - s * s / n) / (n - 1)) if n > 1 else 0.0
+        cols.append(F.floor(GRID * ((F.col(z) - s / n) / spread)).alias(z) if spread else F.lit(0).cast("long").alias(z))
+    return raw.select("station", *cols).checkpoint()
+
+
+def _squared(names: Sequence[str], centre: Centre) -> Column:
+    total = F.lit(0).cast("long")
+    for z, c in zip(names, centre, strict=True):
+        total = total + (F.col(z) - c) * (F.col(z) - c)
+    return total
+
+
+def _nearest(names: Sequence[str], centres: Sequence[Centre]) -> Column:
+    """Number of the nearest centre, the smaller of equals."""
+    each = [F.struct(_squared(names, c).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(centres)]
+    return F.array_min(F.array(*each))["i"]
+
+
+def farthest_points(grid: DataFrame, k: int, seed: int = 1) -> list[Centre]:
+    """``k`` stations far from each other (fewer if there are fewer places): one pass and one row each."""
+    names = [c for c in grid.columns if c != "station"]
+    name = F.md5(F.concat(F.col("station").cast("string"), F.lit(str(seed))))
+    found = [tuple(r[z] for z in names) for r in grid.orderBy(name, "station").limit(1).collect()]
+    while found and len(found) < k:
+        away = F.array_min(F.array(*[_squared(names, c) for c in found])).alias("away")
+        far = grid.select("*", away).orderBy(F.desc("away"), "station").limit(1).first()
+        if far["away"] == 0:
+            break
+        found.append(tuple(far[z] for z in names))
+    return found
+
+
+def _sums(grid: DataFrame, names: Sequence[str], centres: dict[int, list[Centre]]) -> dict[tuple[int, int], list[int]]:
+    """Members, sums and sum of squares of every (k, group) that has members, in one aggregate."""
+    each = F.array(*[F.struct(F.lit(k).alias("k"), _nearest(names, c).alias("c")) for k, c in centres.items()])
+    square = sum((F.col(z) * F.col(z) for z in names), F.lit(0)).cast("decimal(38,0)")
+    total = [F.count(F.lit(1)).alias("n"), *[F.sum(z).alias(z) for z in names], F.sum("square").alias("square")]
+    per = grid.select(*names, square.alias("square"), F.inline(each)).groupBy("k", "c").agg(*total)
+    return {(r["k"], r["c"]): [int(r[x]) for x in ("n", *names, "square")] for r in per.collect()}
+
+
+def centres_by_k(grid: DataFrame, ks: Sequence[int], seed: int = 1, steps: int = STEPS) -> dict[int, list[Centre]]:
+    """The centres of each k after ``steps`` steps, or as soon as none moves any more."""
+    names = [c for c in grid.columns if c != "station"]
+    seeds = farthest_points(grid, max(ks), seed)
+    centres = {int(k): seeds[: int(k)] for k in ks}
+    for _ in range(steps if seeds else 0):
+        sums = _sums(grid, names, centres)
+        moved = {
+            k: [tuple(s // sums[k, i][0] for s in sums[k, i][1:-1]) if (k, i) in sums else c for i, c in enumerate(own)]
+            for k, own in centres.items()
+        }
+        if moved == centres:
+            break
+        centres = moved
+    return centres
+
+
 def station_clusters(
-    points: DataFrame, k: int = 4, seed: int = 1, features: Sequence[str] = ("x", "y")
+    points: DataFrame, k: int = 4, seed: int = 1, features: Sequence[str] = ("x", "y"), unit: int = UNIT, steps: int = STEPS
 ) -> DataFrame:
     """``(station, cluster)`` from k-means on standardised features (K1).  Stations without
     coordinates are kept as a group of their own, ``NO_COORDINATES``."""
-    scaled = _standardised(points, features)
-    model = KMeans(featuresCol="standardized", predictionCol="cluster", k=k, seed=seed).fit(scaled)
-    placed = model.transform(scaled).select("station", F.col("cluster").cast("int").alias("cluster"))
     unplaced = F.lit(False)
     for f in features:
         unplaced = unplaced | F.col(f).isNull() | F.isnan(f)
-    return placed.union(points.filter(unplaced).select("station", F.lit(NO_COORDINATES).alias("cluster")))
+    rest = points.filter(unplaced).select("station", F.lit(NO_COORDINATES).alias("cluster"))
+    grid = grid_points(points, features, unit)
+    centres = centres_by_k(grid, [k], seed, steps)[k]
+    if not centres:
+        return rest
+    names = [c for c in grid.columns if c != "station"]
+    return grid.select("station", _nearest(names, centres).alias("cluster")).union(rest)
 
 
 def silhouette_of(points: DataFrame, group: str, features: Sequence[str] = ("x", "y")) -> DataFrame:
@@ -78,31 +165,42 @@ def silhouette_by_k(
     ks: Sequence[int] = range(2, 10),
     seed: int = 1,
     features: Sequence[str] = ("x", "y"),
-    parallelism: int = 8,
+    unit: int = UNIT,
+    steps: int = STEPS,
 ) -> DataFrame:
-    """``(k, silhouette)`` for each k (K2).
+    """``(k, silhouette)`` for each k (K2), the mean over all stations.
 
-    The fits are independent, so up to ``parallelism`` of them are submitted at
-    once from driver threads (as ``CrossValidator(parallelism=...)`` does); each
-    fit is itself a distributed job over the cached, standardised points.
+    With n members, sums s and sum of squares q of a group, a point's mean squared distance
+    to it is p.p + q / n - 2 p.s / n; in its own group the mean is over the n - 1 others.
+    A station alone in its group scores 0; k without two groups has no score.
     """
-    scaled = _standardised(points, features).persist(StorageLevel.MEMORY_AND_DISK)
-    evaluator = ClusteringEvaluator(
-        predictionCol="prediction", featuresCol="standardized", metricName="silhouette",
-        distanceMeasure="squaredEuclidean",
-    )
-
-    def score(k: int) -> tuple[int, float]:
-        model = KMeans(featuresCol="standardized", k=int(k), seed=seed).fit(scaled)
-        return int(k), float(evaluator.evaluate(model.transform(scaled)))
-
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(ks)))) as pool:
-            scores = list(pool.map(inheritable_thread_target(points.sparkSession)(score), ks))
-    finally:
-        scaled.unpersist()
-    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("silhouette", T.DoubleType())])
-    return points.sparkSession.createDataFrame(scores, schema)
+    grid = grid_points(points, features, unit)
+    names = [c for c in grid.columns if c != "station"]
+    centres = centres_by_k(grid, ks, seed, steps)
+    sums = _sums(grid, names, centres)
+    own = sum((F.col(z).cast("double") * F.col(z) for z in names), F.lit(0.0))
+    wide, scored = grid, []
+    for k, of_k in centres.items():
+        groups = [(i, *sums[k, i]) for i in range(len(of_k)) if (k, i) in sums]
+        if len(groups) < 2:
+            continue
+        scored.append(k)
+        at, a, b = F.col("at"), F.col("a"), F.col("b")
+        to_own, to_others = F.lit(None).cast("double"), []
+        for i, n, *s, q in groups:
+            inner = sum((F.col(z) * float(c) for z, c in zip(names, s, strict=True)), F.lit(0.0))
+            mean = own + float(q) / n - 2 * inner / n
+            to_own = F.when(at == i, mean * n / (n - 1) if n > 1 else F.lit(None)).otherwise(to_own)
+            to_others.append(F.when(at != i, mean))
+        score = F.when(a < b, 1 - a / b).when(a > b, b / a - 1).otherwise(0.0)
+        wide = wide.withColumn("at", _nearest(names, of_k)).withColumns({"a": to_own, "b": F.array_min(F.array(*to_others))})
+        # whole multiples of 1e-9, so that the order of the sum does not matter
+        wide = wide.withColumn(f"score{k}", F.floor(score * 1e9))
+    rows: list[tuple[int, float | None]] = [(k, None) for k in centres if k not in scored]
+    if scored:
+        total = wide.agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"score{k}").alias(f"score{k}") for k in scored]).first()
+        rows += [(k, total[f"score{k}"] / 1e9 / total["n"]) for k in scored]
+    return points.sparkSession.createDataFrame(sorted(rows), "k int, silhouette double")
 
 
 def cluster_od_counts(data: TripData, clusters: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import with_calendar
@@ -28,6 +28,8 @@ class TripData:
     # Optional daily zone cube (see ``with_zone_cube``): when set, the zone studies
     # are served from it instead of scanning the trips.
     cube: DataFrame | None = field(default=None, repr=False, compare=False)
+    # Optional rider histogram (see ``with_rider_cube``) that serves the rider studies.
+    rider_cube: DataFrame | None = field(default=None, repr=False, compare=False)
     _memo: dict = field(default_factory=dict, repr=False, compare=False)
 
     @classmethod
@@ -80,7 +82,7 @@ class TripData:
             spark.conf.set("spark.sql.shuffle.partitions", before)
         # Same stations and options (weighting, broadcast bound, checked dimensions); no cube yet.
         kept = {k: v for k, v in self._memo.items() if k != "counted"}
-        return replace(self, trips=spark.read.parquet(path), cube=None, _memo=kept)
+        return replace(self, trips=spark.read.parquet(path), cube=None, rider_cube=None, _memo=kept)
 
     def dated(self, extended: bool = False) -> DataFrame:
         """Trips with calendar columns (L1).  Trips without a valid date take part in no
@@ -157,22 +159,23 @@ class TripData:
         z = self.counted() if known_dest else self.counted(how="left").filter(F.col("origin_zone").isNotNull())
         return z.select(*calendar, F.col("origin_zone").alias("zone"), "w")
 
-    def with_zone_cube(self) -> "TripData":
-        """Aggregate the zoned trips once into a daily zone cube and serve every zone
-        study from it.
+    def zone_cube(self, counts: Observation | None = None) -> DataFrame:
+        """The daily zone cube: one row per (day, zone), so days x zones rows.
 
-        One row per (day, zone), so days x zones rows: departures and arrivals of trips
-        with both ends known (``n_out``, ``n_in``) and departures whatever the end
-        (``n_out_any``, for the daily peaks).  Trips are first summed per (day, origin,
-        destination) map-side, then both ends are counted; the cube is checkpointed to
-        the shared folder.
+        Departures and arrivals of trips with both ends known (``n_out``, ``n_in``) and
+        departures whatever the end (``n_out_any``, for the daily peaks).  Trips are first
+        summed per (day, origin, destination) map-side, then both ends are counted.  A
+        day's rows depend on that day's trips alone.
         """
-        from ..session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(self.trips.sparkSession)
         calendar = ["trip_date", "dayofweek", "month", "weekofyear", "year"]
         zones = ["origin_zone", "dest_zone"]
-        plain = self.counted(how="left").groupBy(*calendar, *zones).agg(F.sum("w").alias("n"))
+        looked_up = self.counted(how="left")
+        if counts is not None:
+            o, d = F.col("origin_zone").isNull(), F.col("dest_zone").isNull()
+            reasons = {"kept": ~o & ~d, "no_origin": o & ~d, "no_destination": ~o & d, "no_origin_no_destination": o & d}
+            of = [F.sum(F.when(why, F.col("w")).otherwise(0)).alias(name) for name, why in reasons.items()]
+            looked_up = looked_up.observe(counts, *of)
+        plain = looked_up.groupBy(*calendar, *zones).agg(F.sum("w").alias("n"))
         both = F.col("origin_zone").isNotNull() & F.col("dest_zone").isNotNull()
         if self.weighting == "station_pairs":
             size = self.centroids().select("zone", "n_stations")
@@ -187,10 +190,28 @@ class TripData:
             F.struct(F.col("origin_zone").alias("zone"), known.alias("n_out"), zero.alias("n_in"), F.col("n").alias("n_out_any")),
             F.struct(F.col("dest_zone").alias("zone"), zero.alias("n_out"), known.alias("n_in"), zero.alias("n_out_any")),
         )
-        cube = (
+        return (
             plain.select(*calendar, F.inline(ends))
             .filter(F.col("zone").isNotNull())
             .groupBy(*calendar, "zone")
             .agg(*[F.sum(c).alias(c) for c in ("n_out", "n_in", "n_out_any")])
         )
-        return replace(self, cube=cube.checkpoint(eager=True), _memo=dict(self._memo))
+
+    def with_zone_cube(self, counts: Observation | None = None) -> "TripData":
+        """Aggregate the zoned trips once into a daily zone cube and serve every zone study
+        from it; the cube is checkpointed to the shared folder.  ``counts`` observes what the
+        zone lookups lose in that same scan (``lost_rows`` of the dated trips)."""
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(self.trips.sparkSession)
+        return replace(self, cube=self.zone_cube(counts).checkpoint(eager=True), _memo=dict(self._memo))
+
+    def with_rider_cube(self) -> "TripData":
+        """Count the trips once per (age range, travel time, user type) and serve the rider
+        studies from that histogram: at most ages x travel times x user types rows, combined
+        map-side, checkpointed to the shared folder."""
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(self.trips.sparkSession)
+        cube = self.trips.groupBy("age_range", "travel_time", "user_type").agg(F.count(F.lit(1)).alias("w"))
+        return replace(self, rider_cube=cube.checkpoint(eager=True), _memo=dict(self._memo))

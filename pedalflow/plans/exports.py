@@ -11,20 +11,22 @@ from __future__ import annotations
 import os
 import zlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from ..sources.drift import drift_of_lines
-from ..sources.proxy import proxy_trips, table
+from ..sources.proxy import proxy_stations, proxy_trips, table
+from ..sources.sinks import counts_table
 from ..sources.stations import (
     read_station_points_kml,
     read_station_points_xml,
     read_stations_csv,
     station_rows,
 )
-from ..sources.trips import good_rows, normalise_trips, parse_trip_lines, read_trips_json
+from ..sources.trips import RESCUED, good_rows, normalise_trips, parse_trip_lines, read_trips_json
 from ..schema import CORRUPT_COLUMN, STATION_CSV_COLUMNS
+from .data import TripData
 
 
 def _export(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -99,18 +101,39 @@ def quarantine_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _drifting_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips as export lines (``source_file``, ``value``): trips before 1998 without ``track``, later ones with it."""
+    rec = trips_as_json_records(spark, sf_dir)
+    late = F.col("_year") >= 1998
+    rec = rec.withColumn("source_file", F.when(late, "late").otherwise("early")).withColumn(
+        "track", F.when(late, F.struct(F.col("idunplug_station").alias("from"), F.col("idplug_station").alias("to")))
+    )
+    return _as_lines(rec.drop("_year"), "source_file")
+
+
+def rescued_track(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips whose ``track`` the declared schema does not know, and what it holds, from the rescued fields."""
+    raw = parse_trip_lines(_drifting_lines(spark, sf_dir), rescue=True)
+    track = lambda part: F.try_variant_get(RESCUED, f"$.track.{part}", "bigint").alias(f"track_{part}")
+    trips = normalise_trips(good_rows(raw), keep=["source_file", RESCUED])
+    return trips.select("trip_id", F.col("source_file").alias("part"), track("from"), track("to"))
+
+
+def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the zone lookups lose, counted in the scan that builds the zone cube (A11, L19): ``(reason, n_trips)``."""
+    seen = Observation()
+    data = TripData(proxy_trips(spark, sf_dir), proxy_stations(spark, sf_dir))
+    data.with_zone_cube(counts=seen)
+    return counts_table(spark, {k: v for k, v in seen.get.items() if v})
+
+
 def schema_drift_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export lines whose columns drift -- trips before 1998 without ``track``, later ones with
     it, and one file of cut lines -- and the column report per file (A6, L22).
 
     NULL fields are left out of JSON lines.
     """
-    rec = trips_as_json_records(spark, sf_dir)
-    late = F.col("_year") >= 1998
-    rec = rec.withColumn("source_file", F.when(late, "late").otherwise("early")).withColumn(
-        "track", F.when(late, F.struct(F.col("idunplug_station").alias("from"), F.col("idplug_station").alias("to")))
-    )
-    lines = _as_lines(rec.drop("_year"), "source_file")
+    lines = _drifting_lines(spark, sf_dir)
     cut = lines.filter("source_file = 'late'").select(
         F.lit("cut").alias("source_file"), F.expr("substring(value, 1, length(value) div 2)").alias("value")
     )

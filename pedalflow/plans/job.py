@@ -7,9 +7,11 @@ good, malformed and undated records.  The good ones are de-duplicated and writte
 year/month-partitioned Parquet under ``<out>/trips``; the others go to
 ``<out>/quarantine`` with the reason.  If a zone study is asked for, one scan of the
 trip table builds the daily zone cube (``TripData.with_zone_cube``) from which all
-zone studies are answered; the station and rider studies scan the trip table.  Each
-study writes its chart-ready table under ``<out>/<study>``, partitioned by year where
-it has one.
+zone studies are answered, and one more the histogram for the rider studies; the station
+studies scan the trip table.  Each study writes its chart-ready table under
+``<out>/<study>``, partitioned by year where it has one.  ``<out>/counts`` says what
+became of every line: malformed, without a date, a copy, or a trip that was kept or that the zone
+lookup lost; the numbers are observed while the job writes, without a scan of their own.
 """
 
 from __future__ import annotations
@@ -18,11 +20,11 @@ import argparse
 import os
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import RUNTIME_CONF, ensure_checkpoint_dir
-from ..sources.sinks import write_quarantine, write_table
+from ..sources.sinks import counts_table, write_quarantine, write_table
 from ..sources.stations import read_stations_csv, station_rows
 from ..sources.trips import QUARANTINE_REASON, read_trips_json, trips_from_raw, with_reason
 from . import calendar_studies as cal
@@ -58,6 +60,9 @@ ZONE_STUDIES = frozenset(
     "zone_stats_season zone_extremes zone_balance daily_peak_by_zone".split()
 )
 
+# Studies that read the rider histogram.
+RIDER_STUDIES = frozenset("usage_by_age above_average_share travel_time_by_age_summary".split())
+
 
 def run_studies(
     spark: SparkSession,
@@ -78,7 +83,11 @@ def run_studies(
     ensure_checkpoint_dir(spark)  # a missing setting fails here, not after the load
     raw = with_reason(read_trips_json(spark, trip_paths, parse_partitions=parse_partitions))
     parsed = os.path.join(out, "parsed")
-    raw.write.mode("overwrite").partitionBy(QUARANTINE_REASON).parquet(parsed)
+    part, lines, zones = F.col(QUARANTINE_REASON), Observation(), Observation()
+    reasons = ("malformed", "no_date", "good")
+    counted = raw.observe(lines, *[F.count_if(part == r).alias(r) for r in reasons])
+    counted.write.mode("overwrite").partitionBy(QUARANTINE_REASON).parquet(parsed)
+    counts = {"malformed": lines.get["malformed"], "no_date": lines.get["no_date"]}
     raw = spark.read.schema(raw.schema).parquet(parsed)
     bad = F.col(QUARANTINE_REASON) != "good"
     write_quarantine(raw.filter(bad), os.path.join(out, "quarantine"))
@@ -86,7 +95,12 @@ def run_studies(
     loaded = TripData(trips_from_raw(good), station_rows(read_stations_csv(spark, station_csv), match=match))
     data = loaded.materialise(os.path.join(out, "trips"), shuffle_partitions=dedupe_partitions)
     if ZONE_STUDIES.intersection(names):
-        data = data.with_zone_cube()  # one more scan; every zone study then reads the cube
+        data = data.with_zone_cube(counts=zones)  # one more scan; every zone study then reads the cube
+        counts |= zones.get
+        counts["copies"] = lines.get["good"] - sum(v or 0 for v in zones.get.values())
+    if RIDER_STUDIES.intersection(names):
+        data = data.with_rider_cube()
+    write_table(counts_table(spark, {k: v for k, v in counts.items() if v}), os.path.join(out, "counts"), fmt=fmt)
     written = {}
     for name in names:
         df = STUDIES[name](data, years)

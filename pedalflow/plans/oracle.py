@@ -136,12 +136,48 @@ def _minmax(c: str) -> str:
             f"ELSE ({c} - min({c}) {w}) / (max({c}) {w} - min({c}) {w}) END, 6)")
 
 
+def _lloyd(points: str, ks: str, seed: int, unit: int, steps: int) -> str:
+    """CTEs of k-means for all ``ks`` over ``points`` (station, x, y): ``g`` (grid points) and ``a`` (k, station, c).
+
+    Seeds are the farthest points; a step takes means rounded down.
+    """
+    k = max(int(x) for x in ks.split(","))
+    z = "CAST(floor(1000000 * (({0} - s{0} / n) / sqrt((q{0} - s{0} * s{0} / n) / (n - 1)))) AS BIGINT) AS {0}"
+    sql = f"""
+raw AS (SELECT station, CAST(round(x * {unit}) AS BIGINT) AS x, CAST(round(y * {unit}) AS BIGINT) AS y FROM {points}
+        WHERE x IS NOT NULL AND y IS NOT NULL),
+mm AS (SELECT count(*) AS n, CAST(sum(x) AS DOUBLE) AS sx, CAST(sum(x * x) AS DOUBLE) AS qx,
+              CAST(sum(y) AS DOUBLE) AS sy, CAST(sum(y * y) AS DOUBLE) AS qy FROM raw),
+g AS MATERIALIZED (SELECT station, {z.format("x")}, {z.format("y")} FROM raw CROSS JOIN mm),
+e0 AS MATERIALIZED (SELECT 0 AS c, x, y FROM g ORDER BY md5(CAST(station AS VARCHAR) || '{seed}'), station LIMIT 1),"""
+    for i in range(1, k):
+        sql += f"""
+e{i} AS MATERIALIZED (
+  SELECT * FROM e{i - 1} UNION ALL
+  SELECT * FROM (SELECT {i} AS c, g.x, g.y FROM g CROSS JOIN e{i - 1} e GROUP BY station, g.x, g.y
+                 ORDER BY min((g.x - e.x) * (g.x - e.x) + (g.y - e.y) * (g.y - e.y)) DESC, station LIMIT 1)),"""
+    sql += f"""
+c0 AS MATERIALIZED (SELECT k, c, x, y FROM e{k - 1} JOIN (SELECT unnest([{ks}]) AS k) ON c < k),"""
+    for i in range(steps + 1):
+        sql += f"""
+a{i} AS MATERIALIZED (
+  SELECT k, station, c FROM (
+    SELECT k, station, c, row_number() OVER (PARTITION BY k, station ORDER BY (g.x - m.x) * (g.x - m.x) + (g.y - m.y) * (g.y - m.y), c) AS nth
+    FROM g CROSS JOIN c{i} m) WHERE nth = 1),
+c{i + 1} AS MATERIALIZED (
+  SELECT k, c, coalesce(CAST(floor(sx / n) AS BIGINT), x) AS x, coalesce(CAST(floor(sy / n) AS BIGINT), y) AS y FROM c{i}
+  LEFT JOIN (SELECT k, c, CAST(sum(x) AS BIGINT) AS sx, CAST(sum(y) AS BIGINT) AS sy, count(*) AS n
+             FROM a{i} JOIN g USING (station) GROUP BY k, c) USING (k, c)),"""
+    return sql + f"\na AS (SELECT * FROM a{steps})"
+
+
 # Columns of an export and the JSON types they are written with.
 DRIFT_COLUMNS = {
     "_id": "OBJECT<`$oid`: STRING>", "user_day_code": "STRING", "idplug_base": "BIGINT", "idplug_station": "BIGINT",
     "idunplug_base": "BIGINT", "idunplug_station": "BIGINT", "travel_time": "BIGINT", "ageRange": "BIGINT",
     "user_type": "BIGINT", "unplug_hourTime": "OBJECT<`$date`: STRING>", "zip_code": "STRING",
-    "track": "OBJECT<from: BIGINT, to: BIGINT>",
+    "track": "OBJECT<from: BIGINT, to: BIGINT>", "_id.$oid": "STRING", "unplug_hourTime.$date": "STRING",
+    "track.from": "BIGINT", "track.to": "BIGINT",
 }
 
 
@@ -341,6 +377,22 @@ ab AS (SELECT station, max(CASE WHEN own = g THEN n END) AS n,
        FROM dist GROUP BY station)
 SELECT round(avg(CASE WHEN n = 1 THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0.0 END), 6) AS silhouette
 FROM ab"""
+    parts = "WITH parts AS (SELECT p_partkey AS station, CAST(p_size AS DOUBLE) AS x, CAST(p_retailprice AS DOUBLE) AS y FROM part),"
+    q["station_clusters"] = parts + _lloyd("parts", "4", 1, 100, 10) + "\nSELECT station, CAST(c AS INTEGER) AS cluster FROM a"
+    q["silhouette_by_k"] = parts + _lloyd("parts", "2,3,4,5,6,7,8,9", 1, 100, 10) + """
+, s AS (SELECT k, c, count(*) AS n, CAST(sum(x) AS DOUBLE) AS sx, CAST(sum(y) AS DOUBLE) AS sy, CAST(sum(x * x + y * y) AS DOUBLE) AS q
+        FROM a JOIN g USING (station) GROUP BY k, c),
+dist AS (SELECT a.k, station, a.c AS own, s.c, s.n,
+                CAST(x * x + y * y AS DOUBLE) + s.q / s.n - 2 * (x * s.sx + y * s.sy) / s.n AS d
+         FROM a JOIN g USING (station) JOIN s ON a.k = s.k),
+ab AS (SELECT k, station, max(CASE WHEN own = c AND n > 1 THEN d * n / (n - 1) END) AS a, min(CASE WHEN own <> c THEN d END) AS b
+       FROM dist GROUP BY k, station)
+SELECT CAST(k AS INTEGER) AS k, round(avg(CASE WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0.0 END), 6) AS silhouette
+FROM ab GROUP BY k"""
+    # station coordinates are the supplier's balance and nation, one row a station
+    q["cluster_od_counts"] = BASE + ", sp AS (SELECT station, lat AS x, lon AS y FROM stations)," + _lloyd("sp", "4", 1, 100, 10) + """
+SELECT CAST(o.c AS INTEGER) AS origin_group, CAST(p.c AS INTEGER) AS dest_group, dayofweek, count(*) AS n_trips
+FROM dated d JOIN a o ON d.unplug_station = o.station JOIN a p ON d.plug_station = p.station GROUP BY 1, 2, 3"""
     q["lost_rows_exact_keys"] = BASE + """
 , exact AS (SELECT s_suppkey AS station FROM supplier WHERE s_suppkey % 7 <> 0)
 SELECT CASE WHEN o.station IS NULL AND p.station IS NULL THEN 'no_origin_no_destination'
@@ -364,6 +416,17 @@ SELECT CAST(trip_id AS VARCHAR) || '-' || CAST(age_range AS VARCHAR) AS trip_id,
 FROM trips"""
     q["zone_stats_season_from_cube"] = q["zone_stats_season"]
     q["zone_balance_from_cube"] = q["zone_balance"]
+    q["zone_balance_incremental"] = q["zone_balance"]
+    q["usage_by_age_from_cube"] = q["usage_by_age"]
+    q["above_average_share_from_cube"] = q["above_average_share"]
+    q["travel_time_by_age_summary_from_cube"] = q["travel_time_by_age_summary"]
+    q["load_counts"] = q["lost_rows"]
+    q["rescued_track"] = BASE + """
+SELECT CAST(trip_id AS VARCHAR) || '-' || CAST(age_range AS VARCHAR) AS trip_id,
+       CASE WHEN year(trip_date) >= 1998 THEN 'late' ELSE 'early' END AS part,
+       CASE WHEN year(trip_date) >= 1998 THEN unplug_station END AS track_from,
+       CASE WHEN year(trip_date) >= 1998 THEN plug_station END AS track_to
+FROM trips"""
     q["random_zone"] = BASE + """
 SELECT origin_zone AS zone FROM zoned GROUP BY origin_zone ORDER BY md5(origin_zone || '7'), origin_zone LIMIT 1"""
     q["quarantine_load"] = """
@@ -377,7 +440,7 @@ SELECT 'damaged' AS part, CAST(0 AS BIGINT) AS n_good, count(*) AS n_quarantined
 , files AS (SELECT part, count(*) AS n_file_lines, count(travel_time) AS n_timed FROM lines GROUP BY part)
 SELECT part, col AS "column", types, CASE WHEN col = 'travel_time' THEN n_timed ELSE n_file_lines END AS n_lines,
        n_file_lines, false AS in_every_file
-FROM files CROSS JOIN cols WHERE col <> 'track' OR part = 'late'
+FROM files CROSS JOIN cols WHERE col NOT LIKE 'track%' OR part = 'late'
 UNION ALL
 SELECT 'cut', '_corrupt_record', 'STRING', n_file_lines, n_file_lines, false FROM files WHERE part = 'late'"""
     q["csv_load"] = """

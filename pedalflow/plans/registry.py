@@ -20,7 +20,10 @@ from ..sources.sinks import write_table
 from . import calendar_studies as cal
 from . import clusters, flows, riders, zone_stats
 from .data import TripData
-from .exports import _export, csv_load, json_load, kml_load, quarantine_load, schema_drift_export, xml_load
+from .exports import (
+    _export, csv_load, json_load, kml_load, load_counts, quarantine_load, rescued_track, schema_drift_export, xml_load,
+)
+from .monthly import TripStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,17 +132,30 @@ def _union_dedupe(d: TripData) -> DataFrame:
     return union_dedupe([early, late]).drop("track").distinct()
 
 
+def _zone_balance_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips in three loads, the latest years first and each of the others with copies of
+    records that stand in other loads; the balance from the cube that the loads have kept."""
+    d = _data(spark, sf_dir)
+    store = TripStore(spark, _export(spark, sf_dir, "trip-store"), d.stations)
+    store.clear()
+    year, again = F.year("trip_date"), F.col("trip_id") % 5 == 0
+    store.load_trips(d.trips.filter(year >= 1999), "late")
+    store.load_trips(d.trips.filter((year < 1997) | again), "early")
+    store.load_trips(d.trips.filter((year >= 1997) & (year < 1999) | again), "middle")
+    return flows.zone_balance(store.data())
+
+
 def _station_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clusters.station_clusters(part_points(spark, sf_dir), k=4, seed=1)
+    return clusters.station_clusters(part_points(spark, sf_dir), k=4, seed=1, unit=100, steps=10)
 
 
 def _silhouette_by_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finish(clusters.silhouette_by_k(part_points(spark, sf_dir), ks=range(2, 10), seed=1))
+    return finish(clusters.silhouette_by_k(part_points(spark, sf_dir), ks=range(2, 10), seed=1, unit=100, steps=10))
 
 
 def _cluster_od_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _data(spark, sf_dir)
-    groups = clusters.station_clusters(clusters.station_points(d), k=4, seed=1)
+    groups = clusters.station_clusters(clusters.station_points(d), k=4, seed=1, unit=100, steps=10)
     return clusters.cluster_od_counts(d, groups)
 
 
@@ -181,6 +197,8 @@ def queries() -> dict[str, Query]:
         # The batch job's path: one cube built from the whole tables, the study read from it.
         "zone_stats_season_from_cube": _q(lambda d: zone_stats.zone_stats(d.with_zone_cube(), "season")),
         "zone_balance_from_cube": _q(lambda d: flows.zone_balance(d.with_zone_cube())),
+        # Months loaded one after the other, each counted into the cube.
+        "zone_balance_incremental": lambda spark, sf_dir: finish(_zone_balance_incremental(spark, sf_dir)),
         "zone_balance_full": _q(lambda d: flows.zone_balance(d, how="full_outer")),
         "zone_balance_scaled": _q(lambda d: flows.zone_balance_scaled(d)),
         "zone_balance_share": _q(lambda d: flows.zone_balance_share(d)),
@@ -202,6 +220,10 @@ def queries() -> dict[str, Query]:
         "above_average_by_age": _q(riders.above_average_by_age),
         "above_average_share": _q(riders.above_average_share),
         "travel_time_by_age_summary": _q(riders.travel_time_by_age_summary),
+        # One histogram of the trips, the rider studies read from it.
+        "usage_by_age_from_cube": _q(lambda d: riders.usage_by_age(d.with_rider_cube())),
+        "above_average_share_from_cube": _q(lambda d: riders.above_average_share(d.with_rider_cube())),
+        "travel_time_by_age_summary_from_cube": _q(lambda d: riders.travel_time_by_age_summary(d.with_rider_cube())),
         "lost_rows": _q(
             lambda d: lost_rows(d.trips, d.station_lookup(), prepared=True, preaggregate=not d.dims_bounded())
         ),
@@ -235,6 +257,8 @@ def queries() -> dict[str, Query]:
         "year_text": _q(_year_text),
         "json_load": lambda spark, sf_dir: finish(json_load(spark, sf_dir)),
         "quarantine_load": lambda spark, sf_dir: finish(quarantine_load(spark, sf_dir)),
+        "rescued_track": lambda spark, sf_dir: finish(rescued_track(spark, sf_dir)),
+        "load_counts": lambda spark, sf_dir: finish(load_counts(spark, sf_dir)),
         "csv_load": lambda spark, sf_dir: finish(csv_load(spark, sf_dir)),
         "xml_load": lambda spark, sf_dir: finish(xml_load(spark, sf_dir)),
         "kml_load": lambda spark, sf_dir: finish(kml_load(spark, sf_dir)),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_table(
@@ -36,3 +36,8 @@ def to_pandas(df: DataFrame):
 def write_quarantine(bad: DataFrame, path: str) -> None:
     """Input set aside (malformed lines, trips without a date), kept as JSON for inspection."""
     bad.write.mode("overwrite").json(path)
+
+
+def counts_table(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """Counts that a job has observed while it wrote its tables: ``(reason, n_trips)``, a row each."""
+    return spark.createDataFrame([(k, int(v)) for k, v in counts.items()], "reason string, n_trips long")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,7 @@ def read_trips_json(
     schema: T.StructType = TRIP_JSON_SCHEMA,
     with_source: bool = True,
     parse_partitions: int | None = None,
+    rescue: bool = False,
 ) -> DataFrame:
     """Raw trip rows from one or many JSON-lines files (any Hadoop-FS URI).
 
@@ -49,12 +50,29 @@ def read_trips_json(
         lines = lines.withColumn("source_file", F.input_file_name())
     if parse_partitions:
         lines = lines.repartition(parse_partitions)
-    return parse_trip_lines(lines, schema)
+    return parse_trip_lines(lines, schema, rescue)
 
 
-def parse_trip_lines(lines: DataFrame, schema: T.StructType = TRIP_JSON_SCHEMA) -> DataFrame:
+#: Fields of a record that the declared schema does not know, as one VARIANT object.
+RESCUED = "rescued"
+
+
+def rescued_fields(schema: T.StructType) -> Column:
+    """The top-level fields of the JSON text ``value`` that ``schema`` does not have; NULL if there are none."""
+    fields = F.try_parse_json("value").cast("map<string, variant>")
+    others = F.map_filter(fields, lambda k, _: ~k.isin(*schema.fieldNames()))
+    return F.when(F.size(others) > 0, F.to_variant_object(others))
+
+
+def parse_trip_lines(lines: DataFrame, schema: T.StructType = TRIP_JSON_SCHEMA, rescue: bool = False) -> DataFrame:
     """Parse a frame of text lines (``value`` column, batch or streaming) into raw trip
-    columns plus ``_corrupt_record``; blank lines are skipped, other columns kept."""
+    columns plus ``_corrupt_record``; blank lines are skipped, other columns kept.
+
+    ``rescue`` adds ``rescued``, what the lines have beside the declared schema, for one
+    more parse of each line.
+    """
+    if rescue:
+        lines = lines.withColumn(RESCUED, rescued_fields(schema))
     parse_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
     parsed = F.from_json("value", parse_schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
     others = [c for c in lines.columns if c != "value"]
@@ -81,8 +99,8 @@ def with_reason(raw: DataFrame) -> DataFrame:
     return raw.withColumn(QUARANTINE_REASON, reason)
 
 
-def normalise_trips(raw: DataFrame) -> DataFrame:
-    """Canonical trip columns from the raw JSON layout.
+def normalise_trips(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Canonical trip columns from the raw JSON layout, and the columns ``keep`` as they are.
 
     ``trip_date`` is the calendar date written in the text (offset ignored),
     ``trip_hour`` the hour written in the text.
@@ -101,6 +119,7 @@ def normalise_trips(raw: DataFrame) -> DataFrame:
         hour_of_text(text).alias("trip_hour"),
         F.col("zip_code"),
         F.col("user_day_code"),
+        *keep,
     )
 
 

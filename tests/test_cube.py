@@ -5,7 +5,7 @@ import os
 import pytest
 
 from pedalflow.plans import calendar_studies as cal
-from pedalflow.plans import flows, zone_stats
+from pedalflow.plans import flows, riders, zone_stats
 from pedalflow.plans.data import TripData
 from pedalflow.plans.registry import finish
 
@@ -84,3 +84,30 @@ def test_unknown_zones_and_dates_are_lost_on_every_path(spark):
     assert sum(lost.values()) == d.trips.count() and d.undated().count() == 1
     assert {r["zone"] for r in flows.zone_balance(d, "full_outer").collect()} == {"A", "B"}
     assert None not in {r["year"] for r in zone_stats.zone_stats(d, "all").collect()}
+
+
+RIDER_STUDIES = {
+    "usage": riders.usage_by_age,
+    "usage_known": lambda d: riders.usage_by_age(d, known_only=True),
+    "totals": riders.travel_time_totals,
+    "above": riders.above_average_share,
+    "above_by_age": riders.above_average_by_age,
+    "summary": riders.travel_time_by_age_summary,
+    "user_type": lambda d: riders.count_by(d, "user_type"),
+    "base": lambda d: riders.count_by(d, "plug_base"),
+}
+
+
+def test_rider_studies_read_the_histogram(spark, data):
+    sources = [data]
+    if os.path.isdir("/root/testdata/sf0.001"):
+        sources.append(TripData.from_proxy(spark, "/root/testdata/sf0.001"))
+    for d in sources:
+        cubed = d.with_rider_cube()
+        for name, fn in RIDER_STUDIES.items():
+            assert sorted(finish(fn(cubed)).collect()) == sorted(finish(fn(d)).collect()), name
+        plan = riders.above_average_share(cubed)._jdf.queryExecution().executedPlan().toString()
+        assert "Scan ExistingRDD" in plan and "Scan parquet" not in plan and "Scan text" not in plan
+    empty = TripData(data.trips.limit(0), data.stations)
+    assert riders.travel_time_totals(empty.with_rider_cube()).collect() == riders.travel_time_totals(empty).collect()
+    assert riders.travel_time_totals(empty).first()["n_trips"] == 0

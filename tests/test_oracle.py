@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from pedalflow.plans import oracle, registry
+from pedalflow.plans import oracle
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ["region", "nation", "supplier", "part", "lineitem", "events"]
@@ -54,8 +54,3 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns[0] == "dayofweek"
-
-
-@pytest.mark.parametrize("key", sorted(set(registry.queries()) - set(oracle.oracle_sql()) - {"silhouette_by_k"}))
-def test_rows_only_queries_run(spark, key):
-    assert E.queries()[key](spark, SF_DIR).count() > 0

@@ -2,6 +2,9 @@ import datetime as dt
 
 from conftest import FIXTURES, STATION_CSV, TRIP_FILES, rows
 
+from pedalflow.operators import lost_rows
+from pedalflow.plans.data import TripData
+from pedalflow.sources.drift import drift_of_lines, paths_of
 from pedalflow.sources import (
     load_trips,
     quarantine,
@@ -47,6 +50,42 @@ def test_schema_drift_report(spark):
     assert oid == [(9, True), (10, True)]
 
 
+def test_schema_drift_reports_nested_paths(spark):
+    lines = ['{"a": {"b": {"c.d": 1}, "e": [{"x": 1.5}, {"x": 2, "y": null}]}, "f": [[true]]}', '{"a": {"b": "text"}}', '{"a": ', "", '{"a": {"b": {"c.d": 7}}}', "5"]
+    rep = drift_of_lines(spark.createDataFrame([("one", x) for x in lines] + [("two", '{"a": 1}')], "source_file string, value string"))
+    got = {(r["source_file"], r["column"]): (r["types"], r["n_lines"], r["n_file_lines"], r["in_every_file"]) for r in rep.collect()}
+    assert got["one", "a.b"] == ("OBJECT<`c.d`: BIGINT> | STRING", 3, 5, False)
+    assert got["one", "a.b.`c.d`"] == ("BIGINT", 2, 5, False)
+    assert got["one", "a.e[].x"][:2] == ("DECIMAL(21,1)", 1) and got["one", "a.e[].y"][0] == "VOID"
+    assert got["one", "f[][]"] == ("BOOLEAN", 1, 5, False)
+    assert got["one", "a"][3] and got["two", "a"] == ("BIGINT", 1, 1, True)
+    assert got["one", "_corrupt_record"] == ("STRING", 1, 5, False)
+    assert drift_of_lines(spark.createDataFrame([], "source_file string, value string")).collect() == []
+
+
+def test_paths_of_a_shape_with_odd_names():
+    assert paths_of("OBJECT<`a``b`: STRING, `x y`: ARRAY<DECIMAL(5,2)>, z: OBJECT<>>") == [
+        ("`a`b`", "STRING"), ("x y", "ARRAY<DECIMAL(5,2)>"), ("x y[]", "DECIMAL(5,2)"), ("z", "OBJECT<>")]
+    assert paths_of("BIGINT") == [] and paths_of("ARRAY<VOID>") == [("[]", "VOID")]
+
+
+def test_drift_shuffles_a_row_per_shape_not_per_key(spark):
+    lines = spark.range(5000).selectExpr("'f' AS source_file", "concat('{\"a\": ', id, ', \"b\": {\"c\": ', id, '}}') AS value")
+    shapes = lines.selectExpr("schema_of_variant(try_parse_json(value)) AS s").distinct().count()
+    assert shapes == 1
+    assert {(r["column"], r["n_lines"]) for r in drift_of_lines(lines).collect()} == {("a", 5000), ("b", 5000), ("b.c", 5000)}
+
+
+def test_unknown_fields_are_rescued(spark, tmp_path):
+    p = tmp_path / "more.json"
+    p.write_text('{"_id": {"$oid": "x1"}, "track": {"from": 3, "to": [1, 2]}, "new": null}\n{"_id": {"$oid": "x2"}}\n{"_id": \n')
+    raw = read_trips_json(spark, str(p), rescue=True)
+    got = {r["id"]: (r["a"], r["b"], r["c"]) for r in raw.selectExpr(
+        "_id.`$oid` AS id", "try_variant_get(rescued, '$.track.to[1]', 'int') AS a", "try_variant_get(rescued, '$._id', 'string') AS b",
+        "to_json(rescued) AS c").collect()}
+    assert got["x1"][:2] == (2, None) and '"new":null' in got["x1"][2] and got["x2"] == got[None] == (None, None, None)
+
+
 def test_station_csv_normalised_keys(spark):
     st = station_rows(read_stations_csv(spark, STATION_CSV))
     got = rows(st, "station_key", "station", "zone")
@@ -90,6 +129,23 @@ def test_batch_job_writes_every_study(spark, tmp_path):
     stats = spark.read.parquet(written["zone_stats"])
     assert sorted({r["year"] for r in stats.collect()}) == [2017, 2018]
     assert spark.read.parquet(f"{out}/trips").count() == 18
+    # every line is counted once, and the zone lookup's losses are those of lost_rows
+    counts = {r["reason"]: r["n_trips"] for r in spark.read.parquet(f"{out}/counts").collect()}
+    data = TripData.from_files(spark, TRIP_FILES, STATION_CSV)
+    lost = {r["reason"]: r["n_trips"] for r in lost_rows(data.trips, data.stations).collect()}
+    assert counts == {**lost, "malformed": 1, "copies": 1} and sum(counts.values()) == 20
+
+
+def test_counts_take_no_scan_of_their_own(spark, data):
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    plan = data.zone_cube(Observation())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("CollectMetrics") == 1 and plan.count("Scan text") <= data.zone_cube()._jdf.queryExecution().executedPlan().toString().count("Scan text")
+    shuffled = TripData(data.trips, data.stations, max_broadcast_rows=0)
+    again = Observation()
+    assert data.with_zone_cube(seen).cube.count() == shuffled.with_zone_cube(again).cube.count()
+    assert seen.get == again.get and sum(seen.get.values()) == data.trips.count()
 
 
 def test_bad_date_text_gives_null_not_failure(spark, tmp_path):
