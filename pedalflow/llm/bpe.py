@@ -26,7 +26,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -122,15 +122,22 @@ class Vocabulary:
 
     def extend(self, piece: bytes, last: list[int], end: int) -> None:
         """Appends the entries of ``last`` (lengths of last tokens; its first stands for no bytes) up to ``end`` bytes."""
-        ranks, sound, follows, longest = self.ranks, self.sound, self.follows, self.longest
+        ranks, longest, known = self.ranks, self.longest, self._pairs
         for i in range(len(last), end + 1):
-            for at in range(max(0, i - longest), i):
+            for at in range(i - longest if i > longest else 0, i):
                 token = piece[at:i]
-                if token in ranks and sound(token) and (not at or follows(token, piece[at - last[at] : at])):
-                    last.append(i - at)
+                if token not in ranks:
+                    continue
+                if at:
+                    before = piece[at - last[at] : at]
+                    stays = known.get((before, token))
+                    if self.follows(token, before) if stays is None else stays:
+                        break
+                elif self.sound(token):
                     break
             else:
                 raise ValueError(f"no token ends the bytes {piece[max(0, i - longest):i]!r}")
+            last.append(i - at)
 
     def prefixes(self, piece: bytes) -> list[int]:
         """The length of the last token of every prefix of ``piece``, 0 for the empty one."""
@@ -181,12 +188,29 @@ class Pieces(dict):
         self.words = words
 
     def __missing__(self, piece: str) -> list[int]:
-        found = self.words.encode(piece.encode("utf-8", "surrogatepass"))
-        if len(piece) <= CACHED_CHARS:
-            if len(self) > CACHED:
-                self.clear()
-            self[piece] = found
-        return found
+        return self.words.encode(piece.encode("utf-8", "surrogatepass"))
+
+    def learn(self, found: Iterable[list[str]]) -> None:
+        """Encodes the short pieces that are new, in order: each goes on from the table of the one before where they part."""
+        new: set[str] = set()
+        for part in found:
+            new.update(part)
+        if len(self) + len(new) > CACHED:
+            self.clear()
+        new.difference_update(self)
+        words, ranks, before, last = self.words, self.words.ranks, b"", [0]
+        for raw, piece in sorted((p.encode("utf-8", "surrogatepass"), p) for p in new if len(p) <= CACHED_CHARS):
+            whole = ranks.get(raw)
+            if whole is not None:
+                self[piece] = [whole]
+                continue
+            same, most = 0, min(len(raw), len(before))
+            while same < most and raw[same] == before[same]:
+                same += 1
+            del last[same + 1 :]
+            words.extend(raw, last, len(raw))
+            before = raw
+            self[piece] = words.ids(raw, last)
 
 
 @functools.cache
@@ -299,18 +323,32 @@ class Encoded:
         return self.words.ids(raw, table), table
 
 
-def token_ids(text: str, path: str, pattern: str) -> np.ndarray:
-    """The ids of the whole text, as little-endian unsigned 32-bit integers."""
-    of = vocabulary(path)[1].__getitem__
-    parts = [np.fromiter(chain.from_iterable(map(of, found)), "<u4") for found in pieces(text, pattern)]
+def _joined(found: Iterable[list[str]], known: Pieces) -> np.ndarray:
+    parts = [np.fromiter(chain.from_iterable(map(known.__getitem__, part)), "<u4") for part in found]
     return np.concatenate(parts) if parts else np.empty(0, "<u4")
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
-    for whole in batches:
-        for at in range(0, whole.num_rows, 128):
-            b = whole.slice(at, 128)
-            yield b["doc_id"], [t or "" for t in b["text"].to_pylist()]
+def token_ids(texts: list[str], path: str, pattern: str) -> Iterator[np.ndarray]:
+    """The ids of each whole text, as little-endian unsigned 32-bit integers."""
+    known = vocabulary(path)[1]
+    at = 0
+    while at < len(texts):
+        held, size = [], 0
+        while at < len(texts) and len(texts[at]) + size <= STEP:  # short texts are learned together
+            held.append(list(pieces(texts[at], pattern)))
+            size += len(texts[at])
+            at += 1
+        if not held:  # a long one, stretch by stretch
+            parts = []
+            for found in pieces(texts[at], pattern):
+                known.learn([found])
+                parts.append(_joined([found], known))
+            at += 1
+            yield np.concatenate(parts)
+            continue
+        known.learn(chain.from_iterable(held))
+        for found in held:
+            yield _joined(found, known)
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -320,7 +358,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc_id, texts in _texts(batches):
-            ids = [token_ids(t, path, pattern) for t in texts]
+            ids = list(token_ids(texts, path, pattern))
             ends = pa.array(np.concatenate([[0], np.cumsum([len(i) for i in ids])]), pa.int32())
             ids = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, "<u4"), *ids]).astype(np.int32)))
             yield pa.RecordBatch.from_arrays([doc_id, ids], names=["doc_id", "ids"])
@@ -351,8 +389,7 @@ def digest(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         words = vocabulary(path)[0]
         for doc_id, texts in _texts(batches):
             n, of_ids, of_bytes = [], [], []
-            for text in texts:
-                ids = token_ids(text, path, pattern)
+            for ids in token_ids(texts, path, pattern):
                 n.append(len(ids))
                 of_ids.append(hashlib.sha256(ids.tobytes()).hexdigest())
                 back = hashlib.sha256()

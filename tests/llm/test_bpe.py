@@ -31,10 +31,14 @@ def library():
     return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def ids_of(x):
+    return next(bpe.token_ids([x], PATH, P.PATTERN)).tolist()
+
+
 @settings(max_examples=500, deadline=None)
 @given(text)
 def test_ids_are_those_of_the_library(library, x):
-    ids = bpe.token_ids(x, PATH, P.PATTERN).tolist()
+    ids = ids_of(x)
     assert ids == library.encode_ordinary(x)
     assert bpe.vocabulary(PATH)[0].decode(ids) == x.encode()
 
@@ -113,11 +117,20 @@ def test_pieces_of_stretches_are_those_of_the_whole(step):
 def test_very_long_pieces_take_linear_time(library):
     for x in ("a" * 300_000, " " * 300_000, "ab" * 150_000):
         t = time.perf_counter()
-        ids = bpe.token_ids(x, PATH, P.PATTERN)
+        ids = ids_of(x)
         assert time.perf_counter() - t < 30
-        assert bpe.vocabulary(PATH)[0].decode(ids.tolist()) == x.encode()
+        assert bpe.vocabulary(PATH)[0].decode(ids) == x.encode()
     x = "ab" * 2000
-    assert bpe.token_ids(x, PATH, P.PATTERN).tolist() == library.encode_ordinary(x)
+    assert ids_of(x) == library.encode_ordinary(x)
+
+
+def test_short_and_long_texts_and_full_caches(library, monkeypatch):
+    monkeypatch.setattr(bpe, "STEP", 40)
+    monkeypatch.setattr(bpe, "CACHED", 7)
+    r = random.Random(8)
+    texts = ["".join(r.choice(PARTS) for _ in range(r.choice([0, 1, 5, 30]))) for _ in range(300)]
+    found = list(bpe.token_ids(texts, PATH, P.PATTERN))
+    assert [f.tolist() for f in found] == [library.encode_ordinary(x) for x in texts]
 
 
 def test_odd_rows(spark, library):
