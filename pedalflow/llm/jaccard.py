@@ -9,10 +9,15 @@ agree on a block, and all other pairs lie below the size-derived bound unseen.
 The number of blocks steps with the larger set's size; a set is also cut the way
 its largest possible partners are.
 
-For the pairs that are taken, overlap counts are accumulated block by block; a
-pair is discarded as soon as what is left of its sets cannot bring the overlap
-up to its bound.  Groups of classes that agree on a block are linked around
-pivots (see ``linking``), never pair by pair.
+A key can be shared by a third of all classes, so its members are not paired with each other:
+
+* All are compared with one pivot, the smallest id, and linked if they are close to it.
+  For a pair of sets, overlap counts are accumulated block by block; the pair is discarded
+  as soon as what is left cannot bring the overlap up to its bound.
+* Keys whose members are one component by then are done.  In those of at most ``FEW``
+  members the pairs that are left are compared as well.
+* In larger ones, members have nearly everything in common; the product is taken between
+  their differences from the pivot instead (see ``deltas``), which is exact too.
 
 Defined cases: a text of fewer words than n is one n-gram; null texts and texts
 without words have the empty set and are linked with nothing; a row without
@@ -25,20 +30,29 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pedalflow.operators.broadcast import bounded_broadcast
+
+from . import deltas
 from .common import Scratch, map_arrow, pick, saved
-from .linking import BROADCAST_ROWS, linked, only
+from .linking import components, only, small
 
 #: Lower-cases A-Z and turns the six white space characters into spaces.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 32 or 9 <= b <= 13 else b for b in range(256))
 #: Bytes of normalised text hashed at once.
 STEP = 1 << 21
+#: By how much the sizes of a step grow: wide steps cut sets finer than needed, narrow ones cut more sets twice.
+GROWTH = 1.6
+#: Members of a key that are paired at most.
+FEW = 8
+#: Bits of a key: fewer make it shorter in shuffles, and keys that fall together only cost a comparison.
+KEY_BITS = 48
 _R = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 
 
@@ -103,7 +117,7 @@ class Cuts:
         while not self.steps or self.steps[-1][1] < size:
             low = self.steps[-1][1] + 1 if self.steps else 1
             k = self.blocks(low)
-            most = k if k < 4 else math.ceil(1.25 * k)
+            most = k if k < 4 else math.ceil(GROWTH * k)
             high = (most * (100 + self.pct) - 1) // (2 * (100 - self.pct)) if self.pct < 100 else 1 << 60
             high = max(low, high)
             k = self.blocks(high)
@@ -209,23 +223,39 @@ def overlap(x: np.ndarray, y: np.ndarray, least: int, blocks: int = 16) -> int |
     return shared
 
 
-def _distances(batches: Iterator[pa.RecordBatch], pct: int) -> Iterator[pa.RecordBatch]:
-    """1 - Jaccard, exact where the similarity is at least 2 * pct - 100 per cent, else 1."""
-    low = max(0, 2 * pct - 100)
-    for b in batches:
-        d = []
-        for x, y in zip(b["x"], b["y"], strict=True):
+def _compared(batches: Iterator[pa.RecordBatch], pct: int) -> Iterator[pa.RecordBatch]:
+    """(a, b) of the pairs that are linked."""
+    for batch in batches:
+        close = []
+        for x, y in zip(batch["x"], batch["y"], strict=True):
             x, y = (np.asarray(v.values).view(np.uint64) for v in (x, y))
-            total = len(x) + len(y)
-            shared = overlap(x, y, -(-low * total // (100 + low)))
-            if shared is None:
-                d.append(1.0)
-            elif 100 * shared >= pct * (total - shared):
-                d.append(min(1 - shared / (total - shared), 1 - pct / 100))
-            else:
-                d.append(max(1 - shared / (total - shared), 1 - pct / 100 + 1e-8))
-        yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(d, pa.float64())], names=["a", "b", "d"])
-
+            close.append(overlap(x, y, -(-pct * (len(x) + len(y)) // (100 + pct))) is not None)
+        yield pa.RecordBatch.from_arrays([batch["a"].filter(pa.array(close)), batch["b"].filter(pa.array(close))], names=["a", "b"])
+
+
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """p, z, n_p, n_z, delta of (a, b, x, y) with the pivot as a."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, 256):
+            b = whole.slice(at, 256)
+            n_p, n_z, delta = [], [], []
+            for x, y in zip(b["x"], b["y"], strict=True):
+                x, y = np.asarray(x.values), np.asarray(y.values)
+                n_p.append(len(x))
+                n_z.append(len(y))
+                delta.append(np.setxor1d(x, y, assume_unique=True))
+            columns = [b["a"], b["b"], pa.array(n_p, pa.int64()), pa.array(n_z, pa.int64()), pa.array(delta, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["p", "z", "n_p", "n_z", "delta"])
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, x, y: saved pairs with both sets.  The sets of b go to those of a; few pairs travel to the sets."""
+    few = small(pairs)
+    near = F.broadcast(pairs) if few else pairs
+    ends = pairs.select("a").distinct()
+    y = sets.select(F.col("id").alias("b"), F.col("grams").alias("y")).join(near, "b")
+    x = sets.select(F.col("id").alias("a"), F.col("grams").alias("x")).join(F.broadcast(ends) if few else ends, "a", "left_semi")
+    return y.join(x, "a").select("a", "b", "x", "y")
 
 
 def _place() -> Column:
@@ -233,6 +263,59 @@ def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tx")
 
 
+def linked(rows: DataFrame, sets_of: Callable[[DataFrame, Scratch], DataFrame], pct: int, few: int = FEW) -> DataFrame | None:
+    """(id, comp) of all sets that are linked: the components of all links among ids that share a key; saved.
+
+    ``rows`` has (key, id) and may repeat.  None if nothing is linked.  All working
+    tables are removed again.
+    """
+    work = Scratch(rows.sparkSession, "product")
+    shared = rows.groupBy("key").agg(F.min("id").alias("p"), F.max("id").alias("y"), F.count("*").alias("n")).filter("p != y")
+    shared = work.saved(shared, "keys")
+    # most shared keys have two rows, which min and max tell; the others are looked up once more
+    more = work.saved(shared.filter("n > 2").select("key", "p"), "more")
+    members = only(rows, more, "key").distinct()
+    members = work.saved(members.join(F.broadcast(more) if small(more) else more, "key"), "members")
+    star = shared.filter("n = 2").select(F.col("p").alias("a"), F.col("y").alias("b"))
+    star = work.saved(star.union(members.filter("id != p").select("p", "id")).distinct(), "star")
+    ids = star.select(F.col("a").alias("id")).union(star.select("b")).distinct()
+    sets = sets_of(work.saved(ids, "ids"), work)
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        return work.saved(map_arrow(_with_sets(pairs, sets), lambda b: _compared(b, pct), "a long, b long"), "close")
+
+    close = [compared(star)]
+
+    def joined() -> DataFrame:
+        return components(functools.reduce(DataFrame.union, close), work)
+
+    comps = joined()
+    m = members.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    open_ = m.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("c"))
+    open_ = work.saved(open_.filter("x != y").select("key", "c"), "open")
+    m = work.saved(m.join(F.broadcast(open_) if small(open_) else open_, "key"), "left")
+    one = m.filter(F.col("c") <= few)
+    one, two = (one.select("key", F.col("id").alias(i), F.col("comp").alias(c)) for i, c in (("a", "x"), ("b", "y")))
+    pairs = one.join(two, "key").filter("a < b AND x != y").select("a", "b").distinct()  # at most few members a key
+    pairs = work.saved(pairs.join(star, ["a", "b"], "left_anti"), "pairs")
+    if not pairs.isEmpty():
+        close.append(compared(pairs))
+        if not close[-1].isEmpty():
+            comps = joined()
+    # members of large open keys with each of their pivots
+    large = m.filter(F.col("c") > few).select(F.col("p").alias("a"), F.col("id").alias("b")).filter("a != b").distinct()
+    large = work.saved(large, "large")
+    if not large.isEmpty():
+        schema = "p long, z long, n_p long, n_z long, delta array<long>"
+        apart = work.saved(map_arrow(_with_sets(large, sets), _differences, schema), "deltas")
+        close.append(deltas.links(apart, comps, pct, work))
+        if not close[-1].isEmpty():
+            comps = joined()
+    found = None if comps.isEmpty() else saved(comps, "components")
+    work.remove()
+    return found
+
+
 def _groups(docs: DataFrame, n: int, pct: int, without_id: bool = False) -> tuple[DataFrame, DataFrame]:
     """The incidence of ``docs``, and (s1, first): the first place of each set's group, for sets that are not alone; saved."""
     d = pick(docs, "doc_id", "text").withColumn("tx", F.xxhash64("text"))
@@ -240,13 +323,12 @@ def _groups(docs: DataFrame, n: int, pct: int, without_id: bool = False) -> tupl
     ids = inc.filter("s1 IS NOT NULL").groupBy("s1", "s2").agg(F.min(_place()).alias("rep"), F.count("*").alias("n"))
     classes = saved(ids.groupBy("s1").agg(F.min("rep").alias("rep"), F.sum("n").alias("n")), "classes")
 
-    def prepare(members: DataFrame, work: Scratch):
-        wanted = classes.join(
-            F.broadcast(members) if members.count() <= BROADCAST_ROWS else members, classes["s1"] == members["id"], "left_semi"
-        )
+    def sets_of(ids: DataFrame, work: Scratch) -> DataFrame:
+        """id, grams (ascending as unsigned numbers) of the saved ``ids``."""
+        wanted = classes.join(F.broadcast(ids) if small(ids) else ids, classes["s1"] == ids["id"], "left_semi")
         of = work.saved(wanted.select(F.col("rep.tx").alias("tx")).distinct(), "wanted")
 
-        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             import xxhash
 
             for whole in batches:
@@ -258,19 +340,12 @@ def _groups(docs: DataFrame, n: int, pct: int, without_id: bool = False) -> tupl
                         names=["id", "grams"],
                     )
 
-        grams = map_arrow(only(d, of, "tx").select("text"), sets, "id long, grams array<long>")
-        grams = work.saved(grams.dropDuplicates(["id"]), "grams")
-
-        def verify(pairs: DataFrame) -> DataFrame:
-            x = grams.select(F.col("id").alias("a"), F.col("grams").alias("x"))
-            y = grams.select(F.col("id").alias("b"), F.col("grams").alias("y"))
-            both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-            return map_arrow(both, lambda batches: _distances(batches, pct), "a long, b long, d double")
-
-        return verify
+        grams = map_arrow(only(d, of, "tx").select("text"), run, "id long, grams array<long>")
+        return work.saved(grams.dropDuplicates(["id"]), "grams")
 
-    rows = inc.select(F.explode("keys").alias("key"), F.col("s1").alias("id"))
-    comps = linked(rows, prepare, 1 - pct / 100)
+    key = F.col("key").bitwiseAND((1 << KEY_BITS) - 1).alias("key")
+    rows = inc.select(F.explode("keys").alias("key"), F.col("s1").alias("id")).select(key, "id")
+    comps = linked(rows, sets_of, pct)
     known = classes.select("s1", "rep", "n")
     if comps is not None:
         known = known.join(comps.withColumnRenamed("id", "s1"), "s1", "left")
@@ -304,9 +379,8 @@ def keep_one(docs: DataFrame, n: int = 5, pct: int = 80) -> DataFrame:
     marks = rows.agg(F.min("first").alias("first"), F.count("*").alias("n")).withColumn("gone", _place() != F.col("first"))
     marks = marks.filter("gone OR n > 1").select(F.col("doc_id").alias("of"), F.col("tx").alias("of_tx"), "gone")
     marks = saved(marks, "copies")
-    few = marks.count() <= BROADCAST_ROWS
     same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("tx") == F.col("of_tx"))
-    judged = d.join(F.broadcast(marks) if few else marks, same, "left")
+    judged = d.join(bounded_broadcast(marks), same, "left")
     kept = judged.filter("gone IS NULL").select(*cols)
     if marks.filter("NOT gone").isEmpty():
         return kept

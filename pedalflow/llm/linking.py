@@ -29,8 +29,8 @@ from pyspark.sql import Window
 
 from .common import Scratch, saved
 
-#: A key table of at most so many rows (16 bytes each) may be broadcast; larger ones are joined by shuffle.
-BROADCAST_ROWS = 300_000
+#: A table of one to three longs of at most so many rows may be broadcast; larger ones are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
 #: Members of a group that the others are compared with in a round.
 PIVOTS = 2
 
@@ -42,10 +42,15 @@ Prepare = Callable[[DataFrame, Scratch], Callable[[DataFrame], DataFrame]]
 Refine = Callable[[DataFrame], DataFrame]
 
 
+def small(numbers: DataFrame) -> bool:
+    """Whether a saved table of a few number columns is proven small enough to broadcast."""
+    return numbers.count() <= BROADCAST_ROWS
+
+
 def only(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows of ``df`` whose ``on`` is in ``keys`` (a saved table with that column, distinct)."""
     k = keys.select(on)
-    return df.join(F.broadcast(k) if keys.count() <= BROADCAST_ROWS else k, on, "left_semi")
+    return df.join(F.broadcast(k) if small(keys) else k, on, "left_semi")
 
 
 def _is_star(e: DataFrame) -> bool:
