@@ -13,8 +13,9 @@ it, so of any other pair that matters one set, z1, has G = |D(z1)| B - A (|z1| +
 With |z2| <= |p| + |D(z2)|, a link needs an overlap of more than pct |D(z2)| / B and at
 least G / 200.  So a set only enters the product with its rarest elements, as many as leave
 less than that overlap to all others, and what occurs in one set, or in sets of one component
-alone, counts as rarest of all without ever being joined.  This is exact for sets at any
-distance from the pivot.
+alone, counts as rarest of all without ever being joined.  Overlap counts are accumulated
+over the blocks; a pair is discarded if what its sets have left after their last common element
+cannot bring the count up to its bound.  This is exact for sets at any distance from the pivot.
 """
 
 from __future__ import annotations
@@ -44,13 +45,27 @@ def links(deltas: DataFrame, comps: DataFrame, pct: int, work: Scratch) -> DataF
     as_far = F.when(excess > 0, F.col("m") - F.ceil(excess / 200) + 1).otherwise(0)
     held = d.select("p", "z", "comp", "m", "n_z", "n_p").join(kept, ["p", "z"])
     entries = held.select(
-        "p", "z", "comp", (as_any - rare).alias("any"), (as_far - rare).alias("far"), F.posexplode("own").alias("i", "own")
-    ).select("p", "z", "comp", "any", "far", "i", F.col("own.e").alias("e"))
+        "p", "z", "comp", "m", "n_z", (as_any - rare).alias("any"), (as_far - rare).alias("far"), rare.alias("rare"),
+        (excess > 0).alias("is_far"), F.posexplode("own").alias("i", "own"),
+    ).withColumn("rank", F.col("rare") + F.col("i") + 1).withColumn("e", F.col("own.e")).drop("own", "rare")
     entries = work.saved(entries.filter(F.col("i") < F.greatest("any", "far")), "entries")
-    one = entries.filter("i < far").select("p", "e", F.col("z").alias("z1"), F.col("comp").alias("c1"))
-    two = entries.filter("i < any").select("p", "e", F.col("z").alias("z2"), F.col("comp").alias("c2"))
-    met = one.join(two, ["p", "e"]).filter("c1 != c2").select("p", F.least("z1", "z2").alias("a"), F.greatest("z1", "z2").alias("b"))
-    met = work.saved(met.distinct(), "candidates")
+
+    def side(k: int) -> list:
+        of = {"z": f"z{k}", "comp": f"c{k}", "m": f"m{k}", "n_z": f"n{k}", "rank": f"r{k}"}
+        return ["p", "e", *[F.col(c).alias(name) for c, name in of.items()]]
+
+    one = entries.filter("i < far").select(*side(1))
+    two = entries.filter("i < any").select(*side(2), F.col("is_far").alias("far2"))
+    met = one.join(two, ["p", "e"]).filter("c1 != c2 AND (z1 < z2 OR NOT far2)")
+    # what was met, and what both have left after the last of it, must be able to reach the overlap of a link
+    met = met.groupBy("p", "z1", "z2").agg(
+        F.count("*").alias("shared"), F.max("r1").alias("r1"), F.max("r2").alias("r2"),
+        *[F.first(c).alias(c) for c in ("m1", "m2", "n1", "n2")],
+    )
+    most = F.col("shared") + F.least(F.col("m1") - F.col("r1"), F.col("m2") - F.col("r2"))
+    met = met.filter(2 * b * most >= (F.col("m1") + F.col("m2")) * b - a * (F.col("n1") + F.col("n2")))
+    met = met.groupBy(F.least("z1", "z2").alias("a"), F.greatest("z1", "z2").alias("b")).agg(F.min("p").alias("p"))
+    met = work.saved(met, "candidates")
     of = lambda name: deltas.select("p", F.col("z").alias(name), F.col("n_z").alias(f"n_{name}"), F.col("delta").alias(f"d_{name}"))
     both = met.join(of("a"), ["p", "a"]).join(of("b"), ["p", "b"])
     apart = F.size("d_a") + F.size("d_b") - 2 * F.size(F.array_intersect("d_a", "d_b"))
