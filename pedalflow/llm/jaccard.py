@@ -9,15 +9,12 @@ agree on a block, and all other pairs lie below the size-derived bound unseen.
 The number of blocks steps with the larger set's size; a set is also cut the way
 its largest possible partners are.
 
-A key can be shared by a third of all classes, so its members are not paired with each other:
-
-* All are compared with one pivot, the smallest id, and linked if they are close to it.
-  For a pair of sets, overlap counts are accumulated block by block; the pair is discarded
-  as soon as what is left cannot bring the overlap up to its bound.
-* Keys whose members are one component by then are done.  In those of at most ``FEW``
-  members the pairs that are left are compared as well.
-* In larger ones, members have nearly everything in common; the product is taken between
-  their differences from the pivot instead (see ``deltas``), which is exact too.
+A key can be shared by a third of all classes, so its members are not all paired with each
+other but compared with a pivot (see ``linking``).  For a pair of sets, overlap counts are
+accumulated block by block; the pair is discarded as soon as what is left cannot bring the
+overlap up to its bound.  Members of large groups that the pivot leaves apart have nearly
+everything in common; the product is taken between their differences from the pivot instead
+(see ``deltas``).
 
 Defined cases: a text of fewer words than n is one n-gram; null texts and texts
 without words have the empty set and are linked with nothing; a row without
@@ -39,9 +36,9 @@ from pyspark.sql import functions as F
 
 from pedalflow.operators.broadcast import bounded_broadcast
 
-from . import deltas
+from . import deltas, linking
 from .common import Scratch, map_arrow, pick, saved
-from .linking import components, only, small
+from .linking import FEW, only, small, with_both
 
 #: Lower-cases A-Z and turns the six white space characters into spaces.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 32 or 9 <= b <= 13 else b for b in range(256))
@@ -49,10 +46,6 @@ _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 32 or 9 <= b <= 13 else b
 STEP = 1 << 21
 #: By how much the sizes of a step grow: wide steps cut sets finer than needed, narrow ones cut more sets twice.
 GROWTH = 1.6
-#: Members of a key that are paired at most.
-FEW = 8
-#: Bits of a key: fewer make it shorter in shuffles, and keys that fall together only cost a comparison.
-KEY_BITS = 48
 _R = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 
 
@@ -248,16 +241,6 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["p", "z", "n_p", "n_z", "delta"])
 
 
-def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, x, y: saved pairs with both sets.  The sets of b go to those of a; few pairs travel to the sets."""
-    few = small(pairs)
-    near = F.broadcast(pairs) if few else pairs
-    ends = pairs.select("a").distinct()
-    y = sets.select(F.col("id").alias("b"), F.col("grams").alias("y")).join(near, "b")
-    x = sets.select(F.col("id").alias("a"), F.col("grams").alias("x")).join(F.broadcast(ends) if few else ends, "a", "left_semi")
-    return y.join(x, "a").select("a", "b", "x", "y")
-
-
 def _place() -> Column:
     """Where a row stands: rows without doc_id come last, rows that repeat a doc_id by text."""
     return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tx")
@@ -266,54 +249,21 @@ def _place() -> Column:
 def linked(rows: DataFrame, sets_of: Callable[[DataFrame, Scratch], DataFrame], pct: int, few: int = FEW) -> DataFrame | None:
     """(id, comp) of all sets that are linked: the components of all links among ids that share a key; saved.
 
-    ``rows`` has (key, id) and may repeat.  None if nothing is linked.  All working
-    tables are removed again.
+    ``rows`` has (key, id) and may repeat; ``sets_of`` gives (id, grams) of saved ids.
     """
-    work = Scratch(rows.sparkSession, "product")
-    shared = rows.groupBy("key").agg(F.min("id").alias("p"), F.max("id").alias("y"), F.count("*").alias("n")).filter("p != y")
-    shared = work.saved(shared, "keys")
-    # most shared keys have two rows, which min and max tell; the others are looked up once more
-    more = work.saved(shared.filter("n > 2").select("key", "p"), "more")
-    members = only(rows, more, "key").distinct()
-    members = work.saved(members.join(F.broadcast(more) if small(more) else more, "key"), "members")
-    star = shared.filter("n = 2").select(F.col("p").alias("a"), F.col("y").alias("b"))
-    star = work.saved(star.union(members.filter("id != p").select("p", "id")).distinct(), "star")
-    ids = star.select(F.col("a").alias("id")).union(star.select("b")).distinct()
-    sets = sets_of(work.saved(ids, "ids"), work)
-
-    def compared(pairs: DataFrame) -> DataFrame:
-        return work.saved(map_arrow(_with_sets(pairs, sets), lambda b: _compared(b, pct), "a long, b long"), "close")
-
-    close = [compared(star)]
-
-    def joined() -> DataFrame:
-        return components(functools.reduce(DataFrame.union, close), work)
-
-    comps = joined()
-    m = members.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    open_ = m.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("c"))
-    open_ = work.saved(open_.filter("x != y").select("key", "c"), "open")
-    m = work.saved(m.join(F.broadcast(open_) if small(open_) else open_, "key"), "left")
-    one = m.filter(F.col("c") <= few)
-    one, two = (one.select("key", F.col("id").alias(i), F.col("comp").alias(c)) for i, c in (("a", "x"), ("b", "y")))
-    pairs = one.join(two, "key").filter("a < b AND x != y").select("a", "b").distinct()  # at most few members a key
-    pairs = work.saved(pairs.join(star, ["a", "b"], "left_anti"), "pairs")
-    if not pairs.isEmpty():
-        close.append(compared(pairs))
-        if not close[-1].isEmpty():
-            comps = joined()
-    # members of large open keys with each of their pivots
-    large = m.filter(F.col("c") > few).select(F.col("p").alias("a"), F.col("id").alias("b")).filter("a != b").distinct()
-    large = work.saved(large, "large")
-    if not large.isEmpty():
+    sets: list[DataFrame] = []
+
+    def prepare(ids: DataFrame, work: Scratch):
+        sets.append(sets_of(ids, work))
+        return lambda pairs: map_arrow(with_both(pairs, sets[0], "grams"), lambda b: _compared(b, pct), "a long, b long")
+
+    def last(large: DataFrame, comps: DataFrame, compare, work: Scratch) -> DataFrame:
+        of = work.saved(large.select(F.col("p").alias("a"), F.col("id").alias("b")).filter("a != b").distinct(), "pivots")
         schema = "p long, z long, n_p long, n_z long, delta array<long>"
-        apart = work.saved(map_arrow(_with_sets(large, sets), _differences, schema), "deltas")
-        close.append(deltas.links(apart, comps, pct, work))
-        if not close[-1].isEmpty():
-            comps = joined()
-    found = None if comps.isEmpty() else saved(comps, "components")
-    work.remove()
-    return found
+        apart = work.saved(map_arrow(with_both(of, sets[0], "grams"), _differences, schema), "deltas")
+        return deltas.links(apart, comps, pct, work)
+
+    return linking.linked(rows, prepare, last, few)
 
 
 def _groups(docs: DataFrame, n: int, pct: int, without_id: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -343,8 +293,7 @@ def _groups(docs: DataFrame, n: int, pct: int, without_id: bool = False) -> tupl
         grams = map_arrow(only(d, of, "tx").select("text"), run, "id long, grams array<long>")
         return work.saved(grams.dropDuplicates(["id"]), "grams")
 
-    key = F.col("key").bitwiseAND((1 << KEY_BITS) - 1).alias("key")
-    rows = inc.select(F.explode("keys").alias("key"), F.col("s1").alias("id")).select(key, "id")
+    rows = inc.select(F.explode("keys").alias("key"), F.col("s1").alias("id"))
     comps = linked(rows, sets_of, pct)
     known = classes.select("s1", "rep", "n")
     if comps is not None:

@@ -1,45 +1,47 @@
-"""Links between members of the same groups, without all pairs of a group.
-
-Several operators know that two rows can only be close if they share a key (a
-line segment, a block of n-grams).  A key may hold a third of all rows, so its
-members are never all paired with each other.  Instead each group gets a few
-pivots, its smallest ids; every member is compared with the pivots only, and the
-triangle inequality settles the rest.  With threshold t and distances d to a pivot,
-
-* members with d <= t are linked through the pivot: their component is known;
-* a member with d > 2t is too far from all of those to be linked with them;
-* in between, it is compared with those at d >= its own d - t, unless by the end a
-  path of links joins them anyway.
-
-Members that are near no pivot go on to the next round, while they are in more than
-one component.  Groups of members that lie far apart from each other gain nothing by pivots;
-an operator may refine their keys.  What is left after ``rounds`` rounds is compared
-pair by pair, which is exact as well.  Tables that a join
-broadcasts are counted first.
+"""Links between members of the same keys, without all pairs of a key.
+
+Several operators know that two rows can only be close if they share a key (a line
+segment, a block of n-grams).  A key may hold a third of all rows, so its members are
+not paired with each other:
+
+* Keys with two members are told from the smallest and largest id, combined map-side.
+* In every key, all members are compared with one pivot, the smallest id, and linked if they
+  are close.  Keys whose members are one component then are done.
+* In those of at most ``few`` members the pairs of different components are compared.
+* Members of larger ones get finer keys, of which close members share one at least,
+  and go through the same steps again; what is left after ``turns`` turns is the operator's own
+  (``last``).
+
+Each step is exact, so the components are those of all links, whatever the groups' sizes.
+Tables that a join broadcasts are counted first.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from .common import Scratch, saved
 
 #: A table of one to three longs of at most so many rows may be broadcast; larger ones are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
-#: Members of a group that the others are compared with in a round.
-PIVOTS = 2
-
-#: Given the saved ids (column id) that can occur in pairs and the place for working tables, returns what adds the distance ``d`` to pairs (a, b).
-Prepare = Callable[[DataFrame, Scratch], Callable[[DataFrame], DataFrame]]
-
-
-#: Given rows (key, id), returns rows with finer keys: ids within the threshold that share a key share one of those.
-Refine = Callable[[DataFrame], DataFrame]
+#: Members of a key that are paired at most.
+FEW = 8
+#: Bits of a key: fewer make it shorter in shuffles, and keys that fall together only cost a comparison.
+KEY_BITS = 48
+
+#: Keeps the close ones of saved pairs (a, b).
+Compare = Callable[[DataFrame], DataFrame]
+#: Given the saved ids (column id) that can occur in pairs and the place for working tables, returns the comparison.
+Prepare = Callable[[DataFrame, Scratch], Compare]
+#: Given rows (key, id) and the turn, returns rows with finer keys: close ids that share a key share one of those.
+Finer = Callable[[DataFrame, int], DataFrame]
+#: Given saved members (key, p, id, comp) of keys that are still open and large, the components
+#: (id, comp) and the comparison, returns the close pairs (a, b) of different components that share a key.
+Last = Callable[[DataFrame, DataFrame, Compare, Scratch], DataFrame]
 
 
 def small(numbers: DataFrame) -> bool:
@@ -82,108 +84,82 @@ def components(edges: DataFrame, work: Scratch) -> DataFrame:
     return work.saved(found.union(e.select(F.col("a").alias("id"), F.col("a").alias("comp")).distinct()), "comps")
 
 
-def _with_comp(df: DataFrame, comps: DataFrame, name: str = "id") -> DataFrame:
-    """``df`` with the component of each id, the id itself where it has no link yet."""
-    c = comps.select(F.col("id").alias(name), "comp")
-    return df.join(c, name, "left").withColumn("comp", F.coalesce("comp", name))
-
-
-def _apart(keys: DataFrame) -> DataFrame:
-    """``keys`` grouped by key, dealt out once more in a join: then Spark sees both sides' sizes and can split a hot key."""
-    return keys.withColumn("key", F.col("key") + 0)
-
+def with_both(pairs: DataFrame, values: DataFrame, value: str) -> DataFrame:
+    """a, b, x, y: saved pairs with the ``value`` of both ids (column id of ``values``).
 
-def _open(members: DataFrame, comps: DataFrame, work: Scratch) -> DataFrame:
-    """The members of keys that span more than one component."""
-    m = _with_comp(members, comps)
-    keys = m.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("key")
-    return work.saved(members.join(_apart(keys), "key", "left_semi").select("key", "id"), "open")
+    Those of b go to those of a; few pairs travel to the values instead of all values to them.
+    """
+    few = small(pairs)
+    near = F.broadcast(pairs) if few else pairs
+    ends = pairs.select("a").distinct()
+    y = values.select(F.col("id").alias("b"), F.col(value).alias("y")).join(near, "b")
+    x = values.select(F.col("id").alias("a"), F.col(value).alias("x")).join(F.broadcast(ends) if few else ends, "a", "left_semi")
+    return y.join(x, "a").select("a", "b", "x", "y")
 
 
-def _pivots(members: DataFrame, n: int) -> DataFrame:
-    """members with each of their key's pivots ``p``, the ``n`` smallest ids, but themselves."""
-    # each task keeps n rows a key before the shuffle
-    rank = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-    p = members.withColumn("rank", rank).filter(F.col("rank") <= n).select("key", F.col("id").alias("p"))
-    return members.join(_apart(p), "key").filter("id != p")
+def open_pairs(members: DataFrame) -> DataFrame:
+    """(a, b): all pairs of different components that share a key, of members (key, id, comp)."""
+    one, two = (members.select("key", F.col("id").alias(i), F.col("comp").alias(c)) for i, c in (("a", "x"), ("b", "y")))
+    return one.join(two, "key").filter("a < b AND x != y").select("a", "b").distinct()
 
 
 def linked(
-    rows: DataFrame, prepare: Prepare, t: float, rounds: int = 3, refine: Refine | None = None
+    rows: DataFrame, prepare: Prepare, last: Last, few: int = FEW, finer: Finer | None = None, turns: int = 0
 ) -> DataFrame | None:
-    """(id, comp) of all ids that are linked: the components of all links of distance <= ``t`` within a key; saved.
+    """(id, comp) of all ids that are linked: the components of all close pairs that share a key; saved.
 
-    ``rows`` has (key, id) as longs and may repeat; distances need only be exact up to
-    2t.  Close ids that share no key may be linked as well.  None if nothing is linked.  ``refine`` cuts the groups that are left after the
-    first round into smaller ones.  All working tables are removed again.
+    ``rows`` has (key, id) as longs and may repeat.  Close ids that share no key may be
+    linked as well.  None if nothing is linked.  All working tables are removed again.
     """
     work = Scratch(rows.sparkSession, "link")
-    links = _links(rows, prepare, t, rounds, refine, work)
-    found = None if links is None else saved(components(links, work), "components")
+    close: list[DataFrame] = []
+    compare: Compare | None = None
+    comps = work.saved(rows.sparkSession.createDataFrame([], "id long, comp long"), "comps")
+
+    def take(pairs: DataFrame) -> None:
+        nonlocal comps
+        pairs = work.saved(pairs, "close")
+        if not pairs.isEmpty():
+            close.append(pairs)
+            comps = components(functools.reduce(DataFrame.union, close), work)
+
+    def with_comp(df: DataFrame, name: str = "id", as_: str = "comp") -> DataFrame:
+        of = comps.select(F.col("id").alias(name), F.col("comp").alias(as_))
+        return df.join(of, name, "left").withColumn(as_, F.coalesce(as_, name))
+
+    for turn in range(turns + 1):
+        key = F.col("key").bitwiseAND((1 << KEY_BITS) - 1).alias("key")
+        rows = rows.select(key, "id")
+        shared = rows.groupBy("key").agg(F.min("id").alias("p"), F.max("id").alias("y"), F.count("*").alias("n"))
+        shared = work.saved(shared.filter("p != y"), "keys")
+        # most shared keys have two rows, which min and max tell; the others are looked up once more
+        more = work.saved(shared.filter("n > 2").select("key", "p"), "more")
+        members = only(rows, more, "key").distinct()
+        members = work.saved(members.join(F.broadcast(more) if small(more) else more, "key"), "members")
+        star = shared.filter("n = 2").select(F.col("p").alias("a"), F.col("y").alias("b"))
+        star = star.union(members.filter("id != p").select("p", "id")).distinct()
+        if turn:
+            star = with_comp(with_comp(star, "a", "x"), "b", "y").filter("x != y").select("a", "b")
+        star = work.saved(star, "star")
+        if compare is None:
+            ids = star.select(F.col("a").alias("id")).union(star.select("b")).distinct()
+            compare = prepare(work.saved(ids, "ids"), work)
+        take(compare(star))
+        m = with_comp(members)
+        open_ = m.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("c"))
+        open_ = work.saved(open_.filter("x != y").select("key", "c"), "open")
+        m = work.saved(m.join(F.broadcast(open_) if small(open_) else open_, "key"), "left")
+        pairs = work.saved(open_pairs(m.filter(F.col("c") <= few)).join(star, ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
+            take(compare(pairs))
+        large = m.filter(F.col("c") > few)
+        if large.isEmpty():
+            break
+        if turn == turns:
+            large = work.saved(with_comp(large.select("key", "p", "id")), "large")
+            take(last(large, comps, compare, work))
+        else:
+            rows = work.saved(finer(large.select("key", "id"), turn), "finer")
+    found = None if comps.isEmpty() else saved(comps, "components")
     work.remove()
     return found
-
-
-def _links(
-    rows: DataFrame, prepare: Prepare, t: float, rounds: int, refine: Refine | None, work: Scratch
-) -> DataFrame | None:
-    """(a, b) links that join what all links join; None if no key is shared."""
-    eps = 1e-9
-    shared = rows.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).filter("x != y").select("key")
-    shared = work.saved(shared, "keys")
-    members = work.saved(only(rows.select("key", "id"), shared, "key").distinct(), "members")
-    verify = prepare(work.saved(members.select("id").distinct(), "ids"), work)
-
-    def judged(pairs: DataFrame) -> DataFrame:
-        return work.saved(verify(pairs.select("a", "b")).select("a", "b", "d"), "judged")
-
-    close, middle = F.col("d") <= t + eps, (F.col("d") > t + eps) & (F.col("d") <= 2 * t + eps)
-    # first the pivot that each id meets in most keys
-    met = _pivots(members, 1).groupBy("id", "p").agg(F.count("*").alias("n"))
-    best = met.withColumn("k", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("n"), "p"))).filter("k = 1")
-    known = judged(best.select(F.col("p").alias("a"), F.col("id").alias("b")))
-    if known.isEmpty():
-        return None
-    links = known.filter(close).select("a", "b")
-    comps = components(links, work)
-    active = _open(members, comps, work)
-    judged_of: list[DataFrame] = []
-    for turn in range(rounds):
-        if active.isEmpty():
-            break
-        if turn == 1 and refine:
-            active = _open(work.saved(refine(active).distinct(), "refined"), comps, work)
-        star = _pivots(active, PIVOTS)
-        # by pivot, not by key: a pair that shares many keys is one row
-        met = star.select("p", "id").distinct().withColumn("a", F.least("p", "id")).withColumn("b", F.greatest("p", "id"))
-        met = work.saved(met, "met")
-        new = judged(met.select("a", "b").distinct().join(known, ["a", "b"], "left_anti"))
-        known = work.saved(known.union(new), "known")
-        of = met.join(known.filter(F.col("d") <= 2 * t + eps), ["a", "b"]).select("p", "id", "d")
-        of = work.saved(of, "distances")
-        judged_of.append(of)
-        if not new.filter(close).isEmpty():
-            links = known.filter(close).select("a", "b")
-            comps = components(links, work)
-        settled = star.join(of.filter(close).select("p", "id"), ["p", "id"], "left_semi").select("key", "id")
-        settled = settled.union(star.select("key", F.col("p").alias("id")))
-        active = _open(active.join(settled.distinct(), ["key", "id"], "left_anti"), comps, work)
-    if not judged_of and active.isEmpty():
-        return links
-    # what neither pivots nor paths of links have settled: between, and among, those not near a pivot
-    rest = _with_comp(active, comps)
-    among = (
-        rest.select("key", F.col("id").alias("a"), F.col("comp").alias("ca"))
-        .join(rest.select("key", F.col("id").alias("b"), F.col("comp").alias("cb")), "key")
-        .filter("a < b AND ca != cb").select("a", "b")
-    )
-    pairs = among
-    if judged_of:
-        of = _with_comp(reduce(DataFrame.union, judged_of).distinct(), comps)
-        grey = of.filter(middle).select("p", F.col("id").alias("z"), F.col("d").alias("dz"), F.col("comp").alias("cz"))
-        near = of.filter(close).select("p", F.col("id").alias("x"), F.col("d").alias("dx"), F.col("comp").alias("cx"))
-        fits = (F.col("cz") != F.col("cx")) & (F.col("dx") >= F.col("dz") - t - eps)
-        between = grey.join(near, "p").filter(fits).select(F.least("x", "z").alias("a"), F.greatest("x", "z").alias("b"))
-        pairs = among.union(between)
-    last = judged(pairs.distinct().join(known, ["a", "b"], "left_anti"))
-    return links.union(last.filter(close).select("a", "b"))
