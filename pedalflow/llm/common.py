@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 import uuid
+import zipfile
+import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,12 +76,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def reachable(spark: SparkSession) -> None:
-    """Lets Python workers import this package from where the driver has it, besides any installed copy."""
+    """Lets Python workers import this package, besides any installed copy.
+
+    Workers of this machine find it where the driver has it.  On a cluster it is also sent to
+    them, as a zip file in the shared folder that its content names.
+    """
+    sc = spark.sparkContext
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    env = spark.sparkContext.environment
-    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    paths = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+        sc.environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    if sc.applicationId not in _SENT and not sc.master.startswith("local"):
+        raw = package_zip(root)
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pedalflow-{zlib.crc32(raw):08x}.zip"
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(target):
+            out = fs.create(target)
+            out.write(bytearray(raw))
+            out.close()
+        sc.addPyFile(path)
+        _SENT.add(sc.applicationId)
+
+
+#: Applications whose workers have the package.
+_SENT: set[str] = set()
+
+
+def package_zip(root: str) -> bytes:
+    """The package's modules as a zip file, the same bytes for the same modules."""
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in sorted(os.walk(os.path.join(root, "pedalflow"))):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    with open(path, "rb") as f:
+                        z.writestr(zipfile.ZipInfo(os.path.relpath(path, root)), f.read())
+    return held.getvalue()
 
 
 def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:

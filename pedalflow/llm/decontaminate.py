@@ -59,7 +59,7 @@ def _automaton(key: str, patterns: list[tuple[bytes, tuple[str, ...]]]):
     if key not in _automata:
         a = ahocorasick.Automaton()
         for p, items in patterns:
-            a.add_word(f" {p.decode('latin-1')} ", (len(p), p.count(b" ") + 1, items))
+            a.add_word(f" {p.decode('latin-1')} ", (p.count(b" ") + 1, items))
         if patterns:
             a.make_automaton()
         _automata.clear()
@@ -82,10 +82,11 @@ def _scan(automaton, text: str | None, spans: list[tuple[int, int]], items: set[
     w = words(text)
     if w and len(automaton):
         norm = f" {b' '.join(w).decode('latin-1')} "
-        new = []
-        for end, (length, n, found) in automaton.iter(norm):
-            first = norm.count(" ", 0, end - length - 1)  # words before the window
-            new.append((first, first + n))
+        new, seen, stop = [], 0, 0
+        for end, (n, found) in automaton.iter(norm):  # by ascending end: words are counted on from the last hit
+            stop += norm.count(" ", seen, end)
+            seen = end
+            new.append((stop - n, stop))
             items.update(found)
         spans = _merge([*spans, *new])
     return len(w), spans, items

@@ -23,6 +23,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -77,16 +78,28 @@ CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+#: The tags that each distinct rule of CLOSES looks for on its way up, and all of them.
+GROUPS = list(dict.fromkeys(frozenset(shut | limits) for shut, limits in CLOSES.values()))
+SOUGHT = frozenset().union(*GROUPS)
+GROUP_OF = {name: GROUPS.index(frozenset(shut | limits)) for name, (shut, limits) in CLOSES.items()}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "noise", "chars", "tags", "link_chars", "link_tags", "density", "total", "links", "in_link")
+    __slots__ = (
+        "tag", "parent", "items", "noise", "chars", "tags", "link_chars", "link_tags", "density", "total", "links", "in_link",
+        "inside", "ends",
+    )
 
     def __init__(self, tag: str, parent: Node | None, noise: bool = False):
         self.tag, self.parent, self.noise = tag, parent, noise
         self.items: list = []  # texts, (text in a link,) and block nodes in order
         self.links = 0  # <a> elements opened directly inside
         self.in_link = 0  # whether it stands in a link itself
+        self.inside = parent is not None and (parent.inside or parent.tag in ("article", "main"))
+        # the nearest node, itself or above, that each group of CLOSES looks for
+        self.ends: tuple[Node | None, ...] = parent.ends if parent is not None else (None,) * len(GROUPS)
+        if tag in SOUGHT:
+            self.ends = tuple(self if tag in sought else up for sought, up in zip(GROUPS, self.ends, strict=True))
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
@@ -94,12 +107,7 @@ class Node:
 def _is_noise(tag: str, attributes: str, parent: Node | None) -> bool:
     if tag in DROPPED:
         return True
-    inside = False
-    at = parent
-    while at is not None:
-        inside = inside or at.tag in ("article", "main")
-        at = at.parent
-    if tag == "header" and not inside:
+    if tag == "header" and not (parent is not None and (parent.inside or parent.tag in ("article", "main"))):
         return True
     if tag in ("html", "body", "main") or not attributes:
         return False
@@ -125,12 +133,17 @@ def parse(page: str) -> Node:
         if s:
             node.items.append((s, links > 0))
 
-    def left_open(low: Node, high: Node) -> None:
-        """The nodes from ``low`` up to ``high``, without it, end without a tag of their own."""
+    open_: Counter[str] = Counter()  # so that a closing tag that matches nothing takes no walk
+
+    def ended(low: Node, high: Node) -> Node:
+        """Ends ``high`` by its tag, and the nodes from ``low`` up to it without one of their own; returns what is left open."""
         while low is not high:
             if low.tag in HELD:
                 low.noise = False
+            open_[low.tag] -= 1
             low = low.parent
+        open_[high.tag] -= 1
+        return high.parent
 
     while m := TAG.search(page, at):
         text(page[at : m.start()])
@@ -143,18 +156,18 @@ def parse(page: str) -> Node:
             if name == "a":
                 links = max(0, links - 1)
             elif name in BLOCK or name in HELD or name == "svg" or name in INSIDE_SVG:
-                up = node
-                while up is not root and up.tag != name:
-                    up = up.parent
-                if up is not root:
-                    left_open(node, up)
-                    node, links = up.parent, up.in_link
+                if open_[name] > 0:
+                    up = node
+                    while up.tag != name:
+                        up = up.parent
+                    node, links = ended(node, up), up.in_link
                 elif name == "p":
                     text("\n")
             continue
         attributes = m[3] or m[6] or ""
         while node.tag == "svg" and name in ENDS_SVG:
-            node, links = node.parent, node.in_link
+            links = node.in_link
+            node = ended(node, node)
         if name in HELD or name == "svg" or node.tag == "svg" and name in INSIDE_SVG:
             child = Node(name, node, True)
             child.in_link = links
@@ -162,6 +175,7 @@ def parse(page: str) -> Node:
             foreign = name == "svg" or node.tag == "svg"
             if not (foreign and attributes.endswith("/") and not UNQUOTED_END.search(attributes)):
                 node, links = child, 0
+                open_[name] += 1
             continue
         if name in RAW and node.tag != "svg":
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
@@ -174,21 +188,20 @@ def parse(page: str) -> Node:
             node.links += 1
         elif name in BLOCK:
             if name in CLOSES:
-                shut, limits = CLOSES[name]
-                up = node
-                while up is not root and up.tag not in limits:
-                    if up.tag in shut:
-                        left_open(node, up)
-                        node = up.parent
-                    up = up.parent
+                shut, group = CLOSES[name][0], GROUP_OF[name]
+                while (up := node.ends[group]) is not None and up.tag in shut:
+                    node = ended(node, up)
             elif node.tag == "p" or node.tag in HEADING and name in HEADING:
-                node = node.parent
+                node = ended(node, node)
             child = Node(name, node, _is_noise(name, attributes, node))
             node.items.append(child)
             if name not in VOID:
                 node, links = child, 0
+                open_[name] += 1
     text(page[at:])
-    left_open(node, root)
+    while node is not root:
+        node.noise = node.noise and node.tag not in HELD
+        node = node.parent
     return root
 
 

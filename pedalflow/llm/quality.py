@@ -2,8 +2,8 @@
 
 Every line is judged by itself:
 
-* punctuation - a line without any sentence mark, or with more punctuation
-  characters than words, is not prose;
+* punctuation - a line without any sentence mark, in a script that has them, or with
+  more punctuation characters than words, is not prose;
 * navigation - a line of short items between separators (``Home | About | Help``);
 * boilerplate - cookie, script, rights and sign-up notices, placeholder text.
 
@@ -31,7 +31,15 @@ MAX_REPEAT_PCT = 30
 MAX_LOST_PCT = 50
 
 HAS_WORD = rf"[^{SPACE}]"
-SENTENCE_MARK = r"[.!?…。！？؟।]"
+# The code points of Unicode's Sentence_Terminal property, and those of … and ། beside them.
+MARKS = (
+    r".!?\u2026\u0F0D\u0589\u061D-\u061F\u06D4\u0700-\u0702\u07F9\u0837\u0839\u083D\u083E\u0964\u0965\u104A\u104B\u1362\u1367\u1368"
+    r"\u166E\u1735\u1736\u17D4\u17D5\u1803\u1809\u1944\u1945\u1AA8-\u1AAB\u1B4E\u1B4F\u1B5A\u1B5B\u1B5E\u1B5F\u1B7D-\u1B7F\u1C3B\u1C3C"
+    r"\u1C7E\u1C7F\u203C\u203D\u2047-\u2049\u2CF9-\u2CFB\u2E2E\u2E3C\u2E53\u2E54\u3002\uA4FF\uA60E\uA60F\uA6F3\uA6F7\uA876\uA877"
+    r"\uA8CE\uA8CF\uA92F\uA9C8\uA9C9\uAA5D-\uAA5F\uAAF0\uAAF1\uABEB\uFE12\uFE15\uFE16\uFE52\uFE56\uFE57\uFF01\uFF0E\uFF1F\uFF61"
+)
+#: Thai and Lao end sentences by a space; a line with their letters needs no mark.
+SENTENCE_MARK = rf"[{MARKS}\u0E01-\u0E3A\u0E40-\u0E4E\u0E81-\u0EDF]"
 PUNCTUATION = r"\p{Punct}"
 #: A word that is one separator.
 SEPARATOR = rf"(?<![^{SPACE}])[|»›>•·](?![^{SPACE}])"

@@ -95,3 +95,14 @@ def test_odd_rows_and_empty_tables(spark):
     kept = D.drop_contaminated(clashing(d), b)
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert kept.count() == len(ODD_ROWS)
+
+
+def test_a_text_wholly_of_benchmark_windows_takes_linear_time():
+    import time
+
+    item = "w" + " w".join(map(str, range(50)))
+    automaton = D._automaton("long", [(w, ("1",)) for w in sorted(set(D.windows(item, 13)))])
+    t = time.perf_counter()
+    n, spans, items = D._scan(automaton, f"{item} " * 20_000, [], set())
+    assert time.perf_counter() - t < 10
+    assert n == 1_000_000 and spans == [(0, n)] and items == {"1"}

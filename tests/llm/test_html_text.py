@@ -123,3 +123,15 @@ def test_table(spark):
     for d in (df, clashing(df)):
         assert sorted(map(tuple, extract_pages(d).collect()), key=repr) == want
     assert extract_pages(df.limit(0)).count() == 0
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    deep = "<div>" * 100_000
+    pages = [deep + "</p></ul>" * 50_000, "<ul><li>" + deep + "<li>x" * 50_000, "<table><tr>" * 30_000 + "<li>y" * 30_000,
+             "<dl>" + "<dd><li>" * 50_000, "<svg><g>" * 50_000 + "</object>" * 50_000]
+    for page in pages:
+        t = time.perf_counter()
+        extract(f"<html><body><article><p>{'Some words of the article. ' * 9}</p></article>{page}")
+        assert time.perf_counter() - t < 10

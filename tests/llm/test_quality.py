@@ -75,3 +75,14 @@ def test_clashing_columns_and_empty_table(spark):
 def test_repeats_count_over_windows_that_overlap(spark):
     text = " ".join("abcdefgh") + " z " + " ".join("abcdefghi")
     check(spark, [text, text + " " + text, "a " * 50, " ".join("abcdefgh") * 2])
+
+
+@pytest.mark.parametrize(
+    "sentence",
+    ["នេះ ជា ប្រយោគ មួយ ដែល មាន ពាក្យ ច្រើន ។", "ይህ ብዙ ቃላት ያሉት አንድ ተራ ዓረፍተ ነገር ነው ።", "یہ ایک عام جملہ ہے جس میں کئی الفاظ ہیں ۔", "นี่ คือ ประโยค ธรรมดา ที่ มี หลาย คำ",
+     "这 是 一 个 有 很 多 词 的 普通 句子 。", "यह एक साधारण वाक्य है जिसमें कई शब्द हैं ।", "Սա սովորական նախադասություն է շատ բառերով ։"],
+)
+def test_scripts_with_other_marks_or_none_are_kept(spark, sentence):
+    lines = [f"{sentence.rstrip(sentence[-1] if not sentence[-1].isalpha() else '')} {i} {sentence}" for i in range(6)]
+    r = quality.judge(docs(spark, [(1, "\n".join(lines))])).first()
+    assert r["kept"] and r["lost_chars"] == 0
