@@ -150,3 +150,19 @@ def test_drift_report_has_no_global_window(spark):
     from pedalflow.plans.exports import schema_drift_export
 
     assert "Window" not in _plan(schema_drift_export(spark, SF_DIR))
+
+
+def test_a_dimension_is_measured_once_while_its_files_stay(spark, tmp_path, monkeypatch):
+    from pedalflow.operators import broadcast
+
+    taken = []
+    measure = broadcast._measure
+    monkeypatch.setattr(broadcast, "_measure", lambda df: taken.append(1) or measure(df))
+    path = str(tmp_path / "stations")
+    spark.range(10).selectExpr("id", "cast(id AS string) AS name").write.parquet(path)
+    read = lambda: spark.read.parquet(path).filter("id > 2")
+    assert broadcast.is_bounded(read(), 7) and not broadcast.is_bounded(read(), 6) and len(taken) == 1
+    assert broadcast.is_bounded(spark.read.parquet(path), 10) and len(taken) == 2  # another plan
+    spark.range(1000).selectExpr("id", "cast(id AS string) AS name").write.mode("overwrite").parquet(path)
+    assert not broadcast.is_bounded(read(), 100) and len(taken) == 3
+    assert broadcast.is_bounded(spark.range(5), 5) and broadcast.is_bounded(spark.range(5), 5) and len(taken) == 5  # no files
