@@ -26,6 +26,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import struct
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -38,8 +39,8 @@ from .common import map_arrow, pick
 
 #: Code points that are cut into pieces at once.
 STEP = 1 << 20
-#: Entries of a cache before it is emptied.
-CACHED = 500_000
+#: Entries of a cache, of about 200 bytes, before it is emptied.
+CACHED = 1_000_000
 #: Longer pieces are encoded anew each time.
 CACHED_CHARS = 64
 
@@ -51,6 +52,10 @@ class Vocabulary:
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
         self.longest = max(map(len, ranks))
+        self.ending: dict[bytes, int] = {}
+        for t in ranks:
+            if len(t) > self.ending.get(t[-2:], 1):
+                self.ending[t[-2:]] = len(t)
         self._halves: dict[bytes, list[bytes]] = {}
         self._grown: dict[bytes, bool] = {}
         self._pairs: dict[tuple[bytes, bytes], bool] = {}
@@ -122,9 +127,10 @@ class Vocabulary:
 
     def extend(self, piece: bytes, last: list[int], end: int) -> None:
         """Appends the entries of ``last`` (lengths of last tokens; its first stands for no bytes) up to ``end`` bytes."""
-        ranks, longest, known = self.ranks, self.longest, self._pairs
+        ranks, known, ending = self.ranks, self._pairs, self.ending
         for i in range(len(last), end + 1):
-            for at in range(i - longest if i > longest else 0, i):
+            reach = ending.get(piece[i - 2 : i], 1) if i > 1 else 1  # the longest token that ends in these two bytes
+            for at in range(i - reach if i > reach else 0, i):
                 token = piece[at:i]
                 if token not in ranks:
                     continue
@@ -136,7 +142,7 @@ class Vocabulary:
                 elif self.sound(token):
                     break
             else:
-                raise ValueError(f"no token ends the bytes {piece[max(0, i - longest):i]!r}")
+                raise ValueError(f"no token ends the bytes {piece[max(0, i - self.longest):i]!r}")
             last.append(i - at)
 
     def prefixes(self, piece: bytes) -> list[int]:
@@ -181,28 +187,28 @@ class Vocabulary:
 
 
 class Pieces(dict):
-    """The ids of a piece (str), remembered for short pieces."""
+    """The ids of a piece (str) as little-endian unsigned 32-bit integers, remembered for short pieces."""
 
     def __init__(self, words: Vocabulary):
         super().__init__()
         self.words = words
 
-    def __missing__(self, piece: str) -> list[int]:
-        return self.words.encode(piece.encode("utf-8", "surrogatepass"))
+    def __missing__(self, piece: str) -> bytes:
+        return _packed(self.words.encode(piece.encode("utf-8", "surrogatepass")))
 
     def learn(self, found: Iterable[list[str]]) -> None:
         """Encodes the short pieces that are new, in order: each goes on from the table of the one before where they part."""
         new: set[str] = set()
         for part in found:
             new.update(part)
+        new.difference_update(self)
         if len(self) + len(new) > CACHED:
             self.clear()
-        new.difference_update(self)
         words, ranks, before, last = self.words, self.words.ranks, b"", [0]
         for raw, piece in sorted((p.encode("utf-8", "surrogatepass"), p) for p in new if len(p) <= CACHED_CHARS):
             whole = ranks.get(raw)
             if whole is not None:
-                self[piece] = [whole]
+                self[piece] = _packed([whole])
                 continue
             same, most = 0, min(len(raw), len(before))
             while same < most and raw[same] == before[same]:
@@ -210,7 +216,11 @@ class Pieces(dict):
             del last[same + 1 :]
             words.extend(raw, last, len(raw))
             before = raw
-            self[piece] = words.ids(raw, last)
+            self[piece] = _packed(words.ids(raw, last))
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @functools.cache
@@ -324,8 +334,7 @@ class Encoded:
 
 
 def _joined(found: Iterable[list[str]], known: Pieces) -> np.ndarray:
-    parts = [np.fromiter(chain.from_iterable(map(known.__getitem__, part)), "<u4") for part in found]
-    return np.concatenate(parts) if parts else np.empty(0, "<u4")
+    return np.frombuffer(b"".join(map(known.__getitem__, chain.from_iterable(found))), "<u4")
 
 
 def token_ids(texts: list[str], path: str, pattern: str) -> Iterator[np.ndarray]:
