@@ -22,7 +22,7 @@ def tokenizer_path() -> str:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.report(table(spark, sf_dir, "documents"), least=lines.LEAST, bands=lines.BANDS)
+    return lines.report(table(spark, sf_dir, "documents"), least=lines.LEAST, bands=lines.BANDS, by_letters=lines.BY_LETTERS)
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

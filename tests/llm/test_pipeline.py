@@ -14,7 +14,7 @@ from test_jaccard import brute as linked  # noqa: E402
 from test_decontaminate import brute as contaminated  # noqa: E402
 from test_lines import brute as repeated  # noqa: E402
 
-from pedalflow.llm import quality, registry  # noqa: E402
+from pedalflow.llm import lines, quality, registry  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -40,7 +40,7 @@ def test_stages_against_brute_force(spark):
     one = step("quality_rules", d)
     assert one.columns == DOCUMENTS and {r["doc_id"]: r["text"] for r in one.collect()} == rows
 
-    gone = repeated(list(rows.items()), 2, 24)
+    gone = repeated(list(rows.items()), lines.TAU, lines.MIN_CHARS, lines.LEAST, lines.BANDS, lines.BY_LETTERS)
     rows = {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone.get(i, ())) for i, t in rows.items()}
     rows = {i: t for i, t in rows.items() if i not in gone or t.strip()}
     two = step("line_dedup", one)
