@@ -51,19 +51,22 @@ def links(deltas: DataFrame, comps: DataFrame, pct: int, work: Scratch) -> DataF
     entries = work.saved(entries.filter(F.col("i") < F.greatest("any", "far")), "entries")
 
     def side(k: int) -> list:
-        of = {"z": f"z{k}", "comp": f"c{k}", "m": f"m{k}", "n_z": f"n{k}", "rank": f"r{k}"}
+        of = {"z": f"z{k}", "comp": f"c{k}", "m": f"m{k}", "n_z": f"n{k}", "rank": f"r{k}", "i": f"i{k}"}
         return ["p", "e", *[F.col(c).alias(name) for c, name in of.items()]]
 
     one = entries.filter("i < far").select(*side(1))
     two = entries.filter("i < any").select(*side(2), F.col("is_far").alias("far2"))
-    met = one.join(two, ["p", "e"]).filter("c1 != c2 AND (z1 < z2 OR NOT far2)")
+    left = F.least(F.col("m1") - F.col("r1"), F.col("m2") - F.col("r2"))
+    least = (F.col("m1") + F.col("m2")) * b - a * (F.col("n1") + F.col("n2"))
+    # at any common element: what both have before it, in other sets too, and after it
+    reach = 2 * b * (F.least("i1", "i2") + 1 + left) >= least
+    met = one.join(two, ["p", "e"]).filter(F.expr("c1 != c2 AND (z1 < z2 OR NOT far2)") & reach)
     # what was met, and what both have left after the last of it, must be able to reach the overlap of a link
     met = met.groupBy("p", "z1", "z2").agg(
         F.count("*").alias("shared"), F.max("r1").alias("r1"), F.max("r2").alias("r2"),
         *[F.first(c).alias(c) for c in ("m1", "m2", "n1", "n2")],
     )
-    most = F.col("shared") + F.least(F.col("m1") - F.col("r1"), F.col("m2") - F.col("r2"))
-    met = met.filter(2 * b * most >= (F.col("m1") + F.col("m2")) * b - a * (F.col("n1") + F.col("n2")))
+    met = met.filter(2 * b * (F.col("shared") + left) >= least)
     met = met.groupBy(F.least("z1", "z2").alias("a"), F.greatest("z1", "z2").alias("b")).agg(F.min("p").alias("p"))
     met = work.saved(met, "candidates")
     of = lambda name: deltas.select("p", F.col("z").alias(name), F.col("n_z").alias(f"n_{name}"), F.col("delta").alias(f"d_{name}"))
