@@ -64,7 +64,10 @@ def standardised_points(points: DataFrame, features: Sequence[str] = ("x", "y"))
 
 
 def grid_points(points: DataFrame, features: Sequence[str] = ("x", "y"), unit: int = UNIT) -> DataFrame:
-    """``(station, z0, z1, ...)``: standardised features as whole numbers, checkpointed."""
+    """``(station, z0, z1, ...)``: standardised features as whole numbers, checkpointed.
+
+    Dealt out by station first: a list of points is a small file, which one task would read in every pass.
+    """
     ensure_checkpoint_dir(points.sparkSession)
     names = [f"z{i}" for i in range(len(features))]
     raw = points.dropna(subset=list(features)).select(
@@ -78,7 +81,7 @@ def grid_points(points: DataFrame, features: Sequence[str] = ("x", "y"), unit: i
         s, q = float(sums[f"s{i}"] or 0), float(sums[f"q{i}"] or 0)
         spread = math.sqrt((q - s * s / n) / (n - 1)) if n > 1 else 0.0
         cols.append(F.floor(GRID * ((F.col(z) - s / n) / spread)).alias(z) if spread else F.lit(0).cast("long").alias(z))
-    return raw.select("station", *cols).checkpoint()
+    return raw.select("station", *cols).repartition("station").checkpoint()
 
 
 def _squared(names: Sequence[str], centre: Centre) -> Column:
@@ -108,13 +111,81 @@ def farthest_points(grid: DataFrame, k: int, seed: int = 1) -> list[Centre]:
     return found
 
 
+def _assign(names: Sequence[str], centres: dict[int, list[Centre]]):
+    """A function of an Arrow batch: its features as columns of whole numbers, and the nearest centre of every row by k.
+
+    Whole numbers stay exact: 64 bits where all squares fit, Python's integers elsewhere.
+    Sent to the workers by value, so it holds nothing of this module.
+    """
+    reach = max((abs(x) for of_k in centres.values() for c in of_k for x in c), default=0)
+
+    def run(batch):
+        import numpy as np
+
+        z = [batch.column(batch.schema.get_field_index(f)).to_numpy(zero_copy_only=False) for f in names]
+        most = max((max(abs(int(c.min())), abs(int(c.max()))) for c in z), default=0) + reach
+        if len(names) * most * most >= 1 << 62:
+            z = [c.astype(object) for c in z]
+        nearest = {}
+        for k, of_k in centres.items():
+            best, at = None, np.zeros(len(z[0]), np.int64)
+            for i, centre in enumerate(of_k):
+                d = sum((c - x) * (c - x) for c, x in zip(z, centre, strict=True))
+                if best is None:
+                    best = d
+                    continue
+                closer = (d < best).astype(bool)  # of equals the smaller number stays
+                best, at = np.where(closer, d, best), np.where(closer, i, at)
+            nearest[k] = at
+        return z, nearest
+
+    return run
+
+
 def _sums(grid: DataFrame, names: Sequence[str], centres: dict[int, list[Centre]]) -> dict[tuple[int, int], list[int]]:
-    """Members, sums and sum of squares of every (k, group) that has members, in one aggregate."""
-    each = F.array(*[F.struct(F.lit(k).alias("k"), _nearest(names, c).alias("c")) for k, c in centres.items()])
-    square = sum((F.col(z) * F.col(z) for z in names), F.lit(0)).cast("decimal(38,0)")
-    total = [F.count(F.lit(1)).alias("n"), *[F.sum(z).alias(z) for z in names], F.sum("square").alias("square")]
-    per = grid.select(*names, square.alias("square"), F.inline(each)).groupBy("k", "c").agg(*total)
-    return {(r["k"], r["c"]): [int(r[x]) for x in ("n", *names, "square")] for r in per.collect()}
+    """Members, sums and sum of squares of every (k, group) that has members, in one aggregate.
+
+    A task adds up its rows and hands on a row per (k, group).
+    """
+    assign, fields = _assign(names, centres), ("n", *names, "square")
+
+    def run(batches):
+        from decimal import Decimal
+
+        import numpy as np
+        import pyarrow as pa
+
+        def total(values) -> int:
+            if values.dtype == object:
+                return int(values.sum())
+            # halves of 32 bits, so that their sums fit
+            return (int((values >> 32).sum()) << 32) + int((values & 0xFFFFFFFF).sum())
+
+        held: dict[tuple[int, int], list[int]] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            z, nearest = assign(batch)
+            square = sum(c * c for c in z)
+            for k, at in nearest.items():
+                order = np.argsort(at, kind="stable")
+                edges = np.searchsorted(at[order], np.arange(len(centres[k]) + 1))
+                by_group = [c[order] for c in (*z, square)]
+                for i in range(len(centres[k])):
+                    low, high = int(edges[i]), int(edges[i + 1])
+                    if low < high:
+                        new = [high - low, *[total(c[low:high]) for c in by_group]]
+                        old = held.get((k, i))
+                        held[k, i] = new if old is None else [x + y for x, y in zip(old, new, strict=True)]
+        if held:
+            columns = [pa.array([k for k, _ in held], pa.int32()), pa.array([c for _, c in held], pa.int32())]
+            for j in range(len(fields)):
+                columns.append(pa.array([Decimal(v[j]) for v in held.values()], pa.decimal128(38, 0)))
+            yield pa.RecordBatch.from_arrays(columns, names=["k", "c", *fields])
+
+    schema = ", ".join(["k int", "c int", *[f"{f} decimal(38,0)" for f in fields]])
+    per = grid.select(*names).mapInArrow(run, schema).groupBy("k", "c").agg(*[F.sum(f).alias(f) for f in fields])
+    return {(r["k"], r["c"]): [int(r[x]) for x in fields] for r in per.collect()}
 
 
 def centres_by_k(grid: DataFrame, ks: Sequence[int], seed: int = 1, steps: int = STEPS) -> dict[int, list[Centre]]:
@@ -178,31 +249,53 @@ def silhouette_by_k(
     names = [c for c in grid.columns if c != "station"]
     centres = centres_by_k(grid, ks, seed, steps)
     sums = _sums(grid, names, centres)
-    own = sum((F.col(z).cast("double") * F.col(z) for z in names), F.lit(0.0))
-    wide, scored = grid, []
-    for k, of_k in centres.items():
-        groups = [(i, *sums[k, i]) for i in range(len(of_k)) if (k, i) in sums]
-        if len(groups) < 2:
-            continue
-        scored.append(k)
-        at, a, b = F.col("at"), F.col("a"), F.col("b")
-        to_own, to_others = F.lit(None).cast("double"), []
-        for i, n, *s, q in groups:
-            inner = sum((F.col(z) * float(c) for z, c in zip(names, s, strict=True)), F.lit(0.0))
-            mean = own + float(q) / n - 2 * inner / n
-            to_own = F.when(at == i, mean * n / (n - 1) if n > 1 else F.lit(None)).otherwise(to_own)
-            to_others.append(F.when(at != i, mean))
-        score = F.when(a < b, 1 - a / b).when(a > b, b / a - 1).otherwise(0.0)
-        wide = wide.withColumn("at", _nearest(names, of_k)).withColumns({"a": to_own, "b": F.array_min(F.array(*to_others))})
-        # whole multiples of 1e-9, so that the order of the sum does not matter
-        wide = wide.withColumn(f"score{k}", F.floor(score * 1e9))
+    groups = {k: [(i, *sums[k, i]) for i in range(len(of_k)) if (k, i) in sums] for k, of_k in centres.items()}
+    scored = {k: g for k, g in groups.items() if len(g) > 1}
     rows: list[tuple[int, float | None]] = [(k, None) for k in centres if k not in scored]
     if scored:
-        total = wide.agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"score{k}").alias(f"score{k}") for k in scored]).first()
-        rows += [(k, total[f"score{k}"] / 1e9 / total["n"]) for k in scored]
+        total = _scores(grid, names, {k: centres[k] for k in scored}, scored)
+        rows += [(k, total[k] / 1e9 / sum(n for _, n, *_ in g)) for k, g in scored.items()]
     return points.sparkSession.createDataFrame(sorted(rows), "k int, silhouette double")
 
 
+def _scores(
+    grid: DataFrame, names: Sequence[str], centres: dict[int, list[Centre]], groups: dict[int, list[tuple[int, ...]]]
+) -> dict[int, int]:
+    """The sum of all silhouettes of each k, in whole multiples of 1e-9, so that the order of the sum does not matter."""
+    assign = _assign(names, centres)
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        held = dict.fromkeys(groups, 0)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            z, nearest = assign(batch)
+            z = [c.astype(np.float64) for c in z]
+            own = sum(c * c for c in z)
+            for k, of_k in groups.items():
+                at = nearest[k]
+                a, b = np.full(len(at), np.nan), np.full(len(at), np.inf)
+                for i, n, *s, q in of_k:
+                    mean = own + float(q) / n - 2 * sum(c * float(x) for c, x in zip(z, s, strict=True)) / n
+                    inside = at == i
+                    if n > 1:
+                        a = np.where(inside, mean * n / (n - 1), a)
+                    b = np.where(inside, b, np.minimum(b, mean))
+                score = np.zeros(len(at))
+                np.divide(a, b, out=score, where=a < b)
+                score = np.where(a < b, 1 - score, score)
+                over = a > b  # a station alone in its group has no a and scores 0
+                score[over] = b[over] / a[over] - 1
+                held[k] += int(np.floor(score * 1e9).astype(np.int64).sum())
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array(list(held.values()), pa.int64())], names=["k", "score"])
+
+    per = grid.select(*names).mapInArrow(run, "k int, score long").groupBy("k").agg(F.sum("score").alias("score"))
+    return {r["k"]: r["score"] for r in per.collect()}
+
+
 def cluster_od_counts(data: TripData, clusters: DataFrame) -> DataFrame:
     """Trips per (start station group, end station group, weekday) (K3).
 

@@ -104,3 +104,23 @@ def test_fewer_places_than_groups_and_no_points(spark):
     none = same.filter("station < 0")
     assert clusters.station_clusters(none, k=3).collect() == []
     assert [tuple(r) for r in clusters.silhouette_by_k(same.limit(1), ks=[2]).collect()] == [(2, None)]
+
+
+def test_points_of_one_small_file_are_dealt_out(spark, tmp_path):
+    spark.range(400_000).selectExpr("id AS station", "id % 71 * 1.0 AS x", "id % 53 * 1.0 AS y").coalesce(1).write.parquet(str(tmp_path / "p"))
+    grid = clusters.grid_points(spark.read.parquet(str(tmp_path / "p")))
+    assert grid.rdd.getNumPartitions() > 1 and grid.count() == 400_000
+
+
+def test_sums_are_exact_beyond_64_bits(spark):
+    far = 3_000_000_000
+    pts = [(i, (-1) ** i * (far + i), 7 - i) for i in range(9)] + [(100 + i, i % 2, 4) for i in range(5)]
+    centres = {2: [(-far, 0), (far, 0)], 3: [(0, 4), (far, 1), (-far, -1)]}
+    grid = spark.createDataFrame(pts, "station long, z0 long, z1 long").repartition(3)
+    want = {}
+    for k, own in centres.items():
+        for _, x, y in pts:
+            at = min(range(k), key=lambda j: ((x - own[j][0]) ** 2 + (y - own[j][1]) ** 2, j))
+            old = want.get((k, at), [0, 0, 0, 0])
+            want[k, at] = [a + b for a, b in zip(old, [1, x, y, x * x + y * y], strict=True)]
+    assert clusters._sums(grid, ["z0", "z1"], centres) == want
