@@ -73,9 +73,12 @@ def json_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _as_lines(rec: DataFrame, *others: str):
-    """The records as JSON lines (``value``); ``others`` are columns that are kept beside the line."""
+    """The records as JSON lines (``value``); ``others`` are columns that are kept beside the line.
+
+    A generator makes the line, so that a filter on it does not write it a second time.
+    """
     fields = [F.col(f"`{c}`") for c in rec.columns if c not in others]
-    return rec.select(*others, F.to_json(F.struct(*fields)).alias("value"))
+    return rec.select(*others, F.explode(F.array(F.to_json(F.struct(*fields)))).alias("value"))
 
 
 def quarantine_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,11 +136,11 @@ def schema_drift_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     NULL fields are left out of JSON lines.
     """
-    lines = _drifting_lines(spark, sf_dir)
-    cut = lines.filter("source_file = 'late'").select(
-        F.lit("cut").alias("source_file"), F.expr("substring(value, 1, length(value) div 2)").alias("value")
-    )
-    report = drift_of_lines(lines.union(cut))
+    # each line is written once and goes whole and, if late, cut into the report
+    whole = F.struct("source_file", "value")
+    half = F.struct(F.lit("cut").alias("source_file"), F.expr("substring(value, 1, length(value) div 2)").alias("value"))
+    both = F.when(F.col("source_file") == "late", F.array(whole, half)).otherwise(F.array(whole))
+    report = drift_of_lines(_drifting_lines(spark, sf_dir).select(F.inline(both)))
     return report.withColumnRenamed("source_file", "part")
 
 

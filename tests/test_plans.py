@@ -166,3 +166,16 @@ def test_a_dimension_is_measured_once_while_its_files_stay(spark, tmp_path, monk
     spark.range(1000).selectExpr("id", "cast(id AS string) AS name").write.mode("overwrite").parquet(path)
     assert not broadcast.is_bounded(read(), 100) and len(taken) == 3
     assert broadcast.is_bounded(spark.range(5), 5) and broadcast.is_bounded(spark.range(5), 5) and len(taken) == 5  # no files
+
+
+@pytest.mark.parametrize("name", ["schema_drift_export", "rescued_track"])
+def test_export_lines_are_written_once(spark, monkeypatch, name):
+    from pedalflow.plans import exports
+
+    seen = []
+    if name == "schema_drift_export":  # its counts are checkpointed: the plan is that of the lines
+        drift = exports.drift_of_lines
+        monkeypatch.setattr(exports, "drift_of_lines", lambda lines: seen.append(lines.filter("trim(value) != ''")) or drift(lines))
+    out = getattr(exports, name)(spark, SF_DIR)
+    plan = _plan(seen[0] if seen else out)
+    assert plan.count("StructsToJsonEvaluator") == 1 and plan.count("lineitem.parquet") == 1
