@@ -61,7 +61,8 @@ def rescued_fields(schema: T.StructType) -> Column:
     """The top-level fields of the JSON text ``value`` that ``schema`` does not have; NULL if there are none."""
     fields = F.try_parse_json("value").cast("map<string, variant>")
     others = F.map_filter(fields, lambda k, _: ~k.isin(*schema.fieldNames()))
-    return F.when(F.size(others) > 0, F.to_variant_object(others))
+    # as a lambda variable, so that a line is parsed once
+    return F.transform(F.array(others), lambda o: F.when(F.size(o) > 0, F.to_variant_object(o)))[0]
 
 
 def parse_trip_lines(lines: DataFrame, schema: T.StructType = TRIP_JSON_SCHEMA, rescue: bool = False) -> DataFrame:
@@ -70,13 +71,16 @@ def parse_trip_lines(lines: DataFrame, schema: T.StructType = TRIP_JSON_SCHEMA,
 
     ``rescue`` adds ``rescued``, what the lines have beside the declared schema, for one
     more parse of each line.
+
+    Each line is parsed once: as rows that a generator makes, the parsed columns are computed
+    before any filter on them (``good_rows``) and not once more in that filter.
     """
     if rescue:
         lines = lines.withColumn(RESCUED, rescued_fields(schema))
     parse_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
     parsed = F.from_json("value", parse_schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
     others = [c for c in lines.columns if c != "value"]
-    return lines.filter(F.trim("value") != "").select(parsed.alias("r"), *others).select("r.*", *others)
+    return lines.filter(F.trim("value") != "").select(F.inline(F.array(parsed)), *others)
 
 
 def good_rows(raw: DataFrame) -> DataFrame:

@@ -179,3 +179,13 @@ def test_export_lines_are_written_once(spark, monkeypatch, name):
     out = getattr(exports, name)(spark, SF_DIR)
     plan = _plan(seen[0] if seen else out)
     assert plan.count("StructsToJsonEvaluator") == 1 and plan.count("lineitem.parquet") == 1
+
+
+def test_lines_are_parsed_once(spark):
+    from pedalflow.sources.trips import good_rows, normalise_trips, parse_trip_lines
+
+    lines = spark.createDataFrame([('{"_id":{"$oid":"a"},"track":{"from":1}}',), ("{",), (" ",)], "value string").repartition(1)
+    good = good_rows(parse_trip_lines(lines, rescue=True))
+    plan = _plan(normalise_trips(good, keep=["rescued"]))
+    assert plan.count("from_json(") == 1 and plan.count("parseJson") == 1
+    assert [(r["_id"]["$oid"], str(r["rescued"])) for r in good.selectExpr("_id", "to_json(rescued) AS rescued").collect()] == [("a", '{"track":{"from":1}}')]
