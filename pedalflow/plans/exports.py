@@ -61,10 +61,18 @@ def trips_as_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Lines of a compressed file, which one task reads whole.
+LINES_PER_FILE = 100_000
+
+
 def json_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the trips as NDJSON files and load them with the declared schema (A1, A4)."""
+    """Write the trips as NDJSON files and load them with the declared schema (A1, A4).
+
+    The files are compressed: as plain text the export is many times the tables it comes from.
+    """
     path = _export(spark, sf_dir, "trips-json")
-    trips_as_json_records(spark, sf_dir).drop("_year").write.mode("overwrite").json(path)
+    out = trips_as_json_records(spark, sf_dir).drop("_year").write.mode("overwrite")
+    out.option("compression", "gzip").option("maxRecordsPerFile", LINES_PER_FILE).json(path)
     trips = normalise_trips(good_rows(read_trips_json(spark, path, with_source=False)))
     return trips.select(
         "trip_id", "user_type", "age_range", "travel_time", "unplug_station", "plug_station",

@@ -189,3 +189,14 @@ def test_lines_are_parsed_once(spark):
     plan = _plan(normalise_trips(good, keep=["rescued"]))
     assert plan.count("from_json(") == 1 and plan.count("parseJson") == 1
     assert [(r["_id"]["$oid"], str(r["rescued"])) for r in good.selectExpr("_id", "to_json(rescued) AS rescued").collect()] == [("a", '{"track":{"from":1}}')]
+
+
+def test_json_export_is_compressed_and_split(spark, monkeypatch):
+    from pedalflow.plans import exports
+
+    monkeypatch.setattr(exports, "LINES_PER_FILE", 500)
+    n = exports.json_load(spark, SF_DIR).count()
+    path = exports._export(spark, SF_DIR, "trips-json")
+    files = [f for f in os.listdir(path.removeprefix("file:")) if f.startswith("part-")]
+    assert n == spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count()
+    assert all(f.endswith(".json.gz") for f in files) and len(files) >= n / 500
