@@ -8,6 +8,8 @@ from awkward import ODD_ROWS, as_rows, clashing, docs
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from pedalflow.llm import quality
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -86,3 +88,15 @@ def test_scripts_with_other_marks_or_none_are_kept(spark, sentence):
     words = [" ".join(f"{w}{i}" if w[0].isalpha() else w for w in sentence.split()) for i in range(6)]  # no window twice
     r = quality.judge(docs(spark, [(1, "\n".join(words))])).first()
     assert r["kept"] and r["lost_chars"] == 0
+
+
+def test_quick_patterns_find_what_the_rules_name(spark):
+    lines = [f"a{chr(c)}b" for c in range(1, 0x10000) if not 0xD800 <= c < 0xE000 and c != 10]
+    lines += ["a | b · c", "| a |", "a|b |c d| ||", "» a", "x • y", "Terms of USE", "term of use", "skip to Main content", "uses cookies", "It İ CLICK HERE İ."]
+    d = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i long, x string")
+    x, once = F.col("x"), rf"(?<![^{quality.SPACE}])[|»›>•·](?![^{quality.SPACE}])"
+    wrong = (x.rlike(quality.FIND_MARK) != x.rlike(quality.SENTENCE_MARK)) | (
+        F.regexp_count(x, F.lit(quality.SEPARATOR)) != F.regexp_count(x, F.lit(once))
+    ) | (x.rlike(quality.BOILERPLATE) & ~quality.may_be_boilerplate(x))
+    assert d.filter(wrong).count() == 0
+    assert d.filter(x.rlike(quality.BOILERPLATE)).count() == 4
