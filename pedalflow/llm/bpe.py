@@ -41,6 +41,9 @@ from .common import map_arrow, pick
 STEP = 1 << 20
 #: Entries of a cache, of about 200 bytes, before it is emptied.
 CACHED = 1_000_000
+#: Tokens of so many bytes or more are looked for by their last ones.
+SUFFIX = 4
+SHORTER = tuple(range(SUFFIX - 1, 0, -1))
 #: Longer pieces are encoded anew each time.
 CACHED_CHARS = 64
 
@@ -52,10 +55,12 @@ class Vocabulary:
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
         self.longest = max(map(len, ranks))
-        self.ending: dict[bytes, int] = {}
+        # the lengths of the tokens that end in the same SUFFIX bytes, and of shorter ones, the longest first
+        ending: dict[bytes, set[int]] = {}
         for t in ranks:
-            if len(t) > self.ending.get(t[-2:], 1):
-                self.ending[t[-2:]] = len(t)
+            if len(t) >= SUFFIX:
+                ending.setdefault(t[-SUFFIX:], set()).add(len(t))
+        self.ending = {end: (*sorted(found, reverse=True), *SHORTER) for end, found in ending.items()}
         self._halves: dict[bytes, list[bytes]] = {}
         self._grown: dict[bytes, bool] = {}
         self._pairs: dict[tuple[bytes, bytes], bool] = {}
@@ -129,8 +134,10 @@ class Vocabulary:
         """Appends the entries of ``last`` (lengths of last tokens; its first stands for no bytes) up to ``end`` bytes."""
         ranks, known, ending = self.ranks, self._pairs, self.ending
         for i in range(len(last), end + 1):
-            reach = ending.get(piece[i - 2 : i], 1) if i > 1 else 1  # the longest token that ends in these two bytes
-            for at in range(i - reach if i > reach else 0, i):
+            for length in ending.get(piece[i - SUFFIX : i], SHORTER) if i >= SUFFIX else SHORTER:
+                at = i - length
+                if at < 0:
+                    continue
                 token = piece[at:i]
                 if token not in ranks:
                     continue
@@ -201,7 +208,7 @@ class Pieces(dict):
         new: set[str] = set()
         for part in found:
             new.update(part)
-        new.difference_update(self)
+        new = {p for p in new if p not in self}  # by the new ones: all that is known may be a million
         if len(self) + len(new) > CACHED:
             self.clear()
         words, ranks, before, last = self.words, self.words.ranks, b"", [0]
@@ -362,8 +369,8 @@ def token_ids(texts: list[str], path: str, pattern: str) -> Iterator[np.ndarray]
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
     for whole in batches:
-        for at in range(0, whole.num_rows, 128):
-            b = whole.slice(at, 128)
+        for at in range(0, whole.num_rows, 256):
+            b = whole.slice(at, 256)
             yield b["doc_id"], [t or "" for t in b["text"].to_pylist()]
 
 

@@ -163,3 +163,14 @@ def test_query_equals_the_library(spark, library):
         ids = library.encode_ordinary(texts[r["doc_id"]])
         assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+
+
+def test_new_pieces_are_told_without_reading_all_known_ones():
+    class Known(bpe.Pieces):
+        def __iter__(self):
+            raise AssertionError("reads all known pieces")
+
+    known = Known(bpe.vocabulary(PATH)[0])
+    known.learn([["water", "waterish"]])
+    known.learn([["water", "waterishly"]])
+    assert len(known) == 3 and all(known[p] == bpe._packed(known.words.encode(p.encode())) for p in ("water", "waterish", "waterishly"))
