@@ -32,8 +32,7 @@ def read_trips_json(
     Lines are read as text and parsed with ``from_json`` in PERMISSIVE mode:
     a malformed line keeps its text in ``_corrupt_record``.  Parsing from the
     line text (rather than the JSON file reader) keeps counts and filters on
-    the corrupt-record column valid without caching the input, while Catalyst
-    still prunes unused fields from the parse.  ``source_file`` gives lineage
+    the corrupt-record column valid without caching the input.  ``source_file`` gives lineage
     (``with_source``; it is non-deterministic for the analyser, so plans that
     feed scalar subqueries leave it out).
 
