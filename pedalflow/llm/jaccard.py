@@ -13,7 +13,7 @@ A key can be shared by a third of all classes, so its members are not all paired
 other but compared with a pivot (see ``linking``).  For a pair of sets, overlap counts are
 accumulated block by block; the pair is discarded as soon as what is left cannot bring the
 overlap up to its bound.  Members of large groups that the pivot leaves apart have nearly
-everything in common; the product is taken between their differences from the pivot instead
+everything in common; the product is taken between their differences from a central member instead
 (see ``deltas``).
 
 Defined cases: a text of fewer words than n is one n-gram; null texts and texts
@@ -261,7 +261,11 @@ def linked(rows: DataFrame, sets_of: Callable[[DataFrame, Scratch], DataFrame],
         of = work.saved(large.select(F.col("p").alias("a"), F.col("id").alias("b")).filter("a != b").distinct(), "pivots")
         schema = "p long, z long, n_p long, n_z long, delta array<long>"
         apart = work.saved(map_arrow(with_both(of, sets[0], "grams"), _differences, schema), "deltas")
-        return deltas.links(apart, comps, pct, work)
+        apart = deltas.recentred(apart, work)
+        # links joins only what the components leave apart, and takes those of the pivots as known
+        near = work.saved(deltas.close_to_pivot(apart, pct), "near")
+        comps = linking.components(near.union(comps.select("comp", "id")), work)
+        return near.union(deltas.links(apart, comps, pct, work))
 
     return linking.linked(rows, prepare, last, few)
 

@@ -76,3 +76,44 @@ def test_components_do_not_depend_on_what_is_paired(spark, few):
     want = {i: root(i) for i in range(len(sets))}
     got = {x["id"]: x["comp"] for x in comps.collect()}
     assert {i: got.get(i, i) for i in want} == want and len(set(want.values())) < len(sets) - 12
+
+
+def test_no_pairs_of_a_family_meet_by_what_its_pivot_alone_lacks(spark):
+    """Members with three edits of their own, around a pivot with other edits: all lack the pivot's elements."""
+    size, members = 120, 150
+    base = list(range(size))
+    far = [set(base) - set(range(3 * i % 100, 3 * i % 100 + 3)) | {10**6 + 10 * i + j for j in range(9)} for i in range(members)]
+    pivot = set(base) - set(range(110, 119)) | set(range(10**7, 10**7 + 9))
+    sets = [pivot, set(base), *far]
+    rows = [(0, i, len(pivot), len(z), sorted(pivot ^ z)) for i, z in enumerate(sets) if i]
+    work = Scratch(spark, "test")
+    d = work.saved(spark.createDataFrame(rows, "p long, z long, n_p long, n_z long, delta array<long>"), "deltas")
+    moved = deltas.recentred(d, work)
+    got = {r["z"]: (r["p"], r["n_p"], r["n_z"], set(r["delta"])) for r in moved.collect()}
+    # the base is the new pivot, the old one a member like others
+    assert got == {i: (1, size, len(z), set(base) ^ z) for i, z in enumerate(sets) if i != 1}
+    met = []
+    for each in (d, moved):
+        # the product's entries: elements by which sets could still meet
+        inner = Scratch(spark, "inner")
+        deltas.links(each, spark.createDataFrame([], "id long, comp long"), 90, inner)
+        met.append(spark.read.parquet(f"{inner.dir}/*-entries").count())
+        inner.remove()
+    near = deltas.close_to_pivot(moved, 90).count()
+    work.remove()
+    assert met[1] * 5 < met[0]
+    assert near == sum(linked(set(base), z, 90) for i, z in enumerate(sets) if i != 1)
+
+
+def test_groups_with_the_same_centre_are_merged(spark):
+    base = set(range(50))
+    sets = {i: base | {100 + i} for i in range(1, 30)} | {0: base}
+    rows = [(p, z, len(sets[p]), len(s), sorted(sets[p] ^ s)) for p in (1, 2) for z, s in sets.items() if z != p and (z + p) % 3]
+    rows += [(2, 0, 51, 50, [102])] if not any(r[:2] == (2, 0) for r in rows) else []
+    rows += [(1, 0, 51, 50, [101])] if not any(r[:2] == (1, 0) for r in rows) else []
+    work = Scratch(spark, "test")
+    d = work.saved(spark.createDataFrame(rows, "p long, z long, n_p long, n_z long, delta array<long>"), "deltas")
+    got = [(r["p"], r["z"], set(r["delta"])) for r in deltas.recentred(d, work).collect()]
+    work.remove()
+    want = {z for _, z, *_ in rows} | {1, 2}
+    assert sorted(got, key=lambda r: r[1]) == [(0, z, {100 + z}) for z in sorted(want - {0})]
