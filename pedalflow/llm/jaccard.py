@@ -106,6 +106,24 @@ class Cuts:
         """One more than similar sets can differ in n-grams when the larger has ``size``."""
         return 2 * size * (100 - self.pct) // (100 + self.pct) + 1
 
+    def spare(self, size: float, k: int) -> int:
+        """How many more blocks than ``k`` a step needs for as many of all to stay empty in a set of ``size``.
+
+        Spare blocks leave more blocks empty in turn.  Sets that have so few n-grams for their
+        blocks that no number is enough get the first estimate.
+        """
+        found = [0]
+        while found[-1] <= 2 * k:
+            blocks = k + found[-1]
+            one = math.exp(-size / blocks)
+            empty = blocks * one
+            apart = math.sqrt(max(empty * (1 - (1 + size / blocks) * one), 0))
+            next_ = math.ceil(empty + 3 * apart) if empty >= 0.05 and k > 3 else 0
+            if next_ <= found[-1]:
+                return found[-1]
+            found.append(next_)
+        return found[1]
+
     def grow(self, size: int) -> None:
         while not self.steps or self.steps[-1][1] < size:
             low = self.steps[-1][1] + 1 if self.steps else 1
@@ -114,8 +132,7 @@ class Cuts:
             high = (most * (100 + self.pct) - 1) // (2 * (100 - self.pct)) if self.pct < 100 else 1 << 60
             high = max(low, high)
             k = self.blocks(high)
-            empty = k * math.exp(-low * self.pct / 100 / k)  # blocks of the step's smallest sets that stay empty
-            spare = math.ceil(empty + 4 * math.sqrt(empty)) if empty >= 0.05 and k > 3 else 0
+            spare = self.spare(low * self.pct / 100, k)
             self.steps.append((low, high, k + spare, spare))
 
     def of(self, size: int) -> list[tuple[int, int, int]]:

@@ -66,6 +66,16 @@ def test_similar_sets_share_a_block(size, gone, added, pct, seed):
     assert J.overlap(x, y, both) == both and J.overlap(x, y, both + 1) is None
 
 
+@pytest.mark.parametrize("pct", [80, 85, 90])
+def test_hardly_any_set_has_more_empty_blocks_than_spare_ones(pct):
+    """Such sets get a key for every block of each empty one: 13 keys an n-gram at 80 per cent once."""
+    r = np.random.default_rng(pct)
+    cuts = J.Cuts(pct)
+    for size in (50, 130, 200, 400, 600, 990, 1000, 1600, 3000):
+        sets = [np.unique(r.integers(0, 2**64, size, dtype=np.uint64)) for _ in range(100)]
+        assert sum(len(J.block_keys(s, cuts)) for s in sets) < 1.5 * 100 * size
+
+
 def test_long_texts_are_cut_at_words(monkeypatch):
     text = " ".join(random.Random(1).choices("a b c dd eee ff".split(), k=2000))
     whole = J.shingles(text, 3)
