@@ -243,21 +243,6 @@ def _compared(batches: Iterator[pa.RecordBatch], pct: int) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([batch["a"].filter(pa.array(close)), batch["b"].filter(pa.array(close))], names=["a", "b"])
 
 
-def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """p, z, n_p, n_z, delta of (a, b, x, y) with the pivot as a."""
-    for whole in batches:
-        for at in range(0, whole.num_rows, 256):
-            b = whole.slice(at, 256)
-            n_p, n_z, delta = [], [], []
-            for x, y in zip(b["x"], b["y"], strict=True):
-                x, y = np.asarray(x.values), np.asarray(y.values)
-                n_p.append(len(x))
-                n_z.append(len(y))
-                delta.append(np.setxor1d(x, y, assume_unique=True))
-            columns = [b["a"], b["b"], pa.array(n_p, pa.int64()), pa.array(n_z, pa.int64()), pa.array(delta, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["p", "z", "n_p", "n_z", "delta"])
-
-
 def _place() -> Column:
     """Where a row stands: rows without doc_id come last, rows that repeat a doc_id by text."""
     return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tx")
@@ -276,8 +261,7 @@ def linked(rows: DataFrame, sets_of: Callable[[DataFrame, Scratch], DataFrame],
 
     def last(large: DataFrame, comps: DataFrame, compare, work: Scratch) -> DataFrame:
         of = work.saved(large.select(F.col("p").alias("a"), F.col("id").alias("b")).filter("a != b").distinct(), "pivots")
-        schema = "p long, z long, n_p long, n_z long, delta array<long>"
-        apart = work.saved(map_arrow(with_both(of, sets[0], "grams"), _differences, schema), "deltas")
+        apart = deltas.from_pivots(of, sets[0], work)
         apart = deltas.recentred(apart, work)
         # links joins only what the components leave apart, and takes those of the pivots as known
         near = work.saved(deltas.close_to_pivot(apart, pct), "near")

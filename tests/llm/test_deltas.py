@@ -117,3 +117,25 @@ def test_groups_with_the_same_centre_are_merged(spark):
     work.remove()
     want = {z for _, z, *_ in rows} | {1, 2}
     assert sorted(got, key=lambda r: r[1]) == [(0, z, {100 + z}) for z in sorted(want - {0})]
+
+
+@pytest.mark.parametrize("seed, most", [(1, 2), (2, 4), (3, 6), (4, 12)])
+def test_pairs_within_a_fixed_distance(spark, seed, most):
+    """What is near in content and size is met, or both sets are within the limit of the pivot."""
+    r = random.Random(seed)
+    sets = family(r, 30, 80, 6) + [set(range(20)) - set(r.sample(range(20), r.randrange(8))) for _ in range(40)]
+    p, limit = sets[0], lambda n: n * 0 + most - (n % 2)
+    rows = [(0, i, len(p), len(z), sorted(p ^ z)) for i, z in enumerate(sets) if i]
+    work = Scratch(spark, "test")
+    d = work.saved(spark.createDataFrame(rows, "p long, z long, n_p long, n_z long, delta array<long>"), "deltas")
+    comps = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "id long, comp long")
+    met, inner = deltas.within(d, comps, limit, work)
+    found, inside = {tuple(x) for x in met.collect()}, {x["z"] for x in inner.collect()}
+    work.remove()
+    want = {
+        (i, j) for j in range(1, len(sets)) for i in range(1, j)
+        if len(sets[i] ^ sets[j]) + abs(len(sets[i]) - len(sets[j])) <= min(limit(len(sets[i])), limit(len(sets[j]))) and j > 3
+    }
+    assert want and all(x in found or set(x) <= inside for x in want)
+    # and little else, of all that share an element of their differences
+    assert len(found) < len(want) + 40
