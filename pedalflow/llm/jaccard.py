@@ -1,7 +1,8 @@
 """N-gram Jaccard join: a blocked sparse product of the document by n-gram incidence matrix.
 
 Documents are rows, hashed word n-grams columns.  Rows that are alike are one
-class, by a 128-bit digest of the set.  The columns are cut into blocks by range
+class, by a 128-bit digest of the set.  Classes that share too few columns with all
+others together to reach the bound with any are left out first (see ``alone``).  The columns are cut into blocks by range
 of hash.  Two sets x, y of similarity s or more differ in at most
 (|x| + |y|)(1 - s)/(1 + s) n-grams; with one block more than that, at least one
 block is the same in both.  So the product is only taken between classes that
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 
 from pedalflow.operators.broadcast import bounded_broadcast
 
-from . import deltas, linking
+from . import alone, deltas, linking
 from .common import Scratch, map_arrow, pick, saved
 from .linking import FEW, only, small, with_both
 
@@ -172,21 +173,20 @@ def block_keys(grams: np.ndarray, cuts: Cuts) -> np.ndarray:
 
 
 def incidence(docs: DataFrame, n: int, pct: int, without_id: bool = False) -> DataFrame:
-    """doc_id, tx, n_shingles, s1 and s2 (digest of the set, null if empty), keys (once a task for each set).
+    """doc_id, tx, n_shingles, s1 and s2 (digest of the set, null if empty), told, sure and slack (see ``alone``; once a task for each set).
 
     Rows without doc_id have no digest either, unless ``without_id``.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    none = np.empty(0, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        cuts, seen = Cuts(pct), set()
+        seen = set()
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 b = whole.slice(at, 512)
-                sizes, s1, s2, keys = [], [], [], []
+                sizes, s1, s2, found = [], [], [], []
                 for i, t in zip(b["doc_id"], b["text"], strict=True):
                     g = shingles(t.as_py(), n)
                     sizes.append(len(g))
@@ -194,12 +194,12 @@ def incidence(docs: DataFrame, n: int, pct: int, without_id: bool = False) -> Da
                     halves = np.frombuffer(digest, np.int64).tolist() if digest else [None, None]
                     s1.append(halves[0])
                     s2.append(halves[1])
-                    keys.append(block_keys(g, cuts) if digest and digest not in seen else none)
+                    found.append(alone.told(g, pct) if digest and digest not in seen else (None, None, None))
                     if len(seen) > 200_000:  # a repeat only costs rows
                         seen.clear()
                     if digest:
                         seen.add(digest)
-                ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
+                told, sure, slack = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [
                         b["doc_id"],
@@ -207,12 +207,25 @@ def incidence(docs: DataFrame, n: int, pct: int, without_id: bool = False) -> Da
                         pa.array(sizes, pa.int64()),
                         pa.array(s1, pa.int64()),
                         pa.array(s2, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([none, *keys]))),
+                        pa.array(told, pa.binary()),
+                        pa.array(sure, pa.int64()),
+                        pa.array(slack, pa.int64()),
                     ],
-                    names=["doc_id", "tx", "n_shingles", "s1", "s2", "keys"],
+                    names=["doc_id", "tx", "n_shingles", "s1", "s2", "told", "sure", "slack"],
                 )
 
-    return map_arrow(docs, run, f"doc_id {kind}, tx long, n_shingles long, s1 long, s2 long, keys array<long>")
+    schema = f"doc_id {kind}, tx long, n_shingles long, s1 long, s2 long, told binary, sure long, slack long"
+    return map_arrow(docs, run, schema)
+
+
+def _keyed(batches: Iterator[pa.RecordBatch], pct: int) -> Iterator[pa.RecordBatch]:
+    """id, keys of the sets (id, grams)."""
+    cuts = Cuts(pct)
+    for whole in batches:
+        for at in range(0, whole.num_rows, 512):
+            b = whole.slice(at, 512)
+            keys = [block_keys(np.asarray(g.values).view(np.uint64), cuts) for g in b["grams"]]
+            yield pa.RecordBatch.from_arrays([b["id"], pa.array(keys, pa.list_(pa.int64()))], names=["id", "keys"])
 
 
 def overlap(x: np.ndarray, y: np.ndarray, least: int, blocks: int = 16) -> int | None:
@@ -271,10 +284,23 @@ def linked(rows: DataFrame, sets_of: Callable[[DataFrame, Scratch], DataFrame],
     return linking.linked(rows, prepare, last, few)
 
 
+def _not_alone(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """id (s1) of the saved ``sets`` that may have a similar one; ``classes``: s1, n of all."""
+    copies = classes.filter("n > 1").select(F.col("s1").alias("id"))
+    copies = F.broadcast(copies) if small(copies) else copies
+    d = sets.filter("told IS NOT NULL").select(F.col("s1").alias("id"), "told", "sure", "slack")
+    # sorted, so that a task that runs again makes the same batches
+    one = d.join(copies, "id", "left_semi").dropDuplicates(["id"]).sortWithinPartitions("id")
+    once = d.join(copies, "id", "left_anti").union(one)
+    return alone.others(once, d.agg(F.sum("sure")).first()[0] or 0)
+
+
 def _groups(docs: DataFrame, n: int, pct: int, without_id: bool = False) -> tuple[DataFrame, DataFrame]:
     """The incidence of ``docs``, and (s1, first): the first place of each set's group, for sets that are not alone; saved."""
     d = pick(docs, "doc_id", "text").withColumn("tx", F.xxhash64("text"))
-    inc = saved(incidence(d, n, pct, without_id), "incidence")
+    held = Scratch(docs.sparkSession, "sets")
+    told = held.saved(incidence(d, n, pct, without_id), "incidence")
+    inc = saved(told.select("doc_id", "tx", "n_shingles", "s1", "s2"), "incidence")
     ids = inc.filter("s1 IS NOT NULL").groupBy("s1", "s2").agg(F.min(_place()).alias("rep"), F.count("*").alias("n"))
     classes = saved(ids.groupBy("s1").agg(F.min("rep").alias("rep"), F.sum("n").alias("n")), "classes")
 
@@ -298,8 +324,14 @@ def _groups(docs: DataFrame, n: int, pct: int, without_id: bool = False) -> tupl
         grams = map_arrow(only(d, of, "tx").select("text"), run, "id long, grams array<long>")
         return work.saved(grams.dropDuplicates(["id"]), "grams")
 
-    rows = inc.select(F.explode("keys").alias("key"), F.col("s1").alias("id"))
-    comps = linked(rows, sets_of, pct)
+    near = saved(_not_alone(told, classes), "near")
+    held.remove()
+    held = Scratch(docs.sparkSession, "sets")
+    grams = sets_of(near, held)
+    rows = map_arrow(grams, lambda b: _keyed(b, pct), "id long, keys array<long>")
+    rows = rows.select(F.explode("keys").alias("key"), "id")
+    comps = linked(rows, lambda ids, work: work.saved(only(grams, ids, "id"), "grams"), pct)
+    held.remove()
     known = classes.select("s1", "rep", "n")
     if comps is not None:
         known = known.join(comps.withColumnRenamed("id", "s1"), "s1", "left")
